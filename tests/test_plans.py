@@ -1,0 +1,89 @@
+"""The physical plans the operators are meant to have."""
+
+import contextlib
+import io
+
+import pytest
+from pyspark.sql import functions as F
+
+from weirflow.operators import enrich, latest_by_key, quarantine_duplicates
+from weirflow.plans import trips
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture
+def conf(spark):
+    changed = []
+
+    def set_all(**values):
+        for name, value in values.items():
+            key = "spark.sql." + name.replace("__", ".")
+            changed.append(key)
+            spark.conf.set(key, value)
+
+    yield set_all
+    for key in changed:
+        spark.conf.unset(key)
+
+
+def plan(df, mode="simple"):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain(mode=mode)
+    return text.getvalue()
+
+
+def test_latest_by_key_limits_groups_before_the_shuffle(spark):
+    df = spark.read.parquet(f"{SF}/lineitem.parquet")
+    text = plan(latest_by_key(df, ["l_orderkey", "l_linenumber"], ["l_shipdate"]))
+    assert text.count("Exchange") == 1
+    before = text[text.index("Exchange") :]
+    assert "WindowGroupLimit" in before and "Partial" in before
+
+
+def test_rank_and_taint_share_one_shuffle_and_one_window(spark):
+    df = spark.read.parquet(f"{SF}/customer.parquet")
+    split = quarantine_duplicates(df, "c_custkey", ["c_acctbal"])
+    text = plan(split.clean)
+    assert text.count("Exchange") == 1
+    assert text.count("+- Window [") == 1
+
+
+def test_positive_filter_and_columns_reach_the_scan(spark, tmp_path):
+    columns = ["o_orderkey AS VendorID", "o_orderdate AS tpep_pickup_datetime"]
+    columns += ["o_orderdate AS tpep_dropoff_datetime", "o_custkey AS PULocationID"]
+    columns += ["o_totalprice AS total_amount", "o_totalprice AS trip_distance", "o_orderpriority"]
+    spark.read.parquet(f"{SF}/orders.parquet").selectExpr(*columns).write.parquet(f"{tmp_path}/t")
+    df = trips.derive_trips(spark.read.parquet(f"{tmp_path}/t"))
+    text = plan(df.select("trip_id", "tpep_total_trip_time_str"), "formatted")
+    assert "GreaterThan(total_amount,0.0), GreaterThan(trip_distance,0.0)" in text
+    assert "o_orderpriority" not in text
+    assert "Exchange" not in text
+
+
+def test_aqe_splits_a_heavy_fact_key(spark, conf, tmp_path):
+    conf(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="20000",
+        adaptive__skewJoin__skewedPartitionFactor="1.5",
+        adaptive__advisoryPartitionSizeInBytes="20000",
+    )
+    ids = F.col("id")
+    fact = spark.range(0, 60_000, 1, 8).select(
+        F.when(ids % 3 == 0, 7).otherwise(ids % 5000).alias("k"), F.sha2(ids.cast("string"), 256).alias("v")
+    )
+    spark.range(5000).select(ids.alias("k"), ids.cast("string").alias("name")).write.parquet(f"{tmp_path}/dim")
+    joined = enrich(fact, spark.read.parquet(f"{tmp_path}/dim"), "k", ["name"])
+    out = joined.groupBy("name").count().where("name = '7'")
+    joined.collect()
+    assert "skew=true" in plan(joined).lower().replace("isskewjoin", "skew")
+    assert out.first()["count"] == 20_000 + sum(1 for i in range(60_000) if i % 3 and i % 5000 == 7)
+
+
+def test_small_dimension_is_broadcast_by_size_without_a_hint(spark):
+    fact = spark.read.parquet(f"{SF}/orders.parquet").withColumnRenamed("o_custkey", "c_custkey")
+    dim = spark.read.parquet(f"{SF}/customer.parquet")
+    text = plan(enrich(fact, dim, "c_custkey", ["c_name"]))
+    assert "BroadcastHashJoin" in text
+    assert "c_acctbal" not in text

@@ -1,0 +1,88 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from weirflow.operators import heavy_key_test, latest_by_key, rank_groups
+
+SCHEMA = "key string, at int, note string"
+
+
+def skewed_rows(n=3000, seed=7):
+    """A third under one key, a third under the null key, many exact copies."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        key = rng.choice(["hot", None, f"k{rng.randrange(400)}"])
+        note = rng.choice([None, "same", f"n{rng.randrange(5)}"])
+        rows.append((key, rng.choice([None, *range(5)]), note))
+    return rows
+
+
+def expected_ranks(rows):
+    """Brute force: sort each group newest first, nulls last."""
+
+    def newest_first(row):
+        _, at, note = row
+        reverse_note = tuple(-ord(c) for c in note or "")
+        return (at is None, -(at or 0), note is None, reverse_note)
+
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[0], []).append(row)
+    out = []
+    for members in groups.values():
+        tainted = any(note is None for _, _, note in members)
+        for i, row in enumerate(sorted(members, key=newest_first)):
+            out.append((*row, i + 1, tainted))
+    return sorted(out, key=repr)
+
+
+def ranked(df, heavy_rows):
+    out = rank_groups(
+        df, ["key"], ["at"], "rank", any_of={"bad": F.col("note").isNull()}, heavy_rows=heavy_rows
+    )
+    return sorted((tuple(r) for r in out.collect()), key=repr)
+
+
+@pytest.mark.parametrize("heavy_rows", [10, 500, 10_000_000])
+def test_ranks_equal_brute_force_whatever_counts_as_heavy(spark, heavy_rows):
+    rows = skewed_rows()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    assert ranked(df, heavy_rows) == expected_ranks(rows)
+
+
+def test_one_key_for_everything_is_ranked_over_several_tasks(spark):
+    rows = [("only", 1, "copy")] * 2000
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    # Keep the sort's partitions apart: at this size AQE would merge them.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = rank_groups(df, ["key"], ["at"], "rank", heavy_rows=100)
+        assert sorted(r["rank"] for r in out.collect()) == list(range(1, 2001))
+        assert out.groupBy(F.spark_partition_id()).count().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_several_keys(spark):
+    rows = [(a, b, v) for a in "xy" for b in (1, None) for v in range(40)]
+    df = spark.createDataFrame(rows, "a string, b int, v int")
+    out = rank_groups(df, ["a", "b"], ["v"], "rank", heavy_rows=10)
+    assert {(r["v"], r["rank"]) for r in out.collect()} == {(v, 40 - v) for v in range(40)}
+    assert out.count() == len(rows)
+
+
+def test_heavy_keys_are_found_and_light_ones_are_not(spark):
+    df = spark.createDataFrame(skewed_rows(), SCHEMA)
+    found = df.where(heavy_key_test(df, ["key"], 500)).select("key").distinct().collect()
+    assert {r["key"] for r in found} == {"hot", None}
+    assert heavy_key_test(df, ["key"], 100_000) is None
+
+
+def test_latest_by_key_takes_the_newest_and_breaks_ties_by_content(spark):
+    rows = [("a", 1, "x"), ("a", 2, "x"), ("a", 2, "y"), ("b", None, "z"), ("b", 0, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for shuffled in (df, df.orderBy("note"), df.orderBy(F.desc("note"))):
+        got = latest_by_key(shuffled, ["key"], ["at"]).collect()
+        assert {tuple(r) for r in got} == {("a", 2, "y"), ("b", 0, None)}

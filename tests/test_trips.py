@@ -1,0 +1,190 @@
+import datetime as dt
+import os
+
+import pandas as pd
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import types as T
+
+from weirflow.plans import gold, lookups, trips
+from weirflow.sources import month_spine, read_csv, read_months
+
+AT = pd.Timestamp
+
+
+def trip(pickup, amount=10.0, distance=2.0, vendor=1, zone=5, minutes=15):
+    pickup = AT(pickup)
+    return dict(
+        VendorID=vendor,
+        tpep_pickup_datetime=pickup,
+        tpep_dropoff_datetime=pickup + pd.Timedelta(minutes=minutes),
+        PULocationID=zone,
+        total_amount=amount,
+        trip_distance=distance,
+    )
+
+
+def drop(root, month, rows, **casts):
+    folder = f"{root}/landing/yellow_taxi_trip/{month}"
+    os.makedirs(folder, exist_ok=True)
+    pd.DataFrame(rows).astype(casts).to_parquet(
+        f"{folder}/yellow_tripdata_{month}.parquet", coerce_timestamps="us"
+    )
+
+
+@pytest.fixture
+def root(tmp_path):
+    root = str(tmp_path)
+    drop(root, "2025-10", [trip("2025-10-03 08:00"), trip("2025-10-31 23:59:59")])
+    drop(root, "2025-11", [trip("2025-11-01 00:00"), trip("2025-10-30 12:00", amount=99.0)])
+    return root
+
+
+def bronze(spark, root):
+    df = spark.read.parquet(f"{root}/bronze/yellow_taxi_trip")
+    return sorted((r["year"], r["month"], r["total_amount"]) for r in df.collect())
+
+
+@pytest.mark.parametrize(
+    "start, end, months",
+    [
+        ("2025-10-31", "2026-02-28", ["2025-10", "2025-11", "2025-12", "2026-01", "2026-02"]),
+        ("2025-10-15", "2026-02-01", ["2025-10", "2025-11", "2025-12", "2026-01", "2026-02"]),
+        ("2025-10-01", "2025-10-01", ["2025-10"]),
+        ("2025-11-01", "2025-10-01", []),
+    ],
+)
+def test_month_range_does_not_depend_on_days(start, end, months):
+    assert month_spine(start, end) == months
+
+
+def test_month_range_defaults_to_the_current_month():
+    assert month_spine() == [dt.date.today().strftime("%Y-%m")]
+
+
+def test_stray_rows_leave_the_neighbour_month_alone(spark, root):
+    trips.load_trips_bronze(spark, root, "2025-10-01", "2025-10-31", "2026-01-27")
+    trips.load_trips_bronze(spark, root, "2025-11-01", "2025-11-30", "2026-01-27")
+    assert bronze(spark, root) == [(2025, 10, 10.0), (2025, 10, 10.0), (2025, 11, 10.0)]
+    stray = spark.read.option("header", True).csv(
+        f"{root}/rejected_data/yellow_taxi_trip/out_of_month"
+    )
+    assert [(r["source_month"], r["total_amount"]) for r in stray.collect()] == [("2025-11", "99.0")]
+
+
+def test_reloading_one_month_replaces_it_and_clears_its_strays(spark, root):
+    trips.load_trips_bronze(spark, root, "2025-10-01", "2025-11-30", "2026-01-27")
+    before = bronze(spark, root)
+    trips.load_trips_bronze(spark, root, "2025-10-01", "2025-11-30", "2026-01-27")
+    assert bronze(spark, root) == before
+    drop(root, "2025-11", [trip("2025-11-20 10:00", amount=7.0)])
+    trips.load_trips_bronze(spark, root, "2025-11-01", "2025-11-02", "2026-01-27")
+    assert bronze(spark, root) == [(2025, 10, 10.0), (2025, 10, 10.0), (2025, 11, 7.0)]
+    stray = spark.read.option("header", True).csv(
+        f"{root}/rejected_data/yellow_taxi_trip/out_of_month"
+    )
+    assert stray.count() == 0
+
+
+def test_a_missing_month_fails_the_load(spark, root):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        trips.load_trips_bronze(spark, root, "2025-10-01", "2025-12-01")
+    assert not os.path.exists(f"{root}/bronze")
+    with pytest.raises(ValueError):
+        read_months(spark, f"{root}/{trips.DROP}", [])
+
+
+def test_months_of_different_width_load_with_a_schema(spark, root):
+    drop(root, "2025-12", [trip("2025-12-05 10:00")], PULocationID="float64", VendorID="int32")
+    schema = T.StructType(
+        [
+            T.StructField("VendorID", T.LongType()),
+            T.StructField("tpep_pickup_datetime", T.TimestampNTZType()),
+            T.StructField("tpep_dropoff_datetime", T.TimestampNTZType()),
+            T.StructField("PULocationID", T.LongType()),
+            T.StructField("total_amount", T.DoubleType()),
+            T.StructField("trip_distance", T.DoubleType()),
+            T.StructField("airport_fee", T.DoubleType()),
+        ]
+    )
+    trips.load_trips_bronze(spark, root, "2025-10-01", "2025-12-01", "2026-01-27", schema=schema)
+    df = spark.read.parquet(f"{root}/bronze/yellow_taxi_trip")
+    assert df.count() == 4
+    assert df.schema["PULocationID"].dataType == T.LongType()
+    assert {r["airport_fee"] for r in df.collect()} == {None}
+
+
+def test_silver_derives_and_filters(spark, root):
+    rows = [
+        trip("2025-10-03 08:00", minutes=75),
+        trip("2025-10-03 09:00", minutes=-61),
+        trip("2025-10-04 08:00", amount=0.0),
+        trip("2025-10-04 09:00", distance=-1.0),
+        trip("2025-10-04 10:00", amount=None),
+    ]
+    drop(root, "2025-10", rows)
+    trips.load_trips_bronze(spark, root, "2025-10-01", "2025-11-30", "2026-01-27")
+    trips.build_fact_trips(spark, root, "2026-01-28")
+    facts = spark.read.parquet(f"{root}/silver/fact_trips").where("month = 10").collect()
+    got = sorted((r["tpep_total_trip_time_secs"], r["tpep_total_trip_time_str"]) for r in facts)
+    assert got == [(-3660, "-1:-1:00"), (4500, "01:15:00")]
+    assert {r["processing_date"] for r in facts} == {dt.date(2026, 1, 28)}
+    assert all(len(r["trip_id"]) == 32 for r in facts)
+
+
+def test_silver_can_rebuild_single_months(spark, root):
+    trips.load_trips_bronze(spark, root, "2025-10-01", "2025-11-30", "2026-01-27")
+    trips.build_fact_trips(spark, root, "2026-01-28")
+    drop(root, "2025-11", [trip("2025-11-20 10:00", amount=-7.0)])
+    trips.load_trips_bronze(spark, root, "2025-11-01", "2025-11-30", "2026-01-29")
+    trips.build_fact_trips(spark, root, "2026-01-29", months=["2025-11"])
+    facts = spark.read.parquet(f"{root}/silver/fact_trips")
+    assert [(r["month"], str(r["processing_date"])) for r in facts.collect()] == [
+        (10, "2026-01-28"),
+        (10, "2026-01-28"),
+    ]
+
+
+def test_lookups_and_publishing(spark, root, monkeypatch):
+    folder = f"{root}/landing/taxi_zone_lookup"
+    os.makedirs(folder)
+    with open(f"{folder}/taxi_zone_lookup.csv", "w") as out:
+        out.write('LocationID,Borough,Zone\n1,EWR,"Newark, Airport"\n2,Queens,\n')
+    lookups.load_zones_bronze(spark, root, "2026-01-27")
+    lookups.build_dim_zone(spark, root, "2026-01-28")
+    lookups.build_static_dims(spark, root)
+    zones = spark.read.parquet(f"{root}/silver/dim_zone").orderBy("LocationID").collect()
+    assert [tuple(z) for z in zones] == [
+        (1, "EWR", "Newark, Airport", dt.date(2026, 1, 28)),
+        (2, "Queens", None, dt.date(2026, 1, 28)),
+    ]
+    assert spark.read.parquet(f"{root}/silver/dim_vendor").count() == 2
+    assert spark.read.parquet(f"{root}/silver/dim_rate_code").count() == 6
+
+    calls = []
+    monkeypatch.setattr(gold, "write_jdbc", lambda df, *rest: calls.append((df.count(), *rest)))
+    with pytest.raises(AnalysisException):
+        gold.publish(spark, root, "jdbc:x", {})
+    assert calls == [], "a missing table must stop the load before the first write"
+    trips.load_trips_bronze(spark, root, "2025-10-01", "2025-10-31")
+    trips.build_fact_trips(spark, root)
+    gold.publish(spark, root, "jdbc:x", {"user": "u"}, connections=4)
+    assert [(n, table) for n, _, table, *_ in calls] == [
+        (6, "dim_rate_code"),
+        (2, "dim_vendor"),
+        (2, "dim_zone"),
+        (2, "fact_trips"),
+    ]
+    assert {rest for _, _, _, *rest in [(c[0], c[1], c[2], str(c[3]), c[4]) for c in calls] for rest in [tuple(rest)]} == {
+        ("{'user': 'u'}", 4)
+    }
+
+
+def test_inferred_csv_types(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("id,day,name\n1,2026-01-27,\n")
+    assert [f.dataType for f in read_csv(spark, str(path)).schema] == [
+        T.IntegerType(),
+        T.DateType(),
+        T.StringType(),
+    ]

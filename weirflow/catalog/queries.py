@@ -54,8 +54,12 @@ def _both_loads(df: DataFrame) -> DataFrame:
 
 
 def _dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer dimension as a written table, as fact jobs read it: its
+    size is known when the join is planned."""
+    path = scratch_path(spark, "dim")
     clean = customers.split_customers(feeds.customers_feed(spark, sf_dir)).clean
-    return customers.latest_customers(stamp_date(clean, FIRST_LOAD))
+    write_table(customers.latest_customers(stamp_date(clean, FIRST_LOAD)), path)
+    return read_dataset(spark, path)
 
 
 # --- ranking and star joins -------------------------------------------------
@@ -176,8 +180,7 @@ def silver_trip_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_positive_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips_in = feeds.trips_feed(spark, sf_dir)
-    kept = trips_in.where((F.col("total_amount") > 0) & (F.col("trip_distance") > 0))
+    kept = trips.positive_trips(feeds.trips_feed(spark, sf_dir))
     return kept.select("l_orderkey", "VendorID", "total_amount", "trip_distance")
 
 

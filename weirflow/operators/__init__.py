@@ -6,7 +6,8 @@ from weirflow.operators.quarantine import (
     quarantine_duplicates,
     quarantine_incomplete,
 )
-from weirflow.operators.ranking import heavy_key_hashes, latest_by_key, rank_groups
+from weirflow.operators.ranking import latest_by_key, rank_groups
+from weirflow.operators.skew import heavy_key_test
 from weirflow.operators.stamps import conform, stamp_date, stamp_reject
 from weirflow.operators.star import enrich
 
@@ -15,7 +16,7 @@ __all__ = [
     "Quarantine",
     "conform",
     "enrich",
-    "heavy_key_hashes",
+    "heavy_key_test",
     "latest_by_key",
     "quarantine_duplicates",
     "quarantine_incomplete",

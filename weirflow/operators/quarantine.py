@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.functions import any_null
-from weirflow.operators.ranking import HEAVY_ROWS, rank_groups
+from weirflow.operators.ranking import rank_groups
+from weirflow.operators.skew import HEAVY_ROWS, heavy_key_test
 
 RANK = "duplicate_regs"
 
@@ -44,6 +45,7 @@ def quarantine_incomplete(
     required: Sequence[str] | None = None,
     scope: str = "key",
     keep_null_keys: bool = False,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> Incomplete:
     """Reject rows with a null in a required column (default: any column).
 
@@ -58,13 +60,25 @@ def quarantine_incomplete(
     invalid = df.where(bad)
     clean = df.where(~bad | keyless) if keep_null_keys else df.where(~bad)
     if scope == "key":
-        # Distinct combines on the map side, so a heavy key is one row per task
-        # here; on the row side AQE splits it, as an anti join allows.
+        # Distinct combines on the map side: a key is one row per task here.
         tainted = invalid.where(~keyless).select(key).distinct()
-        clean = clean.join(tainted, key, "left_anti").select(*df.columns)
+        clean = _without_keys(clean, tainted, key, heavy_key_test(df, [key], heavy_rows))
     return Incomplete(clean, invalid)
 
 
+def _without_keys(
+    df: DataFrame, tainted: DataFrame, key: str, is_heavy: Column | None
+) -> DataFrame:
+    """Anti join on ``key``. Rows of heavy keys stay where they are: of the
+    distinct tainted keys only the heavy ones concern them, and there are at
+    most HEAVY_KEYS of those to broadcast."""
+    if is_heavy is None:
+        return df.join(tainted, key, "left_anti").select(*df.columns)
+    light = df.where(~is_heavy).join(tainted.where(~is_heavy), key, "left_anti")
+    heavy = df.where(is_heavy).join(F.broadcast(tainted.where(is_heavy)), key, "left_anti")
+    return light.unionByName(heavy).select(*df.columns)
+
+
 def quarantine_duplicates(
     df: DataFrame,
     key: str,

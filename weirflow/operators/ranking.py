@@ -18,16 +18,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weirflow.operators.skew import HEAVY_ROWS, heavy_key_test
 from weirflow.session import cut_lineage
 
-# A group below this size is cheap for one task to sort and spill.
-HEAVY_ROWS = 1_000_000
-# At most this many keys are treated as heavy. The next heaviest key holds less
-# than 1/10,000 of the rows, which is no more than a fair share of one task.
-HEAVY_KEYS = 10_000
-SKETCH_ITEMS = 100_000
-
-
 def _newest_first(
     df: DataFrame, keys: Sequence[str], latest: Sequence[str], ties: Sequence[str] | None
 ) -> list[Column]:
@@ -51,20 +44,6 @@ def latest_by_key(
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
-def heavy_key_hashes(df: DataFrame, keys: Sequence[str], heavy_rows: int = HEAVY_ROWS) -> list[int]:
-    """Hashes of the keys that hold at least ``heavy_rows`` rows.
-
-    One pass over the key columns with a frequent-items sketch: no shuffle of
-    rows, and the answer has at most HEAVY_KEYS entries. Null keys hash like
-    any other. The sketch only decides how a key is ranked, never the result:
-    a key counted too high, or one that shares a hash, is ranked by the sort.
-    """
-    hashes = df.select(F.xxhash64(*keys).alias("key_hash"))
-    top = hashes.agg(F.expr(f"approx_top_k(key_hash, {HEAVY_KEYS}, {SKETCH_ITEMS})").alias("top"))
-    heavy = top.select(F.inline("top")).where(F.col("count") >= heavy_rows)
-    return [row["item"] for row in heavy.collect()]
-
-
 def rank_groups(
     df: DataFrame,
     keys: Sequence[str],
@@ -83,10 +62,9 @@ def rank_groups(
     """
     any_of = dict(any_of or {})
     order = [*first, *_newest_first(df, keys, latest, ties)]
-    heavy = heavy_key_hashes(df, keys, heavy_rows)
-    if not heavy:
+    is_heavy = heavy_key_test(df, keys, heavy_rows)
+    if is_heavy is None:
         return _rank_by_window(df, keys, order, rank, any_of)
-    is_heavy = F.xxhash64(*keys).isin(heavy)
     light = _rank_by_window(df.where(~is_heavy), keys, order, rank, any_of)
     return light.unionByName(_rank_by_sort(df.where(is_heavy), keys, order, rank, any_of))
 

@@ -21,8 +21,10 @@ def enrich(
     ``how="left"`` keeps facts without a dimension row, with null attributes;
     ``"inner"`` drops them. The dimension is cut to what is used and no hint is
     given: Spark broadcasts it when its measured size allows, and otherwise
-    sort-merges, where AQE splits a heavy fact key over several tasks. The
-    dimension side never has more than one row for it.
+    sort-merges, where AQE splits a heavy fact key over several tasks (to the
+    dimension side it is one row). For that, pass a dimension that is read from
+    a table: one still being computed on the same key would be joined in place,
+    without an exchange that can be split.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")

@@ -71,11 +71,16 @@ def load_trips_bronze(
     )
 
 
+def positive_trips(trips: DataFrame) -> DataFrame:
+    """Trips with an amount and a distance above zero; null counts as neither."""
+    return trips.where((F.col("total_amount") > 0) & (F.col("trip_distance") > 0))
+
+
 def derive_trips(trips: DataFrame, null_as: str | None = None) -> DataFrame:
-    """Duration (text and seconds), trip key, and only trips with a positive
-    amount and distance. A null or negative duration is kept."""
+    """Duration (text and seconds) and trip key of positive trips. A null or
+    negative duration is kept."""
     seconds = duration_secs(PICKUP, DROPOFF)
-    return trips.where((F.col("total_amount") > 0) & (F.col("trip_distance") > 0)).withColumns(
+    return positive_trips(trips).withColumns(
         {
             "tpep_total_trip_time_str": duration_hms(seconds),
             "tpep_total_trip_time_secs": seconds,
