@@ -6,7 +6,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from weirflow.operators import enrich, latest_by_key, quarantine_duplicates
+from weirflow.operators import enrich, latest_by_key, Quarantine
 from weirflow.plans import trips
 
 SF = "/root/testdata/sf0.01"
@@ -42,12 +42,20 @@ def test_latest_by_key_limits_groups_before_the_shuffle(spark):
     assert "WindowGroupLimit" in before and "Partial" in before
 
 
-def test_rank_and_taint_share_one_shuffle_and_one_window(spark):
+def test_clean_rows_are_shuffled_once_and_cut_before(spark, conf):
+    conf(autoBroadcastJoinThreshold="-1")
     df = spark.read.parquet(f"{SF}/customer.parquet")
-    split = quarantine_duplicates(df, "c_custkey", ["c_acctbal"])
-    text = plan(split.clean)
+    text = plan(Quarantine(df, "c_custkey", ["c_acctbal"]).clean)
+    # One exchange for the rows, one for the distinct tainted keys.
+    assert text.count("Exchange") == 2
+    assert text.count("WindowGroupLimit") == 2
+    assert text.count("HashAggregate") == 2
+
+
+def test_ranks_take_one_shuffle(spark):
+    df = spark.read.parquet(f"{SF}/customer.parquet")
+    text = plan(Quarantine(df, "c_custkey", ["c_acctbal"]).duplicates)
     assert text.count("Exchange") == 1
-    assert text.count("+- Window [") == 1
 
 
 def test_positive_filter_and_columns_reach_the_scan(spark, tmp_path):

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from weirflow.operators import quarantine_duplicates, quarantine_incomplete
+from weirflow.operators import Quarantine, quarantine_incomplete
 
 SCHEMA = "id int, name string, at int"
 ROWS = [
@@ -26,23 +26,24 @@ def ids(df):
 
 
 def test_one_incomplete_copy_taints_its_key(spark):
-    split = quarantine_duplicates(frame(spark), "id", ["at"])
+    split = Quarantine(frame(spark), "id", ["at"])
     assert ids(split.clean) == [1, 3]
     assert ids(split.duplicates) == [None, 3, 7]
     assert ids(split.invalid) == [None, None, 5, 7]
 
 
 def test_row_scope_removes_only_the_incomplete_rows(spark):
-    split = quarantine_duplicates(frame(spark), "id", ["at"], scope="row")
+    split = Quarantine(frame(spark), "id", ["at"], scope="row")
     assert ids(split.clean) == [1, 3, 7]
     newest_is_bad = frame(spark, [(7, None, 2), (7, "good copy", 1)])
-    kept = quarantine_duplicates(newest_is_bad, "id", ["at"], scope="row").clean
-    assert [tuple(r) for r in kept.collect()] == [(7, "good copy", 1)]
+    split = Quarantine(newest_is_bad, "id", ["at"], scope="row")
+    for kept in (split.clean, split.clean_of_ranked):
+        assert [tuple(r) for r in kept.collect()] == [(7, "good copy", 1)]
 
 
 def test_keyless_rows_can_be_kept_as_well_as_rejected(spark):
-    split = quarantine_duplicates(frame(spark), "id", ["at"], keep_null_keys=True)
-    assert ids(split.clean) == [None, 1, 3]
+    split = Quarantine(frame(spark), "id", ["at"], keep_null_keys=True)
+    assert ids(split.clean) == ids(split.clean_of_ranked) == [None, 1, 3]
     assert ids(split.invalid).count(None) == 2
     split = quarantine_incomplete(frame(spark), "id", keep_null_keys=True)
     assert ids(split.clean) == [None, None, 1, 3, 3]
@@ -83,8 +84,9 @@ def test_nothing_is_lost_and_clean_keys_are_unique(spark, heavy_rows):
         (rng.choice([0, None, rng.randrange(200)]), rng.choice([None, *"abcdefgh"]), rng.randrange(4))
         for _ in range(1200)
     ]
-    split = quarantine_duplicates(frame(spark, rows), "id", ["at"], heavy_rows=heavy_rows)
+    split = Quarantine(frame(spark, rows), "id", ["at"], heavy_rows=heavy_rows)
     clean = [tuple(r) for r in split.clean.collect()]
+    assert sorted(clean, key=repr) == sorted(map(tuple, split.clean_of_ranked.collect()), key=repr)
     invalid = {tuple(r)[:3] for r in split.invalid.collect()}
     duplicates = {tuple(r)[:3] for r in split.duplicates.collect()}
     tainted = {r[0] for r in invalid}

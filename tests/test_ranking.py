@@ -32,16 +32,13 @@ def expected_ranks(rows):
         groups.setdefault(row[0], []).append(row)
     out = []
     for members in groups.values():
-        tainted = any(note is None for _, _, note in members)
         for i, row in enumerate(sorted(members, key=newest_first)):
-            out.append((*row, i + 1, tainted))
+            out.append((*row, i + 1))
     return sorted(out, key=repr)
 
 
 def ranked(df, heavy_rows):
-    out = rank_groups(
-        df, ["key"], ["at"], "rank", any_of={"bad": F.col("note").isNull()}, heavy_rows=heavy_rows
-    )
+    out = rank_groups(df, ["key"], ["at"], "rank", heavy_rows=heavy_rows)
     return sorted((tuple(r) for r in out.collect()), key=repr)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from functools import reduce
 from operator import or_
@@ -20,9 +21,25 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Text that a pattern letter group can stand for, for the groups used above.
+_SHAPES = {"yyyy": r"[+-]?\d{4,}", "MM": r"\d{2}", "dd": r"\d{2}"}
+
+
+def _shape(fmt: str) -> str:
+    """A regex that every text of the date format matches."""
+    groups = re.split("(yyyy|MM|dd)", fmt)
+    return "^" + "".join(_SHAPES.get(g, re.escape(g)) for g in groups) + "$"
+
+
 def parse_date_any(c: Column | str, formats: Iterable[str] = DATE_FORMATS) -> Column:
-    """The date by the first format that parses, null when none does."""
-    return F.coalesce(*[F.try_to_date(_col(c), fmt) for fmt in formats])
+    """The date by the first format that parses, null when none does.
+
+    A failed parse costs an exception, so a format is only tried on text of its
+    shape; the parse itself stays strict.
+    """
+    text = _col(c)
+    tries = [F.when(text.rlike(_shape(fmt)), F.try_to_date(text, fmt)) for fmt in formats]
+    return F.coalesce(*tries)
 
 
 def parse_timestamp(c: Column | str, fmt: str = EVENT_TIMESTAMP_FORMAT) -> Column:

@@ -3,7 +3,6 @@
 from weirflow.operators.quarantine import (
     Incomplete,
     Quarantine,
-    quarantine_duplicates,
     quarantine_incomplete,
 )
 from weirflow.operators.ranking import latest_by_key, rank_groups
@@ -18,7 +17,6 @@ __all__ = [
     "enrich",
     "heavy_key_test",
     "latest_by_key",
-    "quarantine_duplicates",
     "quarantine_incomplete",
     "rank_groups",
     "stamp_date",

@@ -1,44 +1,57 @@
-"""Split a load into clean rows and reject sets."""
+"""Split a load into clean rows and reject sets.
+
+Rules shared by both splits:
+
+* a row with a null in a required column (default: any column), or without a
+  key, is incomplete and goes to the rejects
+* ``scope="key"``: one incomplete row also removes the complete rows of its key
+  from the clean set; ``"row"`` removes only itself
+* a row without a key matches no key, so ``keep_null_keys=True`` leaves it in
+  the clean set as well; by default it is only a reject
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cached_property
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.functions import any_null
-from weirflow.operators.ranking import rank_groups
+from weirflow.operators.ranking import latest_by_key, rank_groups
 from weirflow.operators.skew import HEAVY_ROWS, heavy_key_test
 
 RANK = "duplicate_regs"
 
 
-class Incomplete(NamedTuple):
-    clean: DataFrame
-    invalid: DataFrame
+class _Rules:
+    """The predicates of one split."""
 
+    def __init__(
+        self, columns: Sequence[str], key: str, required: Sequence[str] | None, scope: str, keep: bool
+    ) -> None:
+        if scope not in ("key", "row"):
+            raise ValueError(f"scope must be 'key' or 'row', not {scope!r}")
+        self.key, self.scope = key, scope
+        self.incomplete = any_null(
+            dict.fromkeys([key, *(columns if required is None else required)])
+        )
+        self.keyless = F.col(f"`{key}`").isNull()
+        # Rows that may be clean; those of tainted keys still have to go.
+        self.candidate = ~self.incomplete | self.keyless if keep else ~self.incomplete
 
-class Quarantine(NamedTuple):
-    """``flagged`` is the common parent; persist it when writing more than one."""
+    def tainted_keys(self, df: DataFrame) -> DataFrame:
+        # Distinct combines on the map side: a heavy key is one row per task.
+        return df.where(self.incomplete & ~self.keyless).select(self.key).distinct()
 
-    flagged: DataFrame
+
+class Incomplete(NamedTuple):
     clean: DataFrame
-    duplicates: DataFrame
     invalid: DataFrame
 
 
-def _incomplete(df: DataFrame, key: str, required: Sequence[str] | None) -> Column:
-    # The key is always required: a row without one cannot be merged later.
-    return any_null(dict.fromkeys([key, *(df.columns if required is None else required)]))
-
-
-def _check_scope(scope: str) -> None:
-    if scope not in ("key", "row"):
-        raise ValueError(f"scope must be 'key' or 'row', not {scope!r}")
-
-
 def quarantine_incomplete(
     df: DataFrame,
     key: str,
@@ -47,27 +60,17 @@ def quarantine_incomplete(
     keep_null_keys: bool = False,
     heavy_rows: int = HEAVY_ROWS,
 ) -> Incomplete:
-    """Reject rows with a null in a required column (default: any column).
-
-    ``scope="key"``: one incomplete row also removes the complete rows of its
-    key from the clean set; ``"row"`` removes only itself. A row without a key
-    matches no key, so ``keep_null_keys=True`` leaves it in the clean set as
-    well; by default it is only a reject.
-    """
-    _check_scope(scope)
-    bad = _incomplete(df, key, required)
-    keyless = F.col(f"`{key}`").isNull()
-    invalid = df.where(bad)
-    clean = df.where(~bad | keyless) if keep_null_keys else df.where(~bad)
+    """Reject incomplete rows; copies of a key are all kept."""
+    rules = _Rules(df.columns, key, required, scope, keep_null_keys)
+    clean = df.where(rules.candidate)
     if scope == "key":
-        # Distinct combines on the map side: a key is one row per task here.
-        tainted = invalid.where(~keyless).select(key).distinct()
-        clean = _without_keys(clean, tainted, key, heavy_key_test(df, [key], heavy_rows))
-    return Incomplete(clean, invalid)
+        is_heavy = heavy_key_test(df, [key], heavy_rows)
+        clean = _without_keys(clean, rules.tainted_keys(df), key, is_heavy)
+    return Incomplete(clean, df.where(rules.incomplete))
 
 
 def _without_keys(
-    df: DataFrame, tainted: DataFrame, key: str, is_heavy: Column | None
+    df: DataFrame, tainted: DataFrame, key: str, is_heavy: Column | None = None
 ) -> DataFrame:
     """Anti join on ``key``. Rows of heavy keys stay where they are: of the
     distinct tainted keys only the heavy ones concern them, and there are at
@@ -79,39 +82,61 @@ def _without_keys(
     return light.unionByName(heavy).select(*df.columns)
 
 
-def quarantine_duplicates(
-    df: DataFrame,
-    key: str,
-    latest: Sequence[str],
-    required: Sequence[str] | None = None,
-    scope: str = "key",
-    keep_null_keys: bool = False,
-    heavy_rows: int = HEAVY_ROWS,
-) -> Quarantine:
+class Quarantine:
     """Reject older copies of a key and incomplete rows.
 
-    The newest copy of a key is clean unless, with ``scope="key"``, any copy is
-    incomplete. With ``scope="row"`` complete copies rank before incomplete
-    ones, and only the incomplete rows are lost. An older copy that is also
-    incomplete is in both reject sets. Rank and taint share one shuffle.
+    The newest copy of a key is clean, unless its key is tainted. With
+    ``scope="row"`` complete copies rank before incomplete ones. An older copy
+    that is also incomplete is in both reject sets.
     """
-    _check_scope(scope)
-    bad = _incomplete(df, key, required)
-    flagged = rank_groups(
-        df,
-        [key],
-        latest,
-        RANK,
-        any_of={"_tainted": bad},
-        first=[bad.asc()] if scope == "row" else (),
-        heavy_rows=heavy_rows,
-    )
-    usable = ~bad if scope == "row" else ~F.col("_tainted")
-    if keep_null_keys:
-        usable = usable | F.col(f"`{key}`").isNull()
-    return Quarantine(
-        flagged=flagged,
-        clean=flagged.where((F.col(RANK) == 1) & usable).select(*df.columns),
-        duplicates=flagged.where(F.col(RANK) > 1).drop("_tainted"),
-        invalid=flagged.where(bad).drop("_tainted"),
-    )
+
+    def __init__(
+        self,
+        df: DataFrame,
+        key: str,
+        latest: Sequence[str],
+        required: Sequence[str] | None = None,
+        scope: str = "key",
+        keep_null_keys: bool = False,
+        heavy_rows: int = HEAVY_ROWS,
+    ) -> None:
+        self._df, self._key, self._latest, self._heavy_rows = df, key, latest, heavy_rows
+        self._rules = _Rules(df.columns, key, required, scope, keep_null_keys)
+
+    @property
+    def clean(self) -> DataFrame:
+        """The clean rows alone need no ranks: groups are cut to one row before
+        the shuffle, and the tainted keys are joined in place after it."""
+        newest = latest_by_key(self._df.where(self._rules.candidate), [self._key], self._latest)
+        return self._untainted(newest, self._df)
+
+    @cached_property
+    def ranked(self) -> DataFrame:
+        """All rows with their rank: the parent of both reject sets."""
+        return rank_groups(
+            self._df,
+            [self._key],
+            self._latest,
+            RANK,
+            first=[self._rules.incomplete.asc()] if self._rules.scope == "row" else (),
+            heavy_rows=self._heavy_rows,
+        )
+
+    @property
+    def duplicates(self) -> DataFrame:
+        return self.ranked.where(F.col(RANK) > 1)
+
+    @property
+    def invalid(self) -> DataFrame:
+        return self.ranked.where(self._rules.incomplete)
+
+    @property
+    def clean_of_ranked(self) -> DataFrame:
+        """``clean`` out of ``ranked``, for a job that has persisted it."""
+        newest = self.ranked.where((F.col(RANK) == 1) & self._rules.candidate)
+        return self._untainted(newest.select(*self._df.columns), self.ranked)
+
+    def _untainted(self, newest: DataFrame, source: DataFrame) -> DataFrame:
+        if self._rules.scope == "row":
+            return newest
+        return _without_keys(newest, self._rules.tainted_keys(source), self._key)

@@ -12,7 +12,7 @@ window, hence one shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,39 +49,28 @@ def rank_groups(
     keys: Sequence[str],
     latest: Sequence[str],
     rank: str,
-    any_of: Mapping[str, Column] | None = None,
     first: Sequence[Column] = (),
     ties: Sequence[str] | None = None,
     heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """Add ``rank`` (1 = newest, bigint) and, per entry of ``any_of``, a flag
-    that is true on all rows of a key when the predicate holds on any of them.
-
-    ``first`` are sort keys that go before ``latest``. Both additions come out
-    of the same shuffle.
-    """
-    any_of = dict(any_of or {})
+    """Add ``rank``, 1 for the newest row of its key (bigint: a heavy group may
+    outgrow int). ``first`` are sort keys that go before ``latest``."""
     order = [*first, *_newest_first(df, keys, latest, ties)]
     is_heavy = heavy_key_test(df, keys, heavy_rows)
     if is_heavy is None:
-        return _rank_by_window(df, keys, order, rank, any_of)
-    light = _rank_by_window(df.where(~is_heavy), keys, order, rank, any_of)
-    return light.unionByName(_rank_by_sort(df.where(is_heavy), keys, order, rank, any_of))
+        return _rank_by_window(df, keys, order, rank)
+    light = _rank_by_window(df.where(~is_heavy), keys, order, rank)
+    return light.unionByName(_rank_by_sort(df.where(is_heavy), keys, order, rank))
 
 
 def _rank_by_window(
-    df: DataFrame, keys: Sequence[str], order: list[Column], rank: str, any_of: dict[str, Column]
+    df: DataFrame, keys: Sequence[str], order: list[Column], rank: str
 ) -> DataFrame:
     newest = Window.partitionBy(*keys).orderBy(*order)
-    # Same partitioning and order as the rank, so Spark runs one Window operator.
-    group = newest.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    flags = [F.max(predicate).over(group).alias(name) for name, predicate in any_of.items()]
-    return df.select("*", F.row_number().over(newest).cast("long").alias(rank), *flags)
+    return df.withColumn(rank, F.row_number().over(newest).cast("long"))
 
 
-def _rank_by_sort(
-    df: DataFrame, keys: Sequence[str], order: list[Column], rank: str, any_of: dict[str, Column]
-) -> DataFrame:
+def _rank_by_sort(df: DataFrame, keys: Sequence[str], order: list[Column], rank: str) -> DataFrame:
     """Ranks from positions in a global sort.
 
     Range partitioning spreads one key over many tasks; ``_copy`` does the same
@@ -99,18 +88,17 @@ def _rank_by_sort(
     )
     # The upper bits of the id are the partition number.
     ordered = ordered.withColumn("_slice", F.shiftright("_position", 33))
-    flags = [F.max(predicate).alias(name) for name, predicate in any_of.items()]
     runs = ordered.groupBy("_slice", *keys).agg(
-        F.min("_position").alias("_start"), F.count(F.lit(1)).alias("_rows"), *flags
+        F.min("_position").alias("_start"), F.count(F.lit(1)).alias("_rows")
+    )
+    earlier = (
+        Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     )
-    key = Window.partitionBy(*keys)
-    earlier = key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     run_keys = {name: f"_run_{i}" for i, name in enumerate(keys)}
     runs = runs.select(
         F.col("_slice").alias("_run_slice"),
         *[F.col(f"`{name}`").alias(alias) for name, alias in run_keys.items()],
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_start") + 1).alias("_shift"),
-        *[F.max(name).over(key).alias(name) for name in any_of],
     )
     same_run = F.col("_slice") == F.col("_run_slice")
     for name, alias in run_keys.items():
@@ -119,5 +107,4 @@ def _rank_by_sort(
     return ordered.join(F.broadcast(runs), same_run).select(
         *[F.col(f"`{name}`") for name in df.columns],
         (F.col("_position") + F.col("_shift")).alias(rank),
-        *any_of,
     )

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 # A group below this size is cheap for one task to sort and spill.
 HEAVY_ROWS = 1_000_000
 # At most this many keys are treated as heavy. The next heaviest key holds less
-# than 1/10,000 of the rows, which is no more than a fair share of one task.
-HEAVY_KEYS = 10_000
-SKETCH_ITEMS = 100_000
+# than 1/5,000 of the rows, about a fair share of one task on a large cluster.
+HEAVY_KEYS = 5_000
+SKETCH_ITEMS = 25_000
 
 
 def heavy_key_test(

@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from weirflow import schemas
-from weirflow.operators import Quarantine, latest_by_key, quarantine_duplicates, stamp_date, stamp_reject
+from weirflow.operators import Quarantine, latest_by_key, stamp_date, stamp_reject
 from weirflow.operators.stamps import resolve_process_date
 from weirflow.sinks import replace_partitions, write_rejects, write_snapshot
 from weirflow.sources import read_csv, read_dataset
@@ -18,7 +18,7 @@ DATA_COLUMNS = schemas.CUSTOMERS.fieldNames()
 
 def split_customers(customers: DataFrame, **options) -> Quarantine:
     """Clean / duplicate / incomplete customers of one load."""
-    return quarantine_duplicates(
+    return Quarantine(
         customers, "customer_id", latest=["created_at"], required=DATA_COLUMNS, **options
     )
 
@@ -37,7 +37,7 @@ def load_customers(
     split = split_customers(stamp_date(drop, date), **options)
     # Three outputs, one ranking shuffle. Blocks spill to disk, and lost
     # ones are rebuilt from the drop.
-    split.flagged.persist()
+    split.ranked.persist()
     try:
         write_rejects(
             stamp_reject(split.duplicates, schemas.REASON_DUPLICATE, now),
@@ -49,9 +49,11 @@ def load_customers(
             f"{root}/rejected_data/customers/null_fields",
             date,
         )
-        replace_partitions(split.clean, f"{root}/raw_data/customers", [{"processing_date": date}])
+        replace_partitions(
+            split.clean_of_ranked, f"{root}/raw_data/customers", [{"processing_date": date}]
+        )
     finally:
-        split.flagged.unpersist()
+        split.ranked.unpersist()
 
 
 def latest_customers(customers: DataFrame) -> DataFrame:
