@@ -26,7 +26,7 @@ from weirflow.sinks import write_partitions, write_table  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "1"))
 
 
 # --- baseline: the obvious shape of the same work ----------------------------

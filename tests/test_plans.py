@@ -70,6 +70,17 @@ def test_positive_filter_and_columns_reach_the_scan(spark, tmp_path):
     assert "Exchange" not in text
 
 
+def test_month_bounds_reach_the_scan(spark, tmp_path):
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    split = trips.split_month(orders, "1997-12", "o_orderdate")
+    assert "GreaterThanOrEqual(o_orderdate,1997-12-01T00:00), LessThan(o_orderdate,1998-01-01T00:00)" in plan(
+        split.inside, "formatted"
+    )
+    strays = plan(split.outside, "formatted")
+    assert "Or(Or(IsNull(o_orderdate),LessThan(o_orderdate,1997-12-01T00:00))" in strays
+    assert split.inside.count() + split.outside.count() == orders.count()
+
+
 def test_aqe_splits_a_heavy_fact_key(spark, conf, tmp_path):
     conf(
         autoBroadcastJoinThreshold="-1",

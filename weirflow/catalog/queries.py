@@ -50,7 +50,8 @@ def query(fn: Query) -> Query:
 
 def _both_loads(df: DataFrame) -> DataFrame:
     """The same rows loaded on two dates, as a reprocessed drop is."""
-    return stamp_date(df, FIRST_LOAD).unionByName(stamp_date(df, SECOND_LOAD))
+    dates = F.array(*[F.lit(d).cast("date") for d in (FIRST_LOAD, SECOND_LOAD)])
+    return df.select("*", F.explode(dates).alias("processing_date"))
 
 
 def _dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +76,7 @@ def fact_orders_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def fact_events_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = events.clean_events(feeds.events_feed(spark, sf_dir))
-    loaded = _both_loads(events.valid_events(cleaned).drop("processing_timestamp"))
+    loaded = _both_loads(events.valid_events(cleaned).drop("processing_timestamp", "processing_date"))
     return events.fact_events(loaded, _dim(spark, sf_dir))
 
 

@@ -58,25 +58,31 @@ def load_orders(
     """
     date = resolve_process_date(process_date)
     path = f"{root}/input/orders/{date}/orders.json"
-    drop = read_json_array(spark, path, schemas.ORDERS, multiline=multiline)
-    split = split_orders(stamp_date(drop, date), **options)
-    write_rejects(
-        stamp_reject(split.invalid, schemas.REASON_NULLS, now),
-        f"{root}/rejected_data/orders/null_fields",
-        date,
-    )
-    complete = split.clean
-    if reject_unparsed_dates:
-        parsed = parse_date_any("order_date").isNotNull()
+    drop = stamp_date(read_json_array(spark, path, schemas.ORDERS, multiline=multiline), date)
+    # Parsed once for all passes; blocks spill to disk, and lost ones are
+    # parsed again from the drop.
+    drop.persist()
+    try:
+        split = split_orders(drop, **options)
         write_rejects(
-            stamp_reject(complete.where(~parsed), schemas.REASON_ORDER_DATE, now),
-            f"{root}/rejected_data/orders/unparsed_dates",
+            stamp_reject(split.invalid, schemas.REASON_NULLS, now),
+            f"{root}/rejected_data/orders/null_fields",
             date,
         )
-        complete = complete.where(parsed)
-    replace_partitions(
-        clean_orders(complete), f"{root}/raw_data/orders", [{"processing_date": date}]
-    )
+        complete = split.clean
+        if reject_unparsed_dates:
+            parsed = parse_date_any("order_date").isNotNull()
+            write_rejects(
+                stamp_reject(complete.where(~parsed), schemas.REASON_ORDER_DATE, now),
+                f"{root}/rejected_data/orders/unparsed_dates",
+                date,
+            )
+            complete = complete.where(parsed)
+        replace_partitions(
+            clean_orders(complete), f"{root}/raw_data/orders", [{"processing_date": date}]
+        )
+    finally:
+        drop.unpersist()
 
 
 def fact_orders(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:

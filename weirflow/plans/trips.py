@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from weirflow import schemas
 from weirflow.functions import duration_hms, duration_secs, month_number, surrogate_key, year_number
 from weirflow.operators import stamp_date, stamp_reject
 from weirflow.sinks import replace_partitions, write_snapshot
-from weirflow.sources import month_spine, read_dataset, read_months
+from weirflow.sources import month_spine, read_dataset, read_each_month
 
 # Dataset name, and path of a monthly drop below the data root.
 TOPIC = "yellow_taxi_trip"
@@ -25,22 +26,28 @@ DROPOFF = "tpep_dropoff_datetime"
 TRIP_KEY = ("VendorID", "tpep_pickup_datetime", "PULocationID")
 
 
-class Months(NamedTuple):
+class MonthSplit(NamedTuple):
     inside: DataFrame
     outside: DataFrame
 
 
-def split_months(trips: DataFrame, pickup: str = PICKUP) -> Months:
-    """Rows whose pickup lies in the month of their file, and the others.
+def split_month(trips: DataFrame, month: str, pickup: str = PICKUP) -> MonthSplit:
+    """Rows of one drop whose pickup lies in the month of the drop, and others.
 
     A monthly load then owns exactly its month's partition: stray rows cannot
-    replace a neighbour month.
+    replace a neighbour month. The bounds are literals of the column's type, so
+    the scan skips row groups by them; the pass for strays reads next to nothing.
     """
-    dated = trips.withColumns({"year": year_number(pickup), "month": month_number(pickup)})
-    own_month = F.coalesce(
-        F.date_format(pickup, "yyyy-MM") == F.col("source_month"), F.lit(False)
+    year, number = int(month[:4]), int(month[5:])
+    after = dt.date(year + number // 12, number % 12 + 1, 1)
+    bounds = [F.lit(str(d)).cast(trips.schema[pickup].dataType) for d in (f"{month}-01", after)]
+    at = F.col(pickup)
+    inside = (at >= bounds[0]) & (at < bounds[1])
+    outside = at.isNull() | (at < bounds[0]) | (at >= bounds[1])
+    return MonthSplit(
+        trips.where(inside).withColumns({"year": year_number(pickup), "month": month_number(pickup)}),
+        trips.where(outside).withColumn("source_month", F.lit(month)),
     )
-    return Months(dated.where(own_month).drop("source_month"), trips.where(~own_month))
 
 
 def load_trips_bronze(
@@ -56,15 +63,19 @@ def load_trips_bronze(
     """Monthly files -> ``year``/``month`` partitions; the months loaded are
     replaced, all others stay. Give a ``schema`` when months differ in types."""
     months = month_spine(start, end)
-    trips = read_months(spark, f"{root}/{drop}", months, schema)
-    split = split_months(stamp_date(trips, process_date))
+    drops = read_each_month(spark, f"{root}/{drop}", months, schema)
+    splits = [split_month(stamp_date(df, process_date), month) for month, df in drops.items()]
     replace_partitions(
-        split.inside,
+        reduce(DataFrame.unionAll, [split.inside for split in splits]),
         f"{root}/bronze/{TOPIC}",
         [{"year": int(m[:4]), "month": int(m[5:])} for m in months],
     )
     replace_partitions(
-        stamp_reject(split.outside, schemas.REASON_MONTH, now),
+        stamp_reject(
+            reduce(DataFrame.unionAll, [split.outside for split in splits]),
+            schemas.REASON_MONTH,
+            now,
+        ),
         f"{root}/rejected_data/{TOPIC}/out_of_month",
         [{"source_month": m} for m in months],
         fmt="csv",

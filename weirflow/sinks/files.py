@@ -46,32 +46,25 @@ def replace_partitions(
     fmt: str = "parquet",
     rebalance: bool = False,
 ) -> None:
-    """Make the given partitions hold exactly the rows of ``df``.
+    """Make the given partitions hold exactly the rows of ``df``, which has no
+    rows of other partitions.
 
     Dynamic overwrite leaves a partition alone when no row falls into it, so a
-    reload without rejects would keep the rejects of the run before. Rows per
-    partition are counted by the write itself; those that got none are emptied.
+    reload without rejects would keep the rejects of the run before. The write
+    itself observes which partitions it filled; the others are emptied.
     """
     by = list(values[0])
-    counts = [
-        F.count_if(_is_partition(value)).alias(f"n{i}") for i, value in enumerate(values)
-    ]
-    written = Observation()
-    write_partitions(df.observe(written, *counts), path, by, fmt, rebalance)
-    rows = written.get
-    for i, value in enumerate(values):
-        if not rows.get(f"n{i}"):
+    filled = Observation()
+    # At most one entry per given partition reaches the driver.
+    seen = F.collect_set(F.struct(*[F.col(f"`{name}`") for name in by])).alias("filled")
+    write_partitions(df.observe(filled, seen), path, by, fmt, rebalance)
+    done = {tuple(row) for row in filled.get["filled"]}
+    for value in values:
+        if tuple(value.values()) not in done:
             folder = "/".join(f"{name}={part}" for name, part in value.items())
             _writer(df.limit(0).drop(*by), fmt).save(f"{path}/{folder}")
 
 
-def _is_partition(value: dict[str, object]):
-    matches = F.lit(True)
-    for name, part in value.items():
-        matches = matches & (F.col(f"`{name}`") == F.lit(part))
-    return matches
-
-
 def write_snapshot(
     df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet", rebalance: bool = True
 ) -> None:

@@ -1,12 +1,13 @@
 """Bounded sources. A missing path raises and stops the load."""
 
 from weirflow.sources.files import read_csv, read_dataset, read_json_array, static_dim
-from weirflow.sources.months import month_spine, read_months
+from weirflow.sources.months import month_spine, read_each_month, read_months
 
 __all__ = [
     "month_spine",
     "read_csv",
     "read_dataset",
+    "read_each_month",
     "read_json_array",
     "read_months",
     "static_dim",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -22,26 +21,28 @@ def month_spine(start: str | dt.date | None = None, end: str | dt.date | None =
     return [f"{n // 12:04d}-{n % 12 + 1:02d}" for n in numbers]
 
 
-def read_months(
+def read_each_month(
     spark: SparkSession, layout: str, months: Sequence[str], schema: T.StructType | None = None
-) -> DataFrame:
-    """The monthly files as one table, with ``source_month`` naming the drop.
+) -> dict[str, DataFrame]:
+    """One table per monthly drop. ``layout`` is a drop's path with ``{month}``
+    in it; every month must exist.
 
-    ``layout`` is the path of a drop with ``{month}`` in its last part. Every
-    month must exist. Without a schema all files must agree on types and are
-    read by one scan. With a schema each month is read with its own types and
-    cast, so months may differ in width and in columns.
+    Without a schema all files must agree on types. With one each month is read
+    with its own types and cast, so months may differ in width and in columns.
     """
     if not months:
         raise ValueError("no months to read")
     paths = {month: layout.format(month=month) for month in months}
-    if schema is None:
-        before, after = layout.rsplit("/", 1)[-1].split("{month}")
-        in_path = f"/{re.escape(before)}([0-9]{{4}}-[0-9]{{2}}){re.escape(after)}"
-        source_month = F.regexp_extract(F.col("_metadata.file_path"), in_path, 1)
-        return spark.read.parquet(*paths.values()).select("*", source_month.alias("source_month"))
-    parts = [
-        conform(spark.read.parquet(path), schema).withColumn("source_month", F.lit(month))
-        for month, path in paths.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    if schema is not None:
+        return {month: conform(spark.read.parquet(path), schema) for month, path in paths.items()}
+    common = spark.read.parquet(*paths.values()).schema
+    return {month: spark.read.schema(common).parquet(path) for month, path in paths.items()}
+
+
+def read_months(
+    spark: SparkSession, layout: str, months: Sequence[str], schema: T.StructType | None = None
+) -> DataFrame:
+    """The monthly drops as one table, with ``source_month`` naming the drop."""
+    parts = read_each_month(spark, layout, months, schema)
+    named = [df.withColumn("source_month", F.lit(month)) for month, df in parts.items()]
+    return reduce(DataFrame.unionAll, named)
