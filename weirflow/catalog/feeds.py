@@ -74,20 +74,25 @@ def events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(EVENTS_FEED_SQL, events=table(spark, sf_dir, "events"))
 
 
+TRIPS_YEAR = 2001
+
+
 def trips_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as trips: order date to ship date, about half of them
-    negative. ``drop`` is the month of the file a trip arrives in, which for
-    some trips is the month after the pickup."""
+    """Line items as the trips of one year: order date to ship date, about half
+    of them negative. ``drop`` is the month of the file a trip arrives in, which
+    for some trips is the month after the pickup."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     joined = table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    late = F.when(F.col("l_orderkey") % 50 == 0, 1).otherwise(0)
-    return joined.select(
+    to_year = F.make_ym_interval(F.lit(TRIPS_YEAR) - F.year("o_orderdate"))
+    trips = joined.select(
         "l_orderkey",
         F.col("l_linenumber").alias("VendorID"),
-        F.col("o_orderdate").alias("tpep_pickup_datetime"),
-        F.col("l_shipdate").alias("tpep_dropoff_datetime"),
+        (F.col("o_orderdate") + to_year).alias("tpep_pickup_datetime"),
+        (F.col("l_shipdate") + to_year).alias("tpep_dropoff_datetime"),
         F.col("l_suppkey").alias("PULocationID"),
         (F.col("l_quantity") - 5).alias("trip_distance"),
         F.col("l_extendedprice").alias("total_amount"),
-        F.date_format(F.add_months("o_orderdate", late), "yyyy-MM").alias("drop"),
     )
+    late = F.when(F.col("l_orderkey") % 50 == 0, 1).otherwise(0)
+    arrival = F.add_months("tpep_pickup_datetime", late)
+    return trips.withColumn("drop", F.date_format(arrival, "yyyy-MM"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weirflow.catalog.feeds import EVENTS_FEED_SQL, ORDERS_FEED_SQL
+from weirflow.catalog.feeds import EVENTS_FEED_SQL, ORDERS_FEED_SQL, TRIPS_YEAR
 
 _CUSTOMER_COPY = """
 SELECT {key} AS customer_id,
@@ -71,13 +71,17 @@ eparsed AS (
     event_timestamp AS raw_event_timestamp
   FROM efeed)"""
 
-_TRIPS = """
+_TRIPS = f"""
+moved AS (
+  SELECT *, o_orderdate + to_years({TRIPS_YEAR} - CAST(year(o_orderdate) AS INTEGER)) AS pickup,
+    l_shipdate + to_years({TRIPS_YEAR} - CAST(year(o_orderdate) AS INTEGER)) AS dropoff
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 trips AS (
-  SELECT l_orderkey, l_linenumber AS VendorID, o_orderdate AS tpep_pickup_datetime,
-    l_shipdate AS tpep_dropoff_datetime, l_suppkey AS PULocationID,
+  SELECT l_orderkey, l_linenumber AS VendorID, pickup AS tpep_pickup_datetime,
+    dropoff AS tpep_dropoff_datetime, l_suppkey AS PULocationID,
     l_quantity - 5 AS trip_distance, l_extendedprice AS total_amount,
-    CAST(date_diff('second', o_orderdate, l_shipdate) AS BIGINT) AS secs
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+    CAST(date_diff('second', pickup, dropoff) AS BIGINT) AS secs
+  FROM moved)"""
 _HMS = "printf('%02d:%02d:%02d', secs // 3600, (secs % 3600) // 60, secs % 60)"
 
 _EVENTS_VALID = f"""WITH {_EVENTS}

@@ -329,7 +329,7 @@ def lake_fact_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "trips")
     write_snapshot(feeds.trips_feed(spark, sf_dir), f"{root}/landing/trips", ["drop"])
     drop = "landing/trips/drop={month}"
-    trips.load_trips_bronze(spark, root, "1995-01-01", "2001-08-01", FIRST_LOAD, drop=drop)
+    trips.load_trips_bronze(spark, root, "2001-01-31", "2001-12-01", FIRST_LOAD, drop=drop)
     trips.build_fact_trips(spark, root, SECOND_LOAD)
     return read_dataset(spark, f"{root}/silver/fact_trips")
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -31,22 +31,25 @@ class MonthSplit(NamedTuple):
     outside: DataFrame
 
 
-def split_month(trips: DataFrame, month: str, pickup: str = PICKUP) -> MonthSplit:
-    """Rows of one drop whose pickup lies in the month of the drop, and others.
+def split_months(drops: Mapping[str, DataFrame], pickup: str = PICKUP) -> MonthSplit:
+    """Rows whose pickup lies in the month of their drop, and the others.
 
     A monthly load then owns exactly its month's partition: stray rows cannot
     replace a neighbour month. The bounds are literals of the column's type, so
     the scan skips row groups by them; the pass for strays reads next to nothing.
     """
-    year, number = int(month[:4]), int(month[5:])
-    after = dt.date(year + number // 12, number % 12 + 1, 1)
-    bounds = [F.lit(str(d)).cast(trips.schema[pickup].dataType) for d in (f"{month}-01", after)]
-    at = F.col(pickup)
-    inside = (at >= bounds[0]) & (at < bounds[1])
-    outside = at.isNull() | (at < bounds[0]) | (at >= bounds[1])
+    column_type = next(iter(drops.values())).schema[pickup].dataType.simpleString()
+    inside, outside = [], []
+    for month, trips in drops.items():
+        year, number = int(month[:4]), int(month[5:])
+        after = dt.date(year + number // 12, number % 12 + 1, 1)
+        start, end = (f"CAST('{day}' AS {column_type})" for day in (f"{month}-01", after))
+        inside.append(trips.where(f"`{pickup}` >= {start} AND `{pickup}` < {end}"))
+        stray = f"`{pickup}` IS NULL OR `{pickup}` < {start} OR `{pickup}` >= {end}"
+        outside.append(trips.where(stray).selectExpr("*", f"'{month}' AS source_month"))
+    parts = {"year": year_number(pickup), "month": month_number(pickup)}
     return MonthSplit(
-        trips.where(inside).withColumns({"year": year_number(pickup), "month": month_number(pickup)}),
-        trips.where(outside).withColumn("source_month", F.lit(month)),
+        reduce(DataFrame.unionAll, inside).withColumns(parts), reduce(DataFrame.unionAll, outside)
     )
 
 
@@ -63,19 +66,14 @@ def load_trips_bronze(
     """Monthly files -> ``year``/``month`` partitions; the months loaded are
     replaced, all others stay. Give a ``schema`` when months differ in types."""
     months = month_spine(start, end)
-    drops = read_each_month(spark, f"{root}/{drop}", months, schema)
-    splits = [split_month(stamp_date(df, process_date), month) for month, df in drops.items()]
+    split = split_months(read_each_month(spark, f"{root}/{drop}", months, schema))
     replace_partitions(
-        reduce(DataFrame.unionAll, [split.inside for split in splits]),
+        stamp_date(split.inside, process_date),
         f"{root}/bronze/{TOPIC}",
         [{"year": int(m[:4]), "month": int(m[5:])} for m in months],
     )
     replace_partitions(
-        stamp_reject(
-            reduce(DataFrame.unionAll, [split.outside for split in splits]),
-            schemas.REASON_MONTH,
-            now,
-        ),
+        stamp_reject(stamp_date(split.outside, process_date), schemas.REASON_MONTH, now),
         f"{root}/rejected_data/{TOPIC}/out_of_month",
         [{"source_month": m} for m in months],
         fmt="csv",
