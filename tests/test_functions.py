@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weirflow.functions import (
+    DATE_FORMATS,
     any_null,
     duration_hms,
     duration_secs,
@@ -42,6 +43,20 @@ def test_dates_parse_strictly_in_three_formats(spark, text, expected):
     assert value(spark, parse_date_any(F.col("t").cast("string")), t=text) == expected
 
 
+def test_shape_check_never_changes_a_parse(spark):
+    """Brute force over near misses: the same dates as trying every format."""
+    years = ["2023", "0023", "23", "12023", "+12023", "-2023", "+2023", "99999"]
+    days = ["01", "1", "29", "31", "00", "011", " 1", "\u0661\u0661"]
+    texts = [f"{y}-{m}-{d}" for y in years for m in ("02", "2", "13") for d in days]
+    texts += [f"{d}{s}{m}{s}{y}" for y in years for m in ("02", "12") for d in days for s in "-/"]
+    texts += [t + tail for t in ("2023-02-01", "01/02/2023") for tail in ("\n", " ", "x", "T00:00")]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.coalesce(*[F.try_to_date("t", fmt) for fmt in DATE_FORMATS])
+    differ = df.where(~parse_date_any("t").eqNullSafe(plain))
+    assert [r["t"] for r in differ.collect()] == []
+    assert df.where(parse_date_any("t").isNotNull()).count() > 10
+
+
 @pytest.mark.parametrize(
     "text, hour",
     [

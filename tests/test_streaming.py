@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from weirflow.operators import stamp_date
 from weirflow.plans import customers, events
+from weirflow.streaming.dedup import _combine_copies
 from weirflow.streaming import await_all, dedup_stream, stream_parquet, stream_to_parquet
 
 # Expected results depend on these rows: an unknown customer, a dirty type, an
@@ -166,6 +167,13 @@ def test_watermark_boundary_over_a_restart(spark, root, combine):
     assert got == [("c1", "09:00:00"), ("c1", "10:00:00"), ("c2", "09:55:00")]
 
 
+def test_copies_are_combined_before_the_shuffle(spark):
+    rows = [("hot", 1, i) for i in range(500)] + [(None, None, i) for i in range(500)]
+    df = spark.createDataFrame(rows, "k string, t int, i int").coalesce(1)
+    got = [tuple(r) for r in _combine_copies(df, ["k", "t"]).collect()]
+    assert got == [("hot", 1, 0), (None, None, 0)]
+
+
 def test_state_must_be_able_to_expire(spark):
     stream = spark.readStream.format("rate").load()
     with pytest.raises(ValueError):

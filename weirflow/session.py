@@ -7,6 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Keeps streaming state on local disk with snapshots in the checkpoint folder,
+# instead of in executor memory.
+ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def get_session(app: str = "weirflow", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators assume.
@@ -21,6 +25,7 @@ def get_session(app: str = "weirflow", master: str | None = None, **conf: str) -
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE)
     )
     if master:
         builder = builder.master(master)

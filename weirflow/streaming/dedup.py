@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -21,7 +22,7 @@ def _combine_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     def first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row = pa.array(range(batch.num_rows), pa.int64())
+            row = pa.array(np.arange(batch.num_rows))
             numbered = pa.table([*(batch.column(k) for k in keys), row], [*keys, "_row"])
             first = numbered.group_by(list(keys)).aggregate([("_row", "min")])["_row_min"]
             yield batch.take(first.combine_chunks().sort())
