@@ -48,7 +48,8 @@ def differences(spark, con, sf_dir, query, sql):
         found.append(f"columns {names} != {expected_names}")
     if got != expected:
         found.append(
-            f"rows {got.total()} vs {expected.total()}; only here {list((got - expected).items())[:3]}; "
+            f"rows {got.total()} vs {expected.total()}; "
+            f"only here {list((got - expected).items())[:3]}; "
             f"only in SQL {list((expected - got).items())[:3]}"
         )
     return found, got.total()
@@ -70,4 +71,5 @@ if __name__ == "__main__":
             found, n = differences(session, con, sf_dir, QUERIES[name], ORACLE_SQL[name])
         except Exception as error:  # report and go on with the next query
             found, n = [f"{type(error).__name__}: {str(error)[:600]}"], -1
-        print(f"{'ok  ' if not found else 'DIFF'} {name} rows={n} {time.time() - start:.1f}s", *found, flush=True)
+        verdict = "DIFF" if found else "ok  "
+        print(f"{verdict} {name} rows={n} {time.time() - start:.1f}s", *found, flush=True)

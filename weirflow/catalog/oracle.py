@@ -80,7 +80,10 @@ trips AS (
   SELECT l_orderkey, l_linenumber AS VendorID, pickup AS tpep_pickup_datetime,
     dropoff AS tpep_dropoff_datetime, l_suppkey AS PULocationID,
     l_quantity - 5 AS trip_distance, l_extendedprice AS total_amount,
-    CAST(date_diff('second', pickup, dropoff) AS BIGINT) AS secs
+    CAST(date_diff('second', pickup, dropoff) AS BIGINT) AS secs,
+    strftime(pickup, '%Y-%m') AS pickup_month,
+    strftime(pickup + to_months(CASE WHEN l_orderkey % 50 = 0 THEN 1 ELSE 0 END), '%Y-%m')
+      AS source_month
   FROM moved)"""
 _HMS = "printf('%02d:%02d:%02d', secs // 3600, (secs % 3600) // 60, secs % 60)"
 
@@ -155,6 +158,10 @@ SELECT *, 'Duplicated regs' AS error_reason FROM ranked WHERE duplicate_regs > 1
     "orders_clean": f"WITH {_ORDERS} SELECT * FROM oclean",
     "orders_invalid": f"""WITH {_ORDERS}
 SELECT *, 'null fields regs' AS error_reason FROM ofeed WHERE {_NULL_ORDER}""",
+    "rank_heavy_event_types": """SELECT event_type, ts, event_id, row_number() OVER (
+  PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS newest FROM events""",
+    "orders_of_untainted_customers": """SELECT * FROM orders o WHERE NOT EXISTS (
+  SELECT 1 FROM orders b WHERE b.o_custkey = o.o_custkey AND b.o_orderkey % 97 = 3)""",
     "normalise_event_type": f"WITH {_EVENTS} SELECT event_id, event_type FROM eparsed",
     "events_valid": _EVENTS_VALID,
     "events_rejected": _EVENTS_REJECTED,
@@ -179,6 +186,10 @@ LEFT JOIN (VALUES (1, 'Standard rate'), (2, 'JFK'), (3, 'Newark'), (4, 'Nassau o
   (5, 'Negotiated fare'), (6, 'Group ride')) r(id, rate_code_desc) ON r.id = l_linenumber""",
     "month_spine_load": """SELECT *, strftime(o_orderdate, '%Y-%m') AS source_month FROM orders
 WHERE o_orderdate >= TIMESTAMP '1996-10-01' AND o_orderdate < TIMESTAMP '1998-03-01'""",
+    "trips_out_of_month": f"""WITH {_TRIPS}
+SELECT l_orderkey, VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID,
+  trip_distance, total_amount, source_month
+FROM trips WHERE source_month <> pickup_month AND source_month <= '2001-12'""",
     "zone_dim_csv_roundtrip": "SELECT *, DATE '2026-01-28' AS processing_date FROM part",
     "json_array_roundtrip": ORDERS_FEED,
     "dynamic_overwrite_reload": """SELECT * REPLACE (
@@ -192,6 +203,8 @@ FROM ({_INVALID_CUSTOMERS}) i""",
     "preview_events": "SELECT * FROM events ORDER BY event_id LIMIT 20",
     "lake_fact_orders": _fact_orders("2026-01-27"),
     "lake_fact_events": _fact_events(""),
+    "lake_fact_events_streaming": f"""WITH {_EVENTS}
+SELECT DISTINCT customer_id, event_timestamp FROM eparsed WHERE event_timestamp IS NOT NULL""",
     "lake_fact_trips": f"""WITH {_TRIPS}
 SELECT l_orderkey, VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID,
   trip_distance, total_amount, DATE '2026-01-28' AS processing_date,
@@ -199,7 +212,7 @@ SELECT l_orderkey, VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, PULoca
   CAST(month(tpep_pickup_datetime) AS INTEGER) AS month,
   {_HMS} AS tpep_total_trip_time_str, secs AS tpep_total_trip_time_secs,
   md5(concat_ws('|', VendorID, tpep_pickup_datetime, PULocationID)) AS trip_id
-FROM trips WHERE total_amount > 0 AND trip_distance > 0 AND l_orderkey % 50 <> 0""",
+FROM trips WHERE total_amount > 0 AND trip_distance > 0 AND source_month = pickup_month""",
     "stream_events_valid": _EVENTS_VALID,
     "stream_events_rejected": _EVENTS_REJECTED,
     "stream_events_single_read": f"""WITH {_EVENTS}

@@ -25,7 +25,14 @@ from weirflow.functions import (
     surrogate_key,
     year_number,
 )
-from weirflow.operators import enrich, latest_by_key, stamp_date, stamp_reject
+from weirflow.operators import (
+    enrich,
+    latest_by_key,
+    quarantine_incomplete,
+    rank_groups,
+    stamp_date,
+    stamp_reject,
+)
 from weirflow.plans import customers, events, lookups, orders, trips
 from weirflow.session import scratch_path
 from weirflow.sinks import write_partitions, write_rejects, write_snapshot, write_table
@@ -33,6 +40,7 @@ from weirflow.sources import (
     month_spine,
     read_csv,
     read_dataset,
+    read_each_month,
     read_json_array,
     read_months,
     static_dim,
@@ -131,6 +139,26 @@ def orders_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamp_reject(split.invalid, schemas.REASON_NULLS).drop("error_timestamp")
 
 
+# --- heavy keys: thresholds low enough for the small tables ------------------
+
+
+@query
+def rank_heavy_event_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A handful of event types hold all rows: every rank comes from the sort."""
+    source = table(spark, sf_dir, "events").select("event_type", "ts", "event_id")
+    return rank_groups(source, ["event_type"], ["ts"], "newest", heavy_rows=100)
+
+
+@query
+def orders_of_untainted_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Heavy and light customers side by side; one order without a priority
+    taints all orders of its customer."""
+    source = table(spark, sf_dir, "orders")
+    priority = F.when(F.col("o_orderkey") % 97 != 3, F.col("o_orderpriority"))
+    dirty = source.withColumn("o_orderpriority", priority)
+    return quarantine_incomplete(dirty, "o_custkey", heavy_rows=16).clean
+
+
 # --- scalar cleaning and derivation -----------------------------------------
 
 
@@ -218,6 +246,15 @@ def month_spine_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_months(spark, landing + "/drop={month}", months)
 
 
+@query
+def trips_out_of_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly drops, and the trips that arrived in the wrong one."""
+    landing = scratch_path(spark, "trip-drops")
+    write_snapshot(feeds.trips_feed(spark, sf_dir), landing, ["drop"])
+    months = month_spine("2001-01-31", "2001-12-01")
+    return trips.split_months(read_each_month(spark, landing + "/drop={month}", months)).outside
+
+
 @query
 def zone_dim_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A lookup CSV through bronze into a dimension; ``part`` is the lookup."""
@@ -323,6 +360,16 @@ def lake_fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dataset(spark, f"{root}/output/fact_events").drop("processing_date")
 
 
+@query
+def lake_fact_events_streaming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two chained streams: the fact stream tails the output of the load. Which
+    event of a key survives is open, so the result is the keys."""
+    root = _streamed_events(spark, sf_dir)
+    await_all(events.stream_fact_events(spark, root, every=None))
+    facts = read_dataset(spark, f"{root}/output/fact_events_streaming")
+    return facts.select("customer_id", "event_timestamp")
+
+
 @query
 def lake_fact_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly drops -> bronze -> silver trips."""
