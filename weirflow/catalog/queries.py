@@ -345,7 +345,7 @@ def lake_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _loaded_lake(spark, sf_dir)
     drop = f"{root}/input/orders/{FIRST_LOAD}/orders.json"
     feeds.orders_feed(spark, sf_dir).write.json(drop)
-    orders.load_orders(spark, root, FIRST_LOAD, multiline=False)
+    orders.load_orders(spark, root, FIRST_LOAD, json_lines=True)
     orders.build_fact_orders(spark, root)
     return read_dataset(spark, f"{root}/output/fact_orders")
 

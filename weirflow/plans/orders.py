@@ -20,7 +20,7 @@ from weirflow.operators import (
 )
 from weirflow.operators.stamps import resolve_process_date
 from weirflow.sinks import replace_partitions, write_rejects, write_snapshot
-from weirflow.sources import read_dataset, read_json_array
+from weirflow.sources import read_dataset, read_json_array, read_json_lines
 
 DATA_COLUMNS = schemas.ORDERS.fieldNames()
 
@@ -47,7 +47,7 @@ def load_orders(
     root: str,
     process_date: str | dt.date | None = None,
     now: dt.datetime | None = None,
-    multiline: bool = True,
+    json_lines: bool = False,
     reject_unparsed_dates: bool = False,
     **options,
 ) -> None:
@@ -58,7 +58,8 @@ def load_orders(
     """
     date = resolve_process_date(process_date)
     path = f"{root}/input/orders/{date}/orders.json"
-    drop = stamp_date(read_json_array(spark, path, schemas.ORDERS, multiline=multiline), date)
+    read = read_json_lines if json_lines else read_json_array
+    drop = stamp_date(read(spark, path, schemas.ORDERS), date)
     # Parsed once for all passes; blocks spill to disk, and lost ones are
     # parsed again from the drop.
     drop.persist()

@@ -1,6 +1,12 @@
 """Bounded sources. A missing path raises and stops the load."""
 
-from weirflow.sources.files import read_csv, read_dataset, read_json_array, static_dim
+from weirflow.sources.files import (
+    read_csv,
+    read_dataset,
+    read_json_array,
+    read_json_lines,
+    static_dim,
+)
 from weirflow.sources.months import month_spine, read_each_month, read_months
 
 __all__ = [
@@ -9,6 +15,7 @@ __all__ = [
     "read_dataset",
     "read_each_month",
     "read_json_array",
+    "read_json_lines",
     "read_months",
     "static_dim",
 ]

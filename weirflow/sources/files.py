@@ -23,16 +23,45 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
 
 def read_json_array(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = True
+    spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
     """JSON documents holding one array of objects each.
 
-    A document cannot be split, so a drop is as parallel as it has files:
-    ``path`` may be a folder or a glob. ``multiline=False`` reads splittable
-    JSON lines instead.
+    Spark's multi-line reader takes a whole document in one task. With a schema
+    the text is cut at closing braces instead, so that many tasks share a
+    document; this needs flat objects without braces in their strings, which a
+    first pass makes sure of. Any other document is read whole.
     """
-    reader = spark.read.option("multiLine", multiline)
-    return (reader.schema(schema) if schema is not None else reader).json(path)
+    if schema is None:
+        return spark.read.option("multiLine", True).json(path)
+    # Everything between two closing braces: separators, then one open object.
+    cut = spark.read.option("lineSep", "}").text(path)
+    piece = cut.select("value", F.col("_metadata.file_path").alias("file")).withColumn(
+        "object", F.regexp_replace("value", r"^[\s,\[\]]+", "")
+    )
+    if not _cut_at_objects(piece):
+        return spark.read.option("multiLine", True).schema(schema).json(path)
+    closed = F.concat("object", F.lit("}"))
+    parsed = piece.where("object != ''").select(F.from_json(closed, schema).alias("row"))
+    return parsed.select("row.*")
+
+
+def _cut_at_objects(piece: DataFrame) -> bool:
+    """Whether every piece is one complete object, and every file ends its
+    array. A cut inside a string leaves an odd number of quotes."""
+    plain = F.regexp_replace("object", r"\\.", "")
+    whole = (F.regexp_count(plain, F.lit('"')) % 2 == 0) & (F.instr(plain, "{") == 1)
+    whole = whole & (F.regexp_count(plain, F.lit(r"\{")) == 1)
+    checks = piece.groupBy("file").agg(
+        F.bool_and((F.col("object") == "") | whole).alias("whole"),
+        F.bool_or((F.col("object") == "") & F.contains("value", F.lit("]"))).alias("ended"),
+    )
+    return checks.where(~(F.col("whole") & F.col("ended"))).isEmpty()
+
+
+def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """One JSON object per line."""
+    return spark.read.schema(schema).json(path)
 
 
 def read_dataset(
