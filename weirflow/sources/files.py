@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +37,7 @@ def read_json_array(
     # Everything between two closing braces: separators, then one open object.
     cut = spark.read.option("lineSep", "}").text(path)
     piece = cut.select("value", F.col("_metadata.file_path").alias("file")).withColumn(
-        "object", F.regexp_replace("value", r"^[\s,\[\]]+", "")
+        "object", F.ltrim("value", F.lit(" \t\r\n,[]"))
     )
     if not _cut_at_objects(piece):
         return spark.read.option("multiLine", True).schema(schema).json(path)
@@ -49,9 +49,13 @@ def read_json_array(
 def _cut_at_objects(piece: DataFrame) -> bool:
     """Whether every piece is one complete object, and every file ends its
     array. A cut inside a string leaves an odd number of quotes."""
-    plain = F.regexp_replace("object", r"\\.", "")
-    whole = (F.regexp_count(plain, F.lit('"')) % 2 == 0) & (F.instr(plain, "{") == 1)
-    whole = whole & (F.regexp_count(plain, F.lit(r"\{")) == 1)
+    escaped = F.contains("object", F.lit("\\"))
+    plain = F.when(escaped, F.regexp_replace("object", r"\\.", "")).otherwise(F.col("object"))
+
+    def count(mark: str) -> Column:
+        return F.length(plain) - F.length(F.translate(plain, mark, ""))
+
+    whole = (count('"') % 2 == 0) & (count("{") == 1) & F.startswith("object", F.lit("{"))
     checks = piece.groupBy("file").agg(
         F.bool_and((F.col("object") == "") | whole).alias("whole"),
         F.bool_or((F.col("object") == "") & F.contains("value", F.lit("]"))).alias("ended"),
