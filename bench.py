@@ -71,11 +71,10 @@ def naive_orders_clean(spark, sf_dir):
 
 
 def naive_dedup_lineitem_latest(spark, sf_dir):
-    """First row per key by sorting and dropping, which cannot limit groups early."""
-    keys = ["l_orderkey", "l_linenumber"]
-    df = table(spark, sf_dir, "lineitem")
-    newest = df.groupBy(*keys).agg(F.max("l_shipdate").alias("l_shipdate"))
-    return df.join(newest, [*keys, "l_shipdate"])
+    """Ordered by date alone: which of several equally new rows stays is open."""
+    newest = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(F.desc("l_shipdate"))
+    ranked = table(spark, sf_dir, "lineitem").withColumn("rn", F.row_number().over(newest))
+    return ranked.where("rn = 1").drop("rn")
 
 
 BASELINE = {
