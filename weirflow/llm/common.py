@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from weirflow.session import scratch_path
 
+# Functions of these modules travel with the tasks that run them, so that
+# executors need no copy of the library.
+cloudpickle.register_pickle_by_value(sys.modules["weirflow.llm"])
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
