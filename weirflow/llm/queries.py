@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weirflow.llm import mixing, ring
+from weirflow.llm import bitsliced, html, mixing, onebit, ring, warc
 from weirflow.llm.common import table
+from weirflow.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -26,3 +28,64 @@ def op3_ring_shards(spark, sf_dir):
 @_query
 def op6_mix_sources(spark, sf_dir):
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_bit_sliced_top_k(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return bitsliced.exact_top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+ORACLE_SQL["op4_bit_sliced_top_k"] = """
+WITH good AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM good q JOIN good c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored
+)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5
+"""
+
+
+@_query
+def op8_main_text(spark, sf_dir):
+    return html.extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@_query
+def op9_one_bit_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return onebit.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+@_query
+def op10_warc_fixity(spark, sf_dir):
+    """All pages as WARC files in two replicas. In the second, every page whose
+    id is 13 modulo 97 is damaged; the audit has to find them, and all pages are
+    read back from where they are intact."""
+    path = scratch_path(spark, "warc")
+    pages = table(spark, sf_dir, "pages")
+    index = warc.write_replicas(pages, path, damage=F.col("page_id") % 97 == 13)
+    damaged = warc.audit(index, path)
+    records = warc.read_records(index, path, damaged)
+    return records.select(
+        "page_id",
+        "url",
+        F.octet_length("html").cast("long").alias("n_bytes"),
+        F.sha2("html", 256).alias("sha256"),
+        F.concat_ws(",", F.col("damaged_replicas").cast("array<string>")).alias("damaged_replicas"),
+    )
+
+
+ORACLE_SQL["op10_warc_fixity"] = """
+SELECT page_id, url, CAST(strlen(html) AS BIGINT) AS n_bytes, sha256(html) AS sha256,
+  CASE WHEN page_id % 97 = 13 THEN '1' ELSE '' END AS damaged_replicas
+FROM pages
+"""
