@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import bitsliced, html, mixing, onebit, ring, warc
+from weirflow.llm import bitsliced, html, langid, mixing, onebit, ring, warc
 from weirflow.llm.common import table
 from weirflow.session import scratch_path
 
@@ -20,6 +20,14 @@ def _query(function):
     return function
 
 
+@_query
+def op1_unigram_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn(docs)
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @_query
 def op3_ring_shards(spark, sf_dir):
     return ring.shard_documents(table(spark, sf_dir, "documents"))
