@@ -110,9 +110,9 @@ def _name(ids: np.ndarray) -> str:
 
 
 def _dealt(vectors: DataFrame, rows: int, size: int) -> DataFrame:
-    """By the hash of the whole row, so that one id cannot fill a partition
-    (one row repeated without end fills several blocks of one partition)."""
-    return vectors.repartition(max(1, -(-rows // size)), F.xxhash64("vec_id", "embedding"))
+    """In turn, so that every partition fills about one block, however often an
+    id or a vector is repeated."""
+    return vectors.repartition(max(1, -(-rows // size)))
 
 
 def _matrix(row: dict, dims: int) -> np.ndarray:
