@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weirflow.llm.tokens import text_steps
+
 UNKNOWN = "und"
 # The sample: so many documents of each language, so many characters of each.
 SAMPLE_DOCS, SAMPLE_CHARS = 192, 4_096
@@ -33,8 +35,8 @@ LETTERS = re.compile(r"[^\W\d_]+")
 OTHER, LEAST = 1e-7, 1e-9
 # Keeps products over a word within the range of a double.
 PER_LETTER = 64.0
-# Texts and known words that one step of a task holds.
-STEP_CHARS, KNOWN_WORDS = 4_000_000, 500_000
+# Distinct words that a task remembers.
+KNOWN_WORDS = 500_000
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -283,7 +285,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         scorer = Scorer(model)
         for batch in batches:
             start = 0
-            for size in _steps(batch.column("text")):
+            for size in text_steps(batch.column("text")):
                 part = batch.slice(start, size)
                 start += size
                 logs, words = scorer.scores(part.column("text").to_pylist())
@@ -297,16 +299,3 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     return kept.mapInArrow(predict, schema)
-
-
-def _steps(texts: pa.Array) -> Iterator[int]:
-    """Numbers of rows that hold about STEP_CHARS bytes together."""
-    rows = held = 0
-    for text in texts:
-        rows += 1
-        held += len(text.as_buffer()) if text.is_valid else 0
-        if held >= STEP_CHARS:
-            yield rows
-            rows = held = 0
-    if rows:
-        yield rows

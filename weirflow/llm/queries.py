@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import bitsliced, html, langid, mixing, onebit, ring, warc
+from weirflow.llm import bitsliced, html, langid, mixing, onebit, packing, ring, warc
 from weirflow.llm.common import table
 from weirflow.session import scratch_path
 
@@ -62,6 +62,11 @@ SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <
 """
 
 
+@_query
+def op7_genetic_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op8_main_text(spark, sf_dir):
     return html.extract_main_text(table(spark, sf_dir, "pages"))
