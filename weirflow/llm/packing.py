@@ -248,7 +248,7 @@ def _pack_rests(rests: DataFrame, count: int, capacity: int) -> DataFrame:
         F.pmod(F.xxhash64("unit", "item"), F.lit(problems)).alias("problem"),
     )
 
-    def gather(key, frame: pa.Table) -> pa.Table:
+    def gather(key: tuple[pa.Scalar, ...], frame: pa.Table) -> pa.Table:
         frame = frame.sort_by([("length", "descending"), ("unit", "ascending"), ("item", "ascending")])
         column = lambda name, kind: frame.column(name).to_numpy().astype(kind).tobytes()
         return pa.table(
