@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import bitsliced, html, langid, mixing, onebit, packing, ring, warc
+from weirflow.llm import bitsliced, html, langid, mixing, neardup, onebit, packing, ring, warc
 from weirflow.llm.common import table
 from weirflow.session import scratch_path
 
@@ -33,6 +33,11 @@ def op3_ring_shards(spark, sf_dir):
     return ring.shard_documents(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op5_near_duplicates(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op6_mix_sources(spark, sf_dir):
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
