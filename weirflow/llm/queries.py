@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import bitsliced, html, langid, mixing, neardup, onebit, packing, ring, warc
+from weirflow.llm import bitsliced, html, idcoder, langid, mixing, neardup, onebit, packing, ring, warc
 from weirflow.llm.common import table
 from weirflow.session import scratch_path
 
@@ -28,6 +28,11 @@ def op1_unigram_language(spark, sf_dir):
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@_query
+def op2_context_mixing_ids(spark, sf_dir):
+    return idcoder.encode_documents(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op3_ring_shards(spark, sf_dir):
     return ring.shard_documents(table(spark, sf_dir, "documents"))
