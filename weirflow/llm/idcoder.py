@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirflow.llm.tokens import ChunkTokenizer, text_steps, tokenizer_json
+from weirflow.llm.tokens import text_steps, tokenizer_json, worker_tokenizer
 from weirflow.session import scratch_path
 
 END = 1
@@ -48,7 +48,7 @@ LARGEST = 1 << (_FREQUENCY_BITS - 1)
 _SURER = np.array([1, 1, 1, 1, 1, 2, 3, 3])
 # Magic, documents, coded runs and bytes of the documents' table; and for each
 # run ids, alphabet, lanes, bytes and checksum.
-_HEAD, _RUN = struct.Struct("<4sIII"), struct.Struct("<IIIII")
+_HEAD, _RUN = "<4sIII", "<IIIII"
 
 
 class _Mix:
@@ -275,28 +275,28 @@ def pack_row(doc_ids: list[int | None], lengths: list[int], ids: bytes) -> bytes
     table = np.array([[d or 0 for d in doc_ids], lengths, [d is None for d in doc_ids]], "<i8")
     packed = zlib.compress(table.tobytes(), 1)
     step = 4 * BLOCK_IDS
-    out = [_HEAD.pack(MAGIC, len(doc_ids), -(-len(ids) // step), len(packed)), packed]
+    out = [struct.pack(_HEAD, MAGIC, len(doc_ids), -(-len(ids) // step), len(packed)), packed]
     for start in range(0, len(ids), step):
         part = ids[start : start + step]
         alphabet, used, data = encode_ids(np.frombuffer(part, "<u4"))
-        out += [_RUN.pack(len(part) // 4, alphabet, len(used), len(data), zlib.crc32(part))]
+        out += [struct.pack(_RUN, len(part) // 4, alphabet, len(used), len(data), zlib.crc32(part))]
         out += [used.tobytes(), data]
     return b"".join(out)
 
 
 def unpack_row(row: bytes) -> tuple[list[int | None], list[int], bytes]:
     """The opposite of ``pack_row``; raises if a block is damaged."""
-    magic, docs, runs, size = _HEAD.unpack_from(row)
+    magic, docs, runs, size = struct.unpack_from(_HEAD, row)
     if magic != MAGIC:
         raise ValueError("not a row of token ids")
-    at = _HEAD.size
+    at = struct.calcsize(_HEAD)
     table = np.frombuffer(zlib.decompress(row[at : at + size]), "<i8").reshape(3, docs)
     doc_ids = [None if null else d for d, null in zip(table[0].tolist(), table[2].tolist(), strict=True)]
     at += size
     out = []
     for _ in range(runs):
-        n, alphabet, lanes, length, checksum = _RUN.unpack_from(row, at)
-        at += _RUN.size
+        n, alphabet, lanes, length, checksum = struct.unpack_from(_RUN, row, at)
+        at += struct.calcsize(_RUN)
         used = np.frombuffer(row, "<u4", lanes, at)
         at += 4 * lanes
         part = decode_ids(n, alphabet, used, row[at : at + length]).astype("<u4").tobytes()
@@ -317,7 +317,7 @@ def write_ids(docs: DataFrame, path: str, json: str | None = None, end: int = EN
     json = json or tokenizer_json()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, segment, block = ChunkTokenizer(json), TaskContext.get().partitionId(), 0
+        tokenizer, segment, block = worker_tokenizer(json), TaskContext.get().partitionId(), 0
         tail = end.to_bytes(4, "little")
         doc_ids: list[int | None] = []
         parts: list[bytes] = []
@@ -339,7 +339,7 @@ def write_ids(docs: DataFrame, path: str, json: str | None = None, end: int = EN
             begin = 0
             for size in text_steps(batch.column("text")):
                 names = batch.column("doc_id").slice(begin, size).to_pylist()
-                texts = batch.column("text").slice(begin, size).to_pylist()
+                texts = batch.column("text").slice(begin, size)
                 begin += size
                 for name, ids in zip(names, tokenizer.encode(texts), strict=True):
                     doc_ids.append(name)

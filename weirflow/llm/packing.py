@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirflow.llm.common import staged
-from weirflow.llm.tokens import ChunkTokenizer, text_steps, tokenizer_json
+from weirflow.llm.tokens import text_steps, tokenizer_json, worker_tokenizer
 
 CAPACITY, END = 2048, 0
 GROUP_ITEMS = 8192
@@ -187,14 +187,14 @@ def cut_pieces(docs: DataFrame, json: str, capacity: int = CAPACITY, end: int =
     schema = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string(_PIECES).fields])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, unit, item = ChunkTokenizer(json), TaskContext.get().partitionId(), 0
+        tokenizer, unit, item = worker_tokenizer(json), TaskContext.get().partitionId(), 0
         tail = end.to_bytes(4, "little")
         step = 4 * capacity
         kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
         for batch in batches:
             begin = 0
             for size in text_steps(batch.column("text")):
-                texts = batch.column("text").slice(begin, size).to_pylist()
+                texts = batch.column("text").slice(begin, size)
                 at, rows = [], []
                 for i, ids in enumerate(tokenizer.encode(texts), begin):
                     ids += tail

@@ -33,6 +33,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all texts (read only), and where each text starts and
+    the last one ends."""
+    texts = texts.cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
+    start, end = int(offsets[0]), int(offsets[-1])
+    if end == start:
+        return np.zeros(0, np.uint8), offsets - start
+    return np.frombuffer(texts.buffers()[2], np.uint8, end - start, start), offsets - start
+
+
 class Hasher:
     """Shingle sets of texts; keeps powers of the base between batches."""
 
@@ -48,16 +59,18 @@ class Hasher:
                 steps[0] = 1
                 setattr(self, name, np.multiply.accumulate(steps))
 
+    def spans(self, letters: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """Hashes of stretches of bytes, wherever they stand."""
+        n = len(letters)
+        self._reach(n + 1)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_LETTER[letters] * self._powers[:n], out=sums[1:])
+        return mixed((sums[stops] - sums[starts]) * self._inverse[starts])
+
     def sets(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The sorted shingle hashes of each text; none for a null one."""
-        texts = texts.cast(pa.large_string())
-        offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
-        start, end = int(offsets[0]), int(offsets[-1])
-        data = texts.buffers()[2]
-        letters = np.frombuffer(data, np.uint8, end - start, start) if end > start else np.zeros(0, np.uint8)
-        offsets = offsets - start
+        letters, offsets = text_bytes(texts)
         n = len(letters)
-        self._reach(n + 1)
         space = _SPACE[letters]
         # A word starts after a space or where a text starts, and ends likewise.
         text_starts = offsets[:-1][np.diff(offsets) > 0]
@@ -69,10 +82,8 @@ class Hasher:
         over[:n] = space
         over[text_starts] = True
         stops = np.flatnonzero(over[1:] & ~space) + 1
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_LETTER[letters] * self._powers[:n], out=sums[1:])
-        words = mixed((sums[stops] - sums[starts]) * self._inverse[starts])
-        del sums, space, fresh, over
+        del space, fresh, over
+        words = self.spans(letters, starts, stops)
         first = np.searchsorted(starts, offsets)
         full = max(0, len(words) - WORDS + 1)
         windows = np.zeros(full, np.uint64)
