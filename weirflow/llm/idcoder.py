@@ -34,7 +34,7 @@ from weirflow.llm.tokens import text_steps, tokenizer_json, worker_tokenizer
 from weirflow.session import scratch_path
 
 END = 1
-BLOCK_IDS, LANES, LANE_IDS = 1 << 20, 4096, 64
+BLOCK_IDS, LANES, LANE_IDS = 1 << 20, 4096, 256
 MAGIC = b"WFI1"
 # Bits of the total of the mix, of order 0's share in it, and of the range.
 _WEIGHT_BITS, _FREQUENCY_BITS = 10, 18
