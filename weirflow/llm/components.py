@@ -12,9 +12,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """node and component (its smallest node) for every node of ``edges`` (a, b,
     both long).
 
-    Every round each node moves to the smallest of itself and its neighbours,
-    and the edges move along. A component with an edge loses at least half of
-    its nodes, so the rounds are logarithmic in the longest component. The moves
+    Every round each node points to the smallest of itself and its neighbours,
+    follows the pointers to their end, by doubling, and moves there; the edges
+    move along. Only nodes smaller than all their neighbours stay, at most half
+    of those that have any, so rounds and doublings are logarithmic. The moves
     of all rounds, in their order, give each node its place.
     """
     left = cut_lineage(edges.select("a", "b").where("a <> b").distinct())
@@ -22,7 +23,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while not left.isEmpty():
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         move = both.groupBy("a").agg(F.min("b").alias("to"))
-        move = cut_lineage(move.select(F.col("a").alias("node"), F.least("a", "to").alias("to")))
+        move = _followed(cut_lineage(move.select(F.col("a").alias("node"), F.least("a", "to").alias("to"))))
         moves.append(move)
         left = (
             left.join(move.select(F.col("node").alias("a"), F.col("to").alias("new_a")), "a")
@@ -41,3 +42,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
             "node", F.coalesce("to", "component").alias("component")
         )
     return cut_lineage(placed)
+
+
+def _followed(move: DataFrame) -> DataFrame:
+    """Every pointer node -> to taken to its end, where a node points to itself."""
+    while True:
+        step = move.select(F.col("node").alias("to"), F.col("to").alias("next"))
+        further = cut_lineage(move.join(step, "to").select("node", "to", "next"))
+        move = further.select("node", F.col("next").alias("to"))
+        if further.where("to <> next").isEmpty():
+            return move

@@ -327,7 +327,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "key_a", "key_b", F.coalesce("component", "representative").alias("component")
     )
     placed = described.join(of_class, ["key_a", "key_b"], "left")
-    component = F.coalesce("component", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return placed.select(
         "doc_id",
         "n_shingles",
