@@ -228,31 +228,30 @@ def render_mix(docs: DataFrame, mix: DataFrame) -> DataFrame:
 
     The last, partial taking of a document holds its first words, joined by
     single spaces; there is at most one such document per source. Rows that
-    share id, source and size are taken alike. ``n_chars`` is kept right if
-    there is one.
+    share id and source are taken alike. ``n_chars`` is kept right if there is
+    one.
     """
-    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     chosen = (
         mix.where("taken > 0")
         .select(
             F.col("doc_id").alias("_id"),
             F.col("source").alias("_source"),
-            F.col("size").alias("_size"),
-            F.expr("taken DIV size").alias("_whole"),
-            F.expr("CAST(taken % size AS INT)").alias("_rest"),
+            F.struct(
+                F.expr("taken DIV size").alias("_whole"),
+                F.expr("CAST(taken % size AS INT)").alias("_rest"),
+            ).alias("_taken"),
         )
-        .dropDuplicates(["_id", "_source", "_size"])
-    )
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & (words == F.col("_size"))
+        .groupBy("_id", "_source")
+        .agg(F.min("_taken").alias("_taken"))
+        .select("_id", "_source", "_taken.*")
     )
-    joined = docs.join(chosen, same)
-    copies = F.expr("IF(_whole > 0, sequence(1L, _whole), array())")
-    whole = joined.withColumn("_copy", F.explode(copies)).select(*docs.columns)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
+    copies = F.explode(F.expr("sequence(1L, _whole + IF(_rest > 0, 1, 0))"))
+    taken = docs.join(chosen, same).withColumn("_copy", copies)
+    cut = F.col("_copy") > F.col("_whole")
     first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), 1, F.col("_rest")), " ")
-    part = joined.where("_rest > 0").withColumn("text", first)
+    taken = taken.withColumn("text", F.when(cut, first).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        part = part.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return whole.unionByName(part.select(*docs.columns))
+        chars = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        taken = taken.withColumn("n_chars", F.when(cut, chars).otherwise(F.col("n_chars")))
+    return taken.select(*docs.columns)
