@@ -36,7 +36,7 @@ OTHER, LEAST = 1e-7, 1e-9
 # Keeps products over a word within the range of a double.
 PER_LETTER = 64.0
 # Distinct words that a task remembers.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 250_000
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 

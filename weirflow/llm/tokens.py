@@ -15,7 +15,7 @@ from weirflow.llm.shingles import Hasher, text_bytes
 VOCABULARY = "word_bpe_49k.json"
 # Distinct words and chunks that a task remembers, and bytes of text that it takes
 # at a time.
-KNOWN_WORDS, KNOWN_CHUNKS, STEP_BYTES = 2_000_000, 200_000, 4_000_000
+KNOWN_WORDS, KNOWN_CHUNKS, STEP_BYTES = 1_000_000, 200_000, 1_000_000
 
 def tokenizer_json(path: str | None = None) -> str:
     """The tokenizer file as text, for tasks: executors need no copy of it."""
