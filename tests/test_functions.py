@@ -96,6 +96,21 @@ def test_duration_text(spark, seconds, text):
     assert value(spark, duration_hms(F.col("s").cast("long")), s=seconds) == text
 
 
+def test_duration_does_not_depend_on_the_zone(spark):
+    """Clocks in New York went from 02:00 to 03:00 that night."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        times = spark.sql(
+            "SELECT TIMESTAMP_NTZ'2024-03-10 01:30:00.9' AS a, TIMESTAMP_NTZ'2024-03-10 03:30:01.1' AS b, "
+            "TIMESTAMP_LTZ'2024-03-10 01:30:00.9' AS c, TIMESTAMP_LTZ'2024-03-10 03:30:01.1' AS d, "
+            "TIMESTAMP_NTZ'1969-12-31 23:59:59.5' AS e"
+        )
+        found = times.select(duration_secs("a", "b"), duration_secs("c", "d"), duration_secs("e", "a"))
+        assert tuple(found.first()) == (7201, 3601, 1710034201)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_duration_floors_each_side_to_its_second(spark):
     stamp = F.col("a").cast("timestamp_ntz"), F.col("b").cast("timestamp_ntz")
     fields = {"a": "2024-03-10 01:30:00.9", "b": "2024-03-10 03:30:01.1"}

@@ -23,24 +23,32 @@ def month_text(c: Column | str) -> Column:
 
 
 def duration_secs(start: Column | str, end: Column | str) -> Column:
-    """Whole seconds from start to end; each side is floored to its second."""
-    return _col(end).cast("timestamp").cast("long") - _col(start).cast("timestamp").cast("long")
+    """Whole seconds from start to end; each side is floored to its second.
+
+    Times without a zone are compared by their own clock, whatever the zone of
+    the session is.
+    """
+    return _whole_seconds(_col(end)) - _whole_seconds(_col(start))
+
+
+def _whole_seconds(time: Column) -> Column:
+    days = F.datediff(F.to_date(time), F.lit("1970-01-01").cast("date")).cast("long")
+    clock = F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
+    instant = time.cast("timestamp").cast("long")
+    # The type is known to the optimizer, which keeps one of the two.
+    return F.when(F.typeof(time) == "timestamp_ntz", days * 86_400 + clock).otherwise(instant)
 
 
 def duration_hms(seconds: Column | str) -> Column:
     """``HH:MM:SS`` text. Hours may pass 99, each part of a negative duration
     carries its own sign, and a null duration prints as the text null."""
     secs = _col(seconds)
+    hours, rest = _div(secs, 3600), secs % 3600
+    return F.format_string("%02d:%02d:%02d", hours, _div(rest, 60), rest % 60)
 
-    def whole(value: Column, unit: int) -> Column:
-        # Taking the remainder off first makes the division exact, so parts
-        # truncate toward zero.
-        return ((value - value % unit) / unit).cast("int")
 
-    past_hour = secs % 3600
-    return F.format_string(
-        "%02d:%02d:%02d", whole(secs, 3600), whole(past_hour, 60), (past_hour % 60).cast("int")
-    )
+def _div(value: Column, unit: int) -> Column:
+    return F.call_function("div", value, F.lit(unit))
 
 
 def surrogate_key(*columns: Column | str, null_as: str | None = None) -> Column:
