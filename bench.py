@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import DataFrame, Window
@@ -102,6 +103,7 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": CPUS,
             "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -4,6 +4,7 @@ import datetime as dt
 import math
 import os
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -61,7 +62,7 @@ if __name__ == "__main__":
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     session = get_session(
-        "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+        "compare", "local[8]", **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="compare-"), "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
     )
     session.sparkContext.setLogLevel("ERROR")
     con = oracle(sf_dir)

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def resolve_process_date(process_date: str | dt.date | None = None) -> dt.date:
-    """The load date: given, or today. Bad text raises."""
+    """The load date: given, or today in the session's zone. Bad text raises."""
     if process_date is None:
-        return dt.date.today()
+        return SparkSession.active().range(1).select(F.current_date()).first()[0]
     if isinstance(process_date, dt.datetime):
         return process_date.date()
     if isinstance(process_date, dt.date):

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,8 @@ def get_session(app: str = "weirflow", master: str | None = None, **conf: str) -
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE)
+        # Checkpointed rows go when nothing refers to them any more.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
@@ -35,15 +38,12 @@ def get_session(app: str = "weirflow", master: str | None = None, **conf: str) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only where none is configured."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="weirflow-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
+    """The folder that the driver and all executors share. It has to be configured:
+    executors do not see a folder that is local to one machine."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -51,6 +51,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def staging(spark: SparkSession, root: str) -> Iterator[str]:
+    """A fresh folder below a job's root, removed when the job is over."""
+    path = f"{root}/_staging/{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written as Parquet and read back: computed once, with a known size,
+    and not lost with an executor."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result survives the loss of any executor."""
     shared_dir(df.sparkSession)
