@@ -59,6 +59,15 @@ def test_owned_partitions_without_rows_are_emptied(spark, tmp_path):
     assert content(spark, path) == [("c", 3)]
 
 
+def test_a_row_of_another_partition_stops_the_write(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_partitions(rows(spark, ("a", 1), ("b", 2), ("b", 3)), path, ["part"])
+    for foreign in (("b", 9), (None, 9)):
+        with pytest.raises(Exception, match="no partition of this load"):
+            replace_partitions(rows(spark, ("a", 7), foreign), path, [{"part": "a"}])
+    assert content(spark, path) == [("a", 1), ("b", 2), ("b", 3)]
+
+
 def test_first_load_without_rows_gives_a_readable_dataset(spark, tmp_path):
     path = str(tmp_path / "t")
     replace_partitions(rows(spark), path, [{"part": "a"}])
@@ -114,6 +123,6 @@ def test_jdbc_settings(spark, monkeypatch):
     write_jdbc(df, "jdbc:x", "t", {"user": "u", "driver": "d"})
     write_jdbc(df, "jdbc:x", "t", {"batchsize": "5"}, connections=8)
     assert calls == [
-        ("jdbc:x", "t", "overwrite", {"batchsize": "10000", "user": "u", "driver": "d"}),
+        ("jdbc:x", "t", "overwrite", {"batchsize": "10000", "numPartitions": "16", "user": "u", "driver": "d"}),
         ("jdbc:x", "t", "overwrite", {"batchsize": "5", "numPartitions": "8"}),
     ]

@@ -28,12 +28,13 @@ def content(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
+@pytest.mark.parametrize("split", [False, True])
 @pytest.mark.parametrize("indent", [None, 2])
-def test_array_is_cut_into_objects(spark, tmp_path, indent):
+def test_array_is_read_as_objects(spark, tmp_path, indent, split):
     path = str(tmp_path / "a.json")
     with open(path, "w") as out:
         json.dump(ROWS, out, indent=indent)
-    df = read_json_array(spark, path, SCHEMA)
+    df = read_json_array(spark, path, SCHEMA, split=split)
     assert content(df) == content(whole(spark, path))
     assert df.count() == len(ROWS)
 
@@ -47,24 +48,34 @@ def test_array_is_cut_into_objects(spark, tmp_path, indent):
         '[null, {"id": 2}]',
         '[{"id": 1}, {"id": 2, "amount": 12',
         '[{"id": 1}, {"id": 2}',
+        '[{"id": 1}, {"id": 2 "amount": 2}]',
         '{"id": 1, "note": "no array"}',
         '[{"id": 1}, 5]',
         "nonsense",
         '[{"id": 1, "note": "\\"}, {"id": 2, "note": "}"}]',
     ],
 )
-def test_other_documents_are_read_whole(spark, tmp_path, text):
+def test_other_documents_are_read_whole_and_refuse_to_be_cut(spark, tmp_path, text):
     path = str(tmp_path / "a.json")
     with open(path, "w") as out:
         out.write(text)
     assert content(read_json_array(spark, path, SCHEMA)) == content(whole(spark, path))
+    with pytest.raises(Exception, match="braces|Malformed|MALFORMED"):
+        read_json_array(spark, path, SCHEMA, split=True).collect()
+
+
+def test_cutting_needs_a_schema(spark, tmp_path):
+    with pytest.raises(ValueError, match="schema"):
+        read_json_array(spark, str(tmp_path), split=True)
 
 
 def test_empty_array_and_several_documents(spark, tmp_path):
     for name, rows in (("a", []), ("b", ROWS[:1]), ("c", ROWS[1:])):
         (tmp_path / f"{name}.json").write_text(json.dumps(rows))
-    assert read_json_array(spark, str(tmp_path / "a.json"), SCHEMA).count() == 0
-    assert content(read_json_array(spark, str(tmp_path), SCHEMA)) == content(whole(spark, str(tmp_path)))
+    for split in (False, True):
+        assert read_json_array(spark, str(tmp_path / "a.json"), SCHEMA, split=split).count() == 0
+        found = read_json_array(spark, str(tmp_path), SCHEMA, split=split)
+        assert content(found) == content(whole(spark, str(tmp_path)))
 
 
 def test_a_large_document_is_shared_by_tasks(spark, tmp_path):
@@ -73,7 +84,7 @@ def test_a_large_document_is_shared_by_tasks(spark, tmp_path):
         json.dump([{"id": i, "amount": i / 2, "note": f"n{i}"} for i in range(20_000)], out, indent=1)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
     try:
-        df = read_json_array(spark, path, SCHEMA)
+        df = read_json_array(spark, path, SCHEMA, split=True)
         assert df.rdd.getNumPartitions() > 4
         assert content(df) == content(whole(spark, path))
     finally:

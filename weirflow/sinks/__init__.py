@@ -2,6 +2,7 @@
 
 from weirflow.sinks.files import (
     preview,
+    preview_rows,
     replace_partitions,
     write_partitions,
     write_rejects,
@@ -12,6 +13,7 @@ from weirflow.sinks.jdbc import write_jdbc
 
 __all__ = [
     "preview",
+    "preview_rows",
     "replace_partitions",
     "write_jdbc",
     "write_partitions",

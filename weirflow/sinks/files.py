@@ -46,14 +46,15 @@ def replace_partitions(
     fmt: str = "parquet",
     rebalance: bool = False,
 ) -> None:
-    """Make the given partitions hold exactly the rows of ``df``, which has no
-    rows of other partitions.
+    """Make the given partitions hold exactly the rows of ``df``. A row of any
+    other partition fails the write before anything is replaced.
 
     Dynamic overwrite leaves a partition alone when no row falls into it, so a
     reload without rejects would keep the rejects of the run before. The write
     itself observes which partitions it filled; the others are emptied.
     """
     by = list(values[0])
+    df = _only_partitions(df, by, values)
     filled = Observation()
     # At most one entry per given partition reaches the driver.
     seen = F.collect_set(F.struct(*[F.col(f"`{name}`") for name in by])).alias("filled")
@@ -65,6 +66,23 @@ def replace_partitions(
             _writer(df.limit(0).drop(*by), fmt).save(f"{path}/{folder}")
 
 
+def _only_partitions(
+    df: DataFrame, by: Sequence[str], values: Sequence[dict[str, object]]
+) -> DataFrame:
+    owned = F.lit(False)
+    for value in values:
+        same = F.lit(True)
+        for name, part in value.items():
+            same = same & F.col(f"`{name}`").eqNullSafe(F.lit(part).cast(df.schema[name].dataType))
+        owned = owned | same
+    first = by[0]
+    foreign = F.raise_error(
+        F.concat(F.lit("a row belongs to no partition of this load: "), F.to_json(F.struct(*by)))
+    )
+    checked = F.when(owned, F.col(f"`{first}`")).otherwise(foreign.cast(df.schema[first].dataType))
+    return df.withColumn(first, checked)
+
+
 def write_snapshot(
     df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet", rebalance: bool = True
 ) -> None:
@@ -87,6 +105,11 @@ def write_rejects(df: DataFrame, path: str, process_date: dt.date) -> None:
     replace_partitions(df, path, [{"processing_date": process_date}], fmt="csv")
 
 
+def preview_rows(df: DataFrame, rows: int = 20, by: Sequence[str] = ()) -> DataFrame:
+    """The first rows; with ``by``, in that order."""
+    return (df.orderBy(*by) if by else df).limit(rows)
+
+
 def preview(df: DataFrame, rows: int = 20) -> None:
     """Print the first rows, long values cut."""
     df.show(rows)

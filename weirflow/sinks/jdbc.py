@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 
 # Fixed value: rows per insert batch.
 BATCH_SIZE = 10_000
+# Databases take few writers at a time; a large cluster would open thousands.
+CONNECTIONS = 16
 
 
 def write_jdbc(
@@ -15,14 +17,11 @@ def write_jdbc(
     url: str,
     table: str,
     properties: Mapping[str, str],
-    connections: int | None = None,
+    connections: int = CONNECTIONS,
 ) -> None:
     """Replace a database table. The caller supplies user, password, driver.
 
-    Executors write in parallel, one connection per partition; ``connections``
-    caps them where the database allows fewer.
+    Executors write in parallel over at most ``connections`` connections.
     """
-    settings = {"batchsize": str(BATCH_SIZE), **properties}
-    if connections is not None:
-        settings["numPartitions"] = str(connections)
+    settings = {"batchsize": str(BATCH_SIZE), "numPartitions": str(connections), **properties}
     df.write.jdbc(url, table, mode="overwrite", properties=settings)

@@ -23,26 +23,31 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
 
 def read_json_array(
-    spark: SparkSession, path: str, schema: T.StructType | None = None
+    spark: SparkSession, path: str, schema: T.StructType | None = None, split: bool = False
 ) -> DataFrame:
     """JSON documents holding one array of objects each.
 
-    Spark's multi-line reader takes a whole document in one task. With a schema
-    the text is cut at closing braces instead, so that many tasks share a
-    document; this needs flat objects without braces in their strings, which a
-    first pass makes sure of. Any other document is read whole.
+    Spark's multi-line reader takes a whole document in one task. ``split=True``,
+    with a schema, cuts the text at closing braces instead, so that many tasks
+    share a document. That needs flat objects without braces in their strings;
+    documents of any other kind, which a first pass finds, and objects that do
+    not parse are an error.
     """
+    if not split:
+        reader = spark.read.option("multiLine", True)
+        return (reader if schema is None else reader.schema(schema)).json(path)
     if schema is None:
-        return spark.read.option("multiLine", True).json(path)
+        raise ValueError("a document can only be cut with a schema")
     # Everything between two closing braces: separators, then one open object.
     cut = spark.read.option("lineSep", "}").text(path)
     piece = cut.select("value", F.col("_metadata.file_path").alias("file")).withColumn(
         "object", F.ltrim("value", F.lit(" \t\r\n,[]"))
     )
     if not _cut_at_objects(piece):
-        return spark.read.option("multiLine", True).schema(schema).json(path)
+        raise ValueError(f"{path}: not arrays of flat objects without braces in their strings")
     closed = F.concat("object", F.lit("}"))
-    parsed = piece.where("object != ''").select(F.from_json(closed, schema).alias("row"))
+    rows = piece.where("object != ''")
+    parsed = rows.select(F.from_json(closed, schema, {"mode": "FAILFAST"}).alias("row"))
     return parsed.select("row.*")
 
 
