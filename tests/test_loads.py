@@ -13,24 +13,23 @@ from weirflow.plans import customers, orders
 DATES = ("2026-01-27", "2026-01-28")
 NOW = dt.datetime(2026, 1, 28, 12, 0)
 
-# Expected results depend on these rows: exact copies of one id, a missing
-# name, a missing country.
+# Exact copies of one id, a missing name, a missing country.
 CUSTOMERS_CSV = """customer_id,name,email,country,created_at
-1,Ana,a@example.com,BR,2022-01-10
-2,John,j@example.com,US,2021-11-03
-3,Maria,m@example.com,AR,2023-02-20
-3,Maria,m@example.com,AR,2023-02-20
-4,Carlos,c@example.com,BR,2023-05-15
-5,,e@example.com,BR,2023-06-01
-6,Julia,s@example.com,,2023-06-10
+21,Noor,noor@mail.test,NL,2024-02-29
+22,Iben,iben@mail.test,DK,2023-12-31
+23,Tariq,tariq@mail.test,MA,2024-05-05
+23,Tariq,tariq@mail.test,MA,2024-05-05
+24,Lena,lena@mail.test,DE,2024-06-17
+25,,x@mail.test,FR,2024-07-01
+26,Paavo,paavo@mail.test,,2024-07-09
 """
 # A missing customer, a negative amount, an unknown customer, a day-first date.
 ORDERS_JSON = [
-    dict(order_id="O1", customer_id=1, amount=250.5, currency="BRL", status="completed", order_date="2023-07-10"),
-    dict(order_id="O2", customer_id=2, amount=99.9, currency="USD", status="CANCELLED", order_date="2023-07-11"),
-    dict(order_id="O3", customer_id=None, amount=180.0, currency="USD", status="completed", order_date="2023-07-12"),
-    dict(order_id="O4", customer_id=4, amount=-50.0, currency="BRL", status="Completed", order_date="2023-07-13"),
-    dict(order_id="O5", customer_id=99, amount=300.0, currency="EUR", status="completed", order_date="13-07-2023"),
+    dict(order_id="A7", customer_id=21, amount=12.25, currency="EUR", status="shipped", order_date="2024-08-01"),
+    dict(order_id="A8", customer_id=22, amount=7.5, currency="DKK", status="RETURNED", order_date="2024-08-02"),
+    dict(order_id="A9", customer_id=None, amount=3.0, currency="EUR", status="shipped", order_date="2024-08-03"),
+    dict(order_id="B1", customer_id=24, amount=-64.0, currency="EUR", status="Shipped", order_date="2024-08-04"),
+    dict(order_id="B2", customer_id=88, amount=1000.0, currency="USD", status="shipped", order_date="05-08-2024"),
 ]
 
 
@@ -77,34 +76,34 @@ def test_both_dates_to_facts(spark, root):
     first, second = map(dt.date.fromisoformat, DATES)
 
     clean = table(spark, f"{root}/raw_data/customers", "customer_id", "processing_date")
-    assert clean == [(i, d) for i in (1, 2, 3, 4) for d in (first, second)]
+    assert clean == [(i, d) for i in (21, 22, 23, 24) for d in (first, second)]
     copies = rejects(spark, f"{root}/rejected_data/customers/duplicated_ids").collect()
     assert [(r["customer_id"], r["duplicate_regs"], r["error_reason"]) for r in copies] == [
-        ("3", "2", "Duplicated regs")
+        ("23", "2", "Duplicated regs")
     ] * 2
     nulls = rejects(spark, f"{root}/rejected_data/customers/null_fields")
-    assert sorted(r["customer_id"] for r in nulls.collect()) == ["5", "5", "6", "6"]
+    assert sorted(r["customer_id"] for r in nulls.collect()) == ["25", "25", "26", "26"]
     assert {r["error_reason"] for r in nulls.collect()} == {"Missing data fields"}
 
     latest = spark.read.parquet(f"{root}/raw_data/orders").where(F.col("processing_date") == second)
     got = latest.select("order_id", "amount", "status", "order_date").collect()
     assert sorted(tuple(r) for r in got) == [
-        ("O1", 250.5, "COMPLETED", dt.date(2023, 7, 10)),
-        ("O2", 99.9, "CANCELLED", dt.date(2023, 7, 11)),
-        ("O4", 50.0, "COMPLETED", dt.date(2023, 7, 13)),
-        ("O5", 300.0, "COMPLETED", dt.date(2023, 7, 13)),
+        ("A7", 12.25, "SHIPPED", dt.date(2024, 8, 1)),
+        ("A8", 7.5, "RETURNED", dt.date(2024, 8, 2)),
+        ("B1", 64.0, "SHIPPED", dt.date(2024, 8, 4)),
+        ("B2", 1000.0, "SHIPPED", dt.date(2024, 8, 5)),
     ]
     bad = rejects(spark, f"{root}/rejected_data/orders/null_fields").collect()
-    assert [(r["order_id"], r["error_reason"]) for r in bad] == [("O3", "null fields regs")] * 2
+    assert [(r["order_id"], r["error_reason"]) for r in bad] == [("A9", "null fields regs")] * 2
 
     dim = table(spark, f"{root}/output/dim_customer", "customer_id", "processing_date")
-    assert dim == [(i, second) for i in (1, 2, 3, 4)]
+    assert dim == [(i, second) for i in (21, 22, 23, 24)]
     facts = table(spark, f"{root}/output/fact_orders", "order_id", "name", "created_at", "processing_date")
     assert facts == [
-        ("O1", "Ana", dt.date(2022, 1, 10), second),
-        ("O2", "John", dt.date(2021, 11, 3), second),
-        ("O4", "Carlos", dt.date(2023, 5, 15), second),
-        ("O5", None, None, second),
+        ("A7", "Noor", dt.date(2024, 2, 29), second),
+        ("A8", "Iben", dt.date(2023, 12, 31), second),
+        ("B1", "Lena", dt.date(2024, 6, 17), second),
+        ("B2", None, None, second),
     ]
 
 
@@ -121,21 +120,21 @@ def test_loading_a_date_again_changes_nothing(spark, root):
 
 def test_a_corrected_drop_clears_old_rejects_of_its_date_only(spark, root):
     load_all(spark, root)
-    corrected = "customer_id,name,email,country,created_at\n5,Eva,e@example.com,BR,2023-06-01\n"
+    corrected = "customer_id,name,email,country,created_at\n25,Zoe,x@mail.test,FR,2024-07-01\n"
     drop_customers(root, DATES[1], corrected)
     customers.load_customers(spark, root, DATES[1], NOW)
     nulls = rejects(spark, f"{root}/rejected_data/customers/null_fields").collect()
     assert sorted((r["customer_id"], str(r["processing_date"])) for r in nulls) == [
-        ("5", DATES[0]),
-        ("6", DATES[0]),
+        ("25", DATES[0]),
+        ("26", DATES[0]),
     ]
     clean = table(spark, f"{root}/raw_data/customers", "customer_id", "processing_date")
-    assert [c for c, d in clean if d == dt.date.fromisoformat(DATES[1])] == [5]
+    assert [c for c, d in clean if d == dt.date.fromisoformat(DATES[1])] == [25]
 
 
 def test_a_drop_without_clean_rows_empties_its_date(spark, root):
     load_all(spark, root)
-    drop_customers(root, DATES[1], "customer_id,name,email,country,created_at\n5,,e@example.com,BR,2023-06-01\n")
+    drop_customers(root, DATES[1], "customer_id,name,email,country,created_at\n25,,x@mail.test,FR,2024-07-01\n")
     customers.load_customers(spark, root, DATES[1], NOW)
     dates = {d for (d,) in table(spark, f"{root}/raw_data/customers", "processing_date")}
     assert dates == {dt.date.fromisoformat(DATES[0])}
@@ -148,16 +147,16 @@ def test_dimension_keeps_one_row_per_key_when_keys_move_to_a_newer_date(spark, r
     drop_customers(root, DATES[1])
     customers.load_customers(spark, root, DATES[1], NOW)
     customers.build_dim_customer(spark, root)
-    assert [i for (i,) in table(spark, f"{root}/output/dim_customer", "customer_id")] == [1, 2, 3, 4]
+    assert [i for (i,) in table(spark, f"{root}/output/dim_customer", "customer_id")] == [21, 22, 23, 24]
 
 
 def test_heavy_key_path_gives_the_same_load(spark, root):
-    text = CUSTOMERS_CSV + "3,Maria,m@example.com,AR,2023-02-20\n" * 300
+    text = CUSTOMERS_CSV + "23,Tariq,tariq@mail.test,MA,2024-05-05\n" * 300
     drop_customers(root, DATES[0], text)
     customers.load_customers(spark, root, DATES[0], NOW, heavy_rows=50)
     copies = rejects(spark, f"{root}/rejected_data/customers/duplicated_ids").collect()
     assert sorted(int(r["duplicate_regs"]) for r in copies) == list(range(2, 303))
-    assert [i for (i,) in table(spark, f"{root}/raw_data/customers", "customer_id")] == [1, 2, 3, 4]
+    assert [i for (i,) in table(spark, f"{root}/raw_data/customers", "customer_id")] == [21, 22, 23, 24]
 
 
 def test_unparsed_order_dates_can_be_rejected(spark, root):
@@ -165,11 +164,11 @@ def test_unparsed_order_dates_can_be_rejected(spark, root):
     drop_orders(root, DATES[0], rows)
     orders.load_orders(spark, root, DATES[0], NOW)
     dates = table(spark, f"{root}/raw_data/orders", "order_id", "order_date")
-    assert dates == [("O1", None), ("O2", dt.date(2023, 7, 11))]
+    assert dates == [("A7", None), ("A8", dt.date(2024, 8, 2))]
     orders.load_orders(spark, root, DATES[0], NOW, reject_unparsed_dates=True)
-    assert [i for (i,) in table(spark, f"{root}/raw_data/orders", "order_id")] == ["O2"]
+    assert [i for (i,) in table(spark, f"{root}/raw_data/orders", "order_id")] == ["A8"]
     bad = rejects(spark, f"{root}/rejected_data/orders/unparsed_dates").collect()
-    assert [(r["order_id"], r["order_date"]) for r in bad] == [("O1", "soon")]
+    assert [(r["order_id"], r["order_date"]) for r in bad] == [("A7", "soon")]
 
 
 def test_facts_can_be_built_from_some_dates(spark, root):
@@ -187,6 +186,6 @@ def test_missing_drop_and_bad_date_raise(spark, root):
 
 
 def test_header_that_does_not_match_the_schema_raises(spark, root):
-    drop_customers(root, DATES[0], "name,customer_id,email,country,created_at\nAna,1,a@x,BR,2022-01-10\n")
+    drop_customers(root, DATES[0], "name,customer_id,email,country,created_at\nNoor,21,n@x,NL,2024-02-29\n")
     with pytest.raises(Exception, match="header"):
         customers.load_customers(spark, root, DATES[0], NOW)

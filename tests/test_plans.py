@@ -6,7 +6,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from weirflow.operators import enrich, latest_by_key, Quarantine
+from weirflow.operators import enrich, heavy_keys, latest_by_key, quarantine_incomplete, Quarantine
 from weirflow.plans import trips
 
 SF = "/root/testdata/sf0.01"
@@ -56,6 +56,7 @@ def test_ranks_take_one_shuffle(spark):
     df = spark.read.parquet(f"{SF}/customer.parquet")
     text = plan(Quarantine(df, "c_custkey", ["c_acctbal"]).duplicates)
     assert text.count("Exchange") == 1
+    assert "SinglePartition" not in text
 
 
 def test_positive_filter_and_columns_reach_the_scan(spark, tmp_path):
@@ -115,6 +116,32 @@ def test_aqe_splits_a_heavy_fact_key(spark, conf, tmp_path):
     assert "SortMergeJoin(skew=true)" in plan(rebalanced)
 
 
+def test_a_heavy_key_is_split_where_incomplete_rows_are_taken_out(spark, conf, tmp_path):
+    conf(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="20000",
+        adaptive__skewJoin__skewedPartitionFactor="1.5",
+        adaptive__advisoryPartitionSizeInBytes="20000",
+    )
+    ids = F.col("id")
+    spark.range(0, 60_000, 1, 8).select(
+        F.when(ids % 3 == 0, 7).otherwise(ids % 5000).alias("k"),
+        F.when(ids % 1000 != 11, F.sha2(ids.cast("string"), 256)).alias("v"),
+    ).write.parquet(f"{tmp_path}/rows")
+    clean = quarantine_incomplete(spark.read.parquet(f"{tmp_path}/rows"), "k").clean
+    tainted = {7 if i % 3 == 0 else i % 5000 for i in range(60_000) if i % 1000 == 11}
+    kept = sum(1 for i in range(60_000) if (7 if i % 3 == 0 else i % 5000) not in tainted)
+    assert len(clean.collect()) == kept
+    assert "SortMergeJoin(skew=true)" in plan(clean)
+
+
+def test_counting_keys_has_no_single_task(spark):
+    df = spark.read.parquet(f"{SF}/orders.parquet")
+    counts = df.select(F.xxhash64("o_custkey").alias("h")).groupBy("h").count()
+    assert "SinglePartition" not in plan(counts)
+    assert heavy_keys(df, ["o_custkey"], 1).count() == df.select("o_custkey").distinct().count()
+
+
 def test_small_dimension_is_broadcast_by_size_without_a_hint(spark):
     fact = spark.read.parquet(f"{SF}/orders.parquet").withColumnRenamed("o_custkey", "c_custkey")
     dim = spark.read.parquet(f"{SF}/customer.parquet")

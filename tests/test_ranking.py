@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from weirflow.operators import heavy_key_test, latest_by_key, rank_groups
+from weirflow.operators import heavy_keys, latest_by_key, rank_groups
 
 SCHEMA = "key string, at int, note string"
 
@@ -72,9 +72,19 @@ def test_several_keys(spark):
 
 def test_heavy_keys_are_found_and_light_ones_are_not(spark):
     df = spark.createDataFrame(skewed_rows(), SCHEMA)
-    found = df.where(heavy_key_test(df, ["key"], 500)).select("key").distinct().collect()
-    assert {r["key"] for r in found} == {"hot", None}
-    assert heavy_key_test(df, ["key"], 100_000) is None
+    hashed = df.withColumn("_key_hash", F.xxhash64("key"))
+    found = hashed.join(heavy_keys(df, ["key"], 500), "_key_hash", "left_semi").select("key").distinct()
+    assert {r["key"] for r in found.collect()} == {"hot", None}
+    assert heavy_keys(df, ["key"], 100_000).isEmpty()
+
+
+def test_every_one_of_many_heavy_keys_is_ranked_by_the_sort(spark):
+    """6,000 keys of four rows, all of them heavy."""
+    df = spark.range(24_000).selectExpr("id % 6000 AS k", "id AS v")
+    assert heavy_keys(df, ["k"], 4).count() == 6_000
+    out = rank_groups(df, ["k"], ["v"], "rank", heavy_rows=4)
+    assert out.where("rank <> 4 - v DIV 6000").count() == 0
+    assert out.count() == 24_000
 
 
 def test_latest_by_key_takes_the_newest_and_breaks_ties_by_content(spark):

@@ -6,7 +6,7 @@ from weirflow.operators.quarantine import (
     quarantine_incomplete,
 )
 from weirflow.operators.ranking import latest_by_key, rank_groups
-from weirflow.operators.skew import heavy_key_test
+from weirflow.operators.skew import heavy_keys
 from weirflow.operators.stamps import conform, stamp_date, stamp_reject
 from weirflow.operators.star import enrich
 
@@ -15,7 +15,7 @@ __all__ = [
     "Quarantine",
     "conform",
     "enrich",
-    "heavy_key_test",
+    "heavy_keys",
     "latest_by_key",
     "quarantine_incomplete",
     "rank_groups",

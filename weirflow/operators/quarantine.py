@@ -12,16 +12,18 @@ Rules shared by both splits:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import cached_property
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.functions import any_null
 from weirflow.operators.ranking import latest_by_key, rank_groups
-from weirflow.operators.skew import HEAVY_ROWS, heavy_key_test
+from weirflow.operators.skew import HEAVY_ROWS
+from weirflow.session import scratch_path, staged
 
 RANK = "duplicate_regs"
 
@@ -58,28 +60,24 @@ def quarantine_incomplete(
     required: Sequence[str] | None = None,
     scope: str = "key",
     keep_null_keys: bool = False,
-    heavy_rows: int = HEAVY_ROWS,
+    stage: str | None = None,
 ) -> Incomplete:
-    """Reject incomplete rows; copies of a key are all kept."""
+    """Reject incomplete rows; copies of a key are all kept.
+
+    The distinct tainted keys, one narrow column, are staged below ``stage``
+    (default: the shared folder). Their size is then known: Spark broadcasts
+    them, or splits a heavy key in the join.
+    """
     rules = _Rules(df.columns, key, required, scope, keep_null_keys)
     clean = df.where(rules.candidate)
     if scope == "key":
-        is_heavy = heavy_key_test(df, [key], heavy_rows)
-        clean = _without_keys(clean, rules.tainted_keys(df), key, is_heavy)
+        path = f"{stage}/tainted-{uuid.uuid4().hex}" if stage else scratch_path(df.sparkSession, "tainted")
+        clean = _without_keys(clean, staged(rules.tainted_keys(df), path), key)
     return Incomplete(clean, df.where(rules.incomplete))
 
 
-def _without_keys(
-    df: DataFrame, tainted: DataFrame, key: str, is_heavy: Column | None = None
-) -> DataFrame:
-    """Anti join on ``key``. Rows of heavy keys stay where they are: of the
-    distinct tainted keys only the heavy ones concern them, and there are at
-    most HEAVY_KEYS of those to broadcast."""
-    if is_heavy is None:
-        return df.join(tainted, key, "left_anti").select(*df.columns)
-    light = df.where(~is_heavy).join(tainted.where(~is_heavy), key, "left_anti")
-    heavy = df.where(is_heavy).join(F.broadcast(tainted.where(is_heavy)), key, "left_anti")
-    return light.unionByName(heavy).select(*df.columns)
+def _without_keys(df: DataFrame, tainted: DataFrame, key: str) -> DataFrame:
+    return df.join(tainted, key, "left_anti").select(*df.columns)
 
 
 class Quarantine:

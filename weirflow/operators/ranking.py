@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirflow.operators.skew import HEAVY_ROWS, heavy_key_test
+from weirflow.operators.skew import HEAVY_ROWS, KEY_HASH, heavy_keys
 from weirflow.session import cut_lineage
 
 def _newest_first(
@@ -56,11 +56,17 @@ def rank_groups(
     """Add ``rank``, 1 for the newest row of its key (bigint: a heavy group may
     outgrow int). ``first`` are sort keys that go before ``latest``."""
     order = [*first, *_newest_first(df, keys, latest, ties)]
-    is_heavy = heavy_key_test(df, keys, heavy_rows)
-    if is_heavy is None:
+    heavy = heavy_keys(df, keys, heavy_rows)
+    if heavy.isEmpty():
         return _rank_by_window(df, keys, order, rank)
-    light = _rank_by_window(df.where(~is_heavy), keys, order, rank)
-    return light.unionByName(_rank_by_sort(df.where(is_heavy), keys, order, rank))
+    # Spark broadcasts the heavy keys by their size, or splits them in the join.
+    hashed = df.withColumn(KEY_HASH, F.xxhash64(*keys))
+    light, rest = (
+        hashed.join(heavy, KEY_HASH, how).select(*[F.col(f"`{name}`") for name in df.columns])
+        for how in ("left_anti", "left_semi")
+    )
+    light = _rank_by_window(light, keys, order, rank)
+    return light.unionByName(_rank_by_sort(rest, keys, order, rank))
 
 
 def _rank_by_window(
@@ -103,8 +109,8 @@ def _rank_by_sort(df: DataFrame, keys: Sequence[str], order: list[Column], rank:
     same_run = F.col("_slice") == F.col("_run_slice")
     for name, alias in run_keys.items():
         same_run = same_run & F.col(f"`{name}`").eqNullSafe(F.col(alias))
-    # Broadcast bound: one run per heavy key plus one per sort partition border.
-    return ordered.join(F.broadcast(runs), same_run).select(
+    # One run per heavy key plus one per sort partition border.
+    return ordered.join(runs, same_run).select(
         *[F.col(f"`{name}`") for name in df.columns],
         (F.col("_position") + F.col("_shift")).alias(rank),
     )

@@ -4,31 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weirflow.session import scratch_path, staged
+
 # A group below this size is cheap for one task to sort and spill.
 HEAVY_ROWS = 1_000_000
-# At most this many keys are treated as heavy. The next heaviest key holds less
-# than 1/5,000 of the rows, about a fair share of one task on a large cluster.
-HEAVY_KEYS = 5_000
-SKETCH_ITEMS = 25_000
-
-
-def heavy_key_test(
-    df: DataFrame, keys: Sequence[str], heavy_rows: int = HEAVY_ROWS
-) -> Column | None:
-    """A predicate for rows whose key holds at least ``heavy_rows`` rows of
-    ``df``, or None when no key does.
-
-    Runs one pass over the key columns with a frequent-items sketch: no rows
-    are shuffled, and at most HEAVY_KEYS hashes come back. Null keys hash like
-    any other. The test only decides how a key is processed, never the result:
-    a light key may pass it (a count is estimated, or a hash shared).
-    ``df`` should be close to its source, since it is read for this.
+KEY_HASH = "_key_hash"
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """The hashes (KEY_HASH) of all keys that hold at least ``heavy_rows`` rows
+    of ``df``, staged.
+
+    One pass over the key columns with a count that is combined before the
+    shuffle. There are at most rows / ``heavy_rows`` heavy keys. Null keys count
+    like any other. A light key can only join them by sharing a hash, which
+    changes how it is processed and never the result.
     """
-    hashes = df.select(F.xxhash64(*keys).alias("key_hash"))
-    top = hashes.agg(F.expr(f"approx_top_k(key_hash, {HEAVY_KEYS}, {SKETCH_ITEMS})").alias("top"))
-    heavy = top.select(F.inline("top")).where(F.col("count") >= heavy_rows)
-    found = [row["item"] for row in heavy.collect()]
-    return F.xxhash64(*keys).isin(found) if found else None
+    hashes = df.select(F.xxhash64(*keys).alias(KEY_HASH))
+    counts = hashes.groupBy(KEY_HASH).agg(F.count(F.lit(1)).alias("rows"))
+    heavy = counts.where(F.col("rows") >= heavy_rows).select(KEY_HASH)
+    return staged(heavy, scratch_path(df.sparkSession, "heavy-keys"))

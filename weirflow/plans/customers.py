@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from weirflow import schemas
 from weirflow.operators import Quarantine, latest_by_key, stamp_date, stamp_reject
 from weirflow.operators.stamps import resolve_process_date
+from weirflow.session import staged, staging
 from weirflow.sinks import replace_partitions, write_rejects, write_snapshot
 from weirflow.sources import read_csv, read_dataset
 
@@ -35,10 +36,9 @@ def load_customers(
     date = resolve_process_date(process_date)
     drop = read_csv(spark, f"{root}/input/customers/{date}/customers.csv", schemas.CUSTOMERS)
     split = split_customers(stamp_date(drop, date), **options)
-    # Three outputs, one ranking shuffle. Blocks spill to disk, and lost
-    # ones are rebuilt from the drop.
-    split.ranked.persist()
-    try:
+    # Three outputs, one ranking shuffle: the ranked rows are staged.
+    with staging(spark, root) as stage:
+        split.ranked = staged(split.ranked, f"{stage}/ranked")
         write_rejects(
             stamp_reject(split.duplicates, schemas.REASON_DUPLICATE, now),
             f"{root}/rejected_data/customers/duplicated_ids",
@@ -52,8 +52,6 @@ def load_customers(
         replace_partitions(
             split.clean_of_ranked, f"{root}/raw_data/customers", [{"processing_date": date}]
         )
-    finally:
-        split.ranked.unpersist()
 
 
 def latest_customers(customers: DataFrame) -> DataFrame:

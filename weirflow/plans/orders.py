@@ -19,6 +19,7 @@ from weirflow.operators import (
     stamp_reject,
 )
 from weirflow.operators.stamps import resolve_process_date
+from weirflow.session import staged, staging
 from weirflow.sinks import replace_partitions, write_rejects, write_snapshot
 from weirflow.sources import read_dataset, read_json_array, read_json_lines
 
@@ -60,11 +61,10 @@ def load_orders(
     path = f"{root}/input/orders/{date}/orders.json"
     read = read_json_lines if json_lines else read_json_array
     drop = stamp_date(read(spark, path, schemas.ORDERS), date)
-    # Parsed once for all passes; blocks spill to disk, and lost ones are
-    # parsed again from the drop.
-    drop.persist()
-    try:
-        split = split_orders(drop, **options)
+    # Parsed once for all passes.
+    with staging(spark, root) as stage:
+        drop = staged(drop, f"{stage}/drop")
+        split = split_orders(drop, stage=stage, **options)
         write_rejects(
             stamp_reject(split.invalid, schemas.REASON_NULLS, now),
             f"{root}/rejected_data/orders/null_fields",
@@ -82,8 +82,6 @@ def load_orders(
         replace_partitions(
             clean_orders(complete), f"{root}/raw_data/orders", [{"processing_date": date}]
         )
-    finally:
-        drop.unpersist()
 
 
 def fact_orders(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
