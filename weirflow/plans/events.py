@@ -12,11 +12,12 @@ from pyspark.sql.streaming import StreamingQuery
 from weirflow import schemas
 from weirflow.functions import letters_upper, parse_timestamp
 from weirflow.operators import enrich, latest_by_key
-from weirflow.sinks import preview, write_snapshot
+from weirflow.sinks import preview, preview_rows, write_snapshot
 from weirflow.sources import read_dataset
-from weirflow.streaming import append_batches_routed, dedup_stream, stream_json, stream_parquet
-from weirflow.streaming import stream_to_parquet
+from weirflow.streaming import dedup_stream, stream_json, stream_parquet, stream_to_parquet
 
+# The text of a line that is no JSON object.
+RAW_LINE = "raw_line"
 VALID_COLUMNS = [
     "event_id",
     "customer_id",
@@ -26,13 +27,14 @@ VALID_COLUMNS = [
     "processing_date",
 ]
 # Rejects also keep the text that did not parse, and say why they are here.
-REJECT_COLUMNS = [*VALID_COLUMNS, "raw_event_timestamp", "error_reason"]
+REJECT_COLUMNS = [*VALID_COLUMNS, "raw_event_timestamp", RAW_LINE, "error_reason"]
 
 
 def clean_events(events: DataFrame, now: Column | None = None) -> DataFrame:
     """Parse and normalise; works on batches and streams. The clock columns
     are fixed within a micro-batch."""
     now = F.current_timestamp() if now is None else now
+    line = F.col(RAW_LINE) if RAW_LINE in events.columns else F.lit(None).cast("string")
     return events.select(
         "event_id",
         "customer_id",
@@ -41,6 +43,7 @@ def clean_events(events: DataFrame, now: Column | None = None) -> DataFrame:
         now.alias("processing_timestamp"),
         F.to_date(now).alias("processing_date"),
         F.col("event_timestamp").alias("raw_event_timestamp"),
+        line.alias(RAW_LINE),
         F.lit(schemas.REASON_TIMESTAMP).alias("error_reason"),
     )
 
@@ -62,7 +65,9 @@ def stream_events(
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """JSON lines -> valid and rejected events: two exactly-once queries, each
     reading the source. ``every=None`` takes what is there and ends."""
-    source = stream_json(spark, f"{root}/input_streaming/events", schemas.EVENTS, max_bytes)
+    source = stream_json(
+        spark, f"{root}/input_streaming/events", schemas.EVENTS, max_bytes, RAW_LINE
+    )
     cleaned = clean_events(source)
     checkpoints = f"{root}/checkpoint_data"
     valid = stream_to_parquet(
@@ -80,20 +85,29 @@ def stream_events(
 def stream_events_once(
     spark: SparkSession, root: str, every: str | None = "2 seconds", max_bytes: int | None = None
 ) -> StreamingQuery:
-    """The same split reading and parsing the source once. The datasets get an
-    extra ``batch_id`` partition."""
-    source = stream_json(spark, f"{root}/input_streaming/events", schemas.EVENTS, max_bytes)
-    return append_batches_routed(
-        clean_events(source),
-        {
-            f"{root}/raw_data/events": (is_valid(), VALID_COLUMNS),
-            f"{root}/rejected_data/events": (~is_valid(), REJECT_COLUMNS),
-        },
-        f"{root}/checkpoint_data/routed_events",
+    """The same rows, read and parsed once: one exactly-once query writes one
+    dataset with the partition ``is_valid``. ``read_checked_events`` reads a side
+    of it, and a stream can tail it."""
+    source = stream_json(
+        spark, f"{root}/input_streaming/events", schemas.EVENTS, max_bytes, RAW_LINE
+    )
+    checked = clean_events(source).withColumn("is_valid", is_valid())
+    return stream_to_parquet(
+        checked,
+        f"{root}/raw_data/checked_events",
+        f"{root}/checkpoint_data/checked_events",
+        by=["is_valid", "processing_date"],
         every=every,
     )
 
 
+def read_checked_events(spark: SparkSession, root: str, valid: bool) -> DataFrame:
+    """The valid events, or the rejected ones: the other side is not read."""
+    checked = read_dataset(spark, f"{root}/raw_data/checked_events")
+    columns = VALID_COLUMNS if valid else REJECT_COLUMNS
+    return checked.where(F.col("is_valid") == valid).select(*columns)
+
+
 def fact_events(events: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Latest version of each event with its customer; an event of an unknown
     customer is dropped."""
@@ -125,14 +139,13 @@ def stream_fact_events(
     root: str,
     keys: tuple[str, ...] = ("customer_id", "event_timestamp"),
     every: str | None = "3 seconds",
-    max_bytes: int | None = None,
 ) -> StreamingQuery:
     """Tail the valid events and keep the first arrival per key.
 
     The default key takes two events of one customer in the same second for
     one; add ``event_id`` to tell them apart.
     """
-    source = stream_parquet(spark, f"{root}/raw_data/events", schemas.CLEAN_EVENTS, max_bytes)
+    source = stream_parquet(spark, f"{root}/raw_data/events", schemas.CLEAN_EVENTS)
     return stream_to_parquet(
         dedup_stream(source, keys),
         f"{root}/output/fact_events_streaming",
@@ -141,6 +154,11 @@ def stream_fact_events(
     )
 
 
+def first_events(spark: SparkSession, root: str) -> DataFrame:
+    """The raw events with the smallest ids."""
+    return preview_rows(read_dataset(spark, f"{root}/raw_data/events"), by=["event_id"])
+
+
 def check_events(spark: SparkSession, root: str) -> None:
     """Print the first raw events."""
-    preview(read_dataset(spark, f"{root}/raw_data/events"))
+    preview(first_events(spark, root))

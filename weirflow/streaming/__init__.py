@@ -1,11 +1,10 @@
 """Structured Streaming sources, operators and sinks."""
 
 from weirflow.streaming.dedup import dedup_stream
-from weirflow.streaming.sinks import append_batches_routed, await_all, await_any, stream_to_parquet
+from weirflow.streaming.sinks import await_all, await_any, stream_to_parquet
 from weirflow.streaming.sources import stream_json, stream_parquet
 
 __all__ = [
-    "append_batches_routed",
     "await_all",
     "await_any",
     "dedup_stream",

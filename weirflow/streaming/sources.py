@@ -9,16 +9,26 @@ from pyspark.sql.streaming import DataStreamReader
 
 def _reader(spark: SparkSession, schema: T.StructType, max_bytes: int | None) -> DataStreamReader:
     reader = spark.readStream.schema(schema)
-    # Bounds a micro-batch, and with it the largest group of equal rows that
-    # one task can meet, when a long backlog is read.
+    # Bounds a micro-batch when a long backlog is read. Not for streams with a
+    # watermark: it would advance inside the backlog and make rows late.
     return reader.option("maxBytesPerTrigger", max_bytes) if max_bytes else reader
 
 
 def stream_json(
-    spark: SparkSession, path: str, schema: T.StructType, max_bytes: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    max_bytes: int | None = None,
+    raw_line: str | None = None,
 ) -> DataFrame:
-    """JSON lines as they arrive; a line that does not parse is a row of nulls."""
-    return _reader(spark, schema, max_bytes).json(path)
+    """JSON lines as they arrive; a line that does not parse is a row of nulls.
+    ``raw_line`` names a column that keeps the text of such lines."""
+    if raw_line is not None:
+        schema = T.StructType([*schema.fields, T.StructField(raw_line, T.StringType())])
+    reader = _reader(spark, schema, max_bytes)
+    if raw_line is not None:
+        reader = reader.option("columnNameOfCorruptRecord", raw_line)
+    return reader.json(path)
 
 
 def stream_parquet(
