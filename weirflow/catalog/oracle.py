@@ -114,6 +114,15 @@ FROM eparsed e JOIN clean c ON e.customer_id = c.customer_id
 WHERE e.event_timestamp IS NOT NULL"""
 
 
+_STATIC_DIMS = """SELECT l_orderkey, l_partkey,
+  CAST(l_linenumber % 2 + 1 AS BIGINT) AS vendor_id, CAST(l_linenumber AS BIGINT) AS rate_code_id,
+  vendor_name, rate_code_desc
+FROM lineitem
+LEFT JOIN (VALUES (1, 'Creative Mobile Technologies, LLC'), (2, 'VeriFone Inc.'))
+  v(id, vendor_name) ON v.id = l_linenumber % 2 + 1
+LEFT JOIN (VALUES (1, 'Standard rate'), (2, 'JFK'), (3, 'Newark'), (4, 'Nassau or Westchester'),
+  (5, 'Negotiated fare'), (6, 'Group ride')) r(id, rate_code_desc) ON r.id = l_linenumber"""
+
 ORACLE_SQL: dict[str, str] = {
     # Both loads hold the same rows, so the latest version is the second one.
     "fact_orders_left": f"""WITH {_CUSTOMERS}, {_ORDERS},
@@ -176,22 +185,16 @@ FROM events""",
 SELECT l_orderkey, VendorID, total_amount, trip_distance FROM trips
 WHERE total_amount > 0 AND trip_distance > 0""",
     "customers_positive_balance": "SELECT * FROM customer WHERE c_acctbal > 0",
-    "trips_with_static_dims": """SELECT l_orderkey, l_partkey,
-  CAST(l_linenumber % 2 + 1 AS BIGINT) AS vendor_id, CAST(l_linenumber AS BIGINT) AS rate_code_id,
-  vendor_name, rate_code_desc
-FROM lineitem
-LEFT JOIN (VALUES (1, 'Creative Mobile Technologies, LLC'), (2, 'VeriFone Inc.'))
-  v(id, vendor_name) ON v.id = l_linenumber % 2 + 1
-LEFT JOIN (VALUES (1, 'Standard rate'), (2, 'JFK'), (3, 'Newark'), (4, 'Nassau or Westchester'),
-  (5, 'Negotiated fare'), (6, 'Group ride')) r(id, rate_code_desc) ON r.id = l_linenumber""",
+    "trips_with_static_dims": _STATIC_DIMS,
     "month_spine_load": """SELECT *, strftime(o_orderdate, '%Y-%m') AS source_month FROM orders
 WHERE o_orderdate >= TIMESTAMP '1996-10-01' AND o_orderdate < TIMESTAMP '1998-03-01'""",
     "trips_out_of_month": f"""WITH {_TRIPS}
 SELECT l_orderkey, VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID,
   trip_distance, total_amount, source_month
-FROM trips WHERE source_month <> pickup_month AND source_month <= '2001-12'""",
+FROM trips WHERE source_month <> pickup_month""",
     "zone_dim_csv_roundtrip": "SELECT *, DATE '2026-01-28' AS processing_date FROM part",
     "json_array_roundtrip": ORDERS_FEED,
+    "json_array_split": ORDERS_FEED,
     "dynamic_overwrite_reload": """SELECT * REPLACE (
   CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN 0.0::DOUBLE ELSE o_totalprice END
     AS o_totalprice),
@@ -205,6 +208,8 @@ FROM ({_INVALID_CUSTOMERS}) i""",
     "lake_fact_events": _fact_events(""),
     "lake_fact_events_streaming": f"""WITH {_EVENTS}
 SELECT DISTINCT customer_id, event_timestamp FROM eparsed WHERE event_timestamp IS NOT NULL""",
+    "lake_first_events": f"""{_EVENTS_VALID} ORDER BY event_id LIMIT 20""",
+    "lake_static_dims": _STATIC_DIMS,
     "lake_fact_trips": f"""WITH {_TRIPS}
 SELECT l_orderkey, VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID,
   trip_distance, total_amount, DATE '2026-01-28' AS processing_date,
@@ -215,6 +220,13 @@ SELECT l_orderkey, VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, PULoca
 FROM trips WHERE total_amount > 0 AND trip_distance > 0 AND source_month = pickup_month""",
     "stream_events_valid": _EVENTS_VALID,
     "stream_events_rejected": _EVENTS_REJECTED,
+    "stream_events_malformed": f"""WITH {_EVENTS}
+SELECT event_id, raw_event_timestamp, CAST(NULL AS VARCHAR) AS raw_line,
+  'Unparsable event timestamp' AS error_reason
+FROM eparsed WHERE event_timestamp IS NULL
+UNION ALL
+SELECT NULL, NULL, concat('no json ', event_id), 'Unparsable event timestamp' FROM eparsed
+WHERE CAST(substr(event_id, 2) AS BIGINT) % 23 = 5""",
     "stream_events_single_read": f"""WITH {_EVENTS}
 SELECT event_id, customer_id, event_type, event_timestamp IS NOT NULL AS is_valid FROM eparsed""",
     "stream_dedup_watermark": """SELECT DISTINCT user_id AS customer_id, ts AS event_timestamp

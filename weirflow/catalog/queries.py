@@ -35,7 +35,13 @@ from weirflow.operators import (
 )
 from weirflow.plans import customers, events, lookups, orders, trips
 from weirflow.session import scratch_path
-from weirflow.sinks import write_partitions, write_rejects, write_snapshot, write_table
+from weirflow.sinks import (
+    preview_rows,
+    write_partitions,
+    write_rejects,
+    write_snapshot,
+    write_table,
+)
 from weirflow.sources import (
     month_spine,
     read_csv,
@@ -139,7 +145,7 @@ def orders_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamp_reject(split.invalid, schemas.REASON_NULLS).drop("error_timestamp")
 
 
-# --- heavy keys: thresholds low enough for the small tables ------------------
+# --- heavy keys: a threshold low enough for the small tables -----------------
 
 
 @query
@@ -151,12 +157,11 @@ def rank_heavy_event_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def orders_of_untainted_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Heavy and light customers side by side; one order without a priority
-    taints all orders of its customer."""
+    """One order without a priority taints all orders of its customer."""
     source = table(spark, sf_dir, "orders")
     priority = F.when(F.col("o_orderkey") % 97 != 3, F.col("o_orderpriority"))
     dirty = source.withColumn("o_orderpriority", priority)
-    return quarantine_incomplete(dirty, "o_custkey", heavy_rows=16).clean
+    return quarantine_incomplete(dirty, "o_custkey").clean
 
 
 # --- scalar cleaning and derivation -----------------------------------------
@@ -178,7 +183,7 @@ def events_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = events.clean_events(feeds.events_feed(spark, sf_dir))
     return events.rejected_events(cleaned).drop(
-        "event_timestamp", "processing_timestamp", "processing_date"
+        "event_timestamp", "processing_timestamp", "processing_date", "raw_line"
     )
 
 
@@ -218,17 +223,20 @@ def customers_positive_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").where(F.col("c_acctbal") > 0)
 
 
-@query
-def trips_with_static_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vendors = static_dim(spark, schemas.VENDORS, schemas.VENDOR)
-    rate_codes = static_dim(spark, schemas.RATE_CODES, schemas.RATE_CODE)
-    coded = table(spark, sf_dir, "lineitem").select(
+def _coded_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_partkey",
         (F.col("l_linenumber") % 2 + 1).cast("long").alias("vendor_id"),
         F.col("l_linenumber").cast("long").alias("rate_code_id"),
     )
-    named = enrich(coded, vendors, "vendor_id", ["vendor_name"])
+
+
+@query
+def trips_with_static_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vendors = static_dim(spark, schemas.VENDORS, schemas.VENDOR)
+    rate_codes = static_dim(spark, schemas.RATE_CODES, schemas.RATE_CODE)
+    named = enrich(_coded_lineitem(spark, sf_dir), vendors, "vendor_id", ["vendor_name"])
     return enrich(named, rate_codes, "rate_code_id", ["rate_code_desc"])
 
 
@@ -251,7 +259,7 @@ def trips_out_of_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly drops, and the trips that arrived in the wrong one."""
     landing = scratch_path(spark, "trip-drops")
     write_snapshot(feeds.trips_feed(spark, sf_dir), landing, ["drop"])
-    months = month_spine("2001-01-31", "2001-12-01")
+    months = month_spine("2001-01-31", "2002-01-01")
     return trips.split_months(read_each_month(spark, landing + "/drop={month}", months)).outside
 
 
@@ -278,15 +286,26 @@ def _array_document(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"value": [lead + "]"]})
 
 
+def _write_array_documents(feed: DataFrame, path: str) -> None:
+    lines = feed.select(F.to_json(F.struct(*feed.columns)).alias("value"))
+    lines.mapInPandas(_array_document, "value string").write.text(path)
+
+
 @query
 def json_array_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "json-arrays")
-    feed = feeds.orders_feed(spark, sf_dir)
-    lines = feed.select(F.to_json(F.struct(*feed.columns)).alias("value"))
-    lines.mapInPandas(_array_document, "value string").write.text(path)
+    _write_array_documents(feeds.orders_feed(spark, sf_dir), path)
     return read_json_array(spark, path, schemas.ORDERS)
 
 
+@query
+def json_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents, each shared by several tasks."""
+    path = scratch_path(spark, "json-arrays")
+    _write_array_documents(feeds.orders_feed(spark, sf_dir), path)
+    return read_json_array(spark, path, schemas.ORDERS, split=True)
+
+
 @query
 def dynamic_overwrite_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything from 1998 on is loaded again, with changed amounts."""
@@ -323,8 +342,7 @@ def rejects_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def preview_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What ``preview`` prints, in a fixed order."""
-    return table(spark, sf_dir, "events").orderBy("event_id").limit(20)
+    return preview_rows(table(spark, sf_dir, "events"), by=["event_id"])
 
 
 # --- whole jobs over a lake -------------------------------------------------
@@ -341,11 +359,11 @@ def _loaded_lake(spark: SparkSession, sf_dir: str) -> str:
 
 @query
 def lake_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV and JSON drops -> loads -> dimension -> order fact."""
+    """CSV drop and JSON array documents -> loads -> dimension -> order fact."""
     root = _loaded_lake(spark, sf_dir)
     drop = f"{root}/input/orders/{FIRST_LOAD}/orders.json"
-    feeds.orders_feed(spark, sf_dir).write.json(drop)
-    orders.load_orders(spark, root, FIRST_LOAD, json_lines=True)
+    _write_array_documents(feeds.orders_feed(spark, sf_dir), drop)
+    orders.load_orders(spark, root, FIRST_LOAD)
     orders.build_fact_orders(spark, root)
     return read_dataset(spark, f"{root}/output/fact_orders")
 
@@ -370,13 +388,31 @@ def lake_fact_events_streaming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.select("customer_id", "event_timestamp")
 
 
+@query
+def lake_first_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the data check of the event stream prints."""
+    root = _streamed_events(spark, sf_dir)
+    return events.first_events(spark, root).drop("processing_timestamp", "processing_date")
+
+
+@query
+def lake_static_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with the vendors and rate codes that the job has written."""
+    root = scratch_path(spark, "dims")
+    lookups.build_static_dims(spark, root)
+    coded = _coded_lineitem(spark, sf_dir)
+    named = enrich(coded, read_dataset(spark, f"{root}/silver/dim_vendor"), "vendor_id", ["vendor_name"])
+    rate_codes = read_dataset(spark, f"{root}/silver/dim_rate_code")
+    return enrich(named, rate_codes, "rate_code_id", ["rate_code_desc"])
+
+
 @query
 def lake_fact_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly drops -> bronze -> silver trips."""
     root = scratch_path(spark, "trips")
     write_snapshot(feeds.trips_feed(spark, sf_dir), f"{root}/landing/trips", ["drop"])
     drop = "landing/trips/drop={month}"
-    trips.load_trips_bronze(spark, root, "2001-01-31", "2001-12-01", FIRST_LOAD, drop=drop)
+    trips.load_trips_bronze(spark, root, "2001-01-31", "2002-01-01", FIRST_LOAD, drop=drop)
     trips.build_fact_trips(spark, root, SECOND_LOAD)
     return read_dataset(spark, f"{root}/silver/fact_trips")
 
@@ -402,7 +438,21 @@ def stream_events_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_events_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _streamed_events(spark, sf_dir)
     rejected = read_dataset(spark, f"{root}/rejected_data/events")
-    return rejected.drop("event_timestamp", "processing_timestamp", "processing_date")
+    return rejected.drop("event_timestamp", "processing_timestamp", "processing_date", "raw_line")
+
+
+@query
+def stream_events_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 23rd event has a broken line behind it, which becomes a reject."""
+    root = scratch_path(spark, "malformed")
+    feed = feeds.events_feed(spark, sf_dir)
+    line = F.to_json(F.struct(*feed.columns))
+    broken = F.when(F.substring("event_id", 2, 20).cast("long") % 23 == 5, F.concat(F.lit("no json "), "event_id"))
+    lines = feed.select(F.explode(F.array_compact(F.array(line, broken))).alias("value"))
+    lines.write.text(f"{root}/input_streaming/events")
+    await_all(*events.stream_events(spark, root, every=None))
+    rejected = read_dataset(spark, f"{root}/rejected_data/events")
+    return rejected.select("event_id", "raw_event_timestamp", "raw_line", "error_reason")
 
 
 @query
@@ -411,8 +461,8 @@ def stream_events_single_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "routed")
     feeds.events_feed(spark, sf_dir).write.json(f"{root}/input_streaming/events")
     await_all(events.stream_events_once(spark, root, every=None))
-    valid = read_dataset(spark, f"{root}/raw_data/events")
-    rejected = read_dataset(spark, f"{root}/rejected_data/events")
+    valid = events.read_checked_events(spark, root, valid=True)
+    rejected = events.read_checked_events(spark, root, valid=False)
     columns = ["event_id", "customer_id", "event_type"]
     return valid.select(*columns, F.lit(True).alias("is_valid")).unionByName(
         rejected.select(*columns, F.lit(False).alias("is_valid"))
