@@ -205,8 +205,11 @@ def mix_sources(
     overlap = F.expr(
         f"least(start + size, (block + 1) * {block}L) - greatest(start, block * {block}L)"
     )
+    # The size that Spark expects of the parts leaves out that documents have many:
+    # no broadcast.
     taken = (
-        parts.join(times, ["source_no", "block"])
+        parts.hint("merge")
+        .join(times, ["source_no", "block"])
         .groupBy("source_no", "start")
         .agg(F.sum(overlap * F.col("times")).alias("taken"))
     )
