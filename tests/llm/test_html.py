@@ -24,6 +24,8 @@ LONG = "A paragraph of the article with a good number of words in it, more than
         (f"<article><p>{LONG}</p><form>name <input></form><p hidden>no</p></article>", LONG),
         ("<article><p>a</p><ul><li>one</li><li>two</li></ul></article>", "a\n\none\n\ntwo"),
         ("<article>" + "<p>x</p>" * 3_000 + "</article>", "\n\n".join("x" * 3_000)),
+        (f"<article><p>{LONG} <button>share</button> and <span class='ad'>buy <b>now</b></span>more</p></article>", f"{LONG} and more"),
+        (f"<article><p>{LONG}<span class='ad'>buy</p><p>next</p></article>", f"{LONG}\n\nnext"),
         ("<!-- c --><article><p>cut off &am", "cut off &am"),
     ],
 )

@@ -74,12 +74,13 @@ class _Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         # Text, tags, region, and whether it is skipped or in a main part.
         self.lines: list[tuple[str, int, int, bool, bool]] = []
-        # Name, skipped, in a main part, region of the lines directly inside.
-        self.open: list[tuple[str, bool, bool, int]] = []
+        # Name, skipped, in a main part, region of the lines directly inside, and
+        # whether the text inside is dropped.
+        self.open: list[tuple[str, bool, bool, int, bool]] = []
         self.text: list[str] = []
         self.tags = 0
         self.region = self.regions = 0
-        self.silent = 0  # open elements whose text is no text of the page
+        self.silent = 0  # open elements whose text is dropped
         self.skip = self.main = False
 
     def end_line(self) -> None:
@@ -96,7 +97,7 @@ class _Lines(HTMLParser):
 
     def _resume(self) -> None:
         """What is open after an end tag decides again."""
-        _, skip, main, region = self.open[-1] if self.open else ("", False, False, 0)
+        _, skip, main, region, _ = self.open[-1] if self.open else ("", False, False, 0, False)
         if (skip, main, region) != (self.skip, self.main, self.region):
             self.end_line()
             self.skip, self.main, self.region = skip, main, region
@@ -128,23 +129,23 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        skip = self.skip or self._is_skipped(tag, attrs)
+        skipped = self._is_skipped(tag, attrs)
+        # An inline part that is skipped leaves the line around it whole.
+        silent = tag in SILENT or skipped and tag not in BLOCK
+        self.silent += silent
+        skip = self.skip or skipped and not silent
         main = self.main or tag in MAIN
         region = self.region
         if tag in CONTAINER and not skip and (tag == "article" or not self.main):
             region = self._new_region()
-        self.open.append((tag, skip, main, region))
+        self.open.append((tag, skip, main, region, silent))
         if (skip, main, region) != (self.skip, self.main, self.region):
             self.end_line()
             self.skip, self.main, self.region = skip, main, region
-        if tag in SILENT:
-            self.silent += 1
 
     def handle_startendtag(self, tag, attrs):
-        if tag in VOID:
-            self.handle_starttag(tag, attrs)
-        else:  # HTML ignores the slash of other elements
-            self.handle_starttag(tag, attrs)
+        # HTML ignores the slash.
+        self.handle_starttag(tag, attrs)
 
     def _close_p(self) -> None:
         """An open paragraph ends at the next block, even when inline elements
@@ -172,7 +173,7 @@ class _Lines(HTMLParser):
                 return
 
     def _drop(self, i: int) -> None:
-        self.silent -= sum(element[0] in SILENT for element in self.open[i:])
+        self.silent -= sum(element[4] for element in self.open[i:])
         del self.open[i:]
         self._resume()
 
