@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from weirflow.catalog import QUERIES, feeds  # noqa: E402
-from weirflow.catalog.feeds import FIRST_LOAD, table  # noqa: E402
+from weirflow.catalog.feeds import FIRST_LOAD, SECOND_LOAD, table  # noqa: E402
 from weirflow.functions import any_null  # noqa: E402
 from weirflow.operators import stamp_date  # noqa: E402
-from weirflow.plans import customers, orders  # noqa: E402
+from weirflow.plans import customers, events, orders  # noqa: E402
 from weirflow.session import get_session, scratch_path  # noqa: E402
 from weirflow.sinks import write_partitions, write_table  # noqa: E402
 
@@ -78,7 +78,50 @@ def naive_dedup_lineitem_latest(spark, sf_dir):
     return ranked.where("rn = 1").drop("rn")
 
 
+def _naive_latest(df, key, newest):
+    order = Window.partitionBy(key).orderBy(*[F.desc(c) for c in newest])
+    return df.withColumn("rn", F.row_number().over(order)).where("rn = 1").drop("rn")
+
+
+def _naive_loads(df):
+    return stamp_date(df, FIRST_LOAD).unionByName(stamp_date(df, SECOND_LOAD))
+
+
+def _naive_dim(spark, sf_dir):
+    return _naive_latest(naive_customers_clean(spark, sf_dir), "customer_id", ["created_at"])
+
+
+def naive_fact_orders_left(spark, sf_dir):
+    loads = _naive_loads(naive_orders_clean(spark, sf_dir))
+    latest = _naive_latest(loads, "order_id", ["order_date", "processing_date"])
+    return latest.join(_naive_dim(spark, sf_dir), "customer_id", "left")
+
+
+def naive_fact_events_inner(spark, sf_dir):
+    cleaned = events.valid_events(events.clean_events(feeds.events_feed(spark, sf_dir)))
+    loads = _naive_loads(cleaned.drop("processing_timestamp", "processing_date"))
+    latest = _naive_latest(loads, "event_id", ["event_timestamp", "processing_date"])
+    return latest.join(_naive_dim(spark, sf_dir), "customer_id")
+
+
+def naive_orders_of_untainted_customers(spark, sf_dir):
+    priority = F.when(F.col("o_orderkey") % 97 != 3, F.col("o_orderpriority"))
+    dirty = table(spark, sf_dir, "orders").withColumn("o_orderpriority", priority)
+    return dirty.join(dirty.where(any_null(dirty.columns)), "o_custkey", "left_anti")
+
+
+def naive_rank_heavy_event_types(spark, sf_dir):
+    """One window: an event type is one task's work."""
+    newest = Window.partitionBy("event_type").orderBy(F.desc("ts"), F.desc("event_id"))
+    rows = table(spark, sf_dir, "events").select("event_type", "ts", "event_id")
+    return rows.withColumn("newest", F.row_number().over(newest))
+
+
 BASELINE = {
+    "fact_orders_left": naive_fact_orders_left,
+    "fact_events_inner": naive_fact_events_inner,
+    "orders_of_untainted_customers": naive_orders_of_untainted_customers,
+    "rank_heavy_event_types": naive_rank_heavy_event_types,
     "customers_load": naive_customers_load,
     "customers_clean": naive_customers_clean,
     "orders_clean": naive_orders_clean,
