@@ -189,3 +189,16 @@ def test_header_that_does_not_match_the_schema_raises(spark, root):
     drop_customers(root, DATES[0], "name,customer_id,email,country,created_at\nNoor,21,n@x,NL,2024-02-29\n")
     with pytest.raises(Exception, match="header"):
         customers.load_customers(spark, root, DATES[0], NOW)
+
+
+def test_a_value_that_does_not_fit_keeps_its_line(spark, root):
+    drop_customers(root, DATES[0], CUSTOMERS_CSV + "27,Odd,odd@mail.test,SE,soon\nx8,Bad,bad@mail.test,SE,2024-07-09\n")
+    customers.load_customers(spark, root, DATES[0], NOW)
+    nulls = rejects(spark, f"{root}/rejected_data/customers/null_fields").collect()
+    kept = {r["email"]: (r["customer_id"], r["raw_line"]) for r in nulls}
+    assert kept["odd@mail.test"] == ("27", "27,Odd,odd@mail.test,SE,soon")
+    assert kept["bad@mail.test"] == (None, "x8,Bad,bad@mail.test,SE,2024-07-09")
+    assert kept["paavo@mail.test"] == ("26", None)
+    clean = spark.read.parquet(f"{root}/raw_data/customers")
+    assert "raw_line" not in clean.columns
+    assert sorted(r["customer_id"] for r in clean.collect()) == [21, 22, 23, 24]

@@ -204,6 +204,12 @@ FROM orders""",
     "rejects_csv_roundtrip": f"""SELECT *, DATE '2026-01-27' AS processing_date
 FROM ({_INVALID_CUSTOMERS}) i""",
     "preview_events": "SELECT * FROM events ORDER BY event_id LIMIT 20",
+    "lake_bad_csv_values": f"""WITH dirty AS (
+  SELECT *, customer_id IS NOT NULL AND customer_id % 29 = 3 AS bad FROM ({CUSTOMERS_FEED}))
+SELECT customer_id, name,
+  CASE WHEN bad THEN concat(customer_id, ',', name, ',', email, ',', country, ',soon') END AS raw_line,
+  'Missing data fields' AS error_reason
+FROM dirty WHERE bad OR {_NULL_CUSTOMER}""",
     "lake_fact_orders": _fact_orders("2026-01-27"),
     "lake_fact_events": _fact_events(""),
     "lake_fact_events_streaming": f"""WITH {_EVENTS}

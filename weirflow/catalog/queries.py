@@ -357,6 +357,19 @@ def _loaded_lake(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+@query
+def lake_bad_csv_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some customers have a creation date that is none; their lines are kept."""
+    root = scratch_path(spark, "bad-csv")
+    feed = feeds.customers_feed(spark, sf_dir)
+    bad = F.when(F.col("customer_id") % 29 == 3, F.lit("soon"))
+    dirty = feed.withColumn("created_at", F.coalesce(bad, F.col("created_at").cast("string")))
+    write_table(dirty, f"{root}/input/customers/{FIRST_LOAD}/customers.csv", fmt="csv")
+    customers.load_customers(spark, root, FIRST_LOAD)
+    rejects = spark.read.option("header", True).csv(f"{root}/rejected_data/customers/null_fields")
+    return rejects.select(F.col("customer_id").cast("long"), "name", "raw_line", "error_reason")
+
+
 @query
 def lake_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV drop and JSON array documents -> loads -> dimension -> order fact."""

@@ -15,6 +15,8 @@ from weirflow.sinks import replace_partitions, write_rejects, write_snapshot
 from weirflow.sources import read_csv, read_dataset
 
 DATA_COLUMNS = schemas.CUSTOMERS.fieldNames()
+# The text of a line with a value that does not fit its column.
+RAW_LINE = "raw_line"
 
 
 def split_customers(customers: DataFrame, **options) -> Quarantine:
@@ -32,9 +34,11 @@ def load_customers(
     **options,
 ) -> None:
     """``input`` CSV of a date -> clean rows and two reject sets. Running it
-    again for the same date replaces exactly that date."""
+    again for the same date replaces exactly that date. A value that does not
+    fit makes its row incomplete; the reject keeps the line."""
     date = resolve_process_date(process_date)
-    drop = read_csv(spark, f"{root}/input/customers/{date}/customers.csv", schemas.CUSTOMERS)
+    path = f"{root}/input/customers/{date}/customers.csv"
+    drop = read_csv(spark, path, schemas.CUSTOMERS, RAW_LINE)
     split = split_customers(stamp_date(drop, date), **options)
     # Three outputs, one ranking shuffle: the ranked rows are staged.
     with staging(spark, root) as stage:
@@ -50,7 +54,9 @@ def load_customers(
             date,
         )
         replace_partitions(
-            split.clean_of_ranked, f"{root}/raw_data/customers", [{"processing_date": date}]
+            split.clean_of_ranked.drop(RAW_LINE),
+            f"{root}/raw_data/customers",
+            [{"processing_date": date}],
         )
 
 

@@ -10,15 +10,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, raw_line: str | None = None
+) -> DataFrame:
     """Comma-separated text with a header; an empty field is null.
 
     With a schema the header of every file is checked against it and the data
-    is read once. Without one the types are inferred by an extra pass.
+    is read once; a value that does not fit is null, and ``raw_line`` names a
+    column that keeps the whole line of such a row. Without a schema the types
+    are inferred by an extra pass.
     """
     reader = spark.read.option("header", True).option("sep", ",")
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
+    if raw_line is not None:
+        schema = T.StructType([*schema.fields, T.StructField(raw_line, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", raw_line)
     return reader.option("enforceSchema", False).schema(schema).csv(path)
 
 
