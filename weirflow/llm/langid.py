@@ -82,7 +82,7 @@ class Lattice:
         self._hashes = hashes[order]
         self._ids = np.fromiter(known.values(), np.int64)[order]
 
-    def arcs(self, words: list[str]) -> tuple[np.ndarray, list[tuple[int, int, np.ndarray, np.ndarray]]]:
+    def arcs(self, words: list[str]) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
         """Words of one length: for every start and length of a piece the rows
         that have it there and its id, starts ascending. Letters that no piece
         covers have the id ``pieces``."""
@@ -110,7 +110,7 @@ class Lattice:
             other = np.flatnonzero(~single)
             if len(other):
                 found.append((start, 1, other, np.full(len(other), self.pieces)))
-        return chars, found
+        return found
 
 
 def _by_length(words: Iterable[str]) -> Iterator[tuple[list[str], np.ndarray]]:
@@ -150,7 +150,7 @@ def fit(counts: dict[str, Counter[str]], pieces: list[str], rounds: int = ROUNDS
     lattice, lengths = Lattice(pieces), _lengths(pieces)
     groups = []
     for texts, at in _by_length(words):
-        groups.append((len(texts[0]) + 1, seen[at], lattice.arcs(texts)[1]))
+        groups.append((len(texts[0]) + 1, seen[at], lattice.arcs(texts)))
     expected = np.zeros((len(pieces) + 1, len(languages)))
     for _, n, arcs in groups:  # first every piece that occurs, anywhere
         for _, _, rows, ids in arcs:
@@ -202,7 +202,7 @@ class Scorer:
         owner = np.array([i for i, _ in parts], np.int64)
         for texts, at in _by_length(w for _, w in parts):
             width = len(texts[0]) + 1
-            alpha = _forward(width, len(texts), self._lattice.arcs(texts)[1], self._table)
+            alpha = _forward(width, len(texts), self._lattice.arcs(texts), self._table)
             found = np.log(np.maximum(alpha[width], 1e-300)) - width * np.log(PER_LETTER)
             np.add.at(logs, owner[at], found)
         start = len(self._known)

@@ -145,7 +145,7 @@ def _agreeing(sketches: np.ndarray, first: int) -> list[tuple[int, int]]:
     return out
 
 
-def _chunk_pairs(count: str, keys: list[str], df: DataFrame, size: int | str) -> DataFrame:
+def _chunk_pairs(count: str, keys: list[str], df: DataFrame) -> DataFrame:
     """Deal rows into groups: of one chunk if ``count`` says that one is enough,
     else of every pair of chunks. Adds low and high (the pair), side (0 or 1)."""
     chunk = F.pmod(F.xxhash64("doc_id"), F.col("chunks"))
@@ -172,7 +172,6 @@ def candidate_pairs(representatives: DataFrame) -> DataFrame:
         f"CAST(ceil(members / {BUCKET_ROWS}) AS LONG)",
         ["bucket"],
         meeting.select("bucket", "members", "doc_id", "sketch"),
-        BUCKET_ROWS,
     )
 
     def connect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +259,6 @@ def links(docs: DataFrame, members: DataFrame) -> DataFrame:
         f"CAST(ceil(greatest(members / {CHUNK_ROWS}, all / {CHUNK_SHINGLES})) AS LONG)",
         ["component"],
         sets.join(sizes, "component").select("component", "members", "all", "doc_id", "shingles"),
-        CHUNK_ROWS,
     )
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
