@@ -94,6 +94,34 @@ def test_the_schedule_is_spread_evenly(docs_of):
         assert abs(counts[r.source_no] - share[r.source_no] * n) < 12
 
 
+@pytest.mark.parametrize("millions", [2, 5, 10])
+def test_small_sources_get_all_their_slots(spark, millions):
+    """Sources of 1 to 20 blocks, stopped at three rounds, beside large ones."""
+    small = {i: i for i in range(1, 21)}
+    sizes = {0: millions * 300_000, **small, 21: millions * 350_000, 22: millions * 350_000}
+    rows = [(f"s{no:02}", no, n, float(3 * n if no in small else n)) for no, n in sizes.items()]
+    schema = "source string, source_no long, source_size long, target double"
+    shares, slots = mixing._shares(spark.createDataFrame(rows, schema), 1)
+    assert slots == sum(3 * n if no in small else n for no, n in sizes.items())
+    found = mixing.schedule_slots(shares, slots).groupBy("source_no").count()
+    counts = {r.source_no: r["count"] for r in found.collect()}
+    assert counts == {no: 3 * n if no in small else n for no, n in sizes.items()}
+
+
+def test_small_sources_have_small_blocks(docs_of):
+    """A source below the size of a block still comes near its target."""
+    rows = [(i, "w " * 10, "en", f"s{i % 2}") for i in range(400)]
+    rows += [(1_000 + i, "w " * 4, "en", "tiny") for i in range(5)]
+    rows += [(2_000 + i, "w " * 10, "en", f"t{i % 5}") for i in range(500)]
+    taken, target = defaultdict(int), {}
+    for r in mixing.mix_sources(docs_of(rows), block_words=1_024).collect():
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    for source, words in taken.items():
+        assert abs(words - target[source]) <= max(1, target[source] / 16), source
+    assert taken["tiny"] == 60
+
+
 def test_rendering(docs_of):
     docs = docs_of([(i, f"a{i} b c d", "en", f"s{i % 3}") for i in range(30)]).select("doc_id", "text", "lang", "source")
     mix = mixing.mix_sources(docs, block_words=3)

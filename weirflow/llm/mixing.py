@@ -1,10 +1,14 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
-Slot k of the schedule is the golden-ratio point k * phi mod 1. The sources
-divide [0, 1) by their shares, and the one that covers the point gets the slot,
-so that any stretch of the schedule is close to the shares. The n-th slot of a
-source takes its n-th block: the source's documents in shuffled order, cut into
-blocks of equally many words, over and over for at most ``max_epochs`` rounds.
+The schedule goes through the points k * F(n-1) mod F(n), a golden-ratio lattice
+of Fibonacci numbers that visits each of 0 .. F(n) - 1 once. Every source covers
+as many points as it is to have slots, and the one that covers a point gets the
+slot; points beyond the last source are passed over. So each source has exactly
+its slots, and any stretch of the schedule is close to the shares. The n-th slot
+of a source takes its n-th block: the source's documents in shuffled order, cut
+into blocks of equally many words, over and over for at most ``max_epochs``
+rounds. Small sources have smaller blocks, so that rounding to whole slots is a
+small part of any source.
 
 Nothing is gathered per source: running sums go through hash buckets (words) or
 chunks of slots (ranks) whose totals are small tables.
@@ -24,8 +28,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 # About a million slots; blocks grow to at most BLOCK_WORDS words, so beyond
 # a billion words the number of slots follows the input.
 SLOTS, BLOCK_WORDS = 1 << 20, 1024
-# Points are multiples of 2^-31; the step is the golden ratio's odd numerator.
-POINT_BITS, STEP = 31, 1327217885
+# A source's blocks are small enough for so many slots, if it has the words.
+LEAST_SLOTS = 32
+# Beyond so many slots blocks grow again: products of points have to fit a long.
+MOST_SLOTS = 1 << 31
+FIBONACCI = [1, 2]
+while FIBONACCI[-1] < MOST_SLOTS:
+    FIBONACCI.append(FIBONACCI[-1] + FIBONACCI[-2])
 CELL_BITS, BUCKET_BITS, CHUNK_BITS = 12, 12, 16
 
 
@@ -64,23 +73,22 @@ def source_targets(
 
 
 def _shares(targets: DataFrame, block: int) -> tuple[DataFrame, int]:
-    """The targets with each source's blocks and its part [lo, hi) of the points,
-    and the number of slots that the targets come to."""
-    blocks = F.expr(f"(source_size + {block - 1}) DIV {block}")
+    """The targets with the words of each source's blocks (at most ``block``),
+    their number and the source's part [lo, hi) of the points, and the number of
+    slots that the targets come to."""
+    own = f"least(source_size, target) / {LEAST_SLOTS}"
+    size = F.expr(f"CAST(greatest(1, least({block}, {own})) AS BIGINT)")
+    blocks = F.expr("(source_size + block_size - 1) DIV block_size")
     expected = F.expr("IF(source_size > 0, target * blocks / source_size, 0D)")
     upto = Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, 0)
-    shares = targets.withColumn("blocks", blocks).withColumn("expected", expected)
-    shares = shares.withColumn("upto", F.sum("expected").over(upto))
-    shares = shares.withColumn("all", F.max("upto").over(Window.partitionBy()))
-    points = float(1 << POINT_BITS)
-    edge = F.round(F.col("upto") / F.col("all") * points).cast("long")
-    shares = shares.withColumn("hi", F.when(F.col("all") > 0, edge).otherwise(0))
+    shares = targets.withColumn("block_size", size).withColumn("blocks", blocks)
+    shares = shares.withColumn("expected", expected)
+    shares = shares.withColumn("hi", F.round(F.sum("expected").over(upto)).cast("long"))
     shares = shares.withColumn(
         "lo", F.coalesce(F.lag("hi").over(Window.orderBy("source_no")), F.lit(0))
     )
     shares = cut_lineage(shares)
-    slots = shares.agg(F.max("all")).first()[0] or 0.0
-    return shares, round(slots)
+    return shares, shares.agg(F.max("hi")).first()[0] or 0
 
 
 def schedule_slots(shares: DataFrame, slots: int, max_epochs: int = 3) -> DataFrame:
@@ -89,8 +97,11 @@ def schedule_slots(shares: DataFrame, slots: int, max_epochs: int = 3) -> DataFr
     A slot beyond the last epoch of its source, which can only come from the
     rounding of a target that stops there, takes nothing and is left out.
     """
-    modulus = 1 << POINT_BITS
-    shift = POINT_BITS - CELL_BITS
+    n = next((i for i, f in enumerate(FIBONACCI) if f >= slots), None)
+    if n is None:
+        raise ValueError(f"{slots} slots are more than {FIBONACCI[-1]}")
+    modulus, step = FIBONACCI[n], FIBONACCI[max(0, n - 1)]
+    shift = max(0, modulus.bit_length() - CELL_BITS)
     # Points are looked up by equality on their cell; there are at most
     # 2^CELL_BITS cells plus one per source.
     cells = shares.where("hi > lo").select(
@@ -100,16 +111,18 @@ def schedule_slots(shares: DataFrame, slots: int, max_epochs: int = 3) -> DataFr
         "hi",
         F.explode(F.sequence(F.shiftright("lo", shift), F.shiftright(F.col("hi") - 1, shift))).alias("cell"),
     )
-    drawn = shares.sparkSession.range(slots).select(
-        F.col("id").alias("slot"),
-        F.expr(f"((id % {modulus}L) * {STEP}L) % {modulus}L").alias("point"),
+    drawn = shares.sparkSession.range(modulus if slots else 0).select(
+        "id", F.expr(f"(id * {step}L) % {modulus}L").alias("point")
     )
-    drawn = drawn.withColumn("cell", F.shiftright("point", shift))
+    drawn = drawn.where(F.col("point") < slots).withColumn("cell", F.shiftright("point", shift))
     drawn = drawn.join(cells, "cell").where("point >= lo AND point < hi")
     drawn = drawn.select(
-        "slot", "source_no", "blocks", F.shiftright("slot", CHUNK_BITS).alias("chunk")
+        "id", "source_no", "blocks", F.shiftright("id", CHUNK_BITS).alias("chunk")
     )
+    # What lies before each chunk, of its source and in all; points that were
+    # passed over have no number.
     chunks = drawn.groupBy("source_no", "chunk").agg(F.count(F.lit(1)).alias("here"))
+    chunks = cut_lineage(chunks)
     earlier = (
         Window.partitionBy("source_no")
         .orderBy("chunk")
@@ -118,16 +131,23 @@ def schedule_slots(shares: DataFrame, slots: int, max_epochs: int = 3) -> DataFr
     first = chunks.select(
         "source_no", "chunk", F.coalesce(F.sum("here").over(earlier), F.lit(0)).alias("first")
     )
-    in_chunk = Window.partitionBy("source_no", "chunk").orderBy("slot")
-    ranked = drawn.withColumn("nth", F.row_number().over(in_chunk) - 1).join(
-        first, ["source_no", "chunk"]
+    before = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = chunks.groupBy("chunk").agg(F.sum("here").alias("all_here"))
+    starts = starts.select("chunk", F.coalesce(F.sum("all_here").over(before), F.lit(0)).alias("start"))
+    first = first.join(starts, "chunk")
+    in_chunk = Window.partitionBy("chunk").orderBy("id")
+    of_source = Window.partitionBy("source_no", "chunk").orderBy("id")
+    ranked = (
+        drawn.withColumn("in_chunk", F.row_number().over(in_chunk) - 1)
+        .withColumn("nth", F.row_number().over(of_source) - 1)
+        .join(first, ["source_no", "chunk"])
     )
     rank = F.col("first") + F.col("nth")
     return (
         ranked.withColumn("rank", rank)
         .where(F.col("rank") < F.col("blocks") * max_epochs)
         .select(
-            "slot",
+            (F.col("start") + F.col("in_chunk")).alias("slot"),
             "source_no",
             "rank",
             F.expr("rank % blocks").alias("block"),
@@ -185,13 +205,13 @@ def mix_sources(
     rows = staged(docs.select("doc_id", "source", words.alias("size")), "mix-rows")
     targets = cut_lineage(source_targets(rows, weights, max_epochs))
     total = targets.agg(F.sum("source_size")).first()[0] or 0
-    block = block_words or max(1, min(BLOCK_WORDS, total // SLOTS))
+    block = block_words or max(1, min(BLOCK_WORDS, total // SLOTS), total // MOST_SLOTS)
     shares, slots = _shares(targets, block)
     schedule = schedule_slots(shares, slots, max_epochs)
     times = schedule.groupBy("source_no", "block").agg(F.count(F.lit(1)).alias("times"))
 
     numbered = rows.join(
-        targets.select(F.col("source").alias("name"), "source_no", "source_size", "target"),
+        shares.select(F.col("source").alias("name"), "source_no", "source_size", "target", "block_size"),
         F.col("source").eqNullSafe(F.col("name")),
     ).drop("name")
     placed = staged(_shuffled_starts(numbered), "mix-placed")
@@ -200,10 +220,11 @@ def mix_sources(
         "source_no",
         "start",
         "size",
-        F.explode(F.expr(f"sequence(start DIV {block}, (start + size - 1) DIV {block})")).alias("block"),
+        "block_size",
+        F.explode(F.expr("sequence(start DIV block_size, (start + size - 1) DIV block_size)")).alias("block"),
     )
     overlap = F.expr(
-        f"least(start + size, (block + 1) * {block}L) - greatest(start, block * {block}L)"
+        "least(start + size, (block + 1) * block_size) - greatest(start, block * block_size)"
     )
     # The size that Spark expects of the parts leaves out that documents have many:
     # no broadcast.
