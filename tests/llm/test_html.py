@@ -38,6 +38,19 @@ def test_clusters_tell_lists_of_links_from_text():
     assert main_text(f"<body>{links}<div><p>{LONG}</p><p>short</p><p>{LONG}</p></div>{links}</body>") == f"{LONG}\n\nshort\n\n{LONG}"
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<div><p>{LONG}</p></div><article class='card'><p>Teaser</p></article>", LONG),
+        (f"<article class='card'><p>Teaser</p></article><div><p>{LONG}</p><p>end</p></div>", f"{LONG}\n\nend"),
+        (f"<article><p>{LONG}</p><p>end</p></article><div><a>x</a> <a>y</a></div>", f"{LONG}\n\nend"),
+        (f"<div><p>{LONG}</p></div><main><p>short</p></main>", f"{LONG}\n\nshort"),
+    ],
+)
+def test_regions_outside_of_articles_compete(html, text):
+    assert main_text(html) == text
+
+
 def test_smoothing_and_threshold():
     assert smoothed([5.0, 5.0, 5.0]) == pytest.approx([5.0, 5.0, 5.0])
     assert smoothed([0.0, 9.0, 0.0])[1] > smoothed([0.0, 9.0, 0.0])[0] > 0

@@ -10,6 +10,7 @@ reader comments count for the ratios but are never content. The others form
 regions: an article with all that is in it, or elsewhere the lines directly in
 one container. Regions that reach the upper cluster are the content, whole, so
 that short paragraphs next to long ones stay; if none reaches it, the highest.
+A main element always gives the highest region in it.
 """
 
 from __future__ import annotations
@@ -55,7 +56,8 @@ MARKED_ARTICLE = frozenset("ad advert comment promo related reply sponsored".spl
 #: Name parts that only say that something else has such a part.
 HAVING = frozenset("has have hide no not off on show with without".split())
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-MAIN = frozenset(("article", "main"))
+# Elements that mark a main part; a page has many articles, but one main element.
+MAIN = {"article": 1, "main": 2}
 # Elements that hold a region of their own.
 CONTAINER = frozenset("article div main section td".split())
 # Elements that an open <p> does not outlive.
@@ -72,16 +74,16 @@ class _Lines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        # Text, tags, region, and whether it is skipped or in a main part.
-        self.lines: list[tuple[str, int, int, bool, bool]] = []
-        # Name, skipped, in a main part, region of the lines directly inside, and
+        # Text, tags, region, whether it is skipped, and the main part it is in.
+        self.lines: list[tuple[str, int, int, bool, int]] = []
+        # Name, skipped, main part it is in, region of the lines directly inside, and
         # whether the text inside is dropped.
-        self.open: list[tuple[str, bool, bool, int, bool]] = []
+        self.open: list[tuple[str, bool, int, int, bool]] = []
         self.text: list[str] = []
         self.tags = 0
         self.region = self.regions = 0
         self.silent = 0  # open elements whose text is dropped
-        self.skip = self.main = False
+        self.skip, self.main = False, 0
 
     def end_line(self) -> None:
         if self.text:
@@ -97,7 +99,7 @@ class _Lines(HTMLParser):
 
     def _resume(self) -> None:
         """What is open after an end tag decides again."""
-        _, skip, main, region, _ = self.open[-1] if self.open else ("", False, False, 0, False)
+        _, skip, main, region, _ = self.open[-1] if self.open else ("", False, 0, 0, False)
         if (skip, main, region) != (self.skip, self.main, self.region):
             self.end_line()
             self.skip, self.main, self.region = skip, main, region
@@ -134,7 +136,7 @@ class _Lines(HTMLParser):
         silent = tag in SILENT or skipped and tag not in BLOCK
         self.silent += silent
         skip = self.skip or skipped and not silent
-        main = self.main or tag in MAIN
+        main = max(self.main, MAIN.get(tag, 0))
         region = self.region
         if tag in CONTAINER and not skip and (tag == "article" or not self.main):
             region = self._new_region()
@@ -230,8 +232,6 @@ def main_text(html: str | None) -> str:
     parser.end_line()
     lines = parser.lines
     kept = [i for i, line in enumerate(lines) if not line[3]]
-    # Where a page marks its main part, the content is in there.
-    kept = [i for i in kept if lines[i][4]] or kept
     if not kept:
         return ""
     smooth = smoothed([len(line[0]) / max(1, line[1]) for line in lines])
@@ -239,8 +239,12 @@ def main_text(html: str | None) -> str:
     for i in kept:
         region = lines[i][2]
         highest[region] = max(highest.get(region, 0.0), smooth[i])
-    border = min(threshold(smooth), max(highest.values()))
-    return "\n\n".join(lines[i][0] for i in kept if highest[lines[i][2]] >= border)
+    border = threshold(smooth)
+    inside = {lines[i][2] for i in kept if lines[i][4] == MAIN["main"]}
+    # Without a region above the border, the highest one counts.
+    least = min(border, max(highest[region] for region in inside or highest))
+    content = {r for r, top in highest.items() if top >= (least if r in inside or not inside else border)}
+    return "\n\n".join(lines[i][0] for i in kept if lines[i][2] in content)
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
