@@ -51,6 +51,27 @@ def test_regions_outside_of_articles_compete(html, text):
     assert main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    ("part", "text"),
+    [
+        (f"<section id='related-work'><h2>Before</h2><p>{LONG}</p></section>", f"Before\n\n{LONG}"),
+        (f"<section id='discussion'><h2>What</h2><p>{LONG}</p><p>short</p></section>", f"What\n\n{LONG}\n\nshort"),
+        (f"<h2 id='search'>Search</h2><p>{LONG}</p>", f"Search\n\n{LONG}"),
+        (f"<div class='dialog'><p>{LONG}</p></div>", LONG),
+        ("<p>He <span class='dialog'>said</span> so</p>", "He said so"),
+        ("<div class='related'><a href='/1'>One</a> <a href='/2'>Two</a></div>", None),
+        ("<ul class='share'><li><a href='/1'>One</a></li><li><a href='/2'>Two</a></li></ul>", None),
+        (f"<div class='cookie-notice'><p>{LONG}</p></div>", None),
+        (f"<div role='dialog'><p>{LONG}</p></div>", None),
+        (f"<div class='comments'><p>{LONG}</p></div>", None),
+    ],
+)
+def test_ambiguous_names_inside_an_article_need_their_ratio(part, text):
+    around = f"<h1>T</h1><p>{LONG}</p>"
+    wanted = ["T", LONG, *([text] if text else []), "end"]
+    assert main_text(f"<article>{around}{part}<p>end</p></article>") == "\n\n".join(wanted)
+
+
 def test_smoothing_and_threshold():
     assert smoothed([5.0, 5.0, 5.0]) == pytest.approx([5.0, 5.0, 5.0])
     assert smoothed([0.0, 9.0, 0.0])[1] > smoothed([0.0, 9.0, 0.0])[0] > 0

@@ -10,6 +10,8 @@ reader comments count for the ratios but are never content. The others form
 regions: an article with all that is in it, or elsewhere the lines directly in
 one container. Regions that reach the upper cluster are the content, whole, so
 that short paragraphs next to long ones stay; if none reaches it, the highest.
+Inside an article, parts whose name may as well be their subject are regions of
+their own, compared by what their own lines give.
 A main element always gives the highest region in it.
 """
 
@@ -51,7 +53,14 @@ MARKS = frozenset(
     " promo promotion related replies responses search share sharing sidebar signup social"
     " sponsor sponsored subscribe toolbar widget".split()
 )
-#: Of these, what an article element can be.
+#: Of these, what can as well be the subject of a part of an article.
+HINTS = frozenset(
+    "advertising banner consent cookie cookies dialog discussion feedback footer login menu"
+    " navigation notice notices promotion related responses search share sharing social"
+    " subscribe toolbar".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Of the marks, what an article element can be.
 MARKED_ARTICLE = frozenset("ad advert comment promo related reply sponsored".split())
 #: Name parts that only say that something else has such a part.
 HAVING = frozenset("has have hide no not off on show with without".split())
@@ -82,6 +91,7 @@ class _Lines(HTMLParser):
         self.text: list[str] = []
         self.tags = 0
         self.region = self.regions = 0
+        self.hinted: set[int] = set()  # regions that HINTS name
         self.silent = 0  # open elements whose text is dropped
         self.skip, self.main = False, 0
 
@@ -104,20 +114,28 @@ class _Lines(HTMLParser):
             self.end_line()
             self.skip, self.main, self.region = skip, main, region
 
-    def _is_skipped(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def _is_skipped(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
+        """Whether an element is skipped, and whether there is a hint that it may be."""
         if tag in SKIPPED:
-            return True
+            return True, False
         if tag == "header":  # of the page; one inside an article holds its title
-            return not self.main
+            return not self.main, False
         if tag in ("html", "body", "main"):
-            return False
+            return False, False
+        hinted = False
         for name, value in attrs:
             if name in ("class", "id", "role") and value:
-                if any(_is_mark(word, tag) for word in value.lower().split()):
-                    return True
+                if name == "id" and tag in HEADINGS:  # the anchor of its words
+                    continue
+                for word in value.lower().split():
+                    if not _is_mark(word, tag):
+                        continue
+                    if not self.main or name == "role" or tag in MAIN or not _is_hint(word):
+                        return True, False
+                    hinted = True
             elif name in ("hidden", "aria-modal") or name == "style" and value and HIDDEN.search(value):
-                return True
-        return False
+                return True, False
+        return False, hinted
 
     def handle_starttag(self, tag, attrs):
         if tag in CLOSES_P:
@@ -131,15 +149,20 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        skipped = self._is_skipped(tag, attrs)
+        skipped, hinted = self._is_skipped(tag, attrs)
         # An inline part that is skipped leaves the line around it whole.
         silent = tag in SILENT or skipped and tag not in BLOCK
         self.silent += silent
         skip = self.skip or skipped and not silent
         main = max(self.main, MAIN.get(tag, 0))
         region = self.region
-        if tag in CONTAINER and not skip and (tag == "article" or not self.main):
+        # An inline part with a hint belongs to its line.
+        hinted = hinted and tag in BLOCK
+        own = hinted or tag == "article" or tag in CONTAINER and not self.main
+        if own and not skip and self.region not in self.hinted:
             region = self._new_region()
+            if hinted:
+                self.hinted.add(region)
         self.open.append((tag, skip, main, region, silent))
         if (skip, main, region) != (self.skip, self.main, self.region):
             self.end_line()
@@ -191,6 +214,13 @@ def _is_mark(word: str, tag: str) -> bool:
     return bool(parts) and HAVING.isdisjoint(parts) and not MARKS.isdisjoint((parts[0], parts[-1]))
 
 
+def _is_hint(word: str) -> bool:
+    """Whether a mark has one meaning among others; two marks in a name have none."""
+    parts = NAME.findall(word)
+    marks = MARKS.intersection((parts[0], parts[-1]))
+    return len(marks) == 1 and marks <= HINTS
+
+
 def smoothed(ratios: list[float]) -> list[float]:
     """Gaussian weighted means; the weights are those of the lines there are."""
     out = []
@@ -234,11 +264,15 @@ def main_text(html: str | None) -> str:
     kept = [i for i, line in enumerate(lines) if not line[3]]
     if not kept:
         return ""
-    smooth = smoothed([len(line[0]) / max(1, line[1]) for line in lines])
+    ratios = [len(line[0]) / max(1, line[1]) for line in lines]
+    smooth = smoothed(ratios)
     highest: dict[int, float] = {}
     for i in kept:
         region = lines[i][2]
         highest[region] = max(highest.get(region, 0.0), smooth[i])
+    # Long lines around a hinted region say nothing of it.
+    for region in parser.hinted & highest.keys():
+        highest[region] = max(smoothed([ratios[i] for i in kept if lines[i][2] == region]))
     border = threshold(smooth)
     inside = {lines[i][2] for i in kept if lines[i][4] == MAIN["main"]}
     # Without a region above the border, the highest one counts.
