@@ -34,8 +34,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats, shortens and leaves out documents as the mix takes them."""
-    return mixing.render_mix(docs, mixing.mix_sources(docs))
+    """Repeats and leaves out whole documents as the mix takes them."""
+    return mixing.render_mix(docs, mixing.whole_documents(mixing.mix_sources(docs)))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

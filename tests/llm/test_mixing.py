@@ -1,9 +1,10 @@
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from weirflow.llm import mixing
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -133,6 +134,28 @@ def test_rendering(docs_of):
     assert words == {d: t for d, t in taken.items() if t}
 
 
+def test_partial_takings_keep_their_characters(spark):
+    docs = spark.createDataFrame([(1, " a\n\nb\tc  d", "s")], "doc_id long, text string, source string")
+    mix = spark.createDataFrame([(1, "s", 4, 3)], "doc_id long, source string, size long, taken long")
+    assert [r.text for r in mixing.render_mix(docs, mix).collect()] == [" a\n\nb\tc"]
+
+
+def test_whole_documents_are_nearest_to_the_target(spark):
+    rows = [(1, "s", 10, 10, 14.0), (2, "s", 10, 4, 14.0), (3, "t", 10, 20, 27.0), (4, "t", 10, 7, 27.0)]
+    rows += [(5, None, 10, 2, 2.0), (6, None, 10, 0, 2.0), (7, "u", 0, 0, 0.0), (8, "v", 10, 26, 26.0)]
+    mix = spark.createDataFrame(rows, "doc_id long, source string, size long, taken long, target double")
+    found = {r.doc_id: r.taken for r in mixing.whole_documents(mix).collect()}
+    assert found == {1: 10, 2: 0, 3: 20, 4: 10, 5: 10, 6: 0, 7: 0, 8: 30}
+
+
+def test_the_pipeline_cuts_no_document(spark, docs_of):
+    docs = docs_of([(i, f"a{i}\nb  " + "c " * (i % 30 + 20), "en", f"s{i % 3}") for i in range(60)])
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    mixed = corpus_pipeline.mix_sources(spark, docs, None).collect()
+    assert mixed and all(r.text == texts[r.doc_id] for r in mixed)
+    assert max(Counter(r.doc_id for r in mixed).values()) <= 3
+
+
 def test_empty_tables_and_texts(docs_of):
     assert mixing.mix_sources(docs_of(ROWS).where("false")).collect() == []
     found = mixing.mix_sources(docs_of([(1, None), (2, "")])).collect()

@@ -25,6 +25,7 @@ from weirflow.llm.common import staged
 from weirflow.session import cut_lineage
 
 WORD = r"[^\x20\x09-\x0D]+"
+WORD_AND_BEFORE = r"[\x20\x09-\x0D]*" + WORD
 # About a million slots; blocks grow to at most BLOCK_WORDS words, so beyond
 # a billion words the number of slots follows the input.
 SLOTS, BLOCK_WORDS = 1 << 20, 1024
@@ -247,12 +248,30 @@ def mix_sources(
     )
 
 
+def whole_documents(mix: DataFrame) -> DataFrame:
+    """``mix`` without partial takings: the document that a source takes in part
+    is taken whole once more, or left, whichever brings the source nearer to its
+    target. Where nothing else of a source is taken, it is taken.
+
+    Takings stay within the limit, as a partial one is below it.
+    """
+    rest = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(F.lit(0).cast("long"))
+    totals = mix.groupBy("source").agg(F.sum(F.col("taken") - rest).alias("_given"))
+    totals = totals.withColumnRenamed("source", "_source")
+    far = F.abs(F.col("_given") - F.col("target"))
+    nearer = F.abs(F.col("_given") + F.col("size") - F.col("target")) <= far
+    more = (rest > 0) & ((F.col("_given") == 0) | nearer)
+    taken = F.col("taken") - rest + F.when(more, F.col("size")).otherwise(F.lit(0).cast("long"))
+    joined = mix.join(totals, F.col("source").eqNullSafe(F.col("_source")))
+    return joined.withColumn("taken", taken).select(*mix.columns)
+
+
 def render_mix(docs: DataFrame, mix: DataFrame) -> DataFrame:
     """The rows of ``docs`` as often as ``mix`` takes them, with their columns.
 
-    The last, partial taking of a document holds its first words, joined by
-    single spaces; there is at most one such document per source. Rows that
-    share id and source are taken alike. ``n_chars`` is kept right if there is
+    The last, partial taking of a document holds its characters up to the last
+    of its first words; there is at most one such document per source, and none
+    after ``whole_documents``. Rows that share id and source are taken alike. ``n_chars`` is kept right if there is
     one.
     """
     chosen = (
@@ -273,7 +292,8 @@ def render_mix(docs: DataFrame, mix: DataFrame) -> DataFrame:
     copies = F.explode(F.expr("sequence(1L, _whole + IF(_rest > 0, 1, 0))"))
     taken = docs.join(chosen, same).withColumn("_copy", copies)
     cut = F.col("_copy") > F.col("_whole")
-    first = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), 1, F.col("_rest")), " ")
+    words = F.regexp_extract_all("text", F.lit(WORD_AND_BEFORE), 0)
+    first = F.array_join(F.slice(words, 1, F.col("_rest")), "")
     taken = taken.withColumn("text", F.when(cut, first).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         chars = F.char_length("text").cast(docs.schema["n_chars"].dataType)
