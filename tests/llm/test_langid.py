@@ -70,6 +70,18 @@ def test_texts_without_letters_and_other_edges(docs_of):
     assert by_id[7][0] in model.languages and by_id[9][1] > 0.99
 
 
+def test_a_repeated_id_is_one_document_of_the_sample(docs_of, monkeypatch):
+    """However often it occurs and whatever its hash."""
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 5)
+    fitted = []
+    monkeypatch.setattr(langid, "fit", lambda counts, pieces: fitted.append(counts))
+    single = [(i, f"word{'abcdefghij'[i % 10]}", "en", "s") for i in range(40)]
+    langid.learn(docs_of(single), [])
+    langid.learn(docs_of(single * 8), [])
+    assert fitted[-1] == fitted[0]
+    assert fitted[0]["en"].total() == 5
+
+
 def test_no_labels_and_no_rows(docs_of):
     model = langid.learn(docs_of([(1, "some text", None, "s")]))
     assert model.languages == []

@@ -239,7 +239,8 @@ def held_out(doc_id: Column) -> Column:
 def learn(docs: DataFrame, pieces: list[str] | None = None) -> Model:
     """Fit a model on ``docs`` (doc_id, text, lang): on at most SAMPLE_DOCS
     documents of each language that are not held out, those of the smallest
-    hashes of their ids, with their first SAMPLE_CHARS characters."""
+    hashes of their ids, with their first SAMPLE_CHARS characters. Rows that share
+    an id and a language count as one document, that of the smallest text."""
     labelled = docs.where(
         F.col("lang").isNotNull()
         & (F.col("lang") != UNKNOWN)
@@ -250,14 +251,16 @@ def learn(docs: DataFrame, pieces: list[str] | None = None) -> Model:
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
         labelled.select("doc_id", "lang")
+        .distinct()
         .withColumn("nth", F.row_number().over(first))
         .where(F.col("nth") <= SAMPLE_DOCS)
         .select("doc_id", "lang")
-        .distinct()
     )
     # At most SAMPLE_DOCS ids of a language.
-    sample = labelled.join(F.broadcast(chosen), ["doc_id", "lang"]).select(
-        "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text")
+    sample = (
+        labelled.join(F.broadcast(chosen), ["doc_id", "lang"])
+        .groupBy("lang", "doc_id")
+        .agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text"))
     )
     counts: dict[str, Counter[str]] = {}
     for row in sample.toLocalIterator():
