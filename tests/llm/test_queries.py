@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_operators_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(ORACLE_SQL) <= set(contract.oracle_sql())
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import bitsliced, html, idcoder, langid, mixing, neardup, onebit, packing, ring, warc
+from weirflow.llm import bitsliced, html, idcoder, langid, mixing, neardup, onebit, packing, quality, ring, warc
 from weirflow.llm.common import table
 from weirflow.session import scratch_path
 
@@ -112,3 +112,57 @@ SELECT page_id, url, CAST(strlen(html) AS BIGINT) AS n_bytes, sha256(html) AS sh
   CASE WHEN page_id % 97 = 13 THEN '1' ELSE '' END AS damaged_replicas
 FROM pages
 """
+
+
+@_query
+def op12_quality_rules(spark, sf_dir):
+    judged = quality.judge(table(spark, sf_dir, "documents"))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *base, "base_failed", "kept", "broken_rules")
+
+
+_STOPS = ", ".join(f"'{word}'" for word in quality.stop_words())
+ORACLE_SQL["op12_quality_rules"] = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS text FROM documents
+), cut AS (
+  SELECT r, doc_id, lang, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+    list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM docs
+), windows AS (
+  SELECT r, unnest(range(1, len(words) - 6)) AS p,
+    unnest(list_transform(range(1, len(words) - 6), lambda i: words[i:i + 7])) AS w
+  FROM cut WHERE len(words) >= 8
+), twice AS (
+  SELECT r, w FROM windows GROUP BY r, w HAVING count(*) > 1
+), covered AS (
+  SELECT r, count(DISTINCT p + k) AS n
+  FROM windows JOIN twice USING (r, w), range(8) AS t(k) GROUP BY r
+), measured AS (
+  SELECT doc_id, lang, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    length(regexp_replace(text, '[^!]', '', 'g')) AS n_exclamations,
+    len(lines) AS n_lines,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+    len(list_filter(words, lambda w: rtrim(w, '.,;:!?') IN ({_STOPS}))) AS n_stop_words
+  FROM cut LEFT JOIN covered USING (r)
+), judged AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    concat_ws(',',
+      CASE WHEN n_words < 20 THEN 'too_few_words' END,
+      CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 'repeated_words' END,
+      CASE WHEN 100 * word_chars NOT BETWEEN 250 * n_words AND 1200 * n_words THEN 'word_length' END,
+      CASE WHEN 100 * n_symbols > 10 * n_words THEN 'symbols' END,
+      CASE WHEN 100 * n_exclamations > 30 * n_words THEN 'exclamations' END,
+      CASE WHEN 100 * n_stop_words < 4 * n_words AND (lang IS NULL OR lang IN ('de', 'en', 'es', 'fr'))
+        THEN 'stop_words' END,
+      CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 'repeated_lines' END
+    ) AS broken_rules
+  FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  broken_rules = '' AS kept, broken_rules
+FROM judged
+"""
