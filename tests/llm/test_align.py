@@ -1,0 +1,134 @@
+import hashlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from weirflow.llm import align
+from weirflow.llm.csr import Csr, product, reach
+
+FILES = align.vocabularies()
+FULL = Tokenizer.from_str(FILES[0])
+FULL.encode_special_tokens = True
+PIECES = sentencepiece.SentencePieceProcessor(model_proto=FILES[1])
+ALIGNER = align.Aligner(*FILES)
+
+
+def spans(tokens):
+    out, at = [], 0
+    for i, size in tokens:
+        out.append((i, at, at + size))
+        at += size
+    return out
+
+
+def plain(text):
+    """Groups, links and group links of a whole text by loops; None without tokens."""
+    if not text:
+        return None
+    data = (" " + text).encode()
+    a_ids = FULL.encode(" " + text, add_special_tokens=False).ids
+    b_ids = PIECES.encode(text)
+    a_bytes = [bytes(ALIGNER.a.letters[s : s + n]) for s, n in ((ALIGNER.a.starts[i], ALIGNER.a.sizes[i]) for i in a_ids)]
+    b_bytes = [
+        bytes([int(p[3:5], 16)]) if PIECES.is_byte(i) else p.replace("▁", " ").encode()
+        for i, p in ((i, PIECES.id_to_piece(i)) for i in b_ids)
+    ]
+    if b"".join(a_bytes) != data or b"".join(b_bytes) != data:
+        return None
+    a = spans(zip(a_ids, map(len, a_bytes), strict=True))
+    b = spans(zip(b_ids, map(len, b_bytes), strict=True))
+    links, k = [], 0
+    for i, s, e in a:
+        while b[k][2] <= s:
+            k += 1
+        j = k
+        while j < len(b) and b[j][1] < e:
+            links.append((i, b[j][0]))
+            j += 1
+    cuts = sorted({e for _, _, e in a} & {e for _, _, e in b})
+    groups, start = [], 0
+    for cut in cuts:
+        groups.append(([i for i, s, e in a if start < e <= cut], [i for i, s, e in b if start < e <= cut]))
+        start = cut
+    return a_ids, b_ids, groups, links
+
+
+def brute(rows):
+    found = [plain(t) for _, t in rows]
+    count = Counter(p for f in found if f for p in set(f[3]))
+    best = defaultdict(int)
+    for (a, _), n in count.items():
+        best[a] = max(best[a], n)
+    out = []
+    for (d, _), f in zip(rows, found, strict=True):
+        if f is None:
+            out.append((d, 0, 0, 0, 0, 0, 0, "", 0))
+            continue
+        a, b, groups, links = f
+        text = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        out.append(
+            (d, len(a), len(b), len(groups), len(links), sum(count[p] == best[p[0]] for p in links),
+             sum(count[p] for p in links), hashlib.sha256(text.encode()).hexdigest(), sum(len(x) * len(y) for x, y in groups))
+        )
+    return out
+
+
+CHARS = st.text("abcDE 's.,!09é\t\n   ▁　<|>中😀\x00\x85", max_size=24)
+PARTS = st.sampled_from(["<|endoftext|>", "</s>", "<s>", "<0x41>", "don't ", "  indent", "trail  ", "\n\n x", "naïve", " ", "    "])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.one_of(CHARS, PARTS), max_size=5).map("".join), max_size=5))
+def test_stretches_give_the_tokens_of_the_whole_text(texts):
+    import pyarrow as pa
+
+    counts, digests, first, codes, links = ALIGNER.documents(pa.array(texts, pa.string()))
+    for i, expected in enumerate(brute(list(enumerate(texts)))):
+        assert tuple(counts[i, :4]) == expected[1:5]
+        assert (digests[i], counts[i, 4]) == expected[7:9]
+        f = plain(texts[i])
+        wanted = Counter(a * ALIGNER.pairs_width + b for a, b in f[3]) if f else {}
+        assert dict(zip(codes[first[i] : first[i + 1]].tolist(), links[first[i] : first[i + 1]].tolist(), strict=True)) == dict(wanted)
+
+
+def test_rows_equal_brute_force(docs_of, spark, monkeypatch):
+    monkeypatch.setattr(align, "BLOCK_BYTES", 4_000)
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).collect()]
+    rows += [(9_001, None), (9_002, ""), (9_003, " "), (9_004, "lower ▁ mark"), (None, "no id"), (9_005, rows[0][1]), (9_005, rows[0][1])]
+    rows += [(9_006, "word " * 20_000), (9_007, "x" * 5_000), (9_008, "<|endoftext|> is text")]
+    found = align.align_documents(docs_of(rows)).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(brute(rows), key=str)
+    assert found[0].asDict().keys() == {"doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_group_links"}
+    assert align.align_documents(docs_of(rows).where("false")).collect() == []
+
+
+def test_forgetting_stretches(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(align, "KNOWN_STRETCHES", 4)
+    small = align.Aligner(*FILES)
+    for text in ("one two three four five", "six one two", "one"):
+        got = small.documents(pa.array([text]))
+        assert got[1][0] == brute([(0, text)])[0][7]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_products_equal_dense_ones(seed):
+    random = np.random.default_rng(seed)
+    left, right = random.integers(0, 2, (7, 5)), random.integers(0, 2, (5, 6))
+
+    def csr(m):
+        return Csr(np.concatenate([[0], np.cumsum(m.sum(axis=1))]), np.nonzero(m)[1], m.shape[1])
+
+    rows, columns, values = product(csr(left), csr(right))
+    dense = np.zeros((7, 6), int)
+    dense[rows, columns] = values
+    assert (dense == left @ right).all()
+    assert (reach(csr(left), csr(right)) == (left @ right).sum(axis=1)).all()
+    turned = csr(right).transposed()
+    assert (turned.rows() == np.nonzero(right.T)[0]).all() and (turned.columns == np.nonzero(right.T)[1]).all()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import bitsliced, html, idcoder, langid, mixing, neardup, onebit, packing, quality, ring, warc
+from weirflow.llm import align, bitsliced, html, idcoder, langid, mixing, neardup, onebit, packing, quality, ring, warc
 from weirflow.llm.common import table
 from weirflow.session import scratch_path
 
@@ -166,3 +166,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   broken_rules = '' AS kept, broken_rules
 FROM judged
 """
+
+
+@_query
+def op11_token_alignment(spark, sf_dir):
+    return align.align_documents(table(spark, sf_dir, "documents"))
