@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import align, bitsliced, html, idcoder, langid, mixing, neardup, onebit, packing, quality, ring, warc
+from weirflow.llm import align, bitsliced, html, idcoder, langid, mixing, neardup, onebit, packing, phrases, quality, ring, warc
 from weirflow.llm.common import table
 from weirflow.session import scratch_path
 
@@ -171,3 +171,53 @@ FROM judged
 @_query
 def op11_token_alignment(spark, sf_dir):
     return align.align_documents(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_phrase_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def _phrase_counts(words: int) -> str:
+    """SQL for the occurrences of all phrases of so many words."""
+    return f"""
+  SELECT lang, {words} AS words, w AS phrase, count(*) AS n FROM (
+    SELECT lang, unnest(list_transform(range(1, len(ws) - {words - 2}),
+      lambda i: array_to_string(ws[i:i + {words - 1}], ' '))) AS w
+    FROM pieces WHERE len(ws) >= {words}
+  ) GROUP BY ALL{" HAVING count(*) >= 100" if words > 1 else ""}"""
+
+
+ORACLE_SQL["op13_phrase_collocations"] = rf"""
+WITH cut AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), pieces AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM cut
+), counts AS ({" UNION ALL ".join(map(_phrase_counts, range(1, 6)))}
+), totals AS (
+  SELECT lang, sum(n) AS n FROM counts WHERE words = 1 GROUP BY lang
+), candidates AS (
+  SELECT *, string_split(phrase, ' ') AS ws FROM counts WHERE words > 1
+), scored AS (
+  SELECT c.lang, c.phrase, c.words, c.n AS a, k, f.n AS l, g.n AS r, t.n AS n,
+    (1000::HUGEINT * c.n::HUGEINT * t.n::HUGEINT) // (f.n::HUGEINT * g.n::HUGEINT) AS score
+  FROM candidates c JOIN range(1, 5) AS cuts(k) ON k < c.words
+  JOIN counts f ON f.lang = c.lang AND f.phrase = array_to_string(c.ws[1:k], ' ')
+  JOIN counts g ON g.lang = c.lang AND g.phrase = array_to_string(c.ws[k + 1:], ' ')
+  JOIN totals t ON t.lang = c.lang
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT DISTINCT s.lang, s.phrase FROM candidates s JOIN candidates q
+    ON s.lang = q.lang AND s.words < q.words AND 100 * q.n >= 100 * s.n
+    AND contains(' ' || q.phrase || ' ', ' ' || s.phrase || ' ')
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest ANTI JOIN inside USING (lang, phrase)
+)
+SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+  CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
