@@ -12,7 +12,7 @@ is the exact number of occurrences.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,8 @@ LEAST_COUNT, LONGEST, FIRST = 100, 5, 2000
 NO_LANG = "und"
 # Bits of the bitmap, phrases in a trie, and counts that a task holds.
 BITS, PART_PHRASES, HELD_COUNTS = 1 << 25, 500_000, 4_000_000
+# Counts of so many phrases travel together.
+CHUNK = 8192
 
 _CHAIN = np.uint64(0xD1342543DE82EF95)
 _BREAK = np.zeros(256, bool)
@@ -169,7 +171,8 @@ def _level(texts: DataFrame, words: int, before: np.ndarray | None) -> DataFrame
 
 
 def _read(texts: DataFrame, frequent: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """phrase (its hash), lang, words (how many) and text of all frequent phrases."""
+    """lang, words (how many) and text of all phrases of two words or more whose
+    hash is in ``frequent``."""
     shared = texts.sparkSession.sparkContext.broadcast(bitmap)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,6 +181,8 @@ def _read(texts: DataFrame, frequent: DataFrame, bitmap: np.ndarray) -> DataFram
         for found, step in _steps(batches, hasher):
             langs = step.column("lang")
             for k, (hashes, inside) in enumerate(found.phrases(_langs(step)), 1):
+                if k == 1:
+                    continue
                 at = np.flatnonzero(inside & _seen(marked, hashes))
                 distinct, first = np.unique(hashes[at], return_index=True)
                 new = ~np.isin(distinct, done[k - 1], assume_unique=True)
@@ -194,48 +199,44 @@ def _read(texts: DataFrame, frequent: DataFrame, bitmap: np.ndarray) -> DataFram
                 yield pa.RecordBatch.from_arrays(columns, ["phrase", "lang", "words", "text"])
 
     rows = texts.mapInArrow(read, "phrase long, lang string, words int, text string")
-    return rows.join(frequent.select("phrase"), "phrase").groupBy("phrase").agg(
-        *[F.min(c).alias(c) for c in ("lang", "words", "text")]
-    )
-
-
-def _counter(phrases: list[tuple[int, str, str]]) -> Callable:
-    """Counts the given phrases (hash, lang, text) in texts by a trie of them, and
-    all words of each language (phrase null)."""
-    names = sorted({word for _, _, text in phrases for word in text.split(" ")})
-    letters, offsets = text_bytes(pa.array(names, pa.string()))
-    hashes = Hasher().spans(letters, offsets[:-1], offsets[1:])
-    order = np.argsort(hashes)
-    ranked = hashes[order]
-    if np.any(ranked[1:] == ranked[:-1]):
-        raise RuntimeError("two words share a hash")
-    codes = {names[i]: code for code, i in enumerate(order.tolist(), 1)}
-    langs = {lang: code for code, lang in enumerate(sorted({lang for _, lang, _ in phrases}), len(names) + 1)}
-    trie = DoubleArrayTrie([(langs[lang], *[codes[w] for w in text.split(" ")]) for _, lang, text in phrases])
-    ids = np.array([i for i, _, _ in phrases], np.int64)
-    return _Counter(trie, ranked, langs, ids)
+    return rows.join(frequent, "phrase").select("lang", "words", "text").distinct()
 
 
 class _Counter:
-    def __init__(self, trie: DoubleArrayTrie, words: np.ndarray, langs: dict[str, int], ids: np.ndarray) -> None:
-        self.trie, self.words, self.langs, self.ids = trie, words, langs, ids
+    """Counts phrases, given as (lang, text), by a trie of them."""
+
+    def __init__(self, phrases: list[tuple[str, str]]) -> None:
+        names = sorted({word for _, text in phrases for word in text.split(" ")})
+        letters, offsets = text_bytes(pa.array(names, pa.string()))
+        hashes = Hasher().spans(letters, offsets[:-1], offsets[1:])
+        order = np.argsort(hashes)
+        self.words = hashes[order]
+        if np.any(self.words[1:] == self.words[:-1]):
+            raise RuntimeError("two words share a hash")
+        codes = {names[i]: code for code, i in enumerate(order.tolist(), 1)}
+        langs = sorted({lang for lang, _ in phrases})
+        self.langs = {lang: code for code, lang in enumerate(langs, len(names) + 1)}
+        self.size = len(phrases)
+        self.trie = DoubleArrayTrie(
+            [(self.langs[lang], *[codes[word] for word in text.split(" ")]) for lang, text in phrases]
+        )
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, counts = Hasher(), np.zeros(len(self.ids), np.int64)
+        """chunk, counts: the occurrences of CHUNK phrases after one another, where
+        there are any; and lang, n: the words of a language."""
+        hasher, counts = Hasher(), np.zeros(self.size, np.int64)
         totals: dict[str, int] = {}
         for found, step in _steps(batches, hasher):
             langs = step.column("lang").to_pylist()
             for i, n in enumerate(np.bincount(found.text, minlength=len(langs)).tolist()):
                 totals[langs[i]] = totals.get(langs[i], 0) + n
             self._add(found, langs, counts)
-        met = np.flatnonzero(counts)
-        yield self._rows(self.ids[met], pa.nulls(len(met), pa.string()), counts[met])
-        yield self._rows([None] * len(totals), list(totals), list(totals.values()))
-
-    @staticmethod
-    def _rows(phrases, langs, counts) -> pa.RecordBatch:
-        columns = [pa.array(phrases, pa.int64()), pa.array(langs, pa.string()), pa.array(counts, pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["phrase", "lang", "n"])
+        for chunk, at in enumerate(range(0, self.size, CHUNK)):
+            held = counts[at : at + CHUNK]
+            if held.any():
+                yield _row(chunk, held.astype("<u4").tobytes(), None, None)
+        for lang, n in totals.items():
+            yield _row(None, None, lang, n)
 
     def _add(self, found: _Words, langs: list[str], counts: np.ndarray) -> None:
         if not len(self.words):
@@ -258,30 +259,53 @@ class _Counter:
             at, states = at[on], states[on]
 
 
+_SHARD = "chunk int, counts binary, lang string, n long"
+
+
+def _row(*values) -> pa.RecordBatch:
+    types = (pa.int32(), pa.binary(), pa.string(), pa.int64())
+    columns = [pa.array([value], kind) for value, kind in zip(values, types, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, ["chunk", "counts", "lang", "n"])
+
+
+def _summed(key: tuple, shards: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """place, n: the sum over all shards of the counts in one chunk."""
+    total = np.zeros(CHUNK, np.int64)
+    for batch in shards:
+        for data in batch.column("counts").to_pylist():
+            held = np.frombuffer(data, "<u4")
+            total[: len(held)] += held
+    place = key[0].as_py() * CHUNK + np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(total[total > 0])], ["place", "n"])
+
+
 def _counted(texts: DataFrame, phrases: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """phrase, lang, words, text and n of all ``phrases``, and lang and n of all words."""
+    """lang, words, text and n of all ``phrases``, and lang and n of all words."""
     spark = texts.sparkSession
     parts = -(-phrases.count() // PART_PHRASES) or 1
-    sums = []
+    sums, totals = [], None
     for part in range(parts):
-        # A hashed part of them: about PART_PHRASES.
-        held = phrases.where(F.pmod(F.xxhash64("phrase"), F.lit(parts)) == part)
-        rows = held.select("phrase", "lang", "text").toArrow().to_pydict()
-        counter = spark.sparkContext.broadcast(
-            _counter(list(zip(rows["phrase"], rows["lang"], rows["text"], strict=True)))
-        )
+        # A hashed part of them: about PART_PHRASES. Its order numbers them.
+        held = phrases.where(F.pmod(F.xxhash64("lang", "text"), F.lit(parts)) == part)
+        rows = held.orderBy("lang", "text").select("lang", "words", "text").toArrow()
+        pairs = rows.select(["lang", "text"]).to_pydict()
+        counter = spark.sparkContext.broadcast(_Counter(list(zip(pairs["lang"], pairs["text"], strict=True))))
 
         def count(batches: Iterator[pa.RecordBatch], counter=counter) -> Iterator[pa.RecordBatch]:
             yield from counter.value(batches)
 
-        shards = texts.mapInArrow(count, "phrase long, lang string, n long")
-        sums.append(staged(shards.groupBy("phrase", "lang").agg(F.sum("n").alias("n")), "phrase-counts"))
+        shards = staged(texts.mapInArrow(count, _SHARD), "phrase-shards")
+        chunks = shards.where("chunk IS NOT NULL").select("chunk", "counts")
+        counts = chunks.groupBy("chunk").applyInArrow(_summed, "place long, n long")
+        numbered = spark.createDataFrame(rows.append_column("place", pa.array(np.arange(len(rows)))))
+        sums.append(staged(numbered.join(counts, "place").drop("place"), "phrase-counts"))
+        if totals is None:
+            totals = staged(shards.where("lang IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
         counter.unpersist()
-    totals = sums[0].where("phrase IS NULL AND lang IS NOT NULL").select("lang", "n")
-    counts = sums[0].where("phrase IS NOT NULL").select("phrase", "n")
+    counted = sums[0]
     for more in sums[1:]:
-        counts = counts.unionByName(more.where("phrase IS NOT NULL").select("phrase", "n"))
-    return phrases.join(counts, "phrase"), totals
+        counted = counted.unionByName(more)
+    return counted, totals
 
 
 def score(a, n, left, right):
@@ -299,24 +323,24 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFra
         F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang"), F.xxhash64(lang).alias("lang_hash")
     )
     levels: list[DataFrame] = []
-    bitmap, marked = None, np.zeros(BITS // 64, np.uint64)
+    bitmap = None
+    marked = np.zeros(BITS // 64, np.uint64)
     for words in range(1, LONGEST + 1):
         frequent = staged(_level(texts, words, bitmap).where(F.col("n") >= least), "phrase-level")
         levels.append(frequent.select("phrase"))
         bitmap = _bitmap(frequent)
-        marked |= bitmap
+        if words > 1:
+            marked |= bitmap
         if not bitmap.any():
             break
-    every = levels[0]
+    every = levels[0].where("false")  # words come with their phrases
     for level in levels[1:]:
         every = every.unionByName(level)
-    read = staged(_read(texts, every, marked), "phrase-texts")
-    inside = read.where("words = 2").select("lang", F.explode(F.split("text", " ")).alias("text")).distinct()
-    single = read.where("words = 1").join(inside, ["lang", "text"], "left_semi")
-    phrases = staged(read.where("words > 1").unionByName(single), "phrase-candidates")
+    phrases = staged(_read(texts, every, marked), "phrase-texts")
+    single = phrases.where("words = 2").select("lang", F.explode(F.split("text", " ")).alias("text")).distinct()
+    phrases = phrases.unionByName(single.select("lang", F.lit(1).alias("words"), "text"))
     counted, totals = _counted(texts, phrases)
-    counted = counted.where(F.col("n") >= least).select("lang", "words", "text", "n")
-    return staged(counted, "phrases"), totals
+    return counted.where(F.col("n") >= least), totals
 
 
 def collocations(docs: DataFrame, least: int = LEAST_COUNT, first: int = FIRST) -> DataFrame:

@@ -41,13 +41,14 @@ class DoubleArrayTrie:
         free[ROOT] = False
         states = np.zeros(len(children), np.int64)
         bases = np.zeros(len(children), np.int64)
-        lowest = 1
-        for node in sorted(range(len(children)), key=lambda i: -len(children[i])):
-            if not children[node]:
-                break
+        order = sorted((i for i, known in enumerate(children) if known), key=lambda i: -len(children[i]))
+        many = sum(len(children[node]) > 1 for node in order)
+        at = size = 0
+        for node in order[:many]:
             codes = np.array(sorted(children[node]), np.int64)
+            if len(codes) != size:  # nodes of the same size leave no better place behind
+                size, at = len(codes), 1
             spread = codes - codes[0]
-            at = lowest
             while True:
                 if at + TRIED + top >= len(free):
                     free = np.concatenate([free, np.ones(len(free), bool)])
@@ -56,17 +57,24 @@ class DoubleArrayTrie:
                 if fits.any():
                     break
                 at += TRIED
-            places = spots[np.argmax(fits)] + spread
-            free[places] = False
-            bases[node] = places[0] - codes[0]
-            states[[children[node][code] for code in codes.tolist()]] = places
-            while not free[lowest]:
-                lowest += 1
+            at = int(spots[np.argmax(fits)])
+            free[at + spread] = False
+            bases[node] = at - codes[0]
+            states[[children[node][code] for code in codes.tolist()]] = at + spread
+        # An only child takes any place.
+        alone = order[many:]
+        if alone:
+            only = np.array([next(iter(children[node].items())) for node in alone], np.int64)
+            if len(alone) > np.count_nonzero(free):
+                free = np.concatenate([free, np.ones(len(alone), bool)])
+            places = np.flatnonzero(free)[: len(alone)]
+            bases[alone] = places - only[:, 0]
+            states[only[:, 1]] = places
         size = int(states.max()) + 1
         self.base, self.check = np.zeros(size, np.int64), np.full(size, -1, np.int64)
         self.base[states] = bases
-        for node, known in enumerate(children):
-            self.check[states[list(known.values())]] = states[node]
+        parents = np.repeat(np.arange(len(children)), [len(known) for known in children])
+        self.check[states[[child for known in children for child in known.values()]]] = states[parents]
         return states
 
     def step(self, states: np.ndarray, codes: np.ndarray) -> np.ndarray:
