@@ -199,7 +199,9 @@ def _read(texts: DataFrame, frequent: DataFrame, bitmap: np.ndarray) -> DataFram
                 yield pa.RecordBatch.from_arrays(columns, ["phrase", "lang", "words", "text"])
 
     rows = texts.mapInArrow(read, "phrase long, lang string, words int, text string")
-    return rows.join(frequent, "phrase").select("lang", "words", "text").distinct()
+    # Every task gives its phrases; they are made one before anything else.
+    once = rows.groupBy("phrase").agg(*[F.min(c).alias(c) for c in ("lang", "words", "text")])
+    return once.join(frequent, "phrase").select("lang", "words", "text")
 
 
 class _Counter:
