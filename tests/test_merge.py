@@ -1,0 +1,137 @@
+"""Merged reports against full rebuilds, on generated loads."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from weirflow.operators import latest_by_key
+from weirflow.operators.merge import merge_latest
+from weirflow.plans import customers, orders
+from weirflow.sinks import KeyedSnapshot
+
+SCHEMA = "key long, value int, at int, processing_date date"
+
+
+def loads_of(days):
+    """(key, value, at, date) for each day; keys overlap between days."""
+    r = random.Random(7)
+    return [(r.randint(1, 60), r.randint(1, 9), r.randint(1, 5), day) for day in days for _ in range(40)]
+
+
+
+def history(spark, rows):
+    text = spark.createDataFrame(rows, "key long, value int, at int, day string")
+    return text.select("key", "value", "at", F.to_date("day").alias("processing_date"))
+
+
+def full(rows_df, dates):
+    kept = rows_df.where(F.col("processing_date").cast("string").isin(*dates))
+    return sorted(map(tuple, latest_by_key(kept, ["key"], ["processing_date", "at"]).collect()))
+
+
+def now(snapshot):
+    return sorted(map(tuple, snapshot.read().collect()))
+
+
+DAYS = ["2026-02-01", "2026-02-02", "2026-02-03"]
+
+
+@pytest.mark.parametrize("order", [DAYS, DAYS[::-1], [DAYS[1], DAYS[0], DAYS[1], DAYS[2]]])
+def test_merges_equal_a_rebuild_in_any_order(spark, tmp_path, order):
+    all_loads = history(spark, loads_of(DAYS)).cache()
+    snapshot = KeyedSnapshot(spark, str(tmp_path / "s"), ["key"], buckets=8)
+    for i, day in enumerate(order, 1):
+        merge_latest(snapshot, all_loads, day, ["processing_date", "at"])
+        assert now(snapshot) == full(all_loads, set(order[:i]))
+    assert snapshot.loads() == set(order)
+
+
+def test_a_corrected_load_gives_back_what_it_had_covered(spark, tmp_path):
+    rows = loads_of(DAYS)
+    snapshot = KeyedSnapshot(spark, str(tmp_path / "s"), ["key"], buckets=8)
+    for day in DAYS:
+        merge_latest(snapshot, history(spark, rows), day, ["processing_date", "at"])
+    # The last load comes again without most of its keys, and with a new one.
+    corrected = [x for x in rows if x[3] != DAYS[2]] + [(1_000, 1, 1, DAYS[2]), (5, 9, 9, DAYS[2])]
+    merge_latest(snapshot, history(spark, corrected), DAYS[2], ["processing_date", "at"])
+    assert now(snapshot) == full(history(spark, corrected), set(DAYS))
+    # And then empty.
+    emptied = [x for x in rows if x[3] != DAYS[2]]
+    merge_latest(snapshot, history(spark, emptied), DAYS[2], ["processing_date", "at"])
+    assert now(snapshot) == full(history(spark, emptied), set(DAYS[:2]))
+
+
+def test_only_touched_partitions_are_read_and_replaced(spark, tmp_path):
+    rows = [(k, 1, 1, DAYS[0]) for k in range(64)] + [(3, 2, 1, DAYS[1])]
+    snapshot = KeyedSnapshot(spark, str(tmp_path / "s"), ["key"], buckets=8)
+    merge_latest(snapshot, history(spark, rows), DAYS[0], ["processing_date", "at"])
+    before = set(snapshot.read().inputFiles())
+    (touched,) = merge_latest(snapshot, history(spark, rows), DAYS[1], ["processing_date", "at"])
+    after = set(snapshot.read().inputFiles())
+    assert {f for f in before - after} == {f for f in before if f"_bucket={touched}/" in f}
+    assert len(after - before) == 1
+    assert all(f"_bucket={touched}/" in f for f in snapshot.read([touched]).inputFiles())
+    assert snapshot.changed_buckets(1) == [touched] and snapshot.changed_buckets(2) == []
+    # The version before can still be read, until it is removed.
+    assert {r["value"] for r in snapshot.read(version=1).where("key = 3").collect()} == {1}
+    snapshot.vacuum(keep=1)
+    assert now(snapshot) == full(history(spark, rows), set(DAYS[:2]))
+
+
+def test_empty_and_null(spark, tmp_path):
+    snapshot = KeyedSnapshot(spark, str(tmp_path / "s"), ["key"], buckets=4)
+    assert snapshot.read() is None and snapshot.loads() == set()
+    rows = [(None, 1, 1, DAYS[0]), (None, 2, 2, DAYS[1]), (1, 1, 1, DAYS[0])]
+    merge_latest(snapshot, history(spark, rows), DAYS[2], ["processing_date", "at"])
+    assert now(snapshot) == []
+    for day in (*DAYS, DAYS[1]):
+        merge_latest(snapshot, history(spark, rows), day, ["processing_date", "at"])
+    got = {r["key"]: r["value"] for r in snapshot.read().collect()}
+    assert got == {None: 2, 1: 1}
+
+
+def test_a_second_merge_at_the_same_time_fails(spark, tmp_path):
+    snapshot = KeyedSnapshot(spark, str(tmp_path / "s"), ["key"], buckets=4)
+    rows = history(spark, [(1, 1, 1, DAYS[0])])
+    snapshot.replace(rows, range(4), DAYS[0])
+    with pytest.raises(RuntimeError, match="another merge"):
+        snapshot._commit(1, {})
+    with pytest.raises(Exception, match="no partition of this merge"):
+        snapshot.replace(rows, [], DAYS[1])
+    assert snapshot.version() == 1
+
+
+def test_facts_follow_orders_and_customers(spark, tmp_path):
+    """Three days; on the last one only customers come."""
+    root = str(tmp_path)
+
+    def write(name, rows, schema):
+        df = spark.createDataFrame(rows, schema)
+        for c in ("created_at", "order_date", "processing_date"):
+            if c in df.columns:
+                df = df.withColumn(c, F.to_date(c))
+        df.write.mode("append").partitionBy("processing_date").parquet(f"{root}/raw_data/{name}")
+
+    person = "customer_id long, name string, email string, country string, created_at string, processing_date string"
+    order = "order_id string, amount double, currency string, customer_id long, order_date string, status string, processing_date string"
+    for i, day in enumerate(DAYS):
+        people = [(k, f"n{k}-{i}", f"{k}@x", "PT", f"2025-0{i + 1}-01", day) for k in range(20) if k % (i + 1) == 0]
+        write("customers", people, person)
+        customers.merge_dim_customer(spark, root, day, buckets=4)
+        if i < 2:
+            bought = [(f"o{k}", k + 0.5, "EUR", (k * 3 + i) % 24, f"2025-05-0{i + 1}", "NEW", day) for k in range(i * 10, 30)]
+            write("orders", bought, order)
+            orders.merge_fact_orders(spark, root, day, buckets=4)
+    orders.merge_fact_orders(spark, root, DAYS[1], buckets=4)
+    customers.build_dim_customer(spark, root)
+    orders.build_fact_orders(spark, root)
+    for merged, built in (
+        (customers.read_dim_customer(spark, root), "dim_customer"),
+        (orders.read_fact_orders(spark, root), "fact_orders"),
+    ):
+        columns = merged.columns
+        wanted = spark.read.parquet(f"{root}/output/{built}").select(*columns)
+        assert sorted(map(tuple, merged.collect()), key=str) == sorted(map(tuple, wanted.collect()), key=str)
+    names = {r["name"] for r in orders.read_fact_orders(spark, root).collect()}
+    assert any(n and n.endswith("-2") for n in names) and None in names

@@ -70,6 +70,14 @@ def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(ORDERS_FEED_SQL, orders=table(spark, sf_dir, "orders"))
 
 
+def changed_orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second load: every third order comes again, a week later and settled."""
+    keys = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0")
+    later = keys.withColumn("o_orderdate", F.expr("o_orderdate + INTERVAL 7 DAYS"))
+    settled = later.withColumn("o_orderstatus", F.lit("F"))
+    return spark.sql(ORDERS_FEED_SQL, orders=settled)
+
+
 def events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(EVENTS_FEED_SQL, events=table(spark, sf_dir, "events"))
 

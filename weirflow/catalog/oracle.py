@@ -50,18 +50,26 @@ SELECT customer_id, name, email, country,
   CASE WHEN customer_id % 2 = 0 THEN created_at + 1 ELSE created_at END AS created_at
 FROM ({CUSTOMERS_FEED}) c"""
 
-_ORDERS = f"""
-ofeed AS ({ORDERS_FEED}),
-oclean AS (
+def _order_ctes(feed: str, p: str = "") -> str:
+    return f"""
+{p}ofeed AS ({feed}),
+{p}oclean AS (
   SELECT order_id, abs(amount) AS amount, currency, customer_id,
     CAST(coalesce(try_strptime(order_date, '%Y-%m-%d'), try_strptime(order_date, '%d-%m-%Y'),
       try_strptime(order_date, '%d/%m/%Y')) AS DATE) AS order_date,
     upper(status) AS status
-  FROM ofeed o
+  FROM {p}ofeed o
   WHERE NOT EXISTS (
-    SELECT 1 FROM ofeed b WHERE b.order_id = o.order_id AND {_NULL_ORDER.replace('(', '(b.', 1)
+    SELECT 1 FROM {p}ofeed b WHERE b.order_id = o.order_id AND {_NULL_ORDER.replace('(', '(b.', 1)
         .replace('OR ', 'OR b.')}))"""
 
+
+_ORDERS = _order_ctes(ORDERS_FEED)
+_CHANGED_ORDERS = ORDERS_FEED_SQL.format(
+    orders="""(SELECT * REPLACE (o_orderdate + INTERVAL 7 DAY AS o_orderdate, 'F' AS o_orderstatus)
+      FROM orders WHERE o_orderkey % 3 = 0)"""
+)
+
 _EVENTS = f"""
 efeed AS ({EVENTS_FEED}),
 eparsed AS (
@@ -211,6 +219,23 @@ SELECT customer_id, name,
   'Missing data fields' AS error_reason
 FROM dirty WHERE bad OR {_NULL_CUSTOMER}""",
     "lake_fact_orders": _fact_orders("2026-01-27"),
+    "lake_dim_customer_merged": f"""WITH {_CUSTOMERS}, {_customer_ctes(_CHANGED_FEED, 'second_')},
+loads AS (
+  SELECT *, DATE '2026-01-27' AS processing_date FROM clean
+  UNION ALL SELECT *, DATE '2026-01-28' AS processing_date FROM second_clean)
+SELECT * FROM loads QUALIFY row_number() OVER (PARTITION BY customer_id
+  ORDER BY processing_date DESC, created_at DESC) = 1""",
+    "lake_fact_orders_merged": f"""WITH {_customer_ctes(_CHANGED_FEED)}, {_ORDERS},
+{_order_ctes(_CHANGED_ORDERS, 'second_')},
+loads AS (
+  SELECT *, DATE '2026-01-27' AS processing_date FROM oclean
+  UNION ALL SELECT *, DATE '2026-01-28' AS processing_date FROM second_oclean),
+latest AS (
+  SELECT * FROM loads QUALIFY row_number() OVER (PARTITION BY order_id
+    ORDER BY order_date DESC NULLS LAST, processing_date DESC) = 1)
+SELECT o.order_id, o.amount, o.currency, o.status, o.order_date, o.customer_id,
+  c.name, c.email, c.country, c.created_at, o.processing_date
+FROM latest o LEFT JOIN clean c ON o.customer_id = c.customer_id""",
     "lake_fact_events": _fact_events(""),
     "lake_fact_events_streaming": f"""WITH {_EVENTS}
 SELECT DISTINCT customer_id, event_timestamp FROM eparsed WHERE event_timestamp IS NOT NULL""",

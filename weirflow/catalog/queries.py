@@ -381,6 +381,39 @@ def lake_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dataset(spark, f"{root}/output/fact_orders")
 
 
+def _drop_customers(feed: DataFrame, root: str, date: str) -> None:
+    write_table(feed, f"{root}/input/customers/{date}/customers.csv", fmt="csv")
+
+
+def _merged_lake(spark: SparkSession, sf_dir: str) -> str:
+    """Two daily loads of customers and orders, each merged when it has come."""
+    root = scratch_path(spark, "merged")
+    days = [
+        (FIRST_LOAD, feeds.customers_feed(spark, sf_dir), feeds.orders_feed(spark, sf_dir)),
+        (SECOND_LOAD, feeds.changed_customers_feed(spark, sf_dir), feeds.changed_orders_feed(spark, sf_dir)),
+    ]
+    for date, customers_drop, orders_drop in days:
+        _drop_customers(customers_drop, root, date)
+        customers.load_customers(spark, root, date)
+        customers.merge_dim_customer(spark, root, date)
+        orders_drop.write.json(f"{root}/input/orders/{date}/orders.json")
+        orders.load_orders(spark, root, date, json_lines=True)
+        orders.merge_fact_orders(spark, root, date)
+    return root
+
+
+@query
+def lake_dim_customer_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension after two merges: what a rebuild from both loads gives."""
+    return customers.read_dim_customer(spark, _merged_lake(spark, sf_dir))
+
+
+@query
+def lake_fact_orders_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order fact after two merges, with orders and customers that changed."""
+    return orders.read_fact_orders(spark, _merged_lake(spark, sf_dir))
+
+
 @query
 def lake_fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV drop and event stream -> dimension -> event fact."""

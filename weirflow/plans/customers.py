@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from weirflow import schemas
 from weirflow.operators import Quarantine, latest_by_key, stamp_date, stamp_reject
+from weirflow.operators.merge import merge_latest
 from weirflow.operators.stamps import resolve_process_date
 from weirflow.session import staged, staging
-from weirflow.sinks import replace_partitions, write_rejects, write_snapshot
+from weirflow.sinks import KeyedSnapshot, replace_partitions, write_rejects, write_snapshot
 from weirflow.sources import read_csv, read_dataset
 
 DATA_COLUMNS = schemas.CUSTOMERS.fieldNames()
@@ -60,9 +61,13 @@ def load_customers(
         )
 
 
+# What makes a row the newest of its customer.
+LATEST = ["processing_date", "created_at"]
+
+
 def latest_customers(customers: DataFrame) -> DataFrame:
     """One row per customer over all loads."""
-    return latest_by_key(customers, ["customer_id"], ["processing_date", "created_at"])
+    return latest_by_key(customers, ["customer_id"], LATEST)
 
 
 def build_dim_customer(
@@ -70,3 +75,23 @@ def build_dim_customer(
 ) -> None:
     customers = read_dataset(spark, f"{root}/raw_data/customers", dates=dates)
     write_snapshot(latest_customers(customers), f"{root}/output/dim_customer", ["processing_date"])
+
+
+def customer_snapshot(spark: SparkSession, root: str, **options) -> KeyedSnapshot:
+    return KeyedSnapshot(spark, f"{root}/output/dim_customer_merged", ["customer_id"], **options)
+
+
+def merge_dim_customer(
+    spark: SparkSession, root: str, process_date: str | dt.date | None = None, **options
+) -> list[int]:
+    """Bring one load into the merged dimension, which then equals the one that
+    ``build_dim_customer`` makes from all merged loads. Loads may come in any order
+    and more than once. Returns the partitions that were replaced."""
+    date = resolve_process_date(process_date)
+    history = read_dataset(spark, f"{root}/raw_data/customers")
+    return merge_latest(customer_snapshot(spark, root, **options), history, str(date), LATEST)
+
+
+def read_dim_customer(spark: SparkSession, root: str) -> DataFrame | None:
+    """The merged dimension; None before the first merge."""
+    return customer_snapshot(spark, root).read()

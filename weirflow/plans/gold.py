@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import SparkSession
 
 from weirflow.sinks import write_jdbc
+from weirflow.sinks.jdbc import CONNECTIONS
 from weirflow.sources import read_dataset
 
 # Published tables, dimensions before the fact.
@@ -18,7 +19,7 @@ def publish(
     root: str,
     url: str,
     properties: Mapping[str, str],
-    connections: int | None = None,
+    connections: int = CONNECTIONS,
 ) -> None:
     """Open all tables first, so that a missing one stops before any write."""
     tables = {name: read_dataset(spark, f"{root}/silver/{name}") for name in TABLES}

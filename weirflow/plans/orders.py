@@ -18,9 +18,11 @@ from weirflow.operators import (
     stamp_date,
     stamp_reject,
 )
+from weirflow.operators.merge import merge_latest
 from weirflow.operators.stamps import resolve_process_date
+from weirflow.plans.customers import customer_snapshot
 from weirflow.session import staged, staging
-from weirflow.sinks import replace_partitions, write_rejects, write_snapshot
+from weirflow.sinks import KeyedSnapshot, replace_partitions, write_rejects, write_snapshot
 from weirflow.sources import read_dataset, read_json_array, read_json_lines
 
 DATA_COLUMNS = schemas.ORDERS.fieldNames()
@@ -84,19 +86,26 @@ def load_orders(
         )
 
 
+# What makes a row the newest of its order, and what a fact shows of its customer.
+LATEST = ["order_date", "processing_date"]
+ATTRIBUTES = ["name", "email", "country", "created_at"]
+
+
 def fact_orders(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Latest version of each order with its customer; an unknown customer
     leaves the attributes null."""
-    latest = latest_by_key(orders, ["order_id"], ["order_date", "processing_date"])
-    attributes = ["name", "email", "country", "created_at"]
-    return enrich(latest, dim_customer, "customer_id", attributes, how="left").select(
+    return _with_customers(latest_by_key(orders, ["order_id"], LATEST), dim_customer)
+
+
+def _with_customers(latest: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    return enrich(latest, dim_customer, "customer_id", ATTRIBUTES, how="left").select(
         "order_id",
         "amount",
         "currency",
         "status",
         "order_date",
         "customer_id",
-        *attributes,
+        *ATTRIBUTES,
         "processing_date",
     )
 
@@ -107,3 +116,52 @@ def build_fact_orders(
     orders = read_dataset(spark, f"{root}/raw_data/orders", dates=dates)
     dim = read_dataset(spark, f"{root}/output/dim_customer")
     write_snapshot(fact_orders(orders, dim), f"{root}/output/fact_orders", ["processing_date"])
+
+
+def merge_fact_orders(
+    spark: SparkSession, root: str, process_date: str | dt.date | None = None, **options
+) -> list[int]:
+    """Bring one load of orders, and what the merged dimension has changed since
+    the last time, into the merged fact. It then equals what ``build_fact_orders``
+    makes from all merged loads. Returns the partitions that were replaced.
+
+    Partitions without a new order, and without an order of a customer whose
+    attributes changed, stay as they are.
+    """
+    date = str(resolve_process_date(process_date))
+    latest = KeyedSnapshot(spark, f"{root}/output/latest_orders", ["order_id"], **options)
+    fact = KeyedSnapshot(spark, f"{root}/output/fact_orders_merged", ["order_id"], **options)
+    customers = customer_snapshot(spark, root, **options)
+    history = read_dataset(spark, f"{root}/raw_data/orders")
+    seen = fact.facts()
+    merge_latest(latest, history, date, LATEST)
+    # Also what an earlier run has merged, if it ended before the fact was replaced.
+    buckets = set(latest.changed_buckets(seen.get("orders", 0)))
+    since, now = seen.get("customers", 0), customers.version()
+    changed = _changed_customers(customers, since)
+    if changed is not None:
+        moved = latest.read().join(changed, "customer_id", "left_semi")
+        buckets |= {row[0] for row in moved.select(latest.bucket()).distinct().collect()}
+    dim = customers.read(version=now)
+    if dim is None:
+        raise RuntimeError("the customer dimension has not been merged yet")
+    rows = _with_customers(latest.read(buckets), dim)
+    fact.replace(rows, buckets, date, orders=latest.version(), customers=now)
+    return sorted(buckets)
+
+
+def _changed_customers(customers: KeyedSnapshot, since: int) -> DataFrame | None:
+    """Customers that look different in facts than at version ``since``."""
+    buckets = customers.changed_buckets(since)
+    columns = ["customer_id", *ATTRIBUTES]
+    before, after = customers.read(buckets, since), customers.read(buckets)
+    if not buckets or before is None:
+        return after if after is None else after.select("customer_id")
+    before, after = before.select(*columns), after.select(*columns)
+    gone, come = before.exceptAll(after), after.exceptAll(before)
+    return gone.unionByName(come).select("customer_id").distinct()
+
+
+def read_fact_orders(spark: SparkSession, root: str) -> DataFrame | None:
+    """The merged fact; None before the first merge."""
+    return KeyedSnapshot(spark, f"{root}/output/fact_orders_merged", ["order_id"]).read()

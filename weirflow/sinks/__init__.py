@@ -10,8 +10,10 @@ from weirflow.sinks.files import (
     write_table,
 )
 from weirflow.sinks.jdbc import write_jdbc
+from weirflow.sinks.snapshot import KeyedSnapshot
 
 __all__ = [
+    "KeyedSnapshot",
     "preview",
     "preview_rows",
     "replace_partitions",

@@ -23,5 +23,7 @@ def write_jdbc(
 
     Executors write in parallel over at most ``connections`` connections.
     """
+    if connections < 1:
+        raise ValueError(f"connections must be at least 1, not {connections}")
     settings = {"batchsize": str(BATCH_SIZE), "numPartitions": str(connections), **properties}
     df.write.jdbc(url, table, mode="overwrite", properties=settings)
