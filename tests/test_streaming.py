@@ -10,17 +10,48 @@ from pyspark.sql import types as T
 from weirflow import schemas
 from weirflow.operators import stamp_date
 from weirflow.plans import events
-from weirflow.streaming import await_all, dedup_stream, stream_parquet, stream_to_parquet
+from weirflow.streaming import (
+    Audit,
+    await_all,
+    dedup_stream,
+    dedup_stream_by_id,
+    stream_parquet,
+    stream_to_parquet,
+)
+
+START = dt.datetime(2024, 11, 30, 23, 50)
+# Texts that are no time of the feed's form, and event types with what they become.
+NO_TIMES = ["", "2024-11-31T00:00:00Z", "30.11.2024", None]
+TYPES = {"page view": "PAGEVIEW", "add-to-cart": "ADDTOCART", "Refund!": "REFUND", "ping": "PING"}
+
+
+def event(n, **changed):
+    """The n-th event: every seventh has no time, every fifth a customer without
+    a row in the dimension, every type comes in turn, seven minutes apart."""
+    time = (START + dt.timedelta(minutes=7 * n)).strftime("%Y-%m-%dT%H:%M:%SZ")
+    row = dict(
+        event_id=f"n{n:03d}",
+        customer_id=900 + n if n % 5 == 3 else n % 4 + 1,
+        event_type=list(TYPES)[n % len(TYPES)],
+        event_timestamp=NO_TIMES[n // 7 % len(NO_TIMES)] if n % 7 == 6 else time,
+    )
+    return row | changed
+
+
+def valid(numbers):
+    return [f"n{n:03d}" for n in numbers if n % 7 != 6]
+
 
-# A customer that no dimension knows, a dirty type, a time that does not parse.
-EVENTS = [
-    dict(event_id="v1", customer_id=11, event_type="open", event_timestamp="2025-03-01T08:00:10Z"),
-    dict(event_id="v2", customer_id=11, event_type="close", event_timestamp="2025-03-01T08:04:30Z"),
-    dict(event_id="v3", customer_id=12, event_type="open", event_timestamp="2025-03-02T17:20:00Z"),
-    dict(event_id="v4", customer_id=77, event_type="open", event_timestamp="2025-03-02T17:21:45Z"),
-    dict(event_id="v5", customer_id=13, event_type="re-open 2", event_timestamp="2025-03-02T17:29:59Z"),
-    dict(event_id="v6", customer_id=13, event_type="open", event_timestamp="yesterday"),
-]
+def rejected(numbers):
+    return [f"n{n:03d}" for n in numbers if n % 7 == 6]
+
+
+def known(numbers):
+    return [f"n{n:03d}" for n in numbers if n % 7 != 6 and n % 5 != 3]
+
+
+ALL = range(31)
+EVENTS = [event(n) for n in ALL]
 
 
 @pytest.fixture
@@ -48,8 +79,8 @@ def run_fact(spark, root, **options):
     await_all(events.stream_fact_events(spark, root, every=None, **options))
 
 
-def dim(spark, root, keys=(11, 12, 13)):
-    rows = [(k, f"n{k}", "e", "BR", dt.date(2022, 1, 1), dt.date(2026, 1, 27)) for k in keys]
+def dim(spark, root, keys=(1, 2, 3, 4)):
+    rows = [(k, f"name {k}", "e", "BR", dt.date(2022, 1, 1), dt.date(2026, 1, 27)) for k in keys]
     schema = "customer_id long, name string, email string, country string, created_at date, processing_date date"
     spark.createDataFrame(rows, schema).write.partitionBy("processing_date").parquet(
         f"{root}/output/dim_customer"
@@ -59,75 +90,72 @@ def dim(spark, root, keys=(11, 12, 13)):
 def test_stream_to_batch_and_streaming_facts(spark, root):
     drop(root, "a", EVENTS)
     run_raw(spark, root)
-    assert ids(spark, f"{root}/raw_data/events") == ["v1", "v2", "v3", "v4", "v5"]
-    raw = spark.read.parquet(f"{root}/raw_data/events")
-    assert raw.where("event_id = 'v5'").first()["event_type"] == "REOPEN"
-    assert {r["processing_date"] for r in raw.collect()} <= {
-        dt.date.today(),
-        dt.date.today() - dt.timedelta(1),
+    assert ids(spark, f"{root}/raw_data/events") == valid(ALL)
+    raw = spark.read.parquet(f"{root}/raw_data/events").collect()
+    assert all(r["event_type"] == TYPES[event(int(r["event_id"][1:]))["event_type"]] for r in raw)
+    assert {r["processing_date"] for r in raw} <= {dt.date.today(), dt.date.today() - dt.timedelta(1)}
+    bad = spark.read.parquet(f"{root}/rejected_data/events").collect()
+    assert {r["event_id"]: r["raw_event_timestamp"] for r in bad} == {
+        e["event_id"]: e["event_timestamp"] for e in EVENTS if e["event_id"] in rejected(ALL)
     }
-    rejected = spark.read.parquet(f"{root}/rejected_data/events").collect()
-    assert [(r["event_id"], r["raw_event_timestamp"], r["error_reason"]) for r in rejected] == [
-        ("v6", "yesterday", "Unparsable event timestamp")
-    ]
+    assert {r["error_reason"] for r in bad} == {"Unparsable event timestamp"}
     dim(spark, root)
     events.build_fact_events(spark, root)
-    assert ids(spark, f"{root}/output/fact_events") == ["v1", "v2", "v3", "v5"]
+    assert ids(spark, f"{root}/output/fact_events") == known(ALL)
     run_fact(spark, root)
-    assert ids(spark, f"{root}/output/fact_events_streaming") == ["v1", "v2", "v3", "v4", "v5"]
+    assert ids(spark, f"{root}/output/fact_events_streaming") == valid(ALL)
     events.check_events(spark, root)
 
 
 def test_restart_reads_only_new_files(spark, root):
-    drop(root, "a", EVENTS[:2])
+    drop(root, "a", EVENTS[:12])
     run_raw(spark, root)
     run_raw(spark, root)
-    drop(root, "b", EVENTS[2:])
+    drop(root, "b", EVENTS[12:])
     run_raw(spark, root)
-    assert ids(spark, f"{root}/raw_data/events") == ["v1", "v2", "v3", "v4", "v5"]
+    assert ids(spark, f"{root}/raw_data/events") == valid(ALL)
     run_fact(spark, root)
-    drop(root, "c", [dict(EVENTS[0], event_id="v9", event_timestamp="2025-03-03T00:00:00Z")])
+    drop(root, "c", [event(40)])
     run_raw(spark, root)
     run_fact(spark, root)
-    assert ids(spark, f"{root}/output/fact_events_streaming") == ["v1", "v2", "v3", "v4", "v5", "v9"]
+    assert ids(spark, f"{root}/output/fact_events_streaming") == valid([*ALL, 40])
 
 
 def test_a_line_that_is_not_json_is_rejected(spark, root):
     drop(root, "a", [EVENTS[0], "not json"])
     run_raw(spark, root)
-    assert ids(spark, f"{root}/raw_data/events") == ["v1"]
-    rejected = spark.read.parquet(f"{root}/rejected_data/events").collect()
-    assert [(r["event_id"], r["raw_line"]) for r in rejected] == [(None, "not json")]
+    assert ids(spark, f"{root}/raw_data/events") == valid([0])
+    bad = spark.read.parquet(f"{root}/rejected_data/events").collect()
+    assert [(r["event_id"], r["raw_line"]) for r in bad] == [(None, "not json")]
 
 
 def test_single_read_matches_two_queries_whatever_the_number_of_batches(spark, root):
-    for i, event in enumerate(EVENTS):
-        drop(root, f"f{i}", [event])
+    for i in range(0, len(EVENTS), 8):
+        drop(root, f"f{i}", EVENTS[i : i + 8])
         await_all(events.stream_events_once(spark, root, every=None))
-    valid = events.read_checked_events(spark, root, valid=True)
-    assert sorted(r["event_id"] for r in valid.collect()) == ["v1", "v2", "v3", "v4", "v5"]
-    rejected = events.read_checked_events(spark, root, valid=False).collect()
-    assert [(r["event_id"], r["raw_event_timestamp"]) for r in rejected] == [("v6", "yesterday")]
+    good = events.read_checked_events(spark, root, valid=True)
+    assert sorted(r["event_id"] for r in good.collect()) == valid(ALL)
+    bad = events.read_checked_events(spark, root, valid=False).collect()
+    assert sorted(r["event_id"] for r in bad) == rejected(ALL)
     run_raw(spark, root)
     two = spark.read.parquet(f"{root}/raw_data/events")
-    assert valid.columns == two.columns
+    assert good.columns == two.columns
     folders = [d for d, _, files in os.walk(f"{root}/raw_data/checked_events") if any(f.endswith(".parquet") for f in files)]
-    dates = {r["processing_date"] for r in valid.collect()}
+    dates = {r["processing_date"] for r in good.collect()}
     assert len(folders) <= 2 * len(dates) + 1
 
 
 def test_an_older_file_of_a_backlog_is_not_late(spark, root):
     """Files are not cut into batches that would move the watermark between them."""
-    for i, day in enumerate(("02", "02", "01", "01")):
-        drop(root, f"f{i}", [dict(EVENTS[0], event_id=f"b{i}", event_timestamp=f"2025-03-{day}T0{i}:00:00Z")])
+    for i, n in enumerate((300, 301, 1, 2)):
+        drop(root, f"f{i}", [event(n)])
         run_raw(spark, root)
     run_fact(spark, root)
-    assert ids(spark, f"{root}/output/fact_events_streaming") == ["b0", "b1", "b2", "b3"]
+    assert ids(spark, f"{root}/output/fact_events_streaming") == valid([1, 2, 300, 301])
 
 
 def test_two_events_in_one_second_collapse_unless_the_key_has_the_id(spark, root):
-    twin = dict(EVENTS[0], event_id="v7")
-    drop(root, "a", [EVENTS[0], twin, EVENTS[1]])
+    drop(root, "a", [event(0), event(0, event_id="twin"), event(1)])
     run_raw(spark, root)
     run_fact(spark, root)
     assert len(ids(spark, f"{root}/output/fact_events_streaming")) == 2
@@ -137,7 +165,7 @@ def test_two_events_in_one_second_collapse_unless_the_key_has_the_id(spark, root
     )
     deduped = dedup_stream(source, ["customer_id", "event_timestamp", "event_id"])
     await_all(stream_to_parquet(deduped, other, f"{root}/ck_by_id", every=None))
-    assert ids(spark, other) == ["v1", "v2", "v7"]
+    assert ids(spark, other) == [*valid([0, 1]), "twin"]
 
 
 def test_fact_stream_starts_before_its_source_has_files(spark, root):
@@ -146,7 +174,7 @@ def test_fact_stream_starts_before_its_source_has_files(spark, root):
     drop(root, "a", EVENTS[:1])
     run_raw(spark, root)
     run_fact(spark, root)
-    assert ids(spark, f"{root}/output/fact_events_streaming") == ["v1"]
+    assert ids(spark, f"{root}/output/fact_events_streaming") == valid([0])
 
 
 SCHEMA = T.StructType(
@@ -185,7 +213,7 @@ def test_state_must_be_able_to_expire(spark):
 
 def test_interval_trigger_and_backlog_limit(spark, root):
     for name in "abc":
-        drop(root, name, [dict(EVENTS[0], event_id=name)])
+        drop(root, name, [event(0, event_id=name)])
     queries = events.stream_events(spark, root, every="1 second", max_bytes=1)
     try:
         for query in queries:
@@ -198,9 +226,68 @@ def test_interval_trigger_and_backlog_limit(spark, root):
 
 
 def test_batch_use_of_the_cleaning(spark):
-    rows = [(1, "v1", "2025-03-01T08:00:10Z", "a1")]
+    rows = [(1, "v1", "2024-11-30T23:59:59Z", "a1")]
     df = spark.createDataFrame(rows, schemas.EVENTS)
     now = F.lit("2026-01-27 12:00:00").cast("timestamp")
     row = events.valid_events(events.clean_events(df, now)).first()
     assert row["processing_date"] == dt.date(2026, 1, 27)
     assert row["event_type"] == "A"
+
+
+def test_stream_and_batch_fact_agree_with_copies_and_restarts(spark, root):
+    """The dimension grows between two batches: each batch has the one of its time."""
+    dim(spark, root, keys=(1, 2))
+    drop(root, "a", [*EVENTS[:10], *EVENTS[:5]])
+    run_raw(spark, root)
+    await_all(events.stream_customer_events(spark, root, every=None))
+    before = {n for n in known(range(10)) if event(int(n[1:]))["customer_id"] in (1, 2)}
+    assert {r["event_id"] for r in events.read_customer_events(spark, root).collect()} == before
+    rows = [(k, f"new {k}", "e", "BR", dt.date(2022, 1, 1), dt.date(2026, 1, 28)) for k in (1, 2, 3, 4)]
+    schema = "customer_id long, name string, email string, country string, created_at date, processing_date date"
+    spark.createDataFrame(rows, schema).write.mode("overwrite").partitionBy("processing_date").parquet(f"{root}/output/dim_customer")
+    drop(root, "b", [*EVENTS[8:], *EVENTS[20:]])
+    run_raw(spark, root)
+    await_all(events.stream_customer_events(spark, root, every=None))
+    await_all(events.stream_customer_events(spark, root, every=None))
+    found = events.read_customer_events(spark, root).collect()
+    assert sorted(r["event_id"] for r in found) == sorted(before | set(known(range(10, 31))))
+    assert {r["event_id"] for r in found if r["name"].startswith("name")} == before
+
+
+def test_state_by_id_expires(spark, root):
+    def run(times):
+        rows = [(f"i{t}", dt.datetime(2026, 1, 1) + dt.timedelta(minutes=t), dt.date(2026, 1, 1)) for t in times]
+        schema = "event_id string, event_timestamp timestamp, processing_date date"
+        df = spark.createDataFrame(rows, schema).coalesce(1)
+        df.write.mode("append").partitionBy("processing_date").parquet(f"{root}/in")
+        deduped = dedup_stream_by_id(stream_parquet(spark, f"{root}/in", df.schema), ["event_id"])
+        query = stream_to_parquet(deduped, f"{root}/out", f"{root}/ck", every=None)
+        await_all(query)
+        time.sleep(0.1)
+        return query.lastProgress.stateOperators[0].numRowsTotal
+
+    run(range(0, 100))
+    # The watermark has gone to minute 990: nothing of the first batch is held.
+    assert run(range(1_000, 1_003)) <= 3
+    assert run([1_001, 1_002, 1_004]) <= 4
+    assert ids(spark, f"{root}/out") == sorted(f"i{t}" for t in [*range(100), *range(1_000, 1_003), 1_004])
+
+
+def test_audit_accounts_for_every_row(spark, root):
+    schema = "event_id string, event_timestamp timestamp, processing_date date"
+    audit = Audit(spark, f"{root}/audit")
+    spark.streams.addListener(audit)
+    try:
+        for minutes in ([0, 1, 1, 60], [60, 45, 49, 55, 55, 70]):
+            rows = [(f"i{m}", dt.datetime(2026, 1, 1) + dt.timedelta(minutes=m), dt.date(2026, 1, 1)) for m in minutes]
+            df = spark.createDataFrame(rows, schema).coalesce(1)
+            df.write.mode("append").partitionBy("processing_date").parquet(f"{root}/in")
+            deduped = dedup_stream_by_id(stream_parquet(spark, f"{root}/in", df.schema), ["event_id"])
+            query = stream_to_parquet(deduped, f"{root}/out", f"{root}/ck", every=None)
+            await_all(query)
+            audit.wait(query)
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(audit)
+    found = spark.read.parquet(f"{root}/audit").where("rows_in > 0").orderBy("batch").collect()
+    assert [(r["rows_in"], r["kept"], r["duplicates"], r["late"]) for r in found] == [(4, 3, 1, 0), (6, 2, 2, 2)]

@@ -262,4 +262,20 @@ WHERE CAST(substr(event_id, 2) AS BIGINT) % 23 = 5""",
 SELECT event_id, customer_id, event_type, event_timestamp IS NOT NULL AS is_valid FROM eparsed""",
     "stream_dedup_watermark": """SELECT DISTINCT user_id AS customer_id, ts AS event_timestamp
 FROM events""",
+    "stream_customer_events": f"""WITH {_CUSTOMERS}, {_customer_ctes(_CHANGED_FEED, 'second_')}, {_EVENTS},
+dims AS (SELECT *, 0 AS half FROM clean UNION ALL SELECT *, 1 AS half FROM second_clean)
+SELECT event_id, e.customer_id, name, email, country, event_type, created_at, event_timestamp
+FROM eparsed e JOIN dims d ON e.customer_id = d.customer_id
+  AND half = CAST(event_timestamp >= TIMESTAMP '2024-01-15' AS INTEGER)
+WHERE event_timestamp IS NOT NULL""",
+    "stream_events_by_id": "SELECT event_id FROM events",
+    "stream_audit": """WITH first_load AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-15'),
+mark AS (SELECT max(ts) - INTERVAL 10 MINUTE AS watermark, max(ts) AS newest FROM first_load)
+SELECT count(*) AS rows_in, count(*) AS kept, CAST(0 AS BIGINT) AS duplicates, CAST(0 AS BIGINT) AS late
+FROM first_load
+UNION ALL
+SELECT 2 * count(*), count(*) FILTER (ts > newest),
+  2 * count(*) FILTER (ts > watermark AND ts <= newest) + count(*) FILTER (ts > newest),
+  2 * count(*) FILTER (ts <= watermark)
+FROM events, mark""",
 }

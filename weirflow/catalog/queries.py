@@ -51,7 +51,14 @@ from weirflow.sources import (
     read_months,
     static_dim,
 )
-from weirflow.streaming import await_all, dedup_stream, stream_parquet, stream_to_parquet
+from weirflow.streaming import (
+    Audit,
+    await_all,
+    dedup_stream,
+    dedup_stream_by_id,
+    stream_parquet,
+    stream_to_parquet,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -532,3 +539,60 @@ def stream_dedup_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
         deduped = dedup_stream(stream, ["customer_id", "event_timestamp"])
         await_all(stream_to_parquet(deduped, f"{root}/out", f"{root}/checkpoint", every=None))
     return read_dataset(spark, f"{root}/out").drop("processing_date")
+
+
+@query
+def stream_customer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of two loads with the customers of their load: the dimension is
+    built again between the two batches, and the stream starts anew."""
+    root = _loaded_lake(spark, sf_dir)
+    feed = feeds.events_feed(spark, sf_dir)
+    for early in (True, False):
+        load = feed.where((F.col("event_timestamp") < "2024-01-15") == early)
+        load.write.mode("append").json(f"{root}/input_streaming/events")
+        await_all(*events.stream_events(spark, root, every=None))
+        await_all(events.stream_customer_events(spark, root, every=None))
+        if early:
+            _drop_customers(feeds.changed_customers_feed(spark, sf_dir), root, SECOND_LOAD)
+            customers.load_customers(spark, root, SECOND_LOAD)
+            customers.build_dim_customer(spark, root)
+    return events.read_customer_events(spark, root).drop("processing_date")
+
+
+@query
+def stream_events_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event comes three times, with up to two minutes between the times of
+    its copies; the first copy stays."""
+    root = scratch_path(spark, "by-id")
+    source = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("event_timestamp"))
+    copies = source.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(2))))
+    later = F.col("event_timestamp") + F.make_dt_interval(mins=F.col("copy"))
+    stamp_date(copies.withColumn("event_timestamp", later), FIRST_LOAD).write.partitionBy(
+        "processing_date"
+    ).parquet(f"{root}/in")
+    stream = stream_parquet(spark, f"{root}/in", read_dataset(spark, f"{root}/in").schema)
+    deduped = dedup_stream_by_id(stream, ["event_id"])
+    await_all(stream_to_parquet(deduped, f"{root}/out", f"{root}/checkpoint", every=None))
+    return read_dataset(spark, f"{root}/out").select("event_id")
+
+
+@query
+def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of every row of two loads: the second one brings all events
+    twice, of which the old ones are late and the recent ones known."""
+    root = scratch_path(spark, "audit")
+    source = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("event_timestamp"))
+    source = stamp_date(source, FIRST_LOAD)
+    audit = Audit(spark, f"{root}/audit")
+    spark.streams.addListener(audit)
+    try:
+        for load in (source.where("event_timestamp < '2024-01-15'"), source.unionAll(source)):
+            load.write.mode("append").partitionBy("processing_date").parquet(f"{root}/in")
+            deduped = dedup_stream_by_id(stream_parquet(spark, f"{root}/in", source.schema), ["event_id"])
+            stream = stream_to_parquet(deduped, f"{root}/out", f"{root}/checkpoint", every=None)
+            await_all(stream)
+            audit.wait(stream)
+    finally:
+        spark.streams.removeListener(audit)
+    found = read_dataset(spark, f"{root}/audit").where("rows_in > 0")
+    return found.select("rows_in", "kept", "duplicates", "late")

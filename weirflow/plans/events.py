@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,14 @@ from weirflow.functions import letters_upper, parse_timestamp
 from weirflow.operators import enrich, latest_by_key
 from weirflow.sinks import preview, preview_rows, write_snapshot
 from weirflow.sources import read_dataset
-from weirflow.streaming import dedup_stream, stream_json, stream_parquet, stream_to_parquet
+from weirflow.streaming import (
+    dedup_stream,
+    dedup_stream_by_id,
+    stream_enriched,
+    stream_json,
+    stream_parquet,
+    stream_to_parquet,
+)
 
 # The text of a line that is no JSON object.
 RAW_LINE = "raw_line"
@@ -28,6 +35,17 @@ VALID_COLUMNS = [
 ]
 # Rejects also keep the text that did not parse, and say why they are here.
 REJECT_COLUMNS = [*VALID_COLUMNS, "raw_event_timestamp", RAW_LINE, "error_reason"]
+FACT_COLUMNS = [
+    "event_id",
+    "customer_id",
+    "name",
+    "email",
+    "country",
+    "event_type",
+    "created_at",
+    "event_timestamp",
+    "processing_date",
+]
 
 
 def clean_events(events: DataFrame, now: Column | None = None) -> DataFrame:
@@ -113,17 +131,7 @@ def fact_events(events: DataFrame, dim_customer: DataFrame) -> DataFrame:
     customer is dropped."""
     latest = latest_by_key(events, ["event_id"], ["event_timestamp", "processing_date"])
     attributes = ["name", "email", "country", "created_at"]
-    return enrich(latest, dim_customer, "customer_id", attributes, how="inner").select(
-        "event_id",
-        "customer_id",
-        "name",
-        "email",
-        "country",
-        "event_type",
-        "created_at",
-        "event_timestamp",
-        "processing_date",
-    )
+    return enrich(latest, dim_customer, "customer_id", attributes, how="inner").select(*FACT_COLUMNS)
 
 
 def build_fact_events(
@@ -154,6 +162,33 @@ def stream_fact_events(
     )
 
 
+def stream_customer_events(
+    spark: SparkSession,
+    root: str,
+    read_dim: Callable[[], DataFrame] | None = None,
+    every: str | None = "3 seconds",
+) -> StreamingQuery:
+    """Tail the valid events, keep the first arrival of each event id and join
+    the customer as the dimension has it in that micro-batch; an event of an
+    unknown customer is dropped. Where nothing comes late or changes, this is the
+    fact that ``build_fact_events`` makes."""
+    source = stream_parquet(spark, f"{root}/raw_data/events", schemas.CLEAN_EVENTS)
+    return stream_enriched(
+        dedup_stream_by_id(source, ["event_id"]),
+        read_dim or (lambda: read_dataset(spark, f"{root}/output/dim_customer")),
+        "customer_id",
+        ["name", "email", "country", "created_at"],
+        f"{root}/output/customer_events_streaming",
+        f"{root}/checkpoint_data/customer_events_streaming",
+        how="inner",
+        every=every,
+    )
+
+
+def read_customer_events(spark: SparkSession, root: str) -> DataFrame:
+    return read_dataset(spark, f"{root}/output/customer_events_streaming").select(*FACT_COLUMNS)
+
+
 def first_events(spark: SparkSession, root: str) -> DataFrame:
     """The raw events with the smallest ids."""
     return preview_rows(read_dataset(spark, f"{root}/raw_data/events"), by=["event_id"])

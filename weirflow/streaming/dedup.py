@@ -25,3 +25,17 @@ def dedup_stream(
     if event_time not in keys:
         raise ValueError(f"{event_time!r} must be one of the keys so that state expires")
     return df.withWatermark(event_time, lateness).dropDuplicates(list(keys))
+
+
+def dedup_stream_by_id(
+    df: DataFrame,
+    ids: Sequence[str],
+    event_time: str = "event_timestamp",
+    lateness: str = ALLOWED_LATENESS,
+) -> DataFrame:
+    """Emit the first arrival of each id; its copies may have other event times.
+
+    An id is known until the watermark has passed its event time by ``lateness``,
+    and its copies have to come within that. State holds ids alone and expires.
+    """
+    return df.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(list(ids))
