@@ -131,6 +131,20 @@ LEFT JOIN (VALUES (1, 'Creative Mobile Technologies, LLC'), (2, 'VeriFone Inc.')
 LEFT JOIN (VALUES (1, 'Standard rate'), (2, 'JFK'), (3, 'Newark'), (4, 'Nassau or Westchester'),
   (5, 'Negotiated fare'), (6, 'Group ride')) r(id, rate_code_desc) ON r.id = l_linenumber"""
 
+
+
+def _report(groups: str) -> str:
+    return f"""WITH {_ORDERS}, {_order_ctes(_CHANGED_ORDERS, 'second_')},
+loads AS (
+  SELECT *, CAST(year(order_date) AS INTEGER) AS order_year
+  FROM (SELECT * FROM oclean UNION ALL SELECT * FROM second_oclean))
+SELECT currency, status, order_year, count(*) AS n_orders,
+  CAST(100 * sum(CAST(amount AS DECIMAL(18,2))) AS BIGINT) AS amount,
+  min(amount) AS least, max(amount) AS most,
+  CAST(grouping_id(currency, status, order_year) AS BIGINT) AS level
+FROM loads GROUP BY {groups}"""
+
+
 ORACLE_SQL: dict[str, str] = {
     # Both loads hold the same rows, so the latest version is the second one.
     "fact_orders_left": f"""WITH {_CUSTOMERS}, {_ORDERS},
@@ -278,4 +292,12 @@ SELECT 2 * count(*), count(*) FILTER (ts > newest),
   2 * count(*) FILTER (ts > watermark AND ts <= newest) + count(*) FILTER (ts > newest),
   2 * count(*) FILTER (ts <= watermark)
 FROM events, mark""",
+    "report_orders_rollup": _report("ROLLUP (currency, status, order_year)"),
+    "report_orders_sets": _report("GROUPING SETS ((status, order_year), (currency), (order_year))"),
+    "order_rule_counts": f"""WITH ofeed AS ({ORDERS_FEED})
+SELECT unnest(['rows', 'no_customer', 'negative_amount', 'unknown_status', 'no_date']) AS rule,
+  unnest([count(*), count(*) FILTER (customer_id IS NULL), count(*) FILTER (amount < 0),
+    count(*) FILTER (lower(status) NOT IN ('completed', 'cancelled')),
+    count(*) FILTER (order_date = 'bogus')]) AS broken
+FROM ofeed""",
 }

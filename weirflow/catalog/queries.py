@@ -22,6 +22,7 @@ from weirflow.functions import (
     letters_upper,
     month_number,
     month_text,
+    parse_date_any,
     surrogate_key,
     year_number,
 )
@@ -33,6 +34,7 @@ from weirflow.operators import (
     stamp_date,
     stamp_reject,
 )
+from weirflow.operators.rules import Rule
 from weirflow.plans import customers, events, lookups, orders, trips
 from weirflow.session import scratch_path
 from weirflow.sinks import (
@@ -421,6 +423,50 @@ def lake_fact_orders_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.read_fact_orders(spark, _merged_lake(spark, sf_dir))
 
 
+def _reported_lake(spark: SparkSession, sf_dir: str) -> str:
+    """Two loads of orders with their partials; the second one comes twice."""
+    root = scratch_path(spark, "reported")
+    first, second = feeds.orders_feed(spark, sf_dir), feeds.changed_orders_feed(spark, sf_dir)
+    for date, drop in ((FIRST_LOAD, first), (SECOND_LOAD, second)):
+        drop.write.json(f"{root}/input/orders/{date}/orders.json")
+    for date in (FIRST_LOAD, SECOND_LOAD, SECOND_LOAD):
+        orders.load_orders(spark, root, date, json_lines=True)
+        orders.add_report_partials(spark, root, date)
+    return root
+
+
+def _in_cents(report: DataFrame) -> DataFrame:
+    return report.withColumn("amount", (F.col("amount") * 100).cast("long"))
+
+
+@query
+def report_orders_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order amounts, in cents, with subtotals from the finest level to the total."""
+    return _in_cents(orders.report_orders(spark, _reported_lake(spark, sf_dir)))
+
+
+@query
+def report_orders_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subtotals that are no rollup: by status and year, by currency, by year."""
+    sets = [["status", "order_year"], ["currency"], ["order_year"]]
+    return _in_cents(orders.report_orders(spark, _reported_lake(spark, sf_dir), sets))
+
+
+@query
+def order_rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many orders of a load break which rule, as its one pass has counted."""
+    root = scratch_path(spark, "rules")
+    feeds.orders_feed(spark, sf_dir).write.json(f"{root}/input/orders/{FIRST_LOAD}/orders.json")
+    rules = [
+        Rule("no_customer", F.col("customer_id").isNull(), most=0.5),
+        Rule("negative_amount", "amount < 0"),
+        Rule("unknown_status", "lower(status) NOT IN ('completed', 'cancelled')"),
+        Rule("no_date", parse_date_any("order_date").isNull()),
+    ]
+    counts = orders.load_orders(spark, root, FIRST_LOAD, json_lines=True, rules=rules)
+    return spark.createDataFrame(list(counts.items()), "rule string, broken long")
+
+
 @query
 def lake_fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV drop and event stream -> dimension -> event fact."""

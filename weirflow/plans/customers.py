@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from weirflow import schemas
 from weirflow.operators import Quarantine, latest_by_key, stamp_date, stamp_reject
 from weirflow.operators.merge import merge_latest
+from weirflow.operators.rules import Rule, staged_with_counts
 from weirflow.operators.stamps import resolve_process_date
-from weirflow.session import staged, staging
+from weirflow.session import staging
 from weirflow.sinks import KeyedSnapshot, replace_partitions, write_rejects, write_snapshot
 from weirflow.sources import read_csv, read_dataset
 
@@ -32,18 +33,22 @@ def load_customers(
     root: str,
     process_date: str | dt.date | None = None,
     now: dt.datetime | None = None,
+    rules: Sequence[Rule] = (),
     **options,
-) -> None:
+) -> dict[str, int]:
     """``input`` CSV of a date -> clean rows and two reject sets. Running it
     again for the same date replaces exactly that date. A value that does not
-    fit makes its row incomplete; the reject keeps the line."""
+    fit makes its row incomplete; the reject keeps the line.
+
+    Returns how many rows there were and how many broke each of ``rules``; one
+    that is broken too often stops the load before anything is replaced."""
     date = resolve_process_date(process_date)
     path = f"{root}/input/customers/{date}/customers.csv"
     drop = read_csv(spark, path, schemas.CUSTOMERS, RAW_LINE)
     split = split_customers(stamp_date(drop, date), **options)
     # Three outputs, one ranking shuffle: the ranked rows are staged.
     with staging(spark, root) as stage:
-        split.ranked = staged(split.ranked, f"{stage}/ranked")
+        split.ranked, counts = staged_with_counts(split.ranked, f"{stage}/ranked", rules)
         write_rejects(
             stamp_reject(split.duplicates, schemas.REASON_DUPLICATE, now),
             f"{root}/rejected_data/customers/duplicated_ids",
@@ -59,6 +64,7 @@ def load_customers(
             f"{root}/raw_data/customers",
             [{"processing_date": date}],
         )
+    return counts
 
 
 # What makes a row the newest of its customer.

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +19,11 @@ from weirflow.operators import (
     stamp_reject,
 )
 from weirflow.operators.merge import merge_latest
+from weirflow.operators.report import partials, report
+from weirflow.operators.rules import Rule, staged_with_counts
 from weirflow.operators.stamps import resolve_process_date
 from weirflow.plans.customers import customer_snapshot
-from weirflow.session import staged, staging
+from weirflow.session import staging
 from weirflow.sinks import KeyedSnapshot, replace_partitions, write_rejects, write_snapshot
 from weirflow.sources import read_dataset, read_json_array, read_json_lines
 
@@ -52,9 +54,12 @@ def load_orders(
     now: dt.datetime | None = None,
     json_lines: bool = False,
     reject_unparsed_dates: bool = False,
+    rules: Sequence[Rule] = (),
     **options,
-) -> None:
-    """``input`` JSON of a date -> clean rows and rejects.
+) -> dict[str, int]:
+    """``input`` JSON of a date -> clean rows and rejects. Returns how many rows
+    there were and how many broke each of ``rules``; one that is broken too often
+    stops the load before anything is replaced.
 
     A date text that no format matches is a null date in the clean rows;
     ``reject_unparsed_dates`` moves those rows to a reject set of their own.
@@ -65,7 +70,7 @@ def load_orders(
     drop = stamp_date(read(spark, path, schemas.ORDERS), date)
     # Parsed once for all passes.
     with staging(spark, root) as stage:
-        drop = staged(drop, f"{stage}/drop")
+        drop, counts = staged_with_counts(drop, f"{stage}/drop", rules)
         split = split_orders(drop, stage=stage, **options)
         write_rejects(
             stamp_reject(split.invalid, schemas.REASON_NULLS, now),
@@ -84,6 +89,7 @@ def load_orders(
         replace_partitions(
             clean_orders(complete), f"{root}/raw_data/orders", [{"processing_date": date}]
         )
+    return counts
 
 
 # What makes a row the newest of its order, and what a fact shows of its customer.
@@ -165,3 +171,35 @@ def _changed_customers(customers: KeyedSnapshot, since: int) -> DataFrame | None
 def read_fact_orders(spark: SparkSession, root: str) -> DataFrame | None:
     """The merged fact; None before the first merge."""
     return KeyedSnapshot(spark, f"{root}/output/fact_orders_merged", ["order_id"]).read()
+
+
+# The report of order amounts: dimensions from the coarsest on, and measures.
+REPORT_BY = ["currency", "status", "order_year"]
+REPORT_MEASURES = {
+    "n_orders": ("count", "order_id"),
+    "amount": ("sum", "exact_amount"),
+    "least": ("min", "amount"),
+    "most": ("max", "amount"),
+}
+
+
+def add_report_partials(spark: SparkSession, root: str, process_date: str | dt.date | None = None) -> None:
+    """Aggregate one load of orders; doing it again replaces its partials."""
+    date = resolve_process_date(process_date)
+    load = read_dataset(spark, f"{root}/raw_data/orders", dates=[date])
+    dated = load.withColumns(
+        {"order_year": F.year("order_date"), "exact_amount": F.col("amount").cast("decimal(18,2)")}
+    )
+    parts = partials(dated, ["processing_date", *REPORT_BY], REPORT_MEASURES)
+    replace_partitions(
+        parts,
+        f"{root}/output/order_partials",
+        [{"processing_date": date}],
+        rebalance=True,
+    )
+
+
+def report_orders(spark: SparkSession, root: str, sets: Sequence[Sequence[str]] | None = None) -> DataFrame:
+    """All loads by currency, status and year of the order, with subtotals."""
+    parts = read_dataset(spark, f"{root}/output/order_partials")
+    return report(parts, REPORT_BY, REPORT_MEASURES, sets)
