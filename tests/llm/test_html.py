@@ -1,3 +1,8 @@
+import re
+import time
+from html.parser import HTMLParser
+
+import pyarrow.parquet as pq
 import pytest
 
 from weirflow.llm.html import extract_main_text, main_text, smoothed, threshold
@@ -86,3 +91,112 @@ def test_rows(spark):
     assert sorted(map(tuple, found), key=str) == [(1, "u", "é", 1), (1, "u", "é", 1), (None, None, "", 0)]
     assert found[0].asDict().keys() == {"page_id", "url", "text", "n_chars"}
     assert extract_main_text(spark.createDataFrame([], schema)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='container right-sidebar'><article><p>{}</p></article></div>",
+        "<div class='layout-sidebar'><div class='content'><p>{}</p></div></div>",
+        "<div id='social'><article><p>{}</p></article></div>",
+        "<form id='aspnetForm'><div><article><p>{}</p></article></div></form>",
+        "<form><div class='popup'><main><p>{}</p></main></div></form><footer>foot</footer>",
+        "<div class='sidebar'><div><p>{}</p></div><div class='menu'><a>x</a></div></div><div>up</div>",
+        "<article><div class='ad-hoc-analysis'><p>{}</p></div></article>",
+        "<article><div class='widget-guide'><p>{}</p></div><div class='ad-slot'><p>buy</p></div></article>",
+        "<main><p>{}</p></main><div class='comments'><article><p>me too, and more than that, I say</p></article></div>",
+    ],
+)
+def test_no_page_is_empty_because_of_a_name(page):
+    assert main_text(page.format(LONG)).startswith(LONG)
+    assert "buy" not in main_text(page.format(LONG)) and "me too" not in main_text(page.format(LONG))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<i>" * 110_000 + "</b>" * 110_000,
+        "<b><div>" + "<i>" * 110_000 + "</b>" * 110_000,
+        "<a " * 350_000,
+        "<a " * 350_000 + ">",
+        "<!-- " * 200_000,
+        "</ " * 350_000,
+        "<![ " * 250_000,
+        "<![ x> " * 100_000,
+        "<div class=sidebar>" * 50_000 + "x",
+        "<form><p>" * 100_000 + "x",
+        "<p>x" * 150_000,
+    ],
+)
+def test_time_is_linear(page):
+    start = time.process_time()
+    main_text(f"<article><p>{LONG}</p></article>{page}")
+    assert time.process_time() - start < 6  # 1 MB; a quadratic pass takes minutes
+
+
+def test_unfinished_markup_is_no_text():
+    assert main_text(f"<p>{LONG}</p><a href='x") == LONG
+    assert main_text(f"<p>{LONG}</p><!-- never closed <p>hidden</p>") == LONG
+    assert main_text(f"<p>{LONG}</p>a < b") == f"{LONG}\n\na < b"
+    assert main_text(f"<![CDATA[x]]><p>{LONG}</p><![if IE]>") == LONG
+
+
+class _Tree(HTMLParser):
+    """All elements of a page as nested lists: name, attributes, children."""
+
+    def __init__(self):
+        super().__init__()
+        self.path = [["", {}, []]]
+
+    def handle_starttag(self, tag, attrs):
+        node = [tag, dict(attrs), []]
+        self.path[-1][2].append(node)
+        if tag not in ("br", "img", "meta", "link", "input", "hr"):
+            self.path.append(node)
+
+    def handle_endtag(self, tag):
+        names = [n[0] for n in self.path]
+        if tag in names:
+            del self.path[len(names) - 1 - names[::-1].index(tag) :]
+
+    def handle_data(self, data):
+        self.path[-1][2].append(data)
+
+
+def _found(node, tag):
+    if isinstance(node, str):
+        return []
+    return [node] * (node[0] == tag) + [x for child in node[2] for x in _found(child, tag)]
+
+
+def _blocks(node, out):
+    """Text of the article's blocks, without asides, forms, scripts and adverts."""
+    if isinstance(node, str):
+        out[-1] += node
+        return
+    name, attrs, children = node
+    if name in ("script", "style", "aside", "form", "nav", "footer", "noscript", "button", "figure") or attrs.get("class") == "ad":
+        out.append("")
+        return
+    block = name in ("p", "h1", "h2", "h3", "h4", "li", "ul", "ol", "div", "section", "blockquote", "pre", "table", "tr", "td", "article", "header")
+    if block:
+        out.append("")
+    if name == "br":
+        out[-1] += " "
+    for child in children:
+        _blocks(child, out)
+    if block:
+        out.append("")
+
+
+def test_pages_equal_a_walk_of_their_tree():
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet")["html"].to_pylist()
+    for html in pages:
+        tree = _Tree()
+        tree.feed(html)
+        tree.close()
+        (article,) = _found(tree.path[0], "article")
+        out = [""]
+        _blocks(article, out)
+        wanted = [re.sub(r"\s+", " ", x).strip() for x in out]
+        assert main_text(html) == "\n\n".join(x for x in wanted if x)
