@@ -1,3 +1,6 @@
+import math
+from fractions import Fraction
+
 import numpy as np
 import pytest
 
@@ -70,10 +73,23 @@ def test_bit_sliced_search_with_few_candidates_and_repeats(spark):
     assert bitsliced.exact_top_k(df.where("vec_id = 1"), df.where("vec_id = 1"), 5).collect() == []
 
 
-def test_too_large_components_are_an_error(spark):
-    df = table(spark, [(1, [1e6]), (2, [1.0])])
-    with pytest.raises(Exception, match="or more"):
-        bitsliced.exact_top_k(df, df, 5).collect()
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_components_of_any_finite_size(spark, kind):
+    """Scores fit a long, whatever the components; others are larger than 2^63."""
+    small = [(i, [float(i % 7) - 3, 0.5, 0.0]) for i in range(90)]
+    large = [(100, [1e6, -2e6, 0.0]), (101, [-65_536.0, 65_535.99, 0.0]), (102, [3e6, 1.0, 0.0])]
+    huge = [(103, [0.0, 0.0, -1e30]), (104, [0.0, 0.0, -3.0e38]), (105, [0.25, 0.25, -1e25])]
+    df = spark.createDataFrame([*small, *large, *huge], f"vec_id long, embedding array<{kind}>")
+    good = [(i, np.array(v, np.float32 if kind == "float" else float).astype(float)) for i, v in [*small, *large, *huge]]
+
+    def score(v, w):
+        return sum(math.floor(Fraction(x) * 256) * math.floor(Fraction(y) * 256) for x, y in zip(v.tolist(), w.tolist(), strict=True))
+
+    queries = [(i, v) for i, v in good if i % 10 == 0 or i in (101, 102)]
+    got = found_of(bitsliced.exact_top_k(df, df.where("vec_id % 10 = 0 OR vec_id IN (101, 102)"), 5))
+    assert got == brute(good, queries, 5, score)
+    with pytest.raises(Exception, match="does not fit a long"):
+        bitsliced.exact_top_k(df, df.where("vec_id = 103"), 5).collect()
 
 
 def test_full_adders_add():

@@ -11,40 +11,53 @@ downward; rows that no slice tells apart are ties and go by id.
 
 from __future__ import annotations
 
+import json
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.llm.vectors import pack_blocks, pack_groups, search_blocks, usable
 
-SCALE = 256.0
-# Sums of products of components below this fit a long for any usual length.
+SCALE = 256
+# Below this, sums of products fit a long for any usual length; beyond it, numbers
+# are Python's, which have no bounds.
 LARGEST = 1 << 24
 
 
+def _whole(x: float) -> int:
+    """floor(256 * x), exactly."""
+    return int(x) * SCALE if abs(x) >= 1 << 53 else math.floor(x * SCALE)
+
+
 def _integers(matrix: np.ndarray) -> np.ndarray:
-    whole = np.floor(matrix * SCALE)
-    if whole.size and np.abs(whole).max() >= LARGEST:
-        raise ValueError(f"a component times {SCALE:g} is {LARGEST} or more")
-    return whole.astype(np.int64)
+    if not matrix.size or np.abs(matrix).max() < LARGEST / SCALE:
+        return np.floor(matrix * SCALE).astype(np.int64)
+    out = np.empty(matrix.shape, object)
+    out.ravel()[:] = [_whole(x) for x in matrix.ravel().tolist()]
+    return out
 
 
 def build_slices(matrix: np.ndarray) -> bytes:
-    """Smallest value and number of digits of each component, then its bitmaps
-    from the lowest digit on; all as little-endian 64-bit words."""
+    """Smallest value and number of digits of each component as JSON, behind its
+    length, then the bitmaps of each from the lowest digit on, as little-endian
+    64-bit words."""
     whole = _integers(matrix)
-    least = whole.min(axis=0)
-    digits = np.array([int(x).bit_length() for x in (whole - least).max(axis=0)], np.int64)
-    rows = len(whole)
-    words = -(-rows // 64)
-    planes = np.zeros((int(digits.sum()), words * 8), np.uint8)
+    least = [int(x) for x in whole.min(axis=0)]
+    above = whole - whole.min(axis=0)
+    digits = [int(x).bit_length() for x in above.max(axis=0)]
+    words = -(-len(whole) // 64)
+    planes = np.zeros((sum(digits), words * 8), np.uint8)
     at = 0
-    for d, above in enumerate((whole - least).T):
-        for digit in range(digits[d]):
-            bits = np.packbits((above >> digit & 1).astype(np.uint8), bitorder="little")
+    for column, size in zip(above.T, digits, strict=True):
+        for digit in range(size):
+            bits = np.packbits((column >> digit & 1).astype(np.uint8), bitorder="little")
             planes[at, : len(bits)] = bits
             at += 1
-    return np.concatenate([[len(digits)], least, digits]).astype("<i8").tobytes() + planes.tobytes()
+    head = json.dumps([least, digits]).encode()
+    head += b" " * (-len(head) % 8)
+    return len(head).to_bytes(8, "little") + head + planes.tobytes()
 
 
 def _sum_slices(columns: list[np.ndarray]) -> list[np.ndarray]:
@@ -100,14 +113,24 @@ def _positions(bitmap: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))
 
 
+_LEAST, _MOST = -(1 << 63), (1 << 63) - 1
+
+
+def _longs(score: np.ndarray) -> np.ndarray:
+    """Scores outside of longs become the nearest one."""
+    if score.dtype == object:
+        score = np.array([min(max(int(x), _LEAST), _MOST) for x in score], np.int64)
+    return score
+
+
 def make_search(k: int):
     def search(index, block_ids, _, query_ids, query_matrix):
-        head = np.frombuffer(index, "<i8", 1 + 2 * int(np.frombuffer(index, "<i8", 1)[0]))
-        dims = int(head[0])
-        least, digits = head[1 : 1 + dims], head[1 + dims :]
+        start = 8 + int.from_bytes(index[:8], "little")
+        least, digits = json.loads(index[8:start])
+        dims = len(digits)
         rows = len(block_ids)
         words = -(-rows // 64)
-        planes = np.frombuffer(index, "<u8", offset=8 * len(head)).reshape(-1, words)
+        planes = np.frombuffer(index, "<u8", offset=start).reshape(-1, words)
         planes = np.concatenate([planes, ~planes])  # of the distance from above as well
         first = np.concatenate([[0], np.cumsum(digits)])
         below = first[-1]
@@ -142,11 +165,13 @@ def make_search(k: int):
                 packed[:rows] = own
                 others = every & ~np.packbits(packed, bitorder="little").view("<u8")
             at = _select(slices, others, k)
-            score = np.full(len(at), constant, np.int64)
+            small = len(slices) < 62 and abs(constant) < 1 << 62
+            score = np.full(len(at), constant, np.int64 if small else object)
             for w, digit in enumerate(slices):
                 if digit is not None:
-                    score += (digit[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(np.int64) << w
-            out.append((at, np.full(len(at), i), score))
+                    bits = digit[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)
+                    score += bits.astype(np.int64).astype(score.dtype) << w
+            out.append((at, np.full(len(at), i), _longs(score)))
         return tuple(np.concatenate(x).astype(np.int64) for x in zip(*out, strict=True))
 
     return search
@@ -161,12 +186,15 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame
     them all. Null ids, null or empty vectors and those with a null, NaN or
     infinite component take no part, on either side. Where lengths differ, the
     shorter vector ends in zeros. A repeated row is a candidate each time, and a
-    repeated query id shares one ranking. Components of 65,536 or more are an
-    error. Empty inputs give no rows. Other columns are ignored.
+    repeated query id shares one ranking. Components may have any finite size; only
+    a score among the best that does not fit a long is an error. Empty inputs give
+    no rows. Other columns are ignored.
     """
     candidates = usable(vectors)
     asked = usable(queries)
     blocks = pack_blocks(candidates, build_slices, candidates.count(), keep_vectors=False)
     groups = pack_groups(asked, asked.count())
     found = search_blocks(blocks, groups, make_search(k), k, "long")
-    return found.withColumn("rank", F.col("rank").cast("int"))
+    outside = F.raise_error(F.lit("one of the best scores of a query does not fit a long")).cast("long")
+    score = F.when(F.col("score").isin(_LEAST, _MOST), outside).otherwise(F.col("score"))
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score.alias("score"))
