@@ -42,6 +42,8 @@ def test_each_stage_takes_effect(spark, docs_of):
     rows = [(i, f"{(english, german)[i % 2]} {i} {i} {i}", ("en", "de")[i % 2], f"s{i % 3}") for i in range(60)]
     rows += [(100, "12 34 !!", "en", "s0"), (101, None, "en", "s0"), (102, rows[0][1], "en", "s1"), (102, rows[0][1], "en", "s1")]
     docs = docs_of(rows)
+    clashing = "lang_pred _id _source _taken _whole _rest _copy _given _copy_".split()
+    docs = docs.selectExpr("*", *[f"concat('own ', doc_id) AS {name}" for name in clashing])
     columns = docs.columns
     kept = corpus_pipeline.identify_language(spark, docs, SF)
     assert kept.columns == columns
@@ -56,4 +58,7 @@ def test_each_stage_takes_effect(spark, docs_of):
     assert mixed.columns == columns
     assert mixed.count() > 0
     texts = {r.doc_id: r.text for r in single.collect()}
+    for stage in (kept, single, mixed):
+        assert all(r.score == 7 and all(r[name] == f"own {r.doc_id}" for name in clashing) for r in stage.collect())
+    assert corpus_pipeline.pack_sequences(spark, mixed, SF).count() >= mixed.count()
     assert all(texts[r.doc_id].startswith(r.text) and r.n_chars in (7, len(r.text)) for r in mixed.collect())

@@ -28,3 +28,11 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores behind it until no column of ``frames`` has it."""
+    taken = {column.lower() for frame in frames for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

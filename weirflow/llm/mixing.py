@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import staged
+from weirflow.llm.common import staged, unused
 from weirflow.session import cut_lineage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -274,26 +274,23 @@ def render_mix(docs: DataFrame, mix: DataFrame) -> DataFrame:
     after ``whole_documents``. Rows that share id and source are taken alike. ``n_chars`` is kept right if there is
     one.
     """
+    key, source, whole, rest, copy = (
+        unused(name, docs) for name in ("_id", "_source", "_whole", "_rest", "_copy")
+    )
+    times = F.struct(F.expr("taken DIV size").alias("whole"), F.expr("CAST(taken % size AS INT)").alias("rest"))
     chosen = (
         mix.where("taken > 0")
-        .select(
-            F.col("doc_id").alias("_id"),
-            F.col("source").alias("_source"),
-            F.struct(
-                F.expr("taken DIV size").alias("_whole"),
-                F.expr("CAST(taken % size AS INT)").alias("_rest"),
-            ).alias("_taken"),
-        )
-        .groupBy("_id", "_source")
-        .agg(F.min("_taken").alias("_taken"))
-        .select("_id", "_source", "_taken.*")
+        .groupBy(F.col("doc_id").alias(key), F.col("source").alias(source))
+        .agg(F.min(times).alias("times"))
+        .select(key, source, F.col("times.whole").alias(whole), F.col("times.rest").alias(rest))
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-    copies = F.explode(F.expr("sequence(1L, _whole + IF(_rest > 0, 1, 0))"))
-    taken = docs.join(chosen, same).withColumn("_copy", copies)
-    cut = F.col("_copy") > F.col("_whole")
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & F.col("source").eqNullSafe(F.col(source))
+    takings = F.col(whole) + F.when(F.col(rest) > 0, F.lit(1)).otherwise(F.lit(0))
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), takings))
+    taken = docs.join(chosen, same).withColumn(copy, copies)
+    cut = F.col(copy) > F.col(whole)
     words = F.regexp_extract_all("text", F.lit(WORD_AND_BEFORE), 0)
-    first = F.array_join(F.slice(words, 1, F.col("_rest")), "")
+    first = F.array_join(F.slice(words, 1, F.col(rest)), "")
     taken = taken.withColumn("text", F.when(cut, first).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         chars = F.char_length("text").cast(docs.schema["n_chars"].dataType)
