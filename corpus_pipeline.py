@@ -21,10 +21,12 @@ LEAST_SCORE = 0.5
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose language is recognised: those with a letter, and
-    with one language more probable than all others together."""
-    found = langid.identify(docs, langid.learn(docs))
+    with one language more probable than all others together. Their columns stay
+    as they are, also one with the name of a prediction."""
+    own = {name: f"own {i} {name}" for i, name in enumerate(docs.columns) if name.lower() in ("lang_pred", "score")}
+    found = langid.identify(docs.withColumnsRenamed(own), langid.learn(docs))
     known = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    return found.where(known).select(*docs.columns)
+    return found.where(known).select(*[F.col(f"`{own.get(name, name)}`").alias(name) for name in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
