@@ -4,8 +4,8 @@ Candidates are found level by level. A phrase can only be frequent if the two
 phrases one word shorter inside it are, so each pass counts the hashes of those
 only that pass this test, against a bitmap of fixed size of what was frequent
 before. Bitmap and hashes can only let too much through, so the candidates are
-safe. Their words are then read once, and double-array tries of bounded size
-are broadcast. A task advances the states of all its positions together, one
+safe. A count names a phrase by the hashes of its first words and of its last one,
+from which its text follows, and double-array tries of bounded size are broadcast. A task advances the states of all its positions together, one
 word at a time, and counts the accepting states it meets; the sum of all tasks
 is the exact number of occurrences.
 """
@@ -100,35 +100,42 @@ def _bitmap(phrases: DataFrame) -> np.ndarray:
 
 
 class _Tally:
-    """Counts of hashes, at most about HELD_COUNTS at a time."""
+    """Counts of phrases by their hash, at most about HELD_COUNTS at a time, with the
+    hashes of their first words and of their last one."""
 
     def __init__(self) -> None:
+        self._drop()
+
+    def _drop(self) -> None:
         self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self._new: list[np.ndarray] = []
+        self.ends = np.zeros((2, 0), np.uint64)
+        self._new: list[tuple[np.ndarray, np.ndarray]] = []
         self._size = 0
 
-    def add(self, hashes: np.ndarray) -> None:
-        self._new.append(hashes)
+    def add(self, hashes: np.ndarray, ends: np.ndarray) -> None:
+        self._new.append((hashes, ends))
         self._size += len(hashes)
         if self._size > max(HELD_COUNTS // 4, len(self.hashes)):
             self.settle()
 
     def settle(self) -> None:
-        hashes, counts = np.unique(np.concatenate([self.hashes[:0], *self._new]), return_counts=True)
-        hashes, counts = np.concatenate([self.hashes, hashes]), np.concatenate([self.counts, counts])
-        order = np.argsort(hashes, kind="stable")
-        hashes, counts = hashes[order], counts[order]
+        hashes = np.concatenate([self.hashes, *[h for h, _ in self._new]])
+        ends = np.concatenate([self.ends, *[e for _, e in self._new]], axis=1)
+        counts = np.concatenate([self.counts, np.ones(len(hashes) - len(self.counts), np.int64)])
+        order = np.argsort(hashes)
+        hashes = hashes[order]
         fresh = np.ones(len(hashes), bool)
         fresh[1:] = hashes[1:] != hashes[:-1]
         at = np.flatnonzero(fresh)
-        self.hashes = hashes[at]
-        self.counts = np.add.reduceat(counts, at) if len(at) else counts
+        self.hashes, self.ends = hashes[at], ends[:, order[at]]
+        self.counts = np.add.reduceat(counts[order], at) if len(at) else counts
         self._new, self._size = [], 0
 
     def taken(self) -> pa.RecordBatch:
-        out = [pa.array(self.hashes.view(np.int64)), pa.array(self.counts)]
-        self.hashes, self.counts = self.hashes[:0], self.counts[:0]
-        return pa.RecordBatch.from_arrays(out, ["phrase", "n"])
+        self.settle()
+        columns = [pa.array(x.view(np.int64)) for x in self.ends] + [pa.array(self.counts)]
+        self._drop()
+        return pa.RecordBatch.from_arrays(columns, ["prefix", "last", "n"])
 
 
 def _steps(batches: Iterator[pa.RecordBatch], hasher: Hasher) -> Iterator[tuple[_Words, pa.RecordBatch]]:
@@ -144,64 +151,81 @@ def _langs(step: pa.RecordBatch) -> np.ndarray:
     return step.column("lang_hash").to_numpy().view(np.uint64)
 
 
-def _level(texts: DataFrame, words: int, before: np.ndarray | None) -> DataFrame:
-    """phrase (its hash) and n of the phrases of so many words in which both
-    phrases of one word less are marked in ``before``."""
+_COUNTED = "phrase long, lang string, text string, n long"
+
+
+def _words(texts: DataFrame, least: int) -> DataFrame:
+    """phrase (its hash), lang, text and n of the frequent words."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        held: dict[int, list] = {}
+
+        def rows() -> pa.RecordBatch:
+            counts, langs, words = zip(*held.values(), strict=True) if held else ((), (), ())
+            hashes = np.fromiter(held, np.uint64, len(held)).view(np.int64)
+            columns = [pa.array(hashes), pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(counts, pa.int64())]
+            held.clear()
+            return pa.RecordBatch.from_arrays(columns, ["phrase", "lang", "text", "n"])
+
+        for found, step in _steps(batches, hasher):
+            hashes, _ = next(found.phrases(_langs(step)))
+            distinct, at, counts = np.unique(hashes, return_index=True, return_counts=True)
+            langs = step.column("lang").take(pa.array(found.text[at])).to_pylist()
+            for h, n, lang, word in zip(distinct.tolist(), counts.tolist(), langs, found.written(at, 1), strict=True):
+                known = held.get(h)
+                if known is None:
+                    held[h] = [n, lang, word]
+                else:
+                    known[0] += n
+            if len(held) > HELD_COUNTS // 8:
+                yield rows()
+        yield rows()
+
+    counted = texts.mapInArrow(count, _COUNTED).groupBy("phrase")
+    summed = counted.agg(F.min("lang").alias("lang"), F.min("text").alias("text"), F.sum("n").alias("n"))
+    return summed.where(F.col("n") >= least)
+
+
+def _longer(texts: DataFrame, words: int, least: int, before: np.ndarray) -> DataFrame:
+    """prefix and last (hashes) and n of the frequent phrases of so many words in
+    which both phrases of one word less are marked in ``before``."""
     shared = texts.sparkSession.sparkContext.broadcast(before)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, tally, bitmap = Hasher(), _Tally(), shared.value
         for found, step in _steps(batches, hasher):
-            shorter = None
+            shorter = single = None
             for k, (hashes, inside) in enumerate(found.phrases(_langs(step)), 1):
                 if k == words:
                     break
-                shorter = hashes
-            if bitmap is not None:
-                known = _seen(bitmap, shorter)
-                inside = inside & known[:-1] & known[1:]
-            tally.add(hashes[inside])
+                single, shorter = hashes if k == 1 else single, hashes
+            known = _seen(bitmap, shorter)
+            at = np.flatnonzero(inside & known[:-1] & known[1:])
+            tally.add(hashes[at], np.stack([shorter[at], single[at + words - 1]]))
             if len(tally.hashes) > HELD_COUNTS:
-                tally.settle()
                 yield tally.taken()
-        tally.settle()
         yield tally.taken()
 
-    return texts.mapInArrow(count, "phrase long, n long").groupBy("phrase").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(count, "prefix long, last long, n long")
+    return counted.groupBy("prefix", "last").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def _read(texts: DataFrame, frequent: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """lang, words (how many) and text of all phrases of two words or more whose
-    hash is in ``frequent``."""
-    shared = texts.sparkSession.sparkContext.broadcast(bitmap)
+def _named(longer: DataFrame, shorter: DataFrame, words: DataFrame) -> DataFrame:
+    """phrase, lang and text of phrases given by their prefix and last word."""
+    first = shorter.select(F.col("phrase").alias("prefix"), "lang", F.col("text").alias("start"))
+    final = words.select(F.col("phrase").alias("last"), F.col("text").alias("word"))
+    rows = longer.join(first, "prefix").join(final, "last")
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, marked = Hasher(), shared.value
-        done = [np.zeros(0, np.uint64)] * LONGEST
-        for found, step in _steps(batches, hasher):
-            langs = step.column("lang")
-            for k, (hashes, inside) in enumerate(found.phrases(_langs(step)), 1):
-                if k == 1:
-                    continue
-                at = np.flatnonzero(inside & _seen(marked, hashes))
-                distinct, first = np.unique(hashes[at], return_index=True)
-                new = ~np.isin(distinct, done[k - 1], assume_unique=True)
-                distinct, at = distinct[new], at[first[new]]
-                # A task may give a phrase again, rather than remember all.
-                kept = done[k - 1] if len(done[k - 1]) < HELD_COUNTS else distinct[:0]
-                done[k - 1] = np.concatenate([kept, distinct])
-                columns = [
-                    pa.array(distinct.view(np.int64)),
-                    langs.take(pa.array(found.text[at])),
-                    pa.array(np.full(len(at), k, np.int32)),
-                    pa.array(found.written(at, k) if len(at) else [], pa.string()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["phrase", "lang", "words", "text"])
-
-    rows = texts.mapInArrow(read, "phrase long, lang string, words int, text string")
-    # Every task gives its phrases; they are made one before anything else.
-    once = rows.groupBy("phrase").agg(*[F.min(c).alias(c) for c in ("lang", "words", "text")])
-    return once.join(frequent, "phrase").select("lang", "words", "text")
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix, last = (batch.column(c).to_numpy().view(np.uint64) for c in ("prefix", "last"))
+            phrase = pa.array(mixed(prefix * _CHAIN + last).view(np.int64))
+            columns = [phrase, batch.column("lang"), batch.column("text")]
+            yield pa.RecordBatch.from_arrays(columns, ["phrase", "lang", "text"])
+
+    text = F.concat_ws(" ", "start", "word").alias("text")
+    return rows.select("prefix", "last", "lang", text).mapInArrow(hashed, "phrase long, lang string, text string")
 
 
 class _Counter:
@@ -324,21 +348,18 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFra
     texts = docs.select(
         F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang"), F.xxhash64(lang).alias("lang_hash")
     )
-    levels: list[DataFrame] = []
-    bitmap = None
-    marked = np.zeros(BITS // 64, np.uint64)
-    for words in range(1, LONGEST + 1):
-        frequent = staged(_level(texts, words, bitmap).where(F.col("n") >= least), "phrase-level")
-        levels.append(frequent.select("phrase"))
-        bitmap = _bitmap(frequent)
-        if words > 1:
-            marked |= bitmap
+    words = staged(_words(texts, least).select("phrase", "lang", "text"), "phrase-words")
+    level, found = words, []
+    for size in range(2, LONGEST + 1):
+        bitmap = _bitmap(level)
         if not bitmap.any():
             break
-    every = levels[0].where("false")  # words come with their phrases
-    for level in levels[1:]:
-        every = every.unionByName(level)
-    phrases = staged(_read(texts, every, marked), "phrase-texts")
+        longer = _longer(texts, size, least, bitmap)
+        level = staged(_named(longer, level, words), "phrase-level")
+        found.append(level.select("lang", F.lit(size).alias("words"), "text"))
+    phrases = found[0] if found else words.where("false").select("lang", F.lit(2).alias("words"), "text")
+    for more in found[1:]:
+        phrases = phrases.unionByName(more)
     single = phrases.where("words = 2").select("lang", F.explode(F.split("text", " ")).alias("text")).distinct()
     phrases = phrases.unionByName(single.select("lang", F.lit(1).alias("words"), "text"))
     counted, totals = _counted(texts, phrases)
