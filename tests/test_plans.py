@@ -73,7 +73,8 @@ def test_positive_filter_and_columns_reach_the_scan(spark, tmp_path):
 
 def test_month_bounds_reach_the_scan(spark, tmp_path):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
-    split = trips.split_months({"1997-12": orders}, "o_orderdate")
+    drops = orders.withColumn("source_month", F.lit("1997-12"))
+    split = trips.split_months(drops, ["1997-12"], "o_orderdate")
     assert "GreaterThanOrEqual(o_orderdate,1997-12-01T00:00), LessThan(o_orderdate,1998-01-01T00:00)" in plan(
         split.inside, "formatted"
     )

@@ -58,7 +58,7 @@ def test_month_range_does_not_depend_on_days(start, end, months):
     assert month_spine(start, end) == months
 
 
-def test_month_range_defaults_to_the_current_month():
+def test_month_range_defaults_to_the_current_month(spark):
     assert month_spine() == [dt.date.today().strftime("%Y-%m")]
 
 

@@ -145,6 +145,17 @@ SELECT currency, status, order_year, count(*) AS n_orders,
 FROM loads GROUP BY {groups}"""
 
 
+def _fact_trips(vendor: str) -> str:
+    return f"""WITH {_TRIPS}
+SELECT l_orderkey, {vendor}, tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID,
+  trip_distance, total_amount, DATE '2026-01-28' AS processing_date,
+  CAST(year(tpep_pickup_datetime) AS INTEGER) AS year,
+  CAST(month(tpep_pickup_datetime) AS INTEGER) AS month,
+  {_HMS} AS tpep_total_trip_time_str, secs AS tpep_total_trip_time_secs,
+  md5(concat_ws('|', VendorID, tpep_pickup_datetime, PULocationID)) AS trip_id
+FROM trips WHERE total_amount > 0 AND trip_distance > 0 AND source_month = pickup_month"""
+
+
 ORACLE_SQL: dict[str, str] = {
     # Both loads hold the same rows, so the latest version is the second one.
     "fact_orders_left": f"""WITH {_CUSTOMERS}, {_ORDERS},
@@ -255,14 +266,11 @@ FROM latest o LEFT JOIN clean c ON o.customer_id = c.customer_id""",
 SELECT DISTINCT customer_id, event_timestamp FROM eparsed WHERE event_timestamp IS NOT NULL""",
     "lake_first_events": f"""{_EVENTS_VALID} ORDER BY event_id LIMIT 20""",
     "lake_static_dims": _STATIC_DIMS,
-    "lake_fact_trips": f"""WITH {_TRIPS}
-SELECT l_orderkey, VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID,
-  trip_distance, total_amount, DATE '2026-01-28' AS processing_date,
-  CAST(year(tpep_pickup_datetime) AS INTEGER) AS year,
-  CAST(month(tpep_pickup_datetime) AS INTEGER) AS month,
-  {_HMS} AS tpep_total_trip_time_str, secs AS tpep_total_trip_time_secs,
-  md5(concat_ws('|', VendorID, tpep_pickup_datetime, PULocationID)) AS trip_id
-FROM trips WHERE total_amount > 0 AND trip_distance > 0 AND source_month = pickup_month""",
+    "lake_fact_trips": _fact_trips("VendorID"),
+    "lake_trips_generations": _fact_trips(
+        """CAST(VendorID AS BIGINT) AS VendorID,
+  CASE WHEN source_month >= '2001-05' THEN CAST(l_orderkey % 8 * 0.25 AS DOUBLE) END AS airport_fee"""
+    ),
     "stream_events_valid": _EVENTS_VALID,
     "stream_events_rejected": _EVENTS_REJECTED,
     "stream_events_malformed": f"""WITH {_EVENTS}

@@ -48,7 +48,6 @@ from weirflow.sources import (
     month_spine,
     read_csv,
     read_dataset,
-    read_each_month,
     read_json_array,
     read_months,
     static_dim,
@@ -269,7 +268,7 @@ def trips_out_of_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch_path(spark, "trip-drops")
     write_snapshot(feeds.trips_feed(spark, sf_dir), landing, ["drop"])
     months = month_spine("2001-01-31", "2002-01-01")
-    return trips.split_months(read_each_month(spark, landing + "/drop={month}", months)).outside
+    return trips.split_months(read_months(spark, landing + "/drop={month}", months), months).outside
 
 
 @query
@@ -516,6 +515,28 @@ def lake_fact_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dataset(spark, f"{root}/silver/fact_trips")
 
 
+@query
+def lake_trips_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly drops of three generations, each loaded when it has come: keys get
+    wider, a fee is added, then it is spelled in another way and gets wider too."""
+    root = scratch_path(spark, "generations")
+    feed = feeds.trips_feed(spark, sf_dir)
+    fee = F.col("l_orderkey") % 8 * 0.25
+    generations = [
+        ("2001-01", "2001-04", {"VendorID": F.col("VendorID").cast("int")}),
+        ("2001-05", "2001-08", {"VendorID": F.col("VendorID").cast("long"), "airport_fee": fee.cast("float")}),
+        ("2001-09", "2002-01", {"VendorID": F.col("VendorID").cast("long"), "Airport_Fee": fee.cast("double")}),
+    ]
+    for first, last, columns in generations:
+        some = feed.where(F.col("drop").between(first, last)).withColumns(columns)
+        write_partitions(some, f"{root}/landing/trips", ["drop"], rebalance=True)
+        trips.load_trips_bronze(
+            spark, root, f"{first}-01", f"{last}-01", FIRST_LOAD, drop="landing/trips/drop={month}", evolve=True
+        )
+    trips.build_fact_trips(spark, root, SECOND_LOAD, evolve=True)
+    return read_dataset(spark, f"{root}/silver/fact_trips")
+
+
 # --- streams ----------------------------------------------------------------
 
 

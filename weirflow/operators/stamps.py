@@ -37,10 +37,12 @@ def stamp_reject(df: DataFrame, reason: str, now: Column | dt.datetime | None =
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast to the declared columns; a missing one becomes null."""
+    """Cast to the declared columns; a missing one becomes null. Names match
+    whatever their case, as they do for Spark's readers."""
+    present = {name.lower() for name in df.columns}
     return df.select(
         *[
-            (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col(f"`{f.name}`") if f.name.lower() in present else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in schema.fields
         ]
     )

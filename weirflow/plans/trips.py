@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +14,15 @@ from weirflow import schemas
 from weirflow.functions import duration_hms, duration_secs, month_number, surrogate_key, year_number
 from weirflow.operators import stamp_date, stamp_reject
 from weirflow.sinks import replace_partitions, write_snapshot
-from weirflow.sources import month_spine, read_dataset, read_each_month
+from weirflow.sources import (
+    SchemaRecord,
+    drop_schemas,
+    month_spine,
+    read_dataset,
+    read_evolved,
+    read_months,
+)
+from weirflow.sources.months import SOURCE_MONTH
 
 # Dataset name, and path of a monthly drop below the data root.
 TOPIC = "yellow_taxi_trip"
@@ -31,26 +38,43 @@ class MonthSplit(NamedTuple):
     outside: DataFrame
 
 
-def split_months(drops: Mapping[str, DataFrame], pickup: str = PICKUP) -> MonthSplit:
-    """Rows whose pickup lies in the month of their drop, and the others.
+def _bound(month: str, after: int, column_type: str) -> str:
+    """The first day of a month, or of one ``after`` it, as the column's type."""
+    number = int(month[:4]) * 12 + int(month[5:]) - 1 + after
+    return f"CAST('{number // 12:04d}-{number % 12 + 1:02d}-01' AS {column_type})"
 
-    A monthly load then owns exactly its month's partition: stray rows cannot
-    replace a neighbour month. The bounds are literals of the column's type, so
-    the scan skips row groups by them; the pass for strays reads next to nothing.
+
+def _stray(pickup: str) -> Column:
+    """Whether the pickup is not in the month of the drop."""
+    owner = F.translate(SOURCE_MONTH, "-", "").cast("int")
+    return ~(year_number(pickup) * 100 + month_number(pickup)).eqNullSafe(owner)
+
+
+def stray_trips(drops: DataFrame, months: Sequence[str], pickup: str = PICKUP) -> DataFrame:
+    """The rows of some drops whose pickup lies in another month, or in none.
+
+    The bounds that hold for all of ``months`` are literals of the column's type
+    that reach the scan: a load of one month skips every row group without
+    strays. Drops of other months are not opened.
     """
-    column_type = next(iter(drops.values())).schema[pickup].dataType.simpleString()
-    inside, outside = [], []
-    for month, trips in drops.items():
-        year, number = int(month[:4]), int(month[5:])
-        after = dt.date(year + number // 12, number % 12 + 1, 1)
-        start, end = (f"CAST('{day}' AS {column_type})" for day in (f"{month}-01", after))
-        inside.append(trips.where(f"`{pickup}` >= {start} AND `{pickup}` < {end}"))
-        stray = f"`{pickup}` IS NULL OR `{pickup}` < {start} OR `{pickup}` >= {end}"
-        outside.append(trips.where(stray).selectExpr("*", f"'{month}' AS source_month"))
+    if not months:
+        return drops.limit(0)
+    column_type = drops.schema[pickup].dataType.simpleString()
+    last, first_end = _bound(max(months), 0, column_type), _bound(min(months), 1, column_type)
+    maybe = f"`{pickup}` IS NULL OR `{pickup}` < {last} OR `{pickup}` >= {first_end}"
+    return drops.where(F.col(SOURCE_MONTH).isin(*months)).where(maybe).where(_stray(pickup))
+
+
+def split_months(drops: DataFrame, months: Sequence[str], pickup: str = PICKUP) -> MonthSplit:
+    """Rows whose pickup lies in the month of their drop, and the others, of drops
+    with a ``source_month``. A monthly load then owns exactly its month's
+    partition: stray rows cannot replace a neighbour month.
+    """
+    column_type = drops.schema[pickup].dataType.simpleString()
+    start, end = _bound(min(months), 0, column_type), _bound(max(months), 1, column_type)
+    owned = drops.where(f"`{pickup}` >= {start} AND `{pickup}` < {end}").where(~_stray(pickup))
     parts = {"year": year_number(pickup), "month": month_number(pickup)}
-    return MonthSplit(
-        reduce(DataFrame.unionAll, inside).withColumns(parts), reduce(DataFrame.unionAll, outside)
-    )
+    return MonthSplit(owned.drop(SOURCE_MONTH).withColumns(parts), stray_trips(drops, months, pickup))
 
 
 def load_trips_bronze(
@@ -62,24 +86,61 @@ def load_trips_bronze(
     schema: T.StructType | None = None,
     now: dt.datetime | None = None,
     drop: str = DROP,
+    evolve: bool = False,
 ) -> None:
     """Monthly files -> ``year``/``month`` partitions; the months loaded are
-    replaced, all others stay. Give a ``schema`` when months differ in types."""
+    replaced, all others stay.
+
+    When months differ in types, give a ``schema`` that they are cast to, or let
+    it ``evolve``: the months merge with all that were loaded before to one schema
+    that holds them without loss, which is recorded (``read_trips_bronze`` reads
+    with it); a month that does not merge stops the load before anything is replaced.
+    """
+    if evolve and schema is not None:
+        raise ValueError("give a schema or let it evolve")
     months = month_spine(start, end)
-    split = split_months(read_each_month(spark, f"{root}/{drop}", months, schema))
+    layout, as_came = f"{root}/{drop}", None
+    if evolve:
+        as_came = drop_schemas(spark, layout, months)
+        schema = trips_schema(spark, root).add(as_came)
+    drops = read_months(spark, layout, months, schema, as_came)
+    # Strays are noticed in the pass that loads the others: only drops that have
+    # some are read again. At most one entry per month reaches the driver.
+    seen = Observation()
+    with_strays = F.collect_set(F.when(_stray(PICKUP), F.col(SOURCE_MONTH))).alias("months")
+    inside = split_months(drops.observe(seen, with_strays), months).inside
     replace_partitions(
-        stamp_date(split.inside, process_date),
+        stamp_date(inside, process_date),
         f"{root}/bronze/{TOPIC}",
         [{"year": int(m[:4]), "month": int(m[5:])} for m in months],
     )
     replace_partitions(
-        stamp_reject(stamp_date(split.outside, process_date), schemas.REASON_MONTH, now),
+        stamp_reject(
+            stamp_date(stray_trips(drops, sorted(seen.get["months"])), process_date), schemas.REASON_MONTH, now
+        ),
         f"{root}/rejected_data/{TOPIC}/out_of_month",
-        [{"source_month": m} for m in months],
+        [{SOURCE_MONTH: m} for m in months],
         fmt="csv",
     )
 
 
+def trips_schema(spark: SparkSession, root: str) -> SchemaRecord:
+    return SchemaRecord(spark, f"{root}/bronze/{TOPIC}_schemas")
+
+
+def read_trips_bronze(spark: SparkSession, root: str) -> DataFrame:
+    """All months of an evolving bronze table. Files keep the types they were
+    written with; the scan widens them and gives the columns they lack as null."""
+    return read_evolved(
+        spark,
+        f"{root}/bronze/{TOPIC}",
+        trips_schema(spark, root).schema(),
+        T.StructField("processing_date", T.DateType()),
+        T.StructField("year", T.IntegerType()),
+        T.StructField("month", T.IntegerType()),
+    )
+
+
 def positive_trips(trips: DataFrame) -> DataFrame:
     """Trips with an amount and a distance above zero; null counts as neither."""
     return trips.where((F.col("total_amount") > 0) & (F.col("trip_distance") > 0))
@@ -103,10 +164,12 @@ def build_fact_trips(
     root: str,
     process_date: str | dt.date | None = None,
     months: Sequence[str] | None = None,
+    evolve: bool = False,
 ) -> None:
     """All of bronze as a snapshot, or only the given ``YYYY-MM`` months: these
-    are pruned at the scan and replaced in place."""
-    trips = read_dataset(spark, f"{root}/bronze/{TOPIC}")
+    are pruned at the scan and replaced in place. ``evolve`` says that bronze was
+    loaded so."""
+    trips = read_trips_bronze(spark, root) if evolve else read_dataset(spark, f"{root}/bronze/{TOPIC}")
     target = f"{root}/silver/fact_trips"
     if months is None:
         # Bronze files hold one month each, so no rebalance is needed.

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weirflow.commits import CommitLog
+
 BUCKETS = 32
 _BUCKET = "_bucket"
 
@@ -27,6 +29,7 @@ class KeyedSnapshot:
         self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
         self._paths = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._paths(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._log = CommitLog(spark, f"{self.path}/_states")
 
     def bucket(self, *columns: str) -> Column:
         """The partition of a row, by its keys or by other columns that hold them."""
@@ -36,25 +39,13 @@ class KeyedSnapshot:
 
     def version(self) -> int:
         """The number of the last commit; 0 before the first."""
-        return max(self._versions(), default=0)
-
-    def _versions(self) -> list[int]:
-        folder = self._paths(f"{self.path}/_states")
-        if not self._fs.exists(folder):
-            return []
-        names = [status.getPath().getName() for status in self._fs.listStatus(folder)]
-        return [int(name[:-5]) for name in names if name.endswith(".json")]
+        return self._log.last()
 
     def _state(self, version: int | None = None) -> dict:
         version = self.version() if version is None else version
         if not version:
             return {"folders": {}, "loads": [], "facts": {}, "schema": None}
-        stream = self._fs.open(self._paths(f"{self.path}/_states/{version:010d}.json"))
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return json.loads(text)
+        return self._log.read(version)
 
     def loads(self) -> set[str]:
         """What has been merged."""
@@ -115,24 +106,15 @@ class KeyedSnapshot:
 
     def _commit(self, version: int, state: dict) -> None:
         """One of two merges that run at the same time fails here."""
-        final = self._paths(f"{self.path}/_states/{version:010d}.json")
-        draft = self._paths(f"{self.path}/_states/_{uuid.uuid4().hex}")
-        stream = self._fs.create(draft)
-        try:
-            stream.write(bytearray(json.dumps(state).encode()))
-        finally:
-            stream.close()
-        if self._fs.exists(final) or not self._fs.rename(draft, final):
-            self._fs.delete(draft, False)
-            raise RuntimeError(f"another merge has written version {version} of {self.path}")
+        self._log.commit(version, state)
 
     def vacuum(self, keep: int = 2) -> None:
         """Remove the files that the last ``keep`` versions do not use."""
-        versions = sorted(self._versions())
+        versions = self._log.versions()
         used = {f for v in versions[-keep:] for f in self._state(v)["folders"].values()}
         data = self._paths(f"{self.path}/data")
         for status in self._fs.listStatus(data) if self._fs.exists(data) else []:
             if status.getPath().getName() not in used:
                 self._fs.delete(status.getPath(), True)
         for version in versions[:-keep]:
-            self._fs.delete(self._paths(f"{self.path}/_states/{version:010d}.json"), False)
+            self._log.remove(version)

@@ -7,13 +7,17 @@ from weirflow.sources.files import (
     read_json_lines,
     static_dim,
 )
-from weirflow.sources.months import month_spine, read_each_month, read_months
+from weirflow.sources.evolution import IncompatibleSchema, SchemaRecord, read_evolved
+from weirflow.sources.months import drop_schemas, month_spine, read_months
 
 __all__ = [
+    "IncompatibleSchema",
+    "SchemaRecord",
+    "drop_schemas",
     "month_spine",
     "read_csv",
     "read_dataset",
-    "read_each_month",
+    "read_evolved",
     "read_json_array",
     "read_json_lines",
     "read_months",
