@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 
 FIRST_LOAD = "2026-01-27"
 SECOND_LOAD = "2026-01-28"
+# Loads of customers, among the dates of the orders.
+VERSION_LOADS = ("1994-01-01", "1996-06-01", "1997-01-01")
+# A key for the test tables only; real ones come at run time.
+PSEUDONYM_KEY = bytes(range(40))
 
 # Runs unchanged in Spark and in the oracle; {orders} is the table.
 ORDERS_FEED_SQL = """

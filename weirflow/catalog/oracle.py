@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weirflow.catalog.feeds import EVENTS_FEED_SQL, ORDERS_FEED_SQL, TRIPS_YEAR
+from weirflow.catalog.feeds import EVENTS_FEED_SQL, ORDERS_FEED_SQL, PSEUDONYM_KEY, TRIPS_YEAR, VERSION_LOADS
 
 _CUSTOMER_COPY = """
 SELECT {key} AS customer_id,
@@ -133,6 +133,14 @@ LEFT JOIN (VALUES (1, 'Standard rate'), (2, 'JFK'), (3, 'Newark'), (4, 'Nassau o
 
 
 
+def _hmac(text: str) -> str:
+    """HMAC-SHA256 with the key of the test tables, null for null."""
+    block = PSEUDONYM_KEY.ljust(64, b"\0")
+    inner, outer = ("".join(f"\\x{byte ^ pad:02X}" for byte in block) for pad in (0x36, 0x5C))
+    once = f"unhex(sha256('{inner}'::BLOB || encode({text})))"
+    return f"CASE WHEN {text.split(', ')[-1][:-1]} IS NOT NULL THEN sha256('{outer}'::BLOB || {once}) END"
+
+
 def _report(groups: str) -> str:
     return f"""WITH {_ORDERS}, {_order_ctes(_CHANGED_ORDERS, 'second_')},
 loads AS (
@@ -261,6 +269,19 @@ latest AS (
 SELECT o.order_id, o.amount, o.currency, o.status, o.order_date, o.customer_id,
   c.name, c.email, c.country, c.created_at, o.processing_date
 FROM latest o LEFT JOIN clean c ON o.customer_id = c.customer_id""",
+    "lake_fact_orders_as_of": f"""WITH {_CUSTOMERS}, {_customer_ctes(_CHANGED_FEED, 'second_')}, {_ORDERS},
+states AS (
+  SELECT *, DATE '{VERSION_LOADS[0]}' AS valid_from,
+    CASE WHEN customer_id % 2 = 0 THEN DATE '{VERSION_LOADS[1]}' END AS valid_to FROM clean
+  UNION ALL
+  SELECT *, DATE '{VERSION_LOADS[1]}', NULL FROM second_clean WHERE customer_id % 2 = 0)
+SELECT o.*, s.name, s.email, s.country, s.created_at, s.valid_from, DATE '2026-01-27' AS processing_date
+FROM oclean o LEFT JOIN states s ON o.customer_id = s.customer_id AND order_date >= valid_from
+  AND (valid_to IS NULL OR order_date < valid_to)""",
+    "lake_masked_reports": f"""WITH {_CUSTOMERS}, {_ORDERS}
+SELECT order_id, {_hmac("concat('mail', chr(0), email)")} AS email,
+  {_hmac("concat('name', chr(0), name)")} AS name, c.customer_id AS found_by_email
+FROM oclean o LEFT JOIN clean c ON o.customer_id = c.customer_id""",
     "lake_fact_events": _fact_events(""),
     "lake_fact_events_streaming": f"""WITH {_EVENTS}
 SELECT DISTINCT customer_id, event_timestamp FROM eparsed WHERE event_timestamp IS NOT NULL""",

@@ -422,6 +422,35 @@ def lake_fact_orders_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.read_fact_orders(spark, _merged_lake(spark, sf_dir))
 
 
+@query
+def lake_fact_orders_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the customers of their time. Of three loads of customers the
+    second one changes half of them and the third one none."""
+    root = scratch_path(spark, "versions")
+    feed, changed = feeds.customers_feed(spark, sf_dir), feeds.changed_customers_feed(spark, sf_dir)
+    for date, drop in zip(feeds.VERSION_LOADS, (feed, changed, changed)):
+        _drop_customers(drop, root, date)
+        customers.load_customers(spark, root, date)
+    customers.build_customer_versions(spark, root)
+    feeds.orders_feed(spark, sf_dir).write.json(f"{root}/input/orders/{FIRST_LOAD}/orders.json")
+    orders.load_orders(spark, root, FIRST_LOAD, json_lines=True)
+    orders.build_fact_orders_as_of(spark, root)
+    return read_dataset(spark, f"{root}/output/fact_orders_as_of")
+
+
+@query
+def lake_masked_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The masked order fact joined with the masked dimension by mail address."""
+    root = _loaded_lake(spark, sf_dir)
+    feeds.orders_feed(spark, sf_dir).write.json(f"{root}/input/orders/{FIRST_LOAD}/orders.json")
+    orders.load_orders(spark, root, FIRST_LOAD, json_lines=True)
+    orders.build_fact_orders(spark, root)
+    customers.mask_reports(spark, root, feeds.PSEUDONYM_KEY)
+    facts = read_dataset(spark, f"{root}/masked/fact_orders").select("order_id", "email", "name")
+    dim = read_dataset(spark, f"{root}/masked/dim_customer").withColumnRenamed("customer_id", "found_by_email")
+    return enrich(facts, dim, "email", ["found_by_email"])
+
+
 def _reported_lake(spark: SparkSession, sf_dir: str) -> str:
     """Two loads of orders with their partials; the second one comes twice."""
     root = scratch_path(spark, "reported")

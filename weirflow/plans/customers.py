@@ -10,10 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from weirflow import schemas
 from weirflow.operators import Quarantine, latest_by_key, stamp_date, stamp_reject
 from weirflow.operators.merge import merge_latest
+from weirflow.operators.pseudonyms import Pseudonyms
 from weirflow.operators.rules import Rule, staged_with_counts
 from weirflow.operators.stamps import resolve_process_date
+from weirflow.operators.versions import versions
 from weirflow.session import staging
-from weirflow.sinks import KeyedSnapshot, replace_partitions, write_rejects, write_snapshot
+from weirflow.sinks import (
+    KeyedSnapshot,
+    replace_partitions,
+    write_rejects,
+    write_snapshot,
+    write_table,
+)
 from weirflow.sources import read_csv, read_dataset
 
 DATA_COLUMNS = schemas.CUSTOMERS.fieldNames()
@@ -101,3 +109,32 @@ def merge_dim_customer(
 def read_dim_customer(spark: SparkSession, root: str) -> DataFrame | None:
     """The merged dimension; None before the first merge."""
     return customer_snapshot(spark, root).read()
+
+
+# What a version of a customer consists of.
+ATTRIBUTES = ["name", "email", "country", "created_at"]
+
+
+def customer_versions(customers: DataFrame) -> DataFrame:
+    """Every state of every customer over all loads, with the dates it was valid."""
+    each = latest_by_key(customers, ["customer_id", "processing_date"], ["created_at"])
+    return versions(each, ["customer_id"], ATTRIBUTES)
+
+
+def build_customer_versions(spark: SparkSession, root: str) -> None:
+    customers = read_dataset(spark, f"{root}/raw_data/customers")
+    write_table(customer_versions(customers), f"{root}/output/dim_customer_versions")
+
+
+# Columns of reports that name a person, with their kinds.
+PERSONAL = {"name": "name", "email": "mail"}
+
+
+def mask_reports(spark: SparkSession, root: str, key: bytes) -> None:
+    """Copies of the customer dimension and the order fact for readers who must
+    not see names and mail addresses. They still join, and count, by them."""
+    pseudonyms = Pseudonyms(spark, key)
+    for report in ("dim_customer", "fact_orders"):
+        masked = pseudonyms.mask(read_dataset(spark, f"{root}/output/{report}"), PERSONAL)
+        # The report's files hold one date each, so no rebalance is needed.
+        write_snapshot(masked, f"{root}/masked/{report}", ["processing_date"], rebalance=False)

@@ -22,7 +22,8 @@ from weirflow.operators.merge import merge_latest
 from weirflow.operators.report import partials, report
 from weirflow.operators.rules import Rule, staged_with_counts
 from weirflow.operators.stamps import resolve_process_date
-from weirflow.plans.customers import customer_snapshot
+from weirflow.operators.versions import enrich_as_of
+from weirflow.plans.customers import ATTRIBUTES, customer_snapshot
 from weirflow.session import staging
 from weirflow.sinks import KeyedSnapshot, replace_partitions, write_rejects, write_snapshot
 from weirflow.sources import read_dataset, read_json_array, read_json_lines
@@ -92,9 +93,8 @@ def load_orders(
     return counts
 
 
-# What makes a row the newest of its order, and what a fact shows of its customer.
+# What makes a row the newest of its order.
 LATEST = ["order_date", "processing_date"]
-ATTRIBUTES = ["name", "email", "country", "created_at"]
 
 
 def fact_orders(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
@@ -124,6 +124,19 @@ def build_fact_orders(
     write_snapshot(fact_orders(orders, dim), f"{root}/output/fact_orders", ["processing_date"])
 
 
+def fact_orders_as_of(orders: DataFrame, versions: DataFrame, **options) -> DataFrame:
+    """Latest version of each order with its customer as it was on the order's date."""
+    latest = latest_by_key(orders, ["order_id"], LATEST)
+    return enrich_as_of(latest, versions, ["customer_id"], "order_date", ATTRIBUTES, **options)
+
+
+def build_fact_orders_as_of(spark: SparkSession, root: str, **options) -> None:
+    orders = read_dataset(spark, f"{root}/raw_data/orders")
+    versions = read_dataset(spark, f"{root}/output/dim_customer_versions")
+    facts = fact_orders_as_of(orders, versions, **options)
+    write_snapshot(facts, f"{root}/output/fact_orders_as_of", ["processing_date"])
+
+
 def merge_fact_orders(
     spark: SparkSession, root: str, process_date: str | dt.date | None = None, **options
 ) -> list[int]:
