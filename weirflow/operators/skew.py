@@ -16,7 +16,7 @@ KEY_HASH = "_key_hash"
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """The hashes (KEY_HASH) of all keys that hold at least ``heavy_rows`` rows
-    of ``df``, staged.
+    of ``df``; staged, unless there are none, as for most tables.
 
     One pass over the key columns with a count that is combined before the
     shuffle. There are at most rows / ``heavy_rows`` heavy keys. Null keys count
@@ -25,5 +25,10 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], heavy_rows: int = HEAVY_ROWS)
     """
     hashes = df.select(F.xxhash64(*keys).alias(KEY_HASH))
     counts = hashes.groupBy(KEY_HASH).agg(F.count(F.lit(1)).alias("rows"))
-    heavy = counts.where(F.col("rows") >= heavy_rows).select(KEY_HASH)
-    return staged(heavy, scratch_path(df.sparkSession, "heavy-keys"))
+    heavy = counts.where(F.col("rows") >= heavy_rows).select(KEY_HASH).persist()
+    try:
+        if heavy.isEmpty():
+            return df.sparkSession.createDataFrame([], heavy.schema)
+        return staged(heavy, scratch_path(df.sparkSession, "heavy-keys"))
+    finally:
+        heavy.unpersist()
