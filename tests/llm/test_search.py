@@ -3,6 +3,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 
 from weirflow.llm import bitsliced, onebit, vectors
 
@@ -148,3 +149,43 @@ def test_one_bit_search_with_few_candidates(spark):
     assert onebit.nearest(df.where("false"), df, 20).collect() == []
     assert onebit.nearest(df, df.where("false"), 20).collect() == []
     assert onebit.nearest(df.where("vec_id = 20"), df.where("vec_id = 20"), 20).collect() == []
+
+
+def test_a_very_long_vector_among_short_ones(spark):
+    """It neither widens the blocks of the others nor the rotation that they share."""
+    rng = np.random.default_rng(11)
+    pairs = [(i, rng.normal(0, 0.3, 12 + i % 3).tolist()) for i in range(400)]
+    pairs += [(1000 + i, rng.normal(0, 0.05, 100_000).tolist()) for i in (0, 1)]
+    pairs += [(1003, [0.5] * 100_000), (1004, [0.5] * 7)]
+    good = usable(pairs)
+    df = table(spark, pairs)
+    asked = "vec_id % 40 = 0"
+    queries = [(i, v) for i, v in good if i % 40 == 0]
+    got = found_of(bitsliced.exact_top_k(df, df.where(asked), 5))
+    assert got == brute(good, queries, 5, whole)
+    got = found_of(onebit.nearest(df, df.where(asked), 20))
+    wanted = brute(good, queries, 20, exact)
+    by_id = dict(good)
+    assert all(s == pytest.approx(exact(by_id[q], by_id[i]), abs=1e-9) for q, rows in got.items() for _, i, s in rows)
+    hits = sum(len({i for _, i, _ in got[q]} & {i for _, i, _ in rows}) for q, rows in wanted.items())
+    assert hits >= 0.97 * 20 * len(wanted)
+
+
+def test_blocks_are_as_wide_as_their_vectors(spark):
+    pairs = [(i, [1.0] * (3 if i % 50 else 5_000 + i)) for i in range(1000)]
+    df = vectors.usable(table(spark, pairs))
+    rows = vectors.pack_blocks(df, lambda matrix: b"", 1000, keep_vectors=True).collect()
+    assert sum(r.n for r in rows) == 1000
+    assert {r.dims for r in rows} == {3, 6144}
+    assert [vectors._widths(np.array([n]))[0] for n in (1, 2, 3, 4, 5, 7, 64, 65, 97, 768)] == [1, 2, 3, 4, 6, 8, 64, 96, 128, 768]
+
+
+def test_the_turn_keeps_products_and_ships_nothing(spark):
+    rng = np.random.default_rng(1)
+    v, w = rng.normal(size=(5, 100)), rng.normal(size=(7, 100))
+    assert np.allclose(onebit.turned(v, 256) @ onebit.turned(w, 256).T, v @ w.T)
+    assert (onebit.turned(v, 256) == onebit.turned(v.copy(), 256)).all()
+    # One component alone is spread over all.
+    assert np.abs(onebit.turned(np.eye(1, 100), 256)).max() < 0.4
+    assert [onebit.room(n) for n in (1, 256, 257, 100_000)] == [256, 256, 512, 131_072]
+    assert len(cloudpickle.dumps((onebit.make_build(), onebit.make_search(20)))) < 100_000

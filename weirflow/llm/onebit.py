@@ -1,7 +1,7 @@
 """Nearest neighbours by randomly rotated one-bit codes.
 
-A vector is scaled to length one, turned by a random rotation into BITS or more
-dimensions, and kept as the signs of its components plus two scalars: its length
+A vector is scaled to length one, turned by a random rotation in BITS or more
+dimensions (random signs and Hadamard transforms), and kept as the signs of its components plus two scalars: its length
 and the inner product of the turned vector with its own signs. From these follow
 an unbiased estimate of the inner product with any query, and a bound of its
 error that shrinks with the number of bits. The vectors whose bound reaches the
@@ -20,39 +20,68 @@ BITS = 256
 # Standard errors that the bound allows for.
 WIDTH = 1.9
 SEED = 20240229
-
-
-def rotation(dims: int, bits: int = BITS, seed: int = SEED) -> np.ndarray:
-    """Orthonormal columns: dims dimensions turned into at least ``bits``."""
-    bits = max(bits, -(-dims // 64) * 64)
-    normal = np.random.default_rng(seed).standard_normal((bits, dims))
-    return np.linalg.qr(normal)[0]
-
-
-def make_build(turn: np.ndarray):
-    bits, dims = turn.shape
-
+ROUNDS = 3
+# Components that are turned or unpacked at once.
+STEP_VALUES = 1 << 22
+
+
+def room(dims: int, bits: int = BITS) -> int:
+    """Dimensions that a vector is turned into: a power of two."""
+    return 1 << (max(bits, dims, 2) - 1).bit_length()
+
+
+def turned(matrix: np.ndarray, bits: int, seed: int = SEED) -> np.ndarray:
+    """The rows, with zeros behind them, turned in ``bits`` dimensions: ROUNDS
+    times random signs and a Hadamard transform. The turn follows from the seed
+    alone, so nothing that grows with the vectors is kept or shipped."""
+    n = len(matrix)
+    out = np.zeros((n, bits))
+    out[:, : matrix.shape[1]] = matrix
+    signs = np.random.default_rng([seed, bits]).integers(0, 2, (ROUNDS, bits)) * 2.0 - 1
+    for flips in signs:
+        out *= flips
+        half = 1
+        while half < bits:
+            pairs = out.reshape(n, -1, 2, half)
+            left, right = pairs[:, :, 0], pairs[:, :, 1]
+            total = left + right
+            np.subtract(left, right, out=right)
+            left[...] = total
+            half *= 2
+        out /= np.sqrt(bits)
+    return out
+
+
+def make_build(bits: int = BITS):
     def build(matrix):
+        size = room(matrix.shape[1], bits)
         lengths = np.linalg.norm(matrix, axis=1)
-        turned = matrix / lengths[:, None] @ turn[:, : matrix.shape[1]].T
-        codes = np.packbits(turned >= 0, axis=1)
-        own = np.abs(turned).sum(axis=1) / np.sqrt(bits)
-        return lengths.astype("<f8").tobytes() + own.astype("<f8").tobytes() + codes.tobytes()
+        codes, own = [], []
+        step = max(1, STEP_VALUES // size)
+        for start in range(0, len(matrix), step):
+            part = turned(matrix[start : start + step] / lengths[start : start + step, None], size)
+            codes.append(np.packbits(part >= 0, axis=1).tobytes())
+            own.append(np.abs(part).sum(axis=1) / np.sqrt(size))
+        return lengths.astype("<f8").tobytes() + np.concatenate(own).astype("<f8").tobytes() + b"".join(codes)
 
     return build
 
 
-def make_search(turn: np.ndarray, k: int, width: float = WIDTH):
-    bits, dims = turn.shape
-
+def make_search(k: int, width: float = WIDTH):
     def search(index, block_ids, matrix, query_ids, query_matrix):
         n = len(block_ids)
         lengths, own = np.frombuffer(index, "<f8", 2 * n).reshape(2, n)
         codes = np.frombuffer(index, np.uint8, offset=16 * n).reshape(n, -1)
-        signs = np.unpackbits(codes, axis=1).astype(np.float32) * 2 - 1
-        turned = query_matrix @ turn[:, : query_matrix.shape[1]].T
+        bits = codes.shape[1] * 8
         scale = (lengths / own / np.sqrt(bits)).astype(np.float32)
-        estimates = (turned.astype(np.float32) @ signs.T) * scale
+        # Where the block's vectors end, a longer query adds nothing to a product.
+        asked = turned(query_matrix[:, :bits], bits).astype(np.float32)
+        estimates = np.empty((len(asked), n), np.float32)
+        step = max(1, STEP_VALUES // bits)
+        for start in range(0, n, step):
+            signs = np.unpackbits(codes[start : start + step], axis=1).astype(np.float32) * 2 - 1
+            estimates[:, start : start + step] = asked @ signs.T
+        estimates *= scale
         spread = np.sqrt(np.maximum(0, 1 - own**2)) / own / np.sqrt(bits - 1) * lengths
         spread = (width * spread).astype(np.float32)
         sizes = np.linalg.norm(query_matrix, axis=1)
@@ -95,12 +124,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, bits: int = BIT
     """
     some = F.exists("embedding", lambda x: x != 0)
     candidates, asked = usable(vectors).where(some), usable(queries).where(some)
-    size = F.max(F.size("embedding"))
-    facts = candidates.agg(F.count(F.lit(1)), size).first()
-    asked_facts = asked.agg(F.count(F.lit(1)), size).first()
-    dims = max(facts[1] or 1, asked_facts[1] or 1)
-    turn = rotation(dims, bits)
-    blocks = pack_blocks(candidates, make_build(turn), facts[0], keep_vectors=True)
-    groups = pack_groups(asked, asked_facts[0])
-    found = search_blocks(blocks, groups, make_search(turn, k), k, "double")
+    blocks = pack_blocks(candidates, make_build(bits), candidates.count(), keep_vectors=True)
+    groups = pack_groups(asked, asked.count())
+    found = search_blocks(blocks, groups, make_search(k), k, "double")
     return found.withColumn("rank", F.col("rank").cast("int"))

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from weirflow.llm.common import staged
 
 BLOCK, GROUP = 16_384, 256
+# Components that a block or a group holds, about 64 MB.
+VALUES = 1 << 23
 _BLOCKS = "block string, n int, dims int, ids binary, vectors binary, index binary"
 _GROUPS = "query_group string, n int, dims int, ids binary, vectors binary"
 _HITS = "query_id long, vec_id long, score {kind}"
@@ -36,33 +38,47 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids and a matrix of at most ``size`` rows; short vectors end in zeros."""
-    kept: list[pa.RecordBatch] = []
-    rows = 0
-
-    def packed():
-        table = pa.Table.from_batches(kept)
-        ids = table.column("vec_id").to_numpy().astype(np.int64)
-        lists = table.column("embedding").combine_chunks()
-        if isinstance(lists, pa.ChunkedArray):
-            lists = pa.concat_arrays(lists.chunks)
-        lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        values = lists.flatten().to_numpy(zero_copy_only=False)
-        matrix = np.zeros((len(ids), int(lengths.max())))
-        matrix[np.arange(matrix.shape[1]) < lengths[:, None]] = values
-        return ids, matrix
-
+    """Ids and a matrix of at most ``size`` rows, and of about VALUES components
+    (one row may have more). Rows wait with those of about their length and end in
+    zeros: a long vector pads no short ones, and vectors of one length have one
+    width, hence the same rounding, in all blocks."""
+    waiting: dict[int, list[pa.RecordBatch]] = {}
+    rows: dict[int, int] = {}
     for batch in batches:
-        while batch.num_rows:
-            part = batch.slice(0, size - rows)
-            kept.append(part)
-            rows += part.num_rows
-            batch = batch.slice(part.num_rows)
-            if rows == size:
-                yield packed()
-                kept, rows = [], 0
-    if rows:
-        yield packed()
+        lengths = batch.column("embedding").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        widths = _widths(lengths)
+        for kind in np.unique(widths).tolist():
+            some = batch if (widths == kind).all() else batch.take(pa.array(np.flatnonzero(widths == kind)))
+            most = max(1, min(size, VALUES // kind))
+            while some.num_rows:
+                part = some.slice(0, most - rows.get(kind, 0))
+                waiting.setdefault(kind, []).append(part)
+                rows[kind] = rows.get(kind, 0) + part.num_rows
+                some = some.slice(part.num_rows)
+                if rows[kind] == most:
+                    yield _stacked(waiting.pop(kind), kind)
+                    del rows[kind]
+    for kind in sorted(waiting):
+        yield _stacked(waiting[kind], kind)
+
+
+def _widths(lengths: np.ndarray) -> np.ndarray:
+    """The next number that is 2^n or 3 * 2^n."""
+    above = 1 << np.ceil(np.log2(np.maximum(lengths, 1))).astype(np.int64)
+    return np.where(4 * lengths <= 3 * above, 3 * above // 4, above)
+
+
+def _stacked(kept: list[pa.RecordBatch], width: int) -> tuple[np.ndarray, np.ndarray]:
+    table = pa.Table.from_batches(kept)
+    ids = table.column("vec_id").to_numpy().astype(np.int64)
+    lists = table.column("embedding").combine_chunks()
+    if isinstance(lists, pa.ChunkedArray):
+        lists = pa.concat_arrays(lists.chunks)
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    values = lists.flatten().to_numpy(zero_copy_only=False)
+    matrix = np.zeros((len(ids), width))
+    matrix[np.arange(width) < lengths[:, None]] = values
+    return ids, matrix
 
 
 def _packed_row(ids: np.ndarray, matrix: np.ndarray, keep_vectors: bool = True) -> dict:
@@ -116,12 +132,10 @@ def _dealt(vectors: DataFrame, rows: int, size: int) -> DataFrame:
 
 
 def _matrix(row: dict, dims: int) -> np.ndarray:
+    """The first ``dims`` components."""
     if not row["vectors"]:
         return np.zeros((0, dims))
-    matrix = np.frombuffer(row["vectors"], "<f8").reshape(row["n"], row["dims"])
-    if row["dims"] < dims:
-        matrix = np.pad(matrix, ((0, 0), (0, dims - row["dims"])))
-    return matrix
+    return np.frombuffer(row["vectors"], "<f8").reshape(row["n"], row["dims"])[:, :dims]
 
 
 def search_blocks(
@@ -134,7 +148,8 @@ def search_blocks(
     """query_id, rank (from 1), vec_id and score: the k best rows of each query.
 
     ``search(index, block_ids, block_matrix, query_ids, query_matrix)`` gives
-    positions in the block, positions of queries and scores. Ties go to the
+    positions in the block, positions of queries and scores. Both matrices end
+    where the narrower one does: beyond, products are zero. Ties go to the
     smaller vec_id. Where an id occurs twice, each of its rows is a row.
     """
     # Each group is dealt to all numbers of blocks, and meets the blocks there by
@@ -152,7 +167,7 @@ def search_blocks(
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 group = row["group"]
-                dims = max(row["dims"], group["dims"])
+                dims = min(row["dims"], group["dims"])
                 block_ids = np.frombuffer(row["ids"], "<i8")
                 query_ids = np.frombuffer(group["ids"], "<i8")
                 at, query, score = search(
