@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from weirflow.llm import langid
 from weirflow.llm.queries import QUERIES
@@ -97,3 +98,16 @@ def test_forgetting_words_changes_nothing(monkeypatch):
     scorer = langid.Scorer(model)
     for _ in range(2):
         assert np.allclose([scorer.scores([t])[0][0] for t in texts], whole)
+
+
+def test_the_sample_is_that_of_the_smallest_hashes_however_it_is_dealt(docs_of, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 7)
+    fitted = []
+    monkeypatch.setattr(langid, "fit", lambda counts, pieces: fitted.append(counts))
+    rows = [(i, "w" + "abcdefghij"[i // 10] + "abcdefghij"[i % 10], "en", "s") for i in range(100)]
+    for parts, dealt in [(1, 1), (40, 2), (9, 32)]:
+        monkeypatch.setattr(langid, "SAMPLE_PARTS", dealt)
+        langid.learn(docs_of(rows, parts), [])
+    ids = docs_of(rows).where(~langid.held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id")).limit(7)
+    expected = {r.text for r in ids.select("text").collect()}
+    assert [set(counts["en"]) for counts in fitted] == [expected] * 3

@@ -26,6 +26,8 @@ from weirflow.llm.tokens import text_steps
 UNKNOWN = "und"
 # The sample: so many documents of each language, so many characters of each.
 SAMPLE_DOCS, SAMPLE_CHARS = 192, 4_096
+# Parts that each find their first ids of a language before one task does.
+SAMPLE_PARTS = 32
 ROUNDS = 4
 # Runs of more letters count as several words.
 WORD_LETTERS = 40
@@ -248,14 +250,16 @@ def learn(docs: DataFrame, pieces: list[str] | None = None) -> Model:
         & F.col("text").isNotNull()
         & ~held_out(F.col("doc_id"))
     )
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        labelled.select("doc_id", "lang")
-        .distinct()
-        .withColumn("nth", F.row_number().over(first))
-        .where(F.col("nth") <= SAMPLE_DOCS)
-        .select("doc_id", "lang")
-    )
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    ids = labelled.select("doc_id", "lang").distinct()
+    # The first ids of each part, then those of all parts: a language is never
+    # cut by one task that hears from every other.
+    part = F.pmod(F.spark_partition_id(), F.lit(SAMPLE_PARTS)).alias("part")
+    chosen = ids.select("doc_id", "lang", part)
+    for keys in (["lang", "part"], ["lang"]):
+        nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        chosen = chosen.withColumn("nth", nth).where(F.col("nth") <= SAMPLE_DOCS).drop("nth")
+    chosen = chosen.select("doc_id", "lang")
     # At most SAMPLE_DOCS ids of a language.
     sample = (
         labelled.join(F.broadcast(chosen), ["doc_id", "lang"])
