@@ -94,3 +94,18 @@ def test_a_damaged_block_is_not_parsed():
     assert warc.parse_record(member) == (1, "u", "text")
     with pytest.raises(Exception):  # noqa: B017 - the packing or the digest
         warc.parse_record(warc._flipped(member))
+
+
+@pytest.mark.parametrize("scheme", ["s3", "s3a", "s3n"])
+def test_schemes_of_spark_reach_the_same_store(monkeypatch, scheme):
+    asked = []
+
+    class Stores:
+        class FileSystem:
+            from_uri = staticmethod(lambda uri: (asked.append(uri), ("store", "path"))[1])
+
+    monkeypatch.setattr(warc, "fs", Stores)
+    assert warc._store(f"{scheme}://bucket/a b/c") == ("store", "path")
+    warc._store("hdfs://host/a")
+    warc._store("/local/a")
+    assert asked == ["s3://bucket/a b/c", "hdfs://host/a", "/local/a"]

@@ -123,8 +123,14 @@ def write_replicas(
     return staged(wanted.mapInArrow(write, _INDEX), "warc-index")
 
 
+def _store(uri: str) -> tuple[fs.FileSystem, str]:
+    """Spark's names of the S3 scheme are those of Hadoop's connectors."""
+    scheme, colon, rest = uri.partition("://")
+    return fs.FileSystem.from_uri(f"s3://{rest}" if colon and scheme in ("s3a", "s3n") else uri)
+
+
 def _create(uri: str):
-    store, path = fs.FileSystem.from_uri(uri)
+    store, path = _store(uri)
     store.create_dir(path.rpartition("/")[0], recursive=True)
     return store.open_output_stream(path, compression=None)  # members are packed already
 
@@ -155,7 +161,7 @@ class _Ranges:
         if name != self._name:
             self.close()
             self._name = name
-            store, path = fs.FileSystem.from_uri(f"{self._folder}/{name}")
+            store, path = _store(f"{self._folder}/{name}")
             try:
                 self._file = store.open_input_file(path)
             except FileNotFoundError:
