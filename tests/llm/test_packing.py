@@ -89,3 +89,56 @@ def test_lower_bound_never_exceeds_a_packing():
         order = np.argsort(-lengths).tolist()
         packing.best_fit(lengths.tolist(), order, bins, fills, CAPACITY)
         assert -(-int(lengths.sum()) // CAPACITY) <= packing.lower_bound(lengths) <= len(fills)
+
+
+def fewest(lengths, capacity):
+    """The optimum, by trying every bin for every item."""
+    best = len(lengths)
+
+    def place(at, fills):
+        nonlocal best
+        if len(fills) >= best:
+            return
+        if at == len(lengths):
+            best = len(fills)
+            return
+        for i in range(len(fills)):
+            if fills[i] + lengths[at] <= capacity:
+                place(at + 1, fills[:i] + [fills[i] + lengths[at]] + fills[i + 1 :])
+        place(at + 1, [*fills, lengths[at]])
+
+    place(0, [])
+    return best
+
+
+def test_small_groups_reach_the_optimum_of_an_exhaustive_search():
+    """Of them, best fit misses some."""
+    missed = 0
+    for seed in range(60):
+        rng = np.random.default_rng(seed)
+        lengths = np.sort(rng.integers(20, 60, 10))[::-1].copy()
+        optimum = fewest(lengths.tolist(), 100)
+        fills = []
+        packing.best_fit(lengths.tolist(), list(range(10)), np.zeros(10, np.int64), fills, 100)
+        missed += len(fills) > optimum
+        first, second = packing.Island(lengths, seed, 100), packing.Island(lengths, seed + 1_000, 100)
+        guest = first.evolve([])
+        bins = second.evolve([guest])
+        assert packing.lower_bound(lengths, 100) <= optimum
+        assert len(np.unique(bins)) == optimum
+    assert missed > 0
+
+
+def test_what_groups_leave_is_packed_across_them(docs_of, monkeypatch):
+    """Eight groups of some fifty documents: half a sequence of every group would be
+    lost without the second round, which is one group of their emptiest sequences."""
+    monkeypatch.setattr(packing, "GROUP_ITEMS", 50)
+    rng = np.random.default_rng(4)
+    rows = [(i, "word " * int(rng.integers(0, 600))) for i in range(400)]
+    docs = docs_of(rows)
+    monkeypatch.setattr(packing, "SPARE_BINS", 0)
+    apart = check(packing.pack_documents(docs).collect(), rows)
+    monkeypatch.setattr(packing, "SPARE_BINS", 2)
+    together = check(packing.pack_documents(docs).collect(), rows)
+    total = sum(len((t or "").split()) + 1 for _, t in rows)
+    assert -(-total // CAPACITY) <= together < apart

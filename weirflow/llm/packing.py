@@ -9,6 +9,10 @@ twice, and puts the displaced documents back by best fit, longest first. Then
 the best packing of each island migrates to the next one, and the islands go on.
 A group stops as soon as it meets a lower bound of the number of bins.
 
+No group can use the room that another one leaves. So each hands its SPARE_BINS
+emptiest bins on, and these form groups of a second round, in which the packing
+that they come with is the first elite: a group never gets more bins by it.
+
 A group is a row of a table, so islands are tasks like any other; only the
 elites travel between them.
 """
@@ -31,7 +35,9 @@ from weirflow.llm.tokens import text_steps, tokenizer_json, worker_tokenizer
 CAPACITY, END = 2048, 0
 GROUP_ITEMS = 8192
 ISLANDS, EPOCHS = 2, 2
-POPULATION, CROSSOVERS = 5, 16
+# Crossovers of a full group in one epoch; a small one has more, for the same work.
+POPULATION, CROSSOVERS, MOST_CROSSOVERS = 5, 16, 512
+SPARE_BINS = 64
 SEED = 7
 
 
@@ -132,14 +138,18 @@ class Island:
     def evolve(self, elites: list[np.ndarray]) -> np.ndarray:
         for bins in elites:
             self._join(bins)
-        if not elites:
+        if len(self.people) < 2 and not self.done():
             self._sown(0.0)
         while len(self.people) < POPULATION and not self.done():
             self._sown(0.02 * len(self.people))
-        for _ in range(CROSSOVERS):
+        for _ in range(min(MOST_CROSSOVERS, CROSSOVERS * max(1, GROUP_ITEMS // len(self.array)))):
             if self.done():
                 break
             self._join(self._child())
+            # Packings as good as one another are often the same one.
+            if sum(person[0] == self.people[-1][0] for person in self.people) > 1:
+                del self.people[-1]
+                continue
             worst = min(range(len(self.people)), key=lambda i: self.people[i][0])
             del self.people[worst]
         return self.best[1]
@@ -155,13 +165,16 @@ class Island:
         fills = np.bincount(b, self.array)
         full = np.flatnonzero(fills >= np.quantile(fills, 0.5))
         share = self.random.uniform(0.05, 0.3)
-        injected = full[self.random.random(len(full)) < share]
+        chosen = self.random.random(len(full)) < share
+        chosen[self.random.integers(len(full))] = True
+        injected = full[chosen]
         comes = np.isin(b, injected)
         hit = np.zeros(a.max() + 1, bool)
         hit[a[comes]] = True
         # The emptiest bins are given up as well, for their items to fit better.
         own = np.bincount(a, self.array)
         hit |= own < np.quantile(own, 0.05)
+        hit[self.random.integers(len(hit), size=self.random.integers(1, 4))] = True
         stays = ~hit[a] & ~comes
         child = np.full(len(a), -1, np.int64)
         _, kept = np.unique(a[stays], return_inverse=True)
@@ -172,7 +185,8 @@ class Island:
         placed = stays | comes
         filled = np.bincount(child[placed], self.array[placed]).astype(np.int64).tolist()
         loose = np.flatnonzero(~placed)
-        loose = loose[np.argsort(-self.array[loose], kind="stable")]
+        keys = self.array[loose] * (1 + self.random.choice([0.0, 0.1, 0.3, 1.0]) * self.random.standard_normal(len(loose)))
+        loose = loose[np.argsort(-keys, kind="stable")]
         best_fit(self.lengths, loose.tolist(), child, filled, self.capacity)
         return child
 
@@ -211,15 +225,14 @@ def cut_pieces(docs: DataFrame, json: str, capacity: int = CAPACITY, end: int =
     return staged(docs.select("doc_id", "text").mapInArrow(cut, schema), "pack-pieces")
 
 
-def _evolve(problems: DataFrame, capacity: int, epoch: int) -> DataFrame:
+def _evolve(problems: DataFrame, capacity: int, label: str, seed: int) -> DataFrame:
     """One epoch of every island: problem, island, lengths, elites -> elite."""
 
     def evolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 lengths = np.frombuffer(row["lengths"], "<i4").astype(np.int64)
-                seed = [SEED, epoch, row["problem"], row["island"]]
-                island = Island(lengths, seed, capacity)
+                island = Island(lengths, [SEED, seed, row["problem"], row["island"]], capacity)
                 elites = [np.frombuffer(e, "<i4").astype(np.int64) for e in row["elites"] or []]
                 bins = island.evolve(elites)
                 score = island.best[0]
@@ -235,41 +248,41 @@ def _evolve(problems: DataFrame, capacity: int, epoch: int) -> DataFrame:
                 )
 
     schema = "problem long, island int, lengths binary, elite binary, n_bins long, unevenness double"
-    return staged(problems.mapInArrow(evolve, schema), f"pack-epoch-{epoch}")
+    return staged(problems.mapInArrow(evolve, schema), label)
 
 
-def _pack_rests(rests: DataFrame, count: int, capacity: int) -> DataFrame:
-    """sequence_id and offset for every (unit, item) of ``rests``."""
-    problems = max(1, -(-count // GROUP_ITEMS))
-    dealt = rests.select(
-        "unit",
-        "item",
-        F.col("length").cast("int").alias("length"),
-        F.pmod(F.xxhash64("unit", "item"), F.lit(problems)).alias("problem"),
-    )
+def _pack_groups(dealt: DataFrame, problems: int, capacity: int, label: str, seed: int, base: int) -> DataFrame:
+    """``dealt`` (unit, item, length, problem, held: the sequence it is in, if any)
+    as unit, item, length, sequence_id, offset and spare: whether the sequence is
+    one of the emptiest of its problem. Sequences are numbered from ``base``."""
 
     def gather(key: tuple[pa.Scalar, ...], frame: pa.Table) -> pa.Table:
         frame = frame.sort_by([("length", "descending"), ("unit", "ascending"), ("item", "ascending")])
         column = lambda name, kind: frame.column(name).to_numpy().astype(kind).tobytes()
+        elites = None
+        if frame.column("held").null_count == 0:
+            _, bins = np.unique(frame.column("held").to_numpy(), return_inverse=True)
+            elites = [bins.astype("<i4").tobytes()]
         return pa.table(
             {
                 "problem": pa.array([key[0].as_py()], pa.int64()),
                 "units": pa.array([column("unit", "<i4")], pa.binary()),
                 "items": pa.array([column("item", "<i8")], pa.binary()),
                 "lengths": pa.array([column("length", "<i4")], pa.binary()),
+                "elites": pa.array([elites], pa.list_(pa.binary())),
             }
         )
 
     # About GROUP_ITEMS small rows in a group, by a hash of unique numbers.
     groups = dealt.groupBy("problem").applyInArrow(
-        gather, "problem long, units binary, items binary, lengths binary"
+        gather, "problem long, units binary, items binary, lengths binary, elites array<binary>"
     )
-    groups = staged(groups, "pack-problems")
+    groups = staged(groups, f"{label}-problems")
     island = F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island")
-    start = groups.select("problem", island, "lengths", F.lit(None).cast("array<binary>").alias("elites"))
+    start = groups.select("problem", island, "lengths", "elites")
     # Whole problems are single rows: spread them over tasks.
     spread = max(1, min(problems * ISLANDS, 10_000))
-    state = _evolve(start.repartition(spread, "problem", "island"), capacity, 0)
+    state = _evolve(start.repartition(spread, "problem", "island"), capacity, f"{label}-epoch-0", seed)
     for epoch in range(1, EPOCHS):
         guests = state.select(
             "problem",
@@ -279,7 +292,8 @@ def _pack_rests(rests: DataFrame, count: int, capacity: int) -> DataFrame:
         state = state.join(guests, ["problem", "island"]).select(
             "problem", "island", "lengths", F.array("elite", "guest").alias("elites")
         )
-        state = _evolve(state.repartition(spread, "problem", "island"), capacity, epoch)
+        state = state.repartition(spread, "problem", "island")
+        state = _evolve(state, capacity, f"{label}-epoch-{epoch}", seed + epoch)
     best = Window.partitionBy("problem").orderBy("n_bins", F.desc("unevenness"), "island")
     winners = state.withColumn("nth", F.row_number().over(best)).where("nth = 1").select("problem", "elite")
 
@@ -293,18 +307,44 @@ def _pack_rests(rests: DataFrame, count: int, capacity: int) -> DataFrame:
                 first = np.flatnonzero(np.diff(bins[order], prepend=-1))
                 offsets = np.empty(len(bins), np.int64)
                 offsets[order] = upto - np.repeat(upto[first], np.diff([*first, len(bins)]))
+                fills = np.bincount(bins, lengths)
+                spare = np.zeros(len(fills), bool)
+                spare[np.argsort(fills, kind="stable")[:SPARE_BINS]] = True
+                spare &= fills < capacity
                 yield pa.RecordBatch.from_pydict(
                     {
                         "unit": np.frombuffer(row["units"], "<i4"),
                         "item": np.frombuffer(row["items"], "<i8"),
-                        "sequence_id": (row["problem"] << 24) + bins,
+                        "length": lengths,
+                        "sequence_id": base + (row["problem"] << 24) + bins,
                         "offset": offsets,
+                        "spare": spare[bins],
                     }
                 )
 
-    return groups.join(winners, "problem").mapInArrow(
-        place, "unit int, item long, sequence_id long, offset long"
-    )
+    schema = "unit int, item long, length long, sequence_id long, offset long, spare boolean"
+    return groups.drop("elites").join(winners, "problem").mapInArrow(place, schema)
+
+
+def _pack_rests(rests: DataFrame, count: int, capacity: int) -> DataFrame:
+    """sequence_id and offset for every (unit, item) of ``rests``."""
+    problems = max(1, -(-count // GROUP_ITEMS))
+    length = F.col("length").cast("int").alias("length")
+    of_item = F.pmod(F.xxhash64("unit", "item"), F.lit(problems)).alias("problem")
+    none = F.lit(None).cast("long").alias("held")
+    dealt = rests.select("unit", "item", length, of_item, none)
+    packed = _pack_groups(dealt, problems, capacity, "pack", 0, 0)
+    places = ["unit", "item", "sequence_id", "offset"]
+    if problems == 1:
+        return packed.select(*places)
+    packed = staged(packed, "pack-first")
+    spare = packed.where("spare")
+    again = max(1, -(-spare.count() // GROUP_ITEMS))
+    # A sequence goes on whole, so that its packing can be kept.
+    of_sequence = F.pmod(F.xxhash64("sequence_id"), F.lit(again)).alias("problem")
+    dealt = spare.select("unit", "item", length, of_sequence, F.col("sequence_id").alias("held"))
+    moved = _pack_groups(dealt, again, capacity, "pack-spare", EPOCHS, 1 << 61)
+    return packed.where("NOT spare").select(*places).unionByName(moved.select(*places))
 
 
 def pack_documents(
