@@ -293,6 +293,7 @@ SELECT DISTINCT customer_id, event_timestamp FROM eparsed WHERE event_timestamp
   CASE WHEN source_month >= '2001-05' THEN CAST(l_orderkey % 8 * 0.25 AS DOUBLE) END AS airport_fee"""
     ),
     "stream_events_valid": _EVENTS_VALID,
+    "stream_events_compacted": _EVENTS_VALID,
     "stream_events_rejected": _EVENTS_REJECTED,
     "stream_events_malformed": f"""WITH {_EVENTS}
 SELECT event_id, raw_event_timestamp, CAST(NULL AS VARCHAR) AS raw_line,

@@ -583,6 +583,21 @@ def stream_events_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid.drop("processing_timestamp", "processing_date")
 
 
+@query
+def stream_events_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second half of the events comes after their date was compacted, and
+    makes it compacted again."""
+    root = scratch_path(spark, "compacted")
+    feed = feeds.events_feed(spark, sf_dir)
+    later = F.crc32("event_id") % 2 == 1
+    far = dt.date.today() + dt.timedelta(days=2)
+    for half in (feed.where(~later), feed.where(later)):
+        half.write.mode("append").json(f"{root}/input_streaming/events")
+        await_all(*events.stream_events(spark, root, every=None))
+        events.compact_events(spark, root, far)
+    return events.read_events(spark, root).drop("processing_timestamp", "processing_date")
+
+
 @query
 def stream_events_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _streamed_events(spark, sf_dir)

@@ -12,9 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 from weirflow import schemas
 from weirflow.functions import letters_upper, parse_timestamp
 from weirflow.operators import enrich, latest_by_key
+from weirflow.operators.stamps import resolve_process_date
 from weirflow.sinks import preview, preview_rows, write_snapshot
 from weirflow.sources import read_dataset
 from weirflow.streaming import (
+    Compaction,
     dedup_stream,
     dedup_stream_by_id,
     stream_enriched,
@@ -134,6 +136,21 @@ def fact_events(events: DataFrame, dim_customer: DataFrame) -> DataFrame:
     return enrich(latest, dim_customer, "customer_id", attributes, how="inner").select(*FACT_COLUMNS)
 
 
+def _compaction(spark: SparkSession, root: str) -> Compaction:
+    return Compaction(spark, f"{root}/raw_data/events", f"{root}/raw_data/events_compacted")
+
+
+def compact_events(spark: SparkSession, root: str, process_date: str | dt.date | None = None) -> list[str]:
+    """Gather the valid events of the dates before ``process_date`` (today) in few
+    files; returns the dates that were. The stream may run on."""
+    return _compaction(spark, root).compact(resolve_process_date(process_date))
+
+
+def read_events(spark: SparkSession, root: str) -> DataFrame:
+    """The valid events, those of compacted dates from their large files."""
+    return _compaction(spark, root).read()
+
+
 def build_fact_events(
     spark: SparkSession, root: str, dates: Iterable[str | dt.date] | None = None
 ) -> None:

@@ -1,6 +1,7 @@
 """Structured Streaming sources, operators and sinks."""
 
 from weirflow.streaming.audit import Audit
+from weirflow.streaming.compaction import Compaction
 from weirflow.streaming.dedup import dedup_stream, dedup_stream_by_id
 from weirflow.streaming.enrich import stream_enriched
 from weirflow.streaming.sinks import await_all, await_any, stream_to_parquet
@@ -8,6 +9,7 @@ from weirflow.streaming.sources import stream_json, stream_parquet
 
 __all__ = [
     "Audit",
+    "Compaction",
     "await_all",
     "await_any",
     "dedup_stream",
