@@ -49,7 +49,7 @@ _FEATURES = "n_shingles long, key_a long, key_b long, bands array<long>, sketch
 def features(docs: DataFrame) -> DataFrame:
     """doc_id, the size of its set, a 128-bit key of the set, bands and sketch;
     the last three are null for an empty set."""
-    schema = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string(_FEATURES).fields])
+    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL(_FEATURES).fields])
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -198,7 +198,7 @@ def cut_pieces(docs: DataFrame, json: str, capacity: int = CAPACITY, end: int =
     """The pieces of every row of ``docs`` (doc_id, text), staged: doc_id, piece,
     start, length, ids_crc32, and the place of the piece in the table (unit,
     item), which tells even equal rows apart."""
-    schema = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string(_PIECES).fields])
+    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL(_PIECES).fields])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, unit, item = worker_tokenizer(json), TaskContext.get().partitionId(), 0
