@@ -6,10 +6,12 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
+from weirflow.catalog import QUERIES, feeds
 from weirflow.operators import enrich, heavy_keys, latest_by_key, quarantine_incomplete, Quarantine
 from weirflow.plans import trips
 
 SF = "/root/testdata/sf0.01"
+SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture
@@ -149,3 +151,17 @@ def test_small_dimension_is_broadcast_by_size_without_a_hint(spark):
     text = plan(enrich(fact, dim, "c_custkey", ["c_name"]))
     assert "BroadcastHashJoin" in text
     assert "c_acctbal" not in text
+
+
+def test_trips_of_all_generations_are_made_once(spark, monkeypatch):
+    rows = spark.sparkContext.accumulator(0)
+    feed = feeds.trips_feed(spark, SMALL)
+
+    def counted(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(feeds, "trips_feed", lambda spark, sf_dir: feed.mapInArrow(counted, feed.schema))
+    QUERIES["lake_trips_generations"](spark, SMALL)
+    assert rows.value == feed.count()
