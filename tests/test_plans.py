@@ -6,9 +6,11 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
+from weirflow import schemas
 from weirflow.catalog import QUERIES, feeds
 from weirflow.operators import enrich, heavy_keys, latest_by_key, quarantine_incomplete, Quarantine
 from weirflow.plans import trips
+from weirflow.sources import static_dim
 
 SF = "/root/testdata/sf0.01"
 SMALL = "/root/testdata/sf0.001"
@@ -153,6 +155,15 @@ def test_small_dimension_is_broadcast_by_size_without_a_hint(spark):
     assert "c_acctbal" not in text
 
 
+def test_facts_stay_where_they_are_when_they_get_literal_names(spark, conf):
+    conf(autoBroadcastJoinThreshold="256k")
+    dim = static_dim(spark, schemas.VENDORS, schemas.VENDOR)
+    facts = spark.range(1000).selectExpr("id % 3 AS vendor_id")
+    text = plan(enrich(facts, dim, "vendor_id", ["vendor_name"]))
+    assert "BroadcastHashJoin" in text
+    assert "hashpartitioning" not in text
+
+
 def test_trips_of_all_generations_are_made_once(spark, monkeypatch):
     rows = spark.sparkContext.accumulator(0)
     feed = feeds.trips_feed(spark, SMALL)

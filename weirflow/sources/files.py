@@ -99,5 +99,7 @@ def read_dataset(
 
 
 def static_dim(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
-    """A dimension given as literal rows."""
-    return spark.createDataFrame(rows, schema)
+    """A dimension given as literal rows. Spark knows the size of a local table, so
+    that joins broadcast it instead of bringing the facts of a key together."""
+    checked = spark.createDataFrame(rows, schema)
+    return spark.createDataFrame(checked.toArrow(), schema)
