@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -122,3 +123,41 @@ def test_words_end_with_their_text():
     words = phrases._Words(pa.array(["a b", "c", None, "", " d,e f"]), phrases.Hasher())
     assert words.written(np.arange(len(words.starts)), 1) == ["a", "b", "c", "d", "e", "f"]
     assert words.joined.tolist() == [True, False, False, False, True]
+
+
+def test_words_that_a_task_counts_take_bounded_memory():
+    pool, sums = pa.default_memory_pool(), Counter()
+    tally, most, before = phrases._Tally(lang=pa.string(), text=pa.string()), 0, pa.total_allocated_bytes()
+    tracemalloc.start()
+    for i in range(0, 3_000_000, 50_000):
+        hashes = phrases.mixed(np.arange(i, i + 50_000).astype(np.uint64))
+        known = np.arange(50_000) < 10_000  # as every time
+        hashes[known] = np.arange(10_000)
+        texts = pa.array([f"{h:x}" for h in hashes.tolist()])
+        for batch in tally.add(hashes, np.full(50_000, 2), pa.array(["en"] * 50_000), texts):
+            assert len(batch) <= phrases.ROWS
+            sums.update({"rows": len(batch), "n": sum(batch.column("n").to_pylist())})
+        most = max(most, pa.total_allocated_bytes() - before + tracemalloc.get_traced_memory()[0])
+    peak = tracemalloc.get_traced_memory()[1] + pool.max_memory()
+    tracemalloc.stop()
+    sums.update({"n": sum(sum(batch.column("n").to_pylist()) for batch in tally.taken())})
+    assert sums["n"] == 6_000_000 and sums["rows"] > phrases.HELD_COUNTS
+    assert most < 100_000_000 and peak < 300_000_000
+
+
+def test_long_words_are_handed_over_early():
+    tally = phrases._Tally(text=pa.string())
+    rows = 0
+    for i in range(100):
+        rows += sum(map(len, tally.add(np.array([i], np.uint64), np.ones(1, np.int64), pa.array(["x" * 1_000_000]))))
+        assert sum(column.nbytes for column in tally.columns) <= phrases.HELD_BYTES
+    assert rows > 50
+
+
+def test_frequent_words_are_found_without_a_sort(spark, docs_of):
+    texts = docs_of([(1, "so far so good")]).selectExpr("text", "'en' AS lang", "1L AS lang_hash")
+    words = phrases._words(texts, 1)
+    assert "SortAggregate" not in words._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    )
+    assert sorted((r.lang, r.text, r.n) for r in words.collect()) == [("en", "far", 1), ("en", "good", 1), ("en", "so", 2)]

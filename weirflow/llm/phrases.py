@@ -26,8 +26,10 @@ from weirflow.llm.trie import ROOT, DoubleArrayTrie
 
 LEAST_COUNT, LONGEST, FIRST = 100, 5, 2000
 NO_LANG = "und"
-# Bits of the bitmap, phrases in a trie, and counts that a task holds.
-BITS, PART_PHRASES, HELD_COUNTS = 1 << 25, 500_000, 4_000_000
+# Bits of the bitmap, phrases in a trie, counts that a task holds and bytes that say
+# what they count, and rows that it hands over at once. Counts that are handed over
+# early are summed in the JVM.
+BITS, PART_PHRASES, HELD_COUNTS, HELD_BYTES, ROWS = 1 << 25, 500_000, 1_000_000, 32_000_000, 1 << 16
 # Counts of so many phrases travel together.
 CHUNK = 8192
 
@@ -100,42 +102,51 @@ def _bitmap(phrases: DataFrame) -> np.ndarray:
 
 
 class _Tally:
-    """Counts of phrases by their hash, at most about HELD_COUNTS at a time, with the
-    hashes of their first words and of their last one."""
+    """Counts of phrases by their hash, at most about HELD_COUNTS at a time, with
+    columns of about HELD_BYTES that say what each phrase is. All are arrays: a
+    Python object for each phrase would take many times their memory."""
 
-    def __init__(self) -> None:
+    def __init__(self, **kinds: pa.DataType) -> None:
+        self.kinds = kinds
         self._drop()
 
     def _drop(self) -> None:
         self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.ends = np.zeros((2, 0), np.uint64)
-        self._new: list[tuple[np.ndarray, np.ndarray]] = []
-        self._size = 0
+        self.columns = [pa.array([], kind) for kind in self.kinds.values()]
+        self._new: list[tuple[np.ndarray, np.ndarray, list[pa.Array]]] = []
+        self._size = self._bytes = 0
 
-    def add(self, hashes: np.ndarray, ends: np.ndarray) -> None:
-        self._new.append((hashes, ends))
+    def add(self, hashes: np.ndarray, counts: np.ndarray, *columns: pa.Array) -> Iterator[pa.RecordBatch]:
+        """Counts some phrases; gives what is counted, if there is too much of it."""
+        self._new.append((hashes, counts, list(columns)))
         self._size += len(hashes)
-        if self._size > max(HELD_COUNTS // 4, len(self.hashes)):
+        self._bytes += sum(column.nbytes for column in columns)
+        if self._size > max(HELD_COUNTS // 4, len(self.hashes)) or self._bytes > HELD_BYTES:
             self.settle()
+            if len(self.hashes) > HELD_COUNTS or sum(column.nbytes for column in self.columns) > HELD_BYTES:
+                yield from self.taken()
 
     def settle(self) -> None:
-        hashes = np.concatenate([self.hashes, *[h for h, _ in self._new]])
-        ends = np.concatenate([self.ends, *[e for _, e in self._new]], axis=1)
-        counts = np.concatenate([self.counts, np.ones(len(hashes) - len(self.counts), np.int64)])
+        parts = [(self.hashes, self.counts, self.columns), *self._new]
+        hashes, counts = (np.concatenate([part[i] for part in parts]) for i in range(2))
         order = np.argsort(hashes)
         hashes = hashes[order]
         fresh = np.ones(len(hashes), bool)
         fresh[1:] = hashes[1:] != hashes[:-1]
         at = np.flatnonzero(fresh)
-        self.hashes, self.ends = hashes[at], ends[:, order[at]]
+        self.hashes = hashes[at]
         self.counts = np.add.reduceat(counts[order], at) if len(at) else counts
-        self._new, self._size = [], 0
+        first = pa.array(order[at])
+        self.columns = [pa.concat_arrays(held).take(first) for held in zip(*[part[2] for part in parts], strict=True)]
+        self._new, self._size, self._bytes = [], 0, 0
 
-    def taken(self) -> pa.RecordBatch:
+    def taken(self) -> Iterator[pa.RecordBatch]:
+        """The columns and n, in batches that are small for the JVM, too."""
         self.settle()
-        columns = [pa.array(x.view(np.int64)) for x in self.ends] + [pa.array(self.counts)]
+        batch = pa.RecordBatch.from_arrays([*self.columns, pa.array(self.counts)], [*self.kinds, "n"])
         self._drop()
-        return pa.RecordBatch.from_arrays(columns, ["prefix", "last", "n"])
+        for at in range(0, len(batch), ROWS):
+            yield batch.slice(at, ROWS)
 
 
 def _steps(batches: Iterator[pa.RecordBatch], hasher: Hasher) -> Iterator[tuple[_Words, pa.RecordBatch]]:
@@ -151,39 +162,22 @@ def _langs(step: pa.RecordBatch) -> np.ndarray:
     return step.column("lang_hash").to_numpy().view(np.uint64)
 
 
-_COUNTED = "phrase long, lang string, text string, n long"
-
-
 def _words(texts: DataFrame, least: int) -> DataFrame:
     """phrase (its hash), lang, text and n of the frequent words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
-        held: dict[int, list] = {}
-
-        def rows() -> pa.RecordBatch:
-            counts, langs, words = zip(*held.values(), strict=True) if held else ((), (), ())
-            hashes = np.fromiter(held, np.uint64, len(held)).view(np.int64)
-            columns = [pa.array(hashes), pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(counts, pa.int64())]
-            held.clear()
-            return pa.RecordBatch.from_arrays(columns, ["phrase", "lang", "text", "n"])
-
+        hasher, tally = Hasher(), _Tally(phrase=pa.int64(), lang=pa.string(), text=pa.string())
         for found, step in _steps(batches, hasher):
             hashes, _ = next(found.phrases(_langs(step)))
             distinct, at, counts = np.unique(hashes, return_index=True, return_counts=True)
-            langs = step.column("lang").take(pa.array(found.text[at])).to_pylist()
-            for h, n, lang, word in zip(distinct.tolist(), counts.tolist(), langs, found.written(at, 1), strict=True):
-                known = held.get(h)
-                if known is None:
-                    held[h] = [n, lang, word]
-                else:
-                    known[0] += n
-            if len(held) > HELD_COUNTS // 8:
-                yield rows()
-        yield rows()
-
-    counted = texts.mapInArrow(count, _COUNTED).groupBy("phrase")
-    summed = counted.agg(F.min("lang").alias("lang"), F.min("text").alias("text"), F.sum("n").alias("n"))
+            langs = step.column("lang").take(pa.array(found.text[at])).cast(pa.string())
+            written = pa.array(found.written(at, 1), pa.string())
+            yield from tally.add(distinct, counts, pa.array(distinct.view(np.int64)), langs, written)
+        yield from tally.taken()
+
+    counted = texts.mapInArrow(count, "phrase long, lang string, text string, n long")
+    # Grouped by the text itself: the least text of a group would take a sort.
+    summed = counted.groupBy("phrase", "lang", "text").agg(F.sum("n").alias("n"))
     return summed.where(F.col("n") >= least)
 
 
@@ -193,7 +187,7 @@ def _longer(texts: DataFrame, words: int, least: int, before: np.ndarray) -> Dat
     shared = texts.sparkSession.sparkContext.broadcast(before)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, tally, bitmap = Hasher(), _Tally(), shared.value
+        hasher, tally, bitmap = Hasher(), _Tally(prefix=pa.int64(), last=pa.int64()), shared.value
         for found, step in _steps(batches, hasher):
             shorter = single = None
             for k, (hashes, inside) in enumerate(found.phrases(_langs(step)), 1):
@@ -202,10 +196,9 @@ def _longer(texts: DataFrame, words: int, least: int, before: np.ndarray) -> Dat
                 single, shorter = hashes if k == 1 else single, hashes
             known = _seen(bitmap, shorter)
             at = np.flatnonzero(inside & known[:-1] & known[1:])
-            tally.add(hashes[at], np.stack([shorter[at], single[at + words - 1]]))
-            if len(tally.hashes) > HELD_COUNTS:
-                yield tally.taken()
-        yield tally.taken()
+            ends = [pa.array(x.view(np.int64)) for x in (shorter[at], single[at + words - 1])]
+            yield from tally.add(hashes[at], np.ones(len(at), np.int64), *ends)
+        yield from tally.taken()
 
     counted = texts.mapInArrow(count, "prefix long, last long, n long")
     return counted.groupBy("prefix", "last").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
