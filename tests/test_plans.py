@@ -13,7 +13,6 @@ from weirflow.plans import trips
 from weirflow.sources import static_dim
 
 SF = "/root/testdata/sf0.01"
-SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture
@@ -164,9 +163,15 @@ def test_facts_stay_where_they_are_when_they_get_literal_names(spark, conf):
     assert "hashpartitioning" not in text
 
 
-def test_trips_of_all_generations_are_made_once(spark, monkeypatch):
+def test_trips_of_all_generations_are_made_once(spark, monkeypatch, tmp_path):
+    day = "CAST(make_date(1995, CAST(id DIV 7 % 12 + 1 AS INT), 5) AS timestamp_ntz)"
+    orders = spark.range(1300).selectExpr("id AS o_orderkey", f"{day} AS o_orderdate")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    lines = ["id AS l_orderkey", "1 AS l_linenumber", f"{day} AS l_shipdate", "id % 9 AS l_suppkey"]
+    lines += ["6D AS l_quantity", "2.5D AS l_extendedprice"]
+    spark.range(1300).selectExpr(*lines).write.parquet(f"{tmp_path}/lineitem.parquet")
     rows = spark.sparkContext.accumulator(0)
-    feed = feeds.trips_feed(spark, SMALL)
+    feed = feeds.trips_feed(spark, str(tmp_path))
 
     def counted(batches):
         for batch in batches:
@@ -174,5 +179,5 @@ def test_trips_of_all_generations_are_made_once(spark, monkeypatch):
             yield batch
 
     monkeypatch.setattr(feeds, "trips_feed", lambda spark, sf_dir: feed.mapInArrow(counted, feed.schema))
-    QUERIES["lake_trips_generations"](spark, SMALL)
-    assert rows.value == feed.count()
+    QUERIES["lake_trips_generations"](spark, str(tmp_path))
+    assert rows.value == feed.count() == 1300
