@@ -13,10 +13,12 @@ is the exact number of occurrences.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weirflow.llm.common import staged
@@ -29,9 +31,13 @@ NO_LANG = "und"
 # Bits of the bitmap, phrases in a trie, counts that a task holds and bytes that say
 # what they count, and rows that it hands over at once. Counts that are handed over
 # early are summed in the JVM.
-BITS, PART_PHRASES, HELD_COUNTS, HELD_BYTES, ROWS = 1 << 25, 500_000, 1_000_000, 32_000_000, 1 << 16
-# Counts of so many phrases travel together.
-CHUNK = 8192
+BITS, PART_PHRASES, HELD_COUNTS, HELD_BYTES, ROWS = 1 << 25, 2_000_000, 500_000, 32_000_000, 1 << 16
+# Counts of so many phrases travel together, and of so many of these at once.
+CHUNK, CHUNKS = 8192, 64
+# Bytes of rows that Spark sends to a task at once: each is held several times.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4_000_000
+# Bits of the second code of a word in a trie.
+DIGIT = 8
 
 _CHAIN = np.uint64(0xD1342543DE82EF95)
 _BREAK = np.zeros(256, bool)
@@ -75,11 +81,19 @@ class _Words:
             hashes = mixed(hashes[:-1] * _CHAIN + first[k:])
             inside = inside[:-1] & self.joined[k - 1 :]
 
+    def spelled(self, at: np.ndarray) -> pa.Array:
+        """Some of the words."""
+        sizes = self.stops[at] - self.starts[at]
+        ends = np.cumsum(sizes)
+        letters = _LOWER[self.letters[np.arange(sizes.sum()) + np.repeat(self.starts[at] - ends + sizes, sizes)]]
+        offsets = np.concatenate([[0], ends]).astype(np.int64)
+        whole = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+        return whole.cast(pa.string())
+
     def written(self, at: np.ndarray, words: int) -> list[str]:
         """The phrases from some words on, with one space between words."""
-        data = _LOWER[self.letters].tobytes()
-        starts, stops = self.starts.tolist(), self.stops.tolist()
-        return [b" ".join([data[starts[j] : stops[j]] for j in range(i, i + words)]).decode() for i in at.tolist()]
+        single = self.spelled((at[:, None] + np.arange(words)).ravel()).to_pylist()
+        return [" ".join(single[i : i + words]) for i in range(0, len(single), words)]
 
 
 def _seen(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -101,6 +115,20 @@ def _bitmap(phrases: DataFrame) -> np.ndarray:
     return bitmap
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs meanwhile gets its rows BATCH_BYTES at a time."""
+    held = spark.conf.getAll.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if held is None:
+            spark.conf.unset(BATCH_SETTING)
+        else:
+            spark.conf.set(BATCH_SETTING, held)
+
+
 class _Tally:
     """Counts of phrases by their hash, at most about HELD_COUNTS at a time, with
     columns of about HELD_BYTES that say what each phrase is. All are arrays: a
@@ -147,6 +175,8 @@ class _Tally:
         self._drop()
         for at in range(0, len(batch), ROWS):
             yield batch.slice(at, ROWS)
+        del batch
+        pa.default_memory_pool().release_unused()  # a worker lives on for other tasks
 
 
 def _steps(batches: Iterator[pa.RecordBatch], hasher: Hasher) -> Iterator[tuple[_Words, pa.RecordBatch]]:
@@ -171,8 +201,7 @@ def _words(texts: DataFrame, least: int) -> DataFrame:
             hashes, _ = next(found.phrases(_langs(step)))
             distinct, at, counts = np.unique(hashes, return_index=True, return_counts=True)
             langs = step.column("lang").take(pa.array(found.text[at])).cast(pa.string())
-            written = pa.array(found.written(at, 1), pa.string())
-            yield from tally.add(distinct, counts, pa.array(distinct.view(np.int64)), langs, written)
+            yield from tally.add(distinct, counts, pa.array(distinct.view(np.int64)), langs, found.spelled(at))
         yield from tally.taken()
 
     counted = texts.mapInArrow(count, "phrase long, lang string, text string, n long")
@@ -222,78 +251,142 @@ def _named(longer: DataFrame, shorter: DataFrame, words: DataFrame) -> DataFrame
 
 
 class _Counter:
-    """Counts phrases, given as (lang, text), by a trie of them."""
+    """Counts phrases, given by their lang and their text, by a trie of them.
+
+    A word is two codes in the trie, the words with most phrases first, so that
+    the children of a node are never far apart. All is arrays: neither the driver
+    nor a task holds a Python object for each phrase."""
 
-    def __init__(self, phrases: list[tuple[str, str]]) -> None:
-        names = sorted({word for _, text in phrases for word in text.split(" ")})
-        letters, offsets = text_bytes(pa.array(names, pa.string()))
+    def __init__(self, langs: pa.Array, texts: pa.Array) -> None:
+        split = pc.split_pattern(texts, " ")
+        sizes, written = pc.list_value_length(split).to_numpy(zero_copy_only=False), split.flatten().dictionary_encode()
+        del split
+        letters, offsets = text_bytes(written.dictionary)
         hashes = Hasher().spans(letters, offsets[:-1], offsets[1:])
+        at = written.indices.to_numpy(zero_copy_only=False)
+        numbers = np.empty(len(hashes), np.int32)  # from 1 on
+        numbers[np.argsort(-np.bincount(at, minlength=len(hashes)), kind="stable")] = np.arange(1, len(hashes) + 1)
         order = np.argsort(hashes)
-        self.words = hashes[order]
+        self.words, self.numbers = hashes[order], numbers[order]
         if np.any(self.words[1:] == self.words[:-1]):
             raise RuntimeError("two words share a hash")
-        codes = {names[i]: code for code, i in enumerate(order.tolist(), 1)}
-        langs = sorted({lang for lang, _ in phrases})
-        self.langs = {lang: code for code, lang in enumerate(langs, len(names) + 1)}
-        self.size = len(phrases)
-        self.trie = DoubleArrayTrie(
-            [(self.langs[lang], *[codes[word] for word in text.split(" ")]) for lang, text in phrases]
-        )
+        # Where the words of every first bits of a hash begin.
+        self.shift = np.uint64(64 - max(1, len(hashes).bit_length()))
+        firsts = np.arange(1 << (64 - int(self.shift)), dtype=np.uint64) << self.shift
+        self.heads = np.searchsorted(self.words, firsts).astype(np.int32)
+        lang = langs.dictionary_encode()
+        self.langs = {name: code for code, name in enumerate(lang.dictionary.to_pylist(), 1)}
+        self.size = len(texts)
+        codes = numbers[at]
+        del written, at, order, letters
+
+        def columns() -> Iterator[np.ndarray]:
+            yield lang.indices.to_numpy(zero_copy_only=False) + 1
+            starts = np.cumsum(sizes) - sizes
+            for k in range(int(sizes.max(initial=0))):
+                here = np.flatnonzero(sizes > k)
+                for codes_of in (_high, _low):
+                    column = np.zeros(len(sizes), np.int32)
+                    column[here] = codes_of(codes[starts[here] + k])
+                    yield column
+
+        self.trie = DoubleArrayTrie.of_columns(self.size, columns())
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """chunk, counts: the occurrences of CHUNK phrases after one another, where
-        there are any; and lang, n: the words of a language."""
+        """chunk, places, counts: the occurrences of those of CHUNK phrases that occur,
+        and which they are; and lang, n: the words of a language. What a task hands over
+        follows its texts, not the number of phrases."""
         hasher, counts = Hasher(), np.zeros(self.size, np.int64)
         totals: dict[str, int] = {}
+        met: list[np.ndarray] = []
         for found, step in _steps(batches, hasher):
             langs = step.column("lang").to_pylist()
             for i, n in enumerate(np.bincount(found.text, minlength=len(langs)).tolist()):
                 totals[langs[i]] = totals.get(langs[i], 0) + n
-            self._add(found, langs, counts)
-        for chunk, at in enumerate(range(0, self.size, CHUNK)):
-            held = counts[at : at + CHUNK]
-            if held.any():
-                yield _row(chunk, held.astype("<u4").tobytes(), None, None)
+            met.extend(self._met(found, langs))
+            if sum(map(len, met)) > max(2 * HELD_COUNTS, self.size):
+                counts += np.bincount(np.concatenate(met), minlength=self.size)
+                met = []
+        if met:
+            counts += np.bincount(np.concatenate(met), minlength=self.size)
+        yield from _shards(counts)
         for lang, n in totals.items():
-            yield _row(None, None, lang, n)
-
-    def _add(self, found: _Words, langs: list[str], counts: np.ndarray) -> None:
+            yield _rows([None], [None], [None], [lang], [n])
+
+    def _numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """The numbers of words, 0 where a word is in no phrase."""
+        last = len(self.words) - 1
+        places = self.heads[hashes >> self.shift]
+        behind = np.flatnonzero((places <= last) & (self.words[np.minimum(places, last)] < hashes))
+        while len(behind):
+            places[behind] += 1
+            now = places[behind]
+            behind = behind[(now <= last) & (self.words[np.minimum(now, last)] < hashes[behind])]
+        places = np.minimum(places, last)
+        return np.where(self.words[places] == hashes, self.numbers[places], 0)
+
+    def _met(self, found: _Words, langs: list[str]) -> Iterator[np.ndarray]:
+        """The phrases that occur, each as often as it does."""
         if not len(self.words):
             return
-        place = np.minimum(np.searchsorted(self.words, found.hashes), len(self.words) - 1)
-        codes = np.where(self.words[place] == found.hashes, place + 1, 0)
+        numbers = self._numbers(found.hashes)
         roots = self.trie.step(
             np.full(len(langs), ROOT), np.array([self.langs.get(lang, 0) for lang in langs], np.int64)
         )
         states = roots[found.text]
-        at = np.flatnonzero((states >= 0) & (codes > 0))
+        at = np.flatnonzero((states >= 0) & (numbers > 0))
         states = states[at]
         for k in range(LONGEST):
-            states = self.trie.step(states, codes[at + k])
-            at, states = at[states >= 0], states[states >= 0]
+            for codes_of in (_high, _low):
+                states = self.trie.step(states, codes_of(numbers[at + k]))
+                at, states = at[states >= 0], states[states >= 0]
             accepted = self.trie.accepts[states]
-            counts += np.bincount(accepted[accepted >= 0], minlength=len(counts))
+            yield accepted[accepted >= 0]
             on = at + k < len(found.joined)
             on[on] = found.joined[at[on] + k]
             at, states = at[on], states[on]
 
 
-_SHARD = "chunk int, counts binary, lang string, n long"
+def _high(numbers: np.ndarray) -> np.ndarray:
+    return np.where(numbers > 0, (numbers >> DIGIT) + 1, 0)
+
 
+def _low(numbers: np.ndarray) -> np.ndarray:
+    return np.where(numbers > 0, (numbers & ((1 << DIGIT) - 1)) + 1, 0)
 
-def _row(*values) -> pa.RecordBatch:
-    types = (pa.int32(), pa.binary(), pa.string(), pa.int64())
-    columns = [pa.array([value], kind) for value, kind in zip(values, types, strict=True)]
-    return pa.RecordBatch.from_arrays(columns, ["chunk", "counts", "lang", "n"])
+
+_SHARD = "chunk int, places binary, counts binary, lang string, n long"
+
+
+def _rows(*columns: list) -> pa.RecordBatch:
+    types = (pa.int32(), pa.binary(), pa.binary(), pa.string(), pa.int64())
+    names = ["chunk", "places", "counts", "lang", "n"]
+    return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, types, strict=True)], names)
+
+
+def _shards(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The counts that are not 0, in as few bytes as hold the largest of a chunk."""
+    for first in range(0, len(counts), CHUNK * CHUNKS):
+        chunks, places, held = [], [], []
+        for at in range(first, min(len(counts), first + CHUNK * CHUNKS), CHUNK):
+            here = np.flatnonzero(counts[at : at + CHUNK])
+            if len(here):
+                some = counts[at + here]
+                width = next(w for w in (1, 2, 4, 8) if int(some.max()) < 1 << 8 * w)
+                chunks.append(at // CHUNK)
+                places.append(here.astype("<u2").tobytes())
+                held.append(some.astype(f"<u{width}").tobytes())
+        if chunks:
+            yield _rows(chunks, places, held, [None] * len(chunks), [None] * len(chunks))
 
 
 def _summed(key: tuple, shards: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """place, n: the sum over all shards of the counts in one chunk."""
     total = np.zeros(CHUNK, np.int64)
     for batch in shards:
-        for data in batch.column("counts").to_pylist():
-            held = np.frombuffer(data, "<u4")
-            total[: len(held)] += held
+        for places, counts in zip(batch.column("places").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+            here = np.frombuffer(places, "<u2")
+            total[here] += np.frombuffer(counts, f"<u{len(counts) // len(here)}").astype(np.int64)
     place = key[0].as_py() * CHUNK + np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(total[total > 0])], ["place", "n"])
 
@@ -307,14 +400,14 @@ def _counted(texts: DataFrame, phrases: DataFrame) -> tuple[DataFrame, DataFrame
         # A hashed part of them: about PART_PHRASES. Its order numbers them.
         held = phrases.where(F.pmod(F.xxhash64("lang", "text"), F.lit(parts)) == part)
         rows = held.orderBy("lang", "text").select("lang", "words", "text").toArrow()
-        pairs = rows.select(["lang", "text"]).to_pydict()
-        counter = spark.sparkContext.broadcast(_Counter(list(zip(pairs["lang"], pairs["text"], strict=True))))
+        langs, written = (rows.column(c).combine_chunks() for c in ("lang", "text"))
+        counter = spark.sparkContext.broadcast(_Counter(langs, written))
 
         def count(batches: Iterator[pa.RecordBatch], counter=counter) -> Iterator[pa.RecordBatch]:
             yield from counter.value(batches)
 
         shards = staged(texts.mapInArrow(count, _SHARD), "phrase-shards")
-        chunks = shards.where("chunk IS NOT NULL").select("chunk", "counts")
+        chunks = shards.where("chunk IS NOT NULL").select("chunk", "places", "counts")
         counts = chunks.groupBy("chunk").applyInArrow(_summed, "place long, n long")
         numbered = spark.createDataFrame(rows.append_column("place", pa.array(np.arange(len(rows)))))
         sums.append(staged(numbered.join(counts, "place").drop("place"), "phrase-counts"))
@@ -337,6 +430,11 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFra
     """lang, words, text and n of every phrase of 1 to LONGEST words that occurs
     ``least`` times or more, words only if a longer phrase has them; and lang and n
     of all words."""
+    with _small_batches(docs.sparkSession):
+        return _frequent_phrases(docs, least)
+
+
+def _frequent_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     lang = F.coalesce("lang", F.lit(NO_LANG))
     texts = docs.select(
         F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang"), F.xxhash64(lang).alias("lang_hash")
