@@ -31,7 +31,7 @@ NO_LANG = "und"
 # Bits of the bitmap, phrases in a trie, counts that a task holds and bytes that say
 # what they count, and rows that it hands over at once. Counts that are handed over
 # early are summed in the JVM.
-BITS, PART_PHRASES, HELD_COUNTS, HELD_BYTES, ROWS = 1 << 25, 2_000_000, 500_000, 32_000_000, 1 << 16
+BITS, PART_PHRASES, HELD_COUNTS, HELD_BYTES, ROWS = 1 << 25, 500_000, 500_000, 32_000_000, 1 << 16
 # Counts of so many phrases travel together, and of so many of these at once.
 CHUNK, CHUNKS = 8192, 64
 # Bytes of rows that Spark sends to a task at once: each is held several times.
